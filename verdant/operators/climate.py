@@ -70,28 +70,47 @@ def pivot_climate(long_df: DataFrame, types: Sequence[str] = SENSOR_TYPES,
 
 def vpd_pairs(readings: DataFrame, keys: Sequence[str] = ("facility_id",), ts: str = "event_ts",
               seconds: int = BAND_SECONDS, scale: int = VPD_SCALE,
-              temperature: str = "temperature", humidity: str = "humidity") -> DataFrame:
+              temperature: str = "temperature", humidity: str = "humidity",
+              id_col: str = "event_id", keep_humidity_ts: bool = False) -> DataFrame:
     """Every clean temperature reading paired with every clean humidity reading
-    of the same facility within ``seconds`` (whole seconds), with its VPD."""
+    of the same facility within ``seconds`` (whole seconds), with its VPD.
+
+    ``id_col`` identifies a reading on each side (``temperature_<id_col>``,
+    ``humidity_<id_col>``); ``event_ts`` is the temperature reading's time.
+    """
     clean = readings.where(~F.col("is_anomaly"))
     t = clean.where(F.col("sensor_type") == temperature).select(
-        *keys, F.col("event_id").alias("temperature_event_id"), F.col(ts).alias("event_ts"),
+        *keys, F.col(id_col).alias(f"temperature_{id_col}"), F.col(ts).alias("event_ts"),
         F.col("value").alias("temperature"))
     h = clean.where(F.col("sensor_type") == humidity).select(
-        *keys, F.col("event_id").alias("humidity_event_id"), F.col(ts).alias("humidity_ts"),
+        *keys, F.col(id_col).alias(f"humidity_{id_col}"), F.col(ts).alias("humidity_ts"),
         F.col("value").alias("humidity"))
     pairs = band_join(t, h, keys, "event_ts", "humidity_ts", seconds)
-    return pairs.select(*keys, "temperature_event_id", "humidity_event_id", "event_ts",
+    extra = ["humidity_ts"] if keep_humidity_ts else []
+    return pairs.select(*keys, f"temperature_{id_col}", f"humidity_{id_col}", "event_ts", *extra,
                         "temperature", "humidity",
                         vpd_kpa("temperature", "humidity", scale).alias("vpd_kpa"))
 
 
 def vpd_by_window(pairs: DataFrame, keys: Sequence[str] = ("facility_id",), ts: str = "event_ts",
-                  minutes: int = WINDOW_MINUTES) -> DataFrame:
-    """round(avg(vpd_kpa), 4) per (keys, window of the temperature reading)."""
-    return (pairs.withColumn("window_start", window_start(ts, minutes))
-                 .groupBy(*keys, "window_start")
-                 .agg(F.round(F.avg("vpd_kpa"), 4).alias("avg_vpd")))
+                  minutes: int = WINDOW_MINUTES, scale: int = VPD_SCALE) -> DataFrame:
+    """round(avg(vpd_kpa), 4) per (keys, window of the temperature reading).
+
+    The pair values already carry ``scale`` decimals, so their mean often
+    ends in an exact 5 just past the last kept decimal.  The mean is taken
+    exactly: values are summed as integer units of ``10^-scale`` and rounded
+    half away from zero by integer division.  The aggregate stays a plain
+    sum/count (map-side partial aggregation).
+    """
+    unit = 10 ** scale
+    agg = (pairs.withColumn("window_start", window_start(ts, minutes))
+                .groupBy(*keys, "window_start")
+                .agg(F.sum(F.round(F.col("vpd_kpa") * F.lit(unit)).cast("long")).alias("__k"),
+                     F.count("vpd_kpa").alias("__n")))
+    k, n = F.col("__k"), F.col("__n")
+    q = F.floor((F.abs(k) * 2 + n).cast("double") / (n * 2).cast("double"))
+    mean = F.when(n > 0, F.signum(k) * q / F.lit(float(unit)))
+    return agg.select(*keys, "window_start", mean.alias("avg_vpd"))
 
 
 def mean_of_scores(cols: Sequence[str], scale: int = 2):

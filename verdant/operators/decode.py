@@ -18,7 +18,8 @@ CORRUPT = "_corrupt_record"
 
 
 def decode_messages(df: DataFrame, schema: T.StructType = MESSAGE_SCHEMA, landing_col: str | None = None,
-                    topic_col: str = "topic", value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+                    topic_col: str = "topic", value_col: str = "value",
+                    keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Envelope (topic, binary/string JSON value) -> Bronze rows + quarantine.
 
     Permissive decode against a fixed schema: a wrong-typed field becomes
@@ -27,6 +28,7 @@ def decode_messages(df: DataFrame, schema: T.StructType = MESSAGE_SCHEMA, landin
     landing ``date`` and ``hour``.  Rows that cannot be attributed to a
     facility (malformed text, NULL, missing ``facility_id``) go to the
     quarantine frame with their raw text instead of a NULL partition.
+    ``keep`` carries envelope columns (e.g. ``offset``) through.
     """
     parse_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
     text = F.col(value_col).cast("string")
@@ -37,18 +39,19 @@ def decode_messages(df: DataFrame, schema: T.StructType = MESSAGE_SCHEMA, landin
         text.alias("__raw"),
         F.col(topic_col).alias("source_topic"),
         landed.alias("bronze_landed_at"),
+        *[F.col(c) for c in keep],
     )
     ok = F.col("d").isNotNull() & F.col("d.facility_id").isNotNull()
     good = (parsed.where(ok)
                   .select(*[F.col(f"d.{f.name}").alias(f.name) for f in schema.fields],
-                          "source_topic", "bronze_landed_at")
+                          "source_topic", "bronze_landed_at", *keep)
                   .withColumn("date", F.to_date("bronze_landed_at"))
                   .withColumn("hour", F.hour("bronze_landed_at")))
     reason = (F.when(F.col("d").isNull(), F.lit("empty"))
                .when(F.col(f"d.{CORRUPT}").isNotNull(), F.lit("malformed"))
                .otherwise(F.lit("no_facility")))
     quarantine = parsed.where(~ok).select("source_topic", F.col("__raw").alias("raw_value"),
-                                          "bronze_landed_at", reason.alias("reason"))
+                                          "bronze_landed_at", reason.alias("reason"), *keep)
     return good, quarantine
 
 

@@ -127,10 +127,13 @@ def pairs_sql(classified: str) -> str:
 
 
 def vpd_window_sql(pairs: str) -> str:
+    """Mean of 4-dp values, exact, rounded half away from zero to 4 dp."""
     return f"""(
-  SELECT facility_id, time_bucket(INTERVAL '30 minutes', event_ts) AS window_start,
-    {rnd("avg(vpd_kpa)", 4)} AS avg_vpd
-  FROM {pairs} p GROUP BY facility_id, window_start
+  SELECT facility_id, window_start,
+    CASE WHEN n > 0 THEN sign(k) * ((2 * abs(k) + n) // (2 * n)) / 10000.0 END AS avg_vpd
+  FROM (SELECT facility_id, time_bucket(INTERVAL '30 minutes', event_ts) AS window_start,
+          sum(CAST(round(vpd_kpa * 10000) AS BIGINT)) AS k, count(vpd_kpa) AS n
+        FROM {pairs} p GROUP BY facility_id, window_start) a
 )"""
 
 

@@ -25,7 +25,7 @@ from verdant.operators.serving import (GOLD_KEYS, LIVE_KEYS, LIVE_UPDATE_COLS, c
 from verdant.sources.fixture import load_readings
 from verdant.sources.messages import envelopes_from_readings, message_struct
 from verdant.sources.payloads import parse_payloads, payloads_from_readings
-from verdant.sources.tables import select_run, union_facilities
+from verdant.sources.tables import select_run, spread_input, union_facilities
 
 # Fixed query parameters (shared with the oracle SQL).
 RUN_START = "2024-01-09 22:30:00"
@@ -102,7 +102,7 @@ def q_gold_climate(spark, sf_dir):
 
 
 def _decoded(spark, sf_dir):
-    env = envelopes_from_readings(_readings(spark, sf_dir))
+    env = envelopes_from_readings(spread_input(_readings(spark, sf_dir)))
     good, _quarantine = decode_messages(env, landing_col="landed_at")
     return good
 
@@ -121,7 +121,7 @@ def q_silver_readings(spark, sf_dir):
 
 
 def q_topic_route(spark, sf_dir):
-    msgs = message_struct(_readings(spark, sf_dir)).withColumn(
+    msgs = message_struct(spread_input(_readings(spark, sf_dir))).withColumn(
         "sensor_type", F.regexp_replace("source_topic", r"^sensors\.", ""))
     routed = route_topics(msgs)
     back = routed.select("topic", F.get_json_object("value", "$.sensor_id").alias("sensor_id"))
@@ -130,7 +130,7 @@ def q_topic_route(spark, sf_dir):
 
 
 def q_payload_flatten(spark, sf_dir):
-    docs = payloads_from_readings(_readings(spark, sf_dir))
+    docs = payloads_from_readings(spread_input(_readings(spark, sf_dir)))
     return flatten_payload(parse_payloads(docs, keep=["landed_at"]), ingested_at=iso_string("landed_at"))
 
 

@@ -57,3 +57,17 @@ def union_facilities(frames: list[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
+
+
+def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a too-coarse input before CPU-heavy per-row work.
+
+    Only when the scan yields fewer splits than the cluster's parallelism
+    (e.g. one small file with a single row group) is the input round-robin
+    repartitioned; a large input already has more splits than cores and is
+    left untouched, so no shuffle is added at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
