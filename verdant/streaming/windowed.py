@@ -27,14 +27,19 @@ def streaming_climate(silver: DataFrame, delay: str = "10 minutes", keys: Sequen
     clean_value = F.when(~F.col("is_anomaly"), F.col("value"))
     n_all = F.count(F.lit(1))
     n_bad = F.count_if(F.col("is_anomaly"))
-    return (silver.withWatermark(ts, delay)
-                  .groupBy(*keys, F.window(ts, f"{int(minutes)} minutes").alias("w"), "sensor_type")
+    # Watermarks need zoned timestamps: event time is UTC wall clock, the
+    # session zone is UTC, so the cast keeps the instant.
+    return (silver.withColumn("__event_time", F.col(ts).cast("timestamp"))
+                  .withWatermark("__event_time", delay)
+                  .groupBy(*keys, F.window("__event_time", f"{int(minutes)} minutes").alias("w"),
+                           "sensor_type")
                   .agg(F.round(F.avg(clean_value), 3).alias("avg_value"),
                        F.round(F.stddev_samp(clean_value), 3).alias("zone_variance"),
                        F.count(clean_value).alias("reading_count"),
                        n_all.alias("n_all"), n_bad.alias("n_anomalous"),
                        F.round(F.try_divide(n_bad.cast("double"), n_all), 4).alias("anomaly_rate"))
-                  .select(*keys, F.col("w.start").alias("window_start"), "sensor_type", "avg_value",
+                  .select(*keys, F.col("w.start").cast("timestamp_ntz").alias("window_start"), "sensor_type",
+                          "avg_value",
                           "zone_variance", "reading_count", "n_all", "n_anomalous", "anomaly_rate"))
 
 
@@ -51,14 +56,16 @@ def streaming_band_join(silver: DataFrame, delay: str = "2 minutes", seconds: in
     t = (clean.where(F.col("sensor_type") == "temperature")
               .select(*keys, F.col(id_col).alias(f"temperature_{id_col}"), F.col("event_ts"),
                       F.col("value").alias("temperature"))
-              .withWatermark("event_ts", delay)
+              .withColumn("t_time", F.col("event_ts").cast("timestamp"))
+              .withWatermark("t_time", delay)
               .withColumn("t_sec", epoch_seconds("event_ts"))
               .withColumn("t_bin", F.floor(F.col("t_sec") / F.lit(w))))
     rk = {k: f"h_{k}" for k in keys}
     h = (clean.where(F.col("sensor_type") == "humidity")
               .select(*[F.col(k).alias(rk[k]) for k in keys], F.col(id_col).alias(f"humidity_{id_col}"),
                       F.col("event_ts").alias("humidity_ts"), F.col("value").alias("humidity"))
-              .withWatermark("humidity_ts", delay)
+              .withColumn("h_time", F.col("humidity_ts").cast("timestamp"))
+              .withWatermark("h_time", delay)
               .withColumn("h_sec", epoch_seconds("humidity_ts"))
               .withColumn("h_bin", F.explode(F.array(*[F.floor(F.col("h_sec") / F.lit(w)) + F.lit(d)
                                                        for d in (-1, 0, 1)]))))
@@ -68,8 +75,8 @@ def streaming_band_join(silver: DataFrame, delay: str = "2 minutes", seconds: in
     span = F.expr(f"INTERVAL {w + 1} SECONDS")
     cond = (cond & (F.col("t_bin") == F.col("h_bin"))
             & (F.abs(F.col("t_sec") - F.col("h_sec")) <= F.lit(w))
-            & (F.col("event_ts") >= F.col("humidity_ts") - span)
-            & (F.col("event_ts") <= F.col("humidity_ts") + span))
+            & (F.col("t_time") >= F.col("h_time") - span)
+            & (F.col("t_time") <= F.col("h_time") + span))
     joined = t.join(h, cond, "inner")
     return joined.select(*keys, f"temperature_{id_col}", f"humidity_{id_col}", "event_ts", "humidity_ts",
                          "temperature", "humidity", vpd_kpa("temperature", "humidity").alias("vpd_kpa"))
