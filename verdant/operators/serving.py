@@ -40,14 +40,18 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[s
 
 
 def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
-                 update_cols: Sequence[str], order_by: str | Sequence[str] | None = None) -> DataFrame:
+                 update_cols: Sequence[str], order_by: str | Sequence[str] | None = None,
+                 newer_than: str | None = None) -> DataFrame:
     """Insert-or-update by key, as ``INSERT .. ON CONFLICT (keys) DO UPDATE``.
 
     * new key: the update row is inserted as a whole;
     * existing key: ``update_cols`` take the update's values (a NULL in the
       update overwrites), every other column keeps the stored value;
     * update rows with a NULL key are rejected (the store's key is NOT NULL);
-    * several updates of one key: the last by ``order_by`` wins (required then).
+    * several updates of one key: the last by ``order_by`` wins (required then);
+    * with ``newer_than`` (a column of both sides, e.g. an arrival offset) an
+      existing row is only updated by a strictly greater value, so replaying
+      an old batch, or batches out of order, never moves a row backwards.
 
     A full outer join on the key: one shuffle of both sides, no driver loop.
     """
@@ -59,6 +63,8 @@ def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     if order_by is not None:
         upd = latest_by_key(upd, keys, order_by)
         upd = upd.drop(*[c for c in _as_list(order_by) if c not in target.columns])
+    if newer_than is not None and newer_than not in update_cols:
+        update_cols = [*update_cols, newer_than]
     cols = [c for c in target.columns]
     missing = [c for c in cols if c not in upd.columns]
     if missing:
@@ -72,6 +78,9 @@ def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     j = o.join(n, cond, "full_outer")
     new_hit = F.col("__n_hit").isNotNull()
     old_hit = F.col("__o_hit").isNotNull()
+    if newer_than is not None:
+        o_v, n_v = F.col(f"__o_{newer_than}"), F.col(f"__n_{newer_than}")
+        new_hit = new_hit & (~old_hit | o_v.isNull() | (n_v > o_v))
     out = []
     for c in cols:
         if c in keys:

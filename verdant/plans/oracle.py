@@ -317,6 +317,8 @@ def oracle_sql() -> dict[str, str]:
         "crop_score": f"SELECT * FROM {crop_sql(wide)} c",
         "gold_climate": _select(gold, GOLD_COLS),
         "json_decode": f"SELECT {msg_cols}, {landing} FROM {R} r",
+        "bronze_landing": f"SELECT {msg_cols}, {landing} FROM {R} r",
+        "live_stream": f"SELECT * FROM {latest_sql(live_rows_sql(R).replace('device_id AS sensor_id', 'sensor_id'))} l",
         "silver_typed": f"SELECT * FROM {typed} t",
         "silver_readings": f"SELECT * FROM {classified_sql(typed)} s",
         "topic_route": (f"SELECT source_topic AS topic, count(*) AS n_messages, "

@@ -25,7 +25,10 @@ from verdant.operators.serving import (GOLD_KEYS, LIVE_KEYS, LIVE_UPDATE_COLS, c
 from verdant.sources.fixture import load_readings
 from verdant.sources.messages import envelopes_from_readings, message_struct
 from verdant.sources.payloads import parse_payloads, payloads_from_readings
+from verdant.session import scratch_path
 from verdant.sources.tables import select_run, spread_input, union_facilities
+from verdant.streaming.bronze import start_bronze
+from verdant.streaming.live import start_live
 
 # Fixed query parameters (shared with the oracle SQL).
 RUN_START = "2024-01-09 22:30:00"
@@ -111,6 +114,35 @@ def q_json_decode(spark, sf_dir):
     return _decoded(spark, sf_dir)
 
 
+def _land_envelopes(spark, sf_dir) -> str:
+    """Envelopes derived from ``events``, landed as files for a file stream."""
+    path = scratch_path(spark, "landing")
+    envelopes_from_readings(spread_input(_readings(spark, sf_dir))).write.parquet(path)
+    return path
+
+
+def q_bronze_landing(spark, sf_dir):
+    """The Bronze streaming job end to end: file stream -> decode -> partitioned
+    Parquet (checkpointed, exactly-once), read back from the table root."""
+    source = _land_envelopes(spark, sf_dir)
+    bronze = scratch_path(spark, "bronze")
+    for q in start_bronze(spark, bronze, scratch_path(spark, "bronze-ckpt"), fmt="parquet",
+                          source_path=source, trigger="availableNow", landing_col="landed_at"):
+        q.awaitTermination()
+    return spark.read.parquet(bronze)
+
+
+def q_live_stream(spark, sf_dir):
+    """The live path end to end: file stream -> per-batch latest -> keyed merge."""
+    source = _land_envelopes(spark, sf_dir)
+    live = scratch_path(spark, "live")
+    q = start_live(spark, live, scratch_path(spark, "live-ckpt"), fmt="parquet", source_path=source,
+                   trigger="availableNow", options={"maxFilesPerTrigger": "4"})
+    q.awaitTermination()
+    return spark.read.parquet(live).select("facility_id", "sensor_id", "sensor_type", "value", "unit",
+                                           "is_anomaly", "recorded_at")
+
+
 def q_silver_typed(spark, sf_dir):
     return type_readings(_decoded(spark, sf_dir))
 
@@ -224,6 +256,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "crop_score": q_crop_score,
     "gold_climate": q_gold_climate,
     "json_decode": q_json_decode,
+    "bronze_landing": q_bronze_landing,
+    "live_stream": q_live_stream,
     "silver_typed": q_silver_typed,
     "silver_readings": q_silver_readings,
     "topic_route": q_topic_route,

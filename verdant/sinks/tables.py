@@ -59,7 +59,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def merge_into_table(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
                      update_cols: Sequence[str], partition_cols: Sequence[str],
-                     order_by: str | Sequence[str] | None = None) -> DataFrame:
+                     order_by: str | Sequence[str] | None = None,
+                     newer_than: str | None = None) -> DataFrame:
     """Keyed upsert into a partitioned Parquet table (``merge_upsert`` semantics).
 
     Only partitions that receive updates are read, merged and rewritten; the
@@ -69,9 +70,9 @@ def merge_into_table(spark: SparkSession, path: str, updates: DataFrame, keys: S
     Partition columns must be functions of the key.  Returns the merged rows.
     """
     if not _exists(spark, path):
-        merged = merge_upsert(updates.limit(0).select(*[c for c in updates.columns
-                                                         if c not in _order_list(order_by)]),
-                              updates, keys, update_cols, order_by)
+        keep = [c for c in updates.columns if c not in _order_list(order_by) or c == newer_than]
+        merged = merge_upsert(updates.limit(0).select(*keep),
+                              updates, keys, update_cols, order_by, newer_than)
     else:
         current = spark.read.parquet(path)
         touched = updates.select(*partition_cols).distinct()
@@ -90,7 +91,7 @@ def merge_into_table(spark: SparkSession, path: str, updates: DataFrame, keys: S
         cols = [c for c in current.columns]
         merged = merge_upsert(current, updates.select(*cols, *[c for c in _order_list(order_by)
                                                                 if c not in cols]),
-                              keys, update_cols, order_by)
+                              keys, update_cols, order_by, newer_than)
     merged = merged.checkpoint(eager=True)
     write_partitions(merged, path, partition_cols)
     return merged

@@ -41,15 +41,17 @@ def live_batch(messages: DataFrame, topic_map: Mapping[str, str] = TOPIC_MAP) ->
 def merge_live_batch(live_path: str, order_by: str = "arrival"):
     """The ``foreachBatch`` function: reduce a batch to its latest rows and merge.
 
-    Re-running a batch after a failure leaves the same table (the merge is
-    idempotent), so the at-least-once batch replay of ``foreachBatch`` is safe.
+    The table keeps each row's ``arrival`` (topic offset) and a row is only
+    replaced by a later arrival, so a replayed batch (``foreachBatch`` is
+    at-least-once) or batches consumed out of offset order leave the same
+    table as consuming every message in order.
     """
-    order = "arrival" if order_by == "arrival" else [order_by, "arrival"]
-
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         rows = live_batch(batch)
+        if order_by != "arrival":
+            rows = rows.withColumn("arrival", F.struct(F.col(order_by), F.col("arrival")))
         merge_into_table(batch.sparkSession, live_path, rows, LIVE_KEYS, LIVE_UPDATE_COLS,
-                         LIVE_PARTITIONS, order_by=order)
+                         LIVE_PARTITIONS, order_by="arrival", newer_than="arrival")
 
     return merge_batch
 
