@@ -30,6 +30,7 @@ def build_session(master: str = "local[*]", app: str = "verdant", **conf) -> Spa
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .config("spark.sql.shuffle.partitions", "8"))
     for key, value in {**SESSION_DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
