@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tests.conftest import SF_SMALL, rows
 from verdant.operators.decode import decode_messages, type_readings
 from verdant.operators.quality import classify_anomalies
