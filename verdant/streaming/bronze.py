@@ -42,7 +42,10 @@ def start_bronze(spark: SparkSession, bronze_path: str, checkpoint: str, fmt: st
     Malformed messages go to ``quarantine_path`` (a second query).
     """
     ensure_session(spark)
-    messages = read_messages(spark, fmt, options, topics, path=source_path, stream=True)
+    opts = dict(options or {})
+    if fmt == "kafka":
+        opts.setdefault("startingOffsets", "earliest")     # land everything retained
+    messages = read_messages(spark, fmt, opts, topics, path=source_path, stream=True)
     good, bad = bronze_stream(messages, landing_col)
     q = _trigger(good.repartition(*BRONZE_PARTITIONS).writeStream.format("parquet")
                  .option("path", bronze_path).option("checkpointLocation", f"{checkpoint}/bronze")

@@ -69,7 +69,10 @@ def start_live(spark: SparkSession, live_path: str, checkpoint: str, fmt: str =
     (offsets) lives in the checkpoint.
     """
     ensure_session(spark)
-    messages = read_messages(spark, fmt, options, topics, path=source_path, stream=True)
+    opts = dict(options or {})
+    if fmt == "kafka":
+        opts.setdefault("startingOffsets", "latest")       # a live view starts from now
+    messages = read_messages(spark, fmt, opts, topics, path=source_path, stream=True)
     writer = (messages.writeStream.foreachBatch(merge_live_batch(live_path, order_by))
               .option("checkpointLocation", f"{checkpoint}/live"))
     if trigger in (None, "availableNow"):
