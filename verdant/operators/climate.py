@@ -149,11 +149,18 @@ def overall_anomaly_rate(wide: DataFrame, types: Sequence[str] = RATE_TYPES) ->
 
 def profiles_frame(spark: SparkSession, profiles: Mapping[str, Mapping[str, tuple]] = CROP_PROFILES,
                    types: Sequence[str] = SCORED_TYPES) -> DataFrame:
-    """Crop profile table: one row per crop with ``low_<type>``/``high_<type>``."""
-    cols = ["crop_type"] + [f"{side}_{t}" for t in types for side in ("low", "high")]
-    rows = [tuple([crop] + [float(p[t][i]) for t in types for i in (0, 1)]) for crop, p in profiles.items()]
-    schema = ", ".join([f"{c} {'string' if c == 'crop_type' else 'double'}" for c in cols])
-    return spark.createDataFrame(rows, schema)
+    """Crop profile table: one row per crop with ``low_<type>``/``high_<type>``.
+
+    Built from literals inside the JVM (``inline`` of an array of structs),
+    so no Python worker is involved and the plan is a local relation.
+    """
+    structs = []
+    for crop, p in profiles.items():
+        fields = [F.lit(crop).alias("crop_type")]
+        for t in types:
+            fields += [F.lit(float(p[t][0])).alias(f"low_{t}"), F.lit(float(p[t][1])).alias(f"high_{t}")]
+        structs.append(F.struct(*fields))
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def crop_score(wide: DataFrame, profiles: Mapping[str, Mapping[str, tuple]] = CROP_PROFILES,
