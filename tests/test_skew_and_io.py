@@ -95,3 +95,19 @@ def test_payload_files_and_quarantine_stream(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "bronze")).count() == 1
     bad = spark.read.parquet(str(tmp_path / "q")).collect()
     assert len(bad) == 1 and bad[0]["reason"] == "malformed" and bad[0]["raw_value"] == "{oops"
+
+
+def test_bronze_salted_writers_keep_all_rows(spark, tmp_path):
+    import glob
+    src, out = str(tmp_path / "src"), str(tmp_path / "bronze")
+    from verdant.sources.messages import envelopes_from_readings
+    envelopes_from_readings(load_readings(spark, SF_SMALL)).write.parquet(src)
+    for q in start_bronze(spark, out, str(tmp_path / "ck"), fmt="parquet", source_path=src,
+                          trigger="availableNow", landing_col="landed_at", writers_per_partition=3):
+        q.awaitTermination()
+    assert spark.read.parquet(out).count() == 1000
+    per_dir = {}
+    for f in glob.glob(f"{out}/facility_id=*/date=*/hour=*/*.parquet"):
+        d = f.rsplit("/", 1)[0]
+        per_dir[d] = per_dir.get(d, 0) + 1
+    assert max(per_dir.values()) <= 3

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from verdant.constants import TOPIC_MAP
@@ -29,7 +30,8 @@ def _trigger(writer, trigger: str | None):
 def start_bronze(spark: SparkSession, bronze_path: str, checkpoint: str, fmt: str = "kafka",
                  source_path: str | None = None, options: Mapping[str, str] | None = None,
                  topics: Sequence[str] = tuple(TOPIC_MAP.values()), trigger: str | None = "30 seconds",
-                 quarantine_path: str | None = None, landing_col: str | None = None) -> list[StreamingQuery]:
+                 quarantine_path: str | None = None, landing_col: str | None = None,
+                 writers_per_partition: int = 1) -> list[StreamingQuery]:
     """Start the Bronze landing stream(s).
 
     The Parquet file sink with a checkpoint is exactly-once per micro-batch
@@ -40,6 +42,8 @@ def start_bronze(spark: SparkSession, bronze_path: str, checkpoint: str, fmt: st
     (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``).  ``trigger`` is a
     processing-time interval, or ``"availableNow"`` for backfill and tests.
     Malformed messages go to ``quarantine_path`` (a second query).
+    ``writers_per_partition > 1`` salts the grouping so that a hot facility's
+    rows of one micro-batch are written by that many tasks (and files).
     """
     ensure_session(spark)
     opts = dict(options or {})
@@ -47,7 +51,10 @@ def start_bronze(spark: SparkSession, bronze_path: str, checkpoint: str, fmt: st
         opts.setdefault("startingOffsets", "earliest")     # land everything retained
     messages = read_messages(spark, fmt, opts, topics, path=source_path, stream=True)
     good, bad = bronze_stream(messages, landing_col)
-    q = _trigger(good.repartition(*BRONZE_PARTITIONS).writeStream.format("parquet")
+    keys = [F.col(c) for c in BRONZE_PARTITIONS]
+    if writers_per_partition > 1:
+        keys.append(F.pmod(F.xxhash64("sensor_id", "timestamp"), F.lit(writers_per_partition)))
+    q = _trigger(good.repartition(*keys).writeStream.format("parquet")
                  .option("path", bronze_path).option("checkpointLocation", f"{checkpoint}/bronze")
                  .partitionBy(*BRONZE_PARTITIONS).outputMode("append"), trigger).start()
     queries = [q]
