@@ -118,3 +118,26 @@ def test_job_entry_points(spark, tmp_path):
     assert main(["gold", "--silver", s, "--gold", g, "--vpd", v, "--serving", sv, "--start", START,
                  "--end", END]) == 0
     assert spark.read.parquet(sv).count() > 0
+
+
+def test_serving_key_collision_is_deterministic(spark, tmp_path):
+    """Two crops in one facility window (D5): one serving row, the later growth week."""
+    import json
+    from pyspark.sql import Row
+
+    def msg(sensor, crop, week, ts):
+        body = {"sensor_id": sensor, "value": 21.0, "timestamp": ts, "facility_id": "facility_A",
+                "crop_type": crop, "growth_week": week}
+        return Row(topic="sensors.temperature", value=json.dumps(body).encode(), offset=0,
+                   landed_at=dt.datetime.fromisoformat(ts.replace("T", " ")))
+
+    schema = "topic string, value binary, offset long, landed_at timestamp_ntz"
+    rows_ = [msg("a", "tomato", 6, "2024-02-01T10:05:00"), msg("b", "pepper", 7, "2024-02-01T10:06:00")]
+    b, s, g, v, sv = (str(tmp_path / n) for n in ("b", "s", "g", "v", "sv"))
+    good, _ = bronze_stream(spark.createDataFrame(rows_, schema), landing_col="landed_at")
+    write_partitions(good, b, BRONZE_PARTITIONS)
+    run_silver(spark, b, s, "2024-02-01 10:00:00", "2024-02-01 10:30:00")
+    run_gold(spark, s, g, v, sv, "2024-02-01 10:00:00", "2024-02-01 10:30:00")
+    assert spark.read.parquet(g).count() == 2
+    served = spark.read.parquet(sv).collect()
+    assert len(served) == 1 and (served[0]["crop_type"], served[0]["growth_week"]) == ("pepper", 7)

@@ -67,7 +67,8 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, vpd_path: st
     * ``gold_path``: full fact rows keyed by (facility, crop, week, window);
     * ``serving_path``: the 14-column serving table keyed by (facility,
       window): value columns and the stamp are updated, ``crop_type`` and
-      ``growth_week`` keep their first value.
+      ``growth_week`` keep their first value; several fact rows of one
+      serving key are reduced to the latest (growth week, crop).
     Only the (facility, date) partitions that receive rows are rewritten.
     """
     ensure_session(spark)
@@ -84,5 +85,10 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, vpd_path: st
                              [c for c in facts.columns if c not in FACT_KEYS and c != "date"],
                              TABLE_PARTITIONS)
     serving = facts.select(*SERVING_COLUMNS, "gold_processed_at", "date")
-    merge_into_table(spark, serving_path, serving, GOLD_KEYS, GOLD_UPDATE_COLS, TABLE_PARTITIONS)
+    # The serving key (facility, window) is coarser than the fact key: if a
+    # facility changed crop or week inside a window, the row of the latest
+    # growth week (then crop name) is served -- a deterministic choice.
+    serving = serving.withColumn("__pick", F.struct("growth_week", "crop_type"))
+    merge_into_table(spark, serving_path, serving, GOLD_KEYS, GOLD_UPDATE_COLS, TABLE_PARTITIONS,
+                     order_by="__pick")
     return facts
