@@ -322,3 +322,32 @@ def test_select_run_crosses_midnight(spark):
     assert got == times[1:4]
     whole = select_run(df, "2024-01-09 22:30:00", "2024-01-10 01:30:00", whole_partitions=True).count()
     assert whole == 5   # 22:29:59 shares the 22h partition, 01:30 the 01h partition
+
+
+def test_leave_one_out_statistics(spark):
+    import statistics
+    vals = [1000.0] * 6 + [1003.0, 998.0, 1001.0, 3000.0, None]
+    df = readings(spark, [(i, "f", "s", "co2", v) for i, v in enumerate(vals)])
+    from verdant.operators.quality import with_sensor_stats
+    got = {r["event_id"]: (r["sensor_mean"], r["sensor_stddev"])
+           for r in with_sensor_stats(df, leave_one_out=True).collect()}
+    for i, v in enumerate(vals):
+        if v is None:
+            continue
+        others = [x for j, x in enumerate(vals) if j != i and x is not None]
+        assert got[i][0] == pytest.approx(statistics.mean(others), rel=1e-12)
+        assert got[i][1] == pytest.approx(statistics.stdev(others), rel=1e-9)
+    # 10 readings with one outlier: all-in 3-sigma cannot fire, leave-one-out does.
+    assert classes(df)[9] is None
+    loo = {r["event_id"]: r["anomaly_type"] for r in classify_anomalies(df, leave_one_out=True).collect()}
+    assert loo[9] == "statistical" and loo[0] is None
+
+
+def test_zone_spread(spark):
+    from verdant.operators.climate import zone_spread
+    rows_ = [("f", "c", 1, T0, "temperature", "z1", 20.0, False), ("f", "c", 1, T0, "temperature", "z1", 22.0, False),
+             ("f", "c", 1, T0, "temperature", "z2", 25.0, False), ("f", "c", 1, T0, "temperature", "z3", 99.0, True)]
+    df = spark.createDataFrame(rows_, "facility_id string, crop_type string, growth_week int, event_ts timestamp_ntz, "
+                                      "sensor_type string, sensor_id string, value double, is_anomaly boolean")
+    r = zone_spread(df).collect()[0]
+    assert r["zone_count"] == 2 and r["zone_spread"] == round(((21 - 23) ** 2 + (25 - 23) ** 2) ** 0.5, 3)

@@ -47,6 +47,25 @@ def climate_by_window(df: DataFrame, keys: Sequence[str] = GROUP_KEYS, topic: st
                     F.round(F.try_divide(n_bad.cast("double"), n_all), 4).alias("anomaly_rate")))
 
 
+def zone_spread(df: DataFrame, keys: Sequence[str] = GROUP_KEYS, topic: str = "sensor_type",
+                ts: str = "event_ts", value: str = "value", sensor: str = "sensor_id",
+                minutes: int = WINDOW_MINUTES, scale: int = 3) -> DataFrame:
+    """Spread across zones: sample stddev of the per-sensor means of clean
+    readings in each (keys, window, topic), with the number of zones.
+
+    ``zone_variance`` of ``climate_by_window`` is the stddev over all
+    readings; this is the across-zone variant (uneven distribution in the
+    house).  Two grouped aggregates, both with partial aggregation.
+    """
+    per_zone = (df.where(~F.col("is_anomaly") & F.col(value).isNotNull())
+                  .withColumn("window_start", window_start(ts, minutes))
+                  .groupBy(*keys, "window_start", topic, sensor)
+                  .agg(F.avg(value).alias("__zone_mean")))
+    return (per_zone.groupBy(*keys, "window_start", topic)
+                    .agg(F.round(F.stddev_samp("__zone_mean"), scale).alias("zone_spread"),
+                         F.count(F.lit(1)).alias("zone_count")))
+
+
 def pivot_climate(long_df: DataFrame, types: Sequence[str] = SENSOR_TYPES,
                   keys: Sequence[str] = GROUP_KEYS, topic: str = "sensor_type") -> DataFrame:
     """Long (one row per topic) -> wide (one row per facility window).

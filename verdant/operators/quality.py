@@ -29,23 +29,43 @@ def sensor_stats(df: DataFrame, keys: Sequence[str] = SENSOR_KEYS, value: str =
 
 
 def with_sensor_stats(df: DataFrame, keys: Sequence[str] = SENSOR_KEYS, value: str = "value",
-                      mean: str = "sensor_mean", stddev: str = "sensor_stddev") -> DataFrame:
+                      mean: str = "sensor_mean", stddev: str = "sensor_stddev",
+                      leave_one_out: bool = False) -> DataFrame:
     """Attach each row's sensor mean and stddev (whole-input scope).
 
     Equivalent to ``avg/stddev OVER (PARTITION BY keys)`` but computed as an
     aggregate joined back behind a size check: no sort of the whole input by
     sensor and no single task per sensor.
+
+    ``leave_one_out`` excludes the row's own value from its statistics (a
+    3-sigma rule that includes the point can never fire for 10 or fewer
+    readings).  It is derived per row from (n, mean, M2) by removing one
+    value (Welford downdate), so it stays one aggregate and one join.
     """
     stats = sensor_stats(df, keys, value).select(
-        *keys, F.col("mean").alias(mean), F.col("stddev").alias(stddev))
-    return join_small(df, stats, keys, how="left", null_safe=True)
+        *keys, F.col("n").alias("__n"), F.col("mean").alias(mean), F.col("stddev").alias(stddev))
+    out = join_small(df, stats, keys, how="left", null_safe=True)
+    if leave_one_out:
+        v, n, m, sd = nan_to_null(value), F.col("__n"), F.col(mean), F.col(stddev)
+        m2 = F.coalesce(sd * sd * (n - 1), F.lit(0.0))
+        m_loo = (m * n - v) / (n - 1)
+        m2_loo = m2 - (v - m) * (v - m_loo)
+        out = (out.withColumn(stddev, F.when(v.isNull(), sd)
+                              .when(n >= 3, F.sqrt(F.greatest(m2_loo, F.lit(0.0)) / (n - 2))))
+                  .withColumn(mean, F.when(v.isNull(), m).when(n >= 2, m_loo)))
+    return out.drop("__n")
 
 
 def classify_anomalies(df: DataFrame, limits: Mapping[str, tuple] = RANGE_LIMITS,
                        n_sigma: float = STAT_SIGMA, keys: Sequence[str] = SENSOR_KEYS,
-                       value: str = "value", sensor_type: str = "sensor_type") -> DataFrame:
-    """Add ``anomaly_type`` (dropout > statistical > range > NULL) and ``is_anomaly``."""
-    out = with_sensor_stats(df, keys, value)
+                       value: str = "value", sensor_type: str = "sensor_type",
+                       leave_one_out: bool = False) -> DataFrame:
+    """Add ``anomaly_type`` (dropout > statistical > range > NULL) and ``is_anomaly``.
+
+    ``leave_one_out=True`` judges each value against the statistics of the
+    other readings of its sensor (default: all readings, as originally).
+    """
+    out = with_sensor_stats(df, keys, value, leave_one_out=leave_one_out)
     return (out.withColumn("anomaly_type", anomaly_type(value, sensor_type, "sensor_mean",
                                                         "sensor_stddev", n_sigma, limits))
                .withColumn("is_anomaly", F.col("anomaly_type").isNotNull())
