@@ -64,3 +64,22 @@ def test_band_join_property(spark, left, right, seconds):
     want = sorted((i, j) for i, (k1, u1) in enumerate(left) for j, (k2, u2) in enumerate(right)
                   if k1 == k2 and abs(u1 // 1_000_000 - u2 // 1_000_000) <= seconds)
     assert got == want
+
+
+keys_st = st.integers(0, 6)
+row_st = st.tuples(keys_st, st.sampled_from(["x", "y", None]), st.one_of(st.none(), st.integers(0, 9)))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(row_st, max_size=8, unique_by=lambda r: r[0]), st.lists(row_st, max_size=10))
+def test_merge_matches_row_by_row_upsert(spark, target, updates):
+    """merge_upsert == applying the updates one by one in arrival order to a keyed table."""
+    from verdant.operators.serving import merge_upsert
+    schema = "k int, kind string, v int, seq int"
+    t = spark.createDataFrame([(k, kind, v, -1) for k, kind, v in target], schema)
+    u = spark.createDataFrame([(k, kind, v, i) for i, (k, kind, v) in enumerate(updates)], schema)
+    got = {r["k"]: (r["kind"], r["v"]) for r in merge_upsert(t, u, ["k"], ["v", "seq"], order_by="seq").collect()}
+    model = {k: (kind, v) for k, kind, v in target}
+    for k, kind, v in updates:                      # ON CONFLICT: update v, keep kind
+        model[k] = (model[k][0], v) if k in model else (kind, v)
+    assert got == model

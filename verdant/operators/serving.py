@@ -39,6 +39,26 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[s
     return picked.select(*keys, *[F.col(f"__latest.{c}").alias(c) for c in cols])
 
 
+def _reduce_batch(upd: DataFrame, keys: Sequence[str], update_cols: Sequence[str], cols: Sequence[str],
+                  order_by: str | Sequence[str]) -> DataFrame:
+    """Several updates of one key in a batch, as if applied one by one.
+
+    Updated columns come from the last update (``max_by``); the other
+    columns from the first (``min_by``), which is what a new key keeps when
+    it is inserted and then updated within the same batch.
+    """
+    order = _as_list(order_by)
+    order_key = F.struct(*[F.col(c) for c in order]) if len(order) > 1 else F.col(order[0])
+    last = [c for c in cols if c in update_cols]
+    first = [c for c in cols if c not in update_cols]
+    aggs = [F.max_by(F.struct(*[F.col(c) for c in last]), order_key).alias("__last")] if last else []
+    if first:
+        aggs.append(F.min_by(F.struct(*[F.col(c) for c in first]), order_key).alias("__first"))
+    red = upd.groupBy(*keys).agg(*aggs)
+    return red.select(*keys, *[F.col(f"__last.{c}").alias(c) for c in last],
+                      *[F.col(f"__first.{c}").alias(c) for c in first])
+
+
 def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
                  update_cols: Sequence[str], order_by: str | Sequence[str] | None = None,
                  newer_than: str | None = None) -> DataFrame:
@@ -60,11 +80,10 @@ def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     for k in keys:
         has_null_key = has_null_key | F.col(k).isNull()
     upd = updates.where(~has_null_key)
-    if order_by is not None:
-        upd = latest_by_key(upd, keys, order_by)
-        upd = upd.drop(*[c for c in _as_list(order_by) if c not in target.columns])
     if newer_than is not None and newer_than not in update_cols:
         update_cols = [*update_cols, newer_than]
+    if order_by is not None:
+        upd = _reduce_batch(upd, keys, update_cols, [c for c in target.columns if c not in keys], order_by)
     cols = [c for c in target.columns]
     missing = [c for c in cols if c not in upd.columns]
     if missing:

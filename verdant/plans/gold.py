@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from verdant.constants import BAND_SECONDS, WINDOW_MINUTES
 from verdant.functions.columns import ntz_literal
 from verdant.operators.climate import GOLD_COLUMNS, SERVING_COLUMNS, build_gold, vpd_pairs
-from verdant.operators.serving import GOLD_KEYS, GOLD_UPDATE_COLS
+from verdant.operators.serving import GOLD_KEYS, GOLD_UPDATE_COLS, latest_by_key
 from verdant.session import ensure_session
 from verdant.sinks.tables import merge_into_table
 from verdant.sources.tables import partition_predicate, read_table
@@ -88,7 +88,7 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, vpd_path: st
     # The serving key (facility, window) is coarser than the fact key: if a
     # facility changed crop or week inside a window, the row of the latest
     # growth week (then crop name) is served -- a deterministic choice.
-    serving = serving.withColumn("__pick", F.struct("growth_week", "crop_type"))
-    merge_into_table(spark, serving_path, serving, GOLD_KEYS, GOLD_UPDATE_COLS, TABLE_PARTITIONS,
-                     order_by="__pick")
+    serving = latest_by_key(serving.withColumn("__pick", F.struct("growth_week", "crop_type")),
+                            GOLD_KEYS, "__pick", [c for c in serving.columns if c not in GOLD_KEYS])
+    merge_into_table(spark, serving_path, serving, GOLD_KEYS, GOLD_UPDATE_COLS, TABLE_PARTITIONS)
     return facts
