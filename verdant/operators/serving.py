@@ -183,6 +183,8 @@ def climate_trends(gold: DataFrame, as_of: datetime | str, hours: int = TREND_HO
     lower = as_of - timedelta(hours=hours)
     recent = gold.where((F.col("window_start") > ntz_literal(lower))
                         & (F.col("window_start") <= ntz_literal(as_of)))
+    if "date" in gold.columns:      # a written fact table: prune its date partitions too
+        recent = recent.where(F.col("date").between(F.lit(lower.date()), F.lit(as_of.date())))
     wide = recent.select("window_start", "facility_id", *[F.col(m).cast("double").alias(m) for m in metrics])
     long_df = wide.unpivot(["window_start", "facility_id"], list(metrics), "panel", "value")
     return (long_df.select("panel", F.col("window_start").alias("time"),

@@ -232,8 +232,25 @@ def q_live_gauges(spark, sf_dir):
     return live_gauges(_live(spark, sf_dir))
 
 
+def trend_readings(classified: DataFrame, as_of: str, hours: int = 24, minutes: int = 30,
+                   band_seconds: int = 60) -> DataFrame:
+    """Readings that can reach the trend windows (start in (as_of - hours, as_of]).
+
+    Their events lie in (as_of - hours, as_of + minutes); humidity partners
+    of the VPD band up to ``band_seconds`` beyond.  A plain event-time range
+    reaches the scan as a pushed filter (row groups are skipped), while the
+    exact window filter of ``climate_trends`` still decides the output.
+    Statistics stay whole-input: they are computed before this filter.
+    """
+    from datetime import datetime, timedelta
+    end = datetime.fromisoformat(as_of)
+    lo = end - timedelta(hours=hours) - timedelta(seconds=band_seconds)
+    hi = end + timedelta(minutes=minutes) + timedelta(seconds=band_seconds)
+    return classified.where((F.col("event_ts") >= ntz_literal(lo)) & (F.col("event_ts") < ntz_literal(hi)))
+
+
 def q_climate_trends(spark, sf_dir):
-    return climate_trends(build_gold(_classified(spark, sf_dir)), TREND_AS_OF)
+    return climate_trends(build_gold(trend_readings(_classified(spark, sf_dir), TREND_AS_OF)), TREND_AS_OF)
 
 
 def q_current_anomalies(spark, sf_dir):
