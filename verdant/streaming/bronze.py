@@ -16,6 +16,21 @@ from verdant.sources.messages import read_messages
 BRONZE_PARTITIONS = ("facility_id", "date", "hour")
 
 
+# Default micro-batch bounds: a backlog (after downtime, or a first start) is
+# landed in many bounded batches instead of one unbounded one.
+MAX_OFFSETS_PER_TRIGGER = "20000000"
+MAX_FILES_PER_TRIGGER = "2000"
+
+
+def bounded_batches(fmt: str, options: Mapping[str, str] | None) -> dict[str, str]:
+    opts = dict(options or {})
+    if fmt == "kafka":
+        opts.setdefault("maxOffsetsPerTrigger", MAX_OFFSETS_PER_TRIGGER)
+    else:
+        opts.setdefault("maxFilesPerTrigger", MAX_FILES_PER_TRIGGER)
+    return opts
+
+
 def bronze_stream(messages: DataFrame, landing_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Decode a message stream (or batch) into Bronze rows and quarantined rows."""
     return decode_messages(messages, landing_col=landing_col)
@@ -46,7 +61,7 @@ def start_bronze(spark: SparkSession, bronze_path: str, checkpoint: str, fmt: st
     rows of one micro-batch are written by that many tasks (and files).
     """
     ensure_session(spark)
-    opts = dict(options or {})
+    opts = bounded_batches(fmt, options)
     if fmt == "kafka":
         opts.setdefault("startingOffsets", "earliest")     # land everything retained
     messages = read_messages(spark, fmt, opts, topics, path=source_path, stream=True)

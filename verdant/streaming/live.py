@@ -15,6 +15,7 @@ from verdant.operators.serving import LIVE_KEYS, LIVE_UPDATE_COLS
 from verdant.session import ensure_session
 from verdant.sinks.tables import merge_into_table
 from verdant.sources.messages import read_messages
+from verdant.streaming.bronze import bounded_batches
 
 LIVE_PARTITIONS = ("facility_id",)
 
@@ -69,7 +70,7 @@ def start_live(spark: SparkSession, live_path: str, checkpoint: str, fmt: str =
     (offsets) lives in the checkpoint.
     """
     ensure_session(spark)
-    opts = dict(options or {})
+    opts = bounded_batches(fmt, options)
     if fmt == "kafka":
         opts.setdefault("startingOffsets", "latest")       # a live view starts from now
     messages = read_messages(spark, fmt, opts, topics, path=source_path, stream=True)
