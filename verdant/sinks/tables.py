@@ -17,8 +17,9 @@ from pyspark.sql.utils import AnalysisException
 
 from verdant.operators.serving import merge_upsert
 
-# Most partitions a merge may name explicitly; beyond it a semi join selects them.
-MAX_LISTED_PARTITIONS = 10_000
+# Most partitions a merge names explicitly (a prunable OR of partition values);
+# beyond it a semi join on the partition columns selects them.
+MAX_LISTED_PARTITIONS = 1_000
 
 
 def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], fmt: str = "parquet") -> None:
@@ -67,8 +68,11 @@ def merge_into_table(spark: SparkSession, path: str, updates: DataFrame, keys: S
     rest of the table is untouched.  The merged partitions are checkpointed
     to the shared checkpoint folder before the overwrite, which cuts their
     lineage from the files being replaced (and survives executor loss).
-    Partition columns must be functions of the key.  Returns the merged rows.
+    Partition columns must be functions of the key.  The updates are
+    materialised once (they feed both the partition listing and the merge).
+    Returns the merged rows.
     """
+    updates = updates.checkpoint(eager=True)
     if not _exists(spark, path):
         keep = [c for c in updates.columns if c not in _order_list(order_by) or c == newer_than]
         merged = merge_upsert(updates.limit(0).select(*keep),
