@@ -81,6 +81,20 @@ def classified_sql(src: str, keys: str = "facility_id, sensor_id") -> str:
 )"""
 
 
+def classified_loo_sql(src: str, keys: str = "facility_id, sensor_id") -> str:
+    """Classes with statistics of the other readings of the sensor (frame excludes the row)."""
+    frame = (f"OVER (PARTITION BY {keys} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING "
+             f"EXCLUDE CURRENT ROW)")
+    nn = "CASE WHEN NOT isnan(value) THEN value END"
+    return f"""(
+  SELECT event_id,
+    CASE WHEN value IS NULL OR isnan(value) THEN 'dropout'
+         WHEN s_sd IS NOT NULL AND abs(value - s_mean) > 3 * s_sd THEN 'statistical'
+         WHEN {_range_case()} THEN 'range' END AS anomaly_type
+  FROM (SELECT *, avg({nn}) {frame} AS s_mean, stddev_samp({nn}) {frame} AS s_sd FROM {src}) x
+)"""
+
+
 def long_sql(src: str, clean_only: bool = False) -> str:
     where = "WHERE event_ts IS NOT NULL" + (" AND NOT is_anomaly" if clean_only else "")
     cv = "CASE WHEN NOT is_anomaly THEN value END"
@@ -304,6 +318,16 @@ def oracle_sql() -> dict[str, str]:
         "sensor_stats": (f"SELECT facility_id, sensor_id, count(value) AS n, {rnd("avg(value)", 6)} AS mean, "
                          f"{rnd("stddev_samp(value)", 6)} AS stddev FROM {R} r GROUP BY facility_id, sensor_id"),
         "anomaly_classify": f"SELECT event_id, anomaly_type, is_anomaly FROM {C} c",
+        "anomaly_classify_loo": (f"SELECT event_id, anomaly_type, anomaly_type IS NOT NULL AS is_anomaly "
+                                 f"FROM {classified_loo_sql(R)} c"),
+        "zone_spread": (
+            f"SELECT facility_id, crop_type, growth_week, window_start, sensor_type, "
+            f"{rnd('stddev_samp(zm)', 3)} AS zone_spread, count(*) AS zone_count FROM ("
+            f"SELECT facility_id, crop_type, growth_week, time_bucket(INTERVAL '30 minutes', event_ts) "
+            f"AS window_start, sensor_type, sensor_id, avg(value) AS zm FROM {C} c "
+            f"WHERE NOT is_anomaly AND value IS NOT NULL AND event_ts IS NOT NULL "
+            f"GROUP BY facility_id, crop_type, growth_week, window_start, sensor_type, sensor_id) z "
+            f"GROUP BY facility_id, crop_type, growth_week, window_start, sensor_type"),
         "climate_30min": _select(long_sql(C, clean_only=True),
                                  ["facility_id", "crop_type", "growth_week", "window_start", "sensor_type",
                                   "avg_value", "zone_variance", "reading_count"]),

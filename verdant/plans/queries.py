@@ -16,7 +16,7 @@ from verdant.constants import FACILITIES, SENSOR_TYPES
 from verdant.functions.columns import iso_string, ntz_literal
 from verdant.operators.climate import (GOLD_COLUMNS, SCORED_TYPES, SERVING_COLUMNS, build_gold,
                                        climate_by_window, climate_score, crop_score, pivot_climate,
-                                       vpd_by_window, vpd_pairs)
+                                       vpd_by_window, vpd_pairs, zone_spread)
 from verdant.operators.decode import decode_messages, flatten_payload, route_topics, type_readings
 from verdant.operators.quality import classify_anomalies, facility_aggregate, peer_outliers, sensor_stats
 from verdant.operators.serving import (GOLD_KEYS, LIVE_KEYS, LIVE_UPDATE_COLS, climate_trends,
@@ -60,6 +60,17 @@ def q_anomaly_classify(spark, sf_dir):
     return _classified(spark, sf_dir).select("event_id", "anomaly_type", "is_anomaly")
 
 
+def q_anomaly_classify_loo(spark, sf_dir):
+    """Classification judging each value against the other readings of its sensor."""
+    c = classify_anomalies(_readings(spark, sf_dir), leave_one_out=True)
+    return c.select("event_id", "anomaly_type", "is_anomaly")
+
+
+def q_zone_spread(spark, sf_dir):
+    """Across-zone spread of clean readings per facility window and type."""
+    return zone_spread(_classified(spark, sf_dir))
+
+
 def q_climate_30min(spark, sf_dir):
     long_df = climate_by_window(_classified(spark, sf_dir), clean_only=True)
     return long_df.select("facility_id", "crop_type", "growth_week", "window_start", "sensor_type",
@@ -264,6 +275,8 @@ def q_threshold_band(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sensor_stats": q_sensor_stats,
     "anomaly_classify": q_anomaly_classify,
+    "anomaly_classify_loo": q_anomaly_classify_loo,
+    "zone_spread": q_zone_spread,
     "climate_30min": q_climate_30min,
     "anomaly_rate": q_anomaly_rate,
     "climate_pivot": q_climate_pivot,
