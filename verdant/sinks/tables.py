@@ -51,10 +51,15 @@ def write_topics(df: DataFrame, fmt: str = "kafka", path: str | None = None,
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """A readable table at ``path`` (checked on the file system first, quietly)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    if not hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath):
+        return False
     try:
         spark.read.parquet(path).schema  # noqa: B018
         return True
-    except AnalysisException:
+    except AnalysisException:          # a folder without data files yet
         return False
 
 
