@@ -83,3 +83,24 @@ def test_streaming_band_join_matches_batch(spark, tmp_path):
     want = vpd_pairs(batch, id_col="sensor_id", keep_humidity_ts=True)
     assert got.count() == want.count() == 3
     assert rows(got) == rows(want.select(*got.columns))
+
+
+def test_ingest_then_bronze_chain(spark, tmp_path):
+    """Poll documents -> ingest stream -> topic files -> Bronze stream: every reading lands once."""
+    from verdant.sources.payloads import payloads_from_readings
+    from verdant.streaming.ingest import start_ingest
+    docs, topics, bronze = str(tmp_path / "docs"), str(tmp_path / "topics"), str(tmp_path / "bronze")
+    r = load_readings(spark, SF_SMALL)
+    payloads_from_readings(r).select("payload").write.text(docs)
+    start_ingest(spark, docs, str(tmp_path / "ck"), sink_fmt="parquet", sink_path=topics,
+                 trigger="availableNow").awaitTermination()
+    landed = spark.read.parquet(topics)
+    by_topic = {x["topic"]: x["count"] for x in landed.groupBy("topic").count().collect()}
+    assert by_topic == {x["source_topic"]: x["count"] for x in r.groupBy("source_topic").count().collect()}
+    for q in start_bronze(spark, bronze, str(tmp_path / "ck2"), fmt="parquet", source_path=topics,
+                          trigger="availableNow"):
+        q.awaitTermination()
+    b = spark.read.parquet(bronze)
+    assert b.count() == r.count()
+    assert rows(b.select("sensor_id", "value", "source_topic")) == \
+        rows(r.select("sensor_id", "value", r["source_topic"]))

@@ -104,9 +104,17 @@ def flatten_payload(df: DataFrame, sensor_types: Sequence[str] = SENSOR_TYPES,
 
 def route_topics(df: DataFrame, topic_map: Mapping[str, str] = TOPIC_MAP, type_col: str = "sensor_type",
                  fields: Sequence[str] | None = None) -> DataFrame:
-    """Message rows -> (topic, JSON value) for a topic sink; unknown types dropped."""
+    """Message rows -> (topic, JSON value) for a topic sink; unknown types dropped.
+
+    The topic comes from ``type_col`` through ``topic_map``; rows that
+    already carry a ``topic`` (e.g. from ``flatten_payload``) and no type
+    column keep theirs.
+    """
     fields = list(fields or [f.name for f in MESSAGE_SCHEMA.fields if f.name in df.columns])
-    topic = topic_of_sensor_type(type_col, topic_map)
+    if type_col in df.columns:
+        topic = topic_of_sensor_type(type_col, topic_map)
+    else:
+        topic = F.when(F.col("topic").isin(list(topic_map.values())), F.col("topic"))
     return (df.withColumn("__topic", topic).where(F.col("__topic").isNotNull())
               .select(F.col("__topic").alias("topic"),
                       F.to_json(F.struct(*[F.col(c) for c in fields])).alias("value")))

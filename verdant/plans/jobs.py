@@ -1,5 +1,6 @@
 """Command-line entry points for the jobs (``spark-submit -m``-style).
 
+    python -m verdant.plans.jobs ingest --payloads PATH --checkpoint PATH [--sink-format kafka ...]
     python -m verdant.plans.jobs bronze --bronze PATH --checkpoint PATH [--source-format kafka ...]
     python -m verdant.plans.jobs live   --live PATH --checkpoint PATH ...
     python -m verdant.plans.jobs silver --bronze PATH --silver PATH --start TS --end TS
@@ -21,6 +22,7 @@ from verdant.plans.gold import run_gold
 from verdant.plans.silver import run_silver
 from verdant.session import ensure_session
 from verdant.streaming.bronze import start_bronze
+from verdant.streaming.ingest import start_ingest
 from verdant.streaming.live import start_live
 
 
@@ -45,6 +47,13 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--bronze" if name == "bronze" else "--live", required=True)
         if name == "bronze":
             p.add_argument("--quarantine")
+    p = sub.add_parser("ingest")
+    p.add_argument("--payloads", required=True)
+    p.add_argument("--checkpoint", required=True)
+    p.add_argument("--sink-format", default="kafka")
+    p.add_argument("--sink-path")
+    p.add_argument("--option", action="append", help="sink option key=value")
+    p.add_argument("--trigger", default="10 seconds")
     p = sub.add_parser("silver")
     for a in ("--bronze", "--silver", "--start", "--end"):
         p.add_argument(a, required=True)
@@ -63,6 +72,9 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "live":
         start_live(spark, args.live, args.checkpoint, fmt=args.source_format, source_path=args.source_path,
                    options=_options(args.option), trigger=args.trigger).awaitTermination()
+    elif args.job == "ingest":
+        start_ingest(spark, args.payloads, args.checkpoint, sink_fmt=args.sink_format, sink_path=args.sink_path,
+                     options=_options(args.option), trigger=args.trigger).awaitTermination()
     elif args.job == "silver":
         run_silver(spark, args.bronze, args.silver, args.start, args.end)
     else:
