@@ -42,8 +42,10 @@ def build_session(master: str = "local[*]", app: str = "verdant", **conf) -> Spa
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only where it is unset (tests, a
-    laptop) is a folder of our own chosen and registered.
+    The cluster's setting always wins.  Only where it is unset on a local
+    master (tests, a laptop) is a folder of our own chosen and registered; a
+    cluster without a shared checkpoint folder is a configuration error,
+    since a machine-local folder would not survive an executor loss.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -51,6 +53,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(e.g. on HDFS or an object store)")
         root = tempfile.mkdtemp(prefix="verdant-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
