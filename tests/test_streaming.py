@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tests.conftest import SF_SMALL, rows
 from verdant.operators.decode import decode_messages, type_readings
 from verdant.operators.quality import classify_anomalies
@@ -104,3 +106,28 @@ def test_ingest_then_bronze_chain(spark, tmp_path):
     assert b.count() == r.count()
     assert rows(b.select("sensor_id", "value", "source_topic")) == \
         rows(r.select("sensor_id", "value", r["source_topic"]))
+
+
+def test_streaming_band_join_evicts_state(spark, tmp_path):
+    """With input in event-time order, a short watermark loses no pair and state is evicted."""
+    import time as _time
+    path = str(tmp_path / "silver")
+    env = envelopes_from_readings(load_readings(spark, "/root/testdata/sf0.01"))
+    good, _ = decode_messages(env, landing_col="landed_at")
+    silver = classify_anomalies(type_readings(good)).checkpoint(eager=True)
+    days = [("2024-01-01", "2024-01-08"), ("2024-01-08", "2024-01-16"), ("2024-01-16", "2024-01-24"),
+            ("2024-01-24", "2024-02-01")]
+    for lo, hi in days:       # one file per time range, written in order (file order = time order)
+        (silver.where((F.col("event_ts") >= F.lit(lo).cast("timestamp_ntz"))
+                      & (F.col("event_ts") < F.lit(hi).cast("timestamp_ntz")))
+               .coalesce(1).write.mode("append").parquet(path))
+        _time.sleep(1.1)
+    stream = spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", "1").parquet(path)
+    q = (streaming_band_join(stream, delay="10 minutes").writeStream.format("memory").queryName("pairs_evict")
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.table("pairs_evict")
+    want = vpd_pairs(silver, id_col="sensor_id", keep_humidity_ts=True)
+    assert rows(got) == rows(want.select(*got.columns))
+    removed = sum(op.get("numRowsRemoved", 0) for p in q.recentProgress for op in p.get("stateOperators", []))
+    assert removed > 0
