@@ -69,7 +69,11 @@ def start_bronze(spark: SparkSession, bronze_path: str, checkpoint: str, fmt: st
     keys = [F.col(c) for c in BRONZE_PARTITIONS]
     if writers_per_partition > 1:
         keys.append(F.pmod(F.xxhash64("sensor_id", "timestamp"), F.lit(writers_per_partition)))
-    q = _trigger(good.repartition(*keys).writeStream.format("parquet")
+    # An explicit count (the session's shuffle partitions) keeps the writers
+    # parallel: a micro-batch's write is bound by its file count, which a
+    # byte-based coalescing of the shuffle would serialise.
+    writers = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    q = _trigger(good.repartition(writers, *keys).writeStream.format("parquet")
                  .option("path", bronze_path).option("checkpointLocation", f"{checkpoint}/bronze")
                  .partitionBy(*BRONZE_PARTITIONS).outputMode("append"), trigger).start()
     queries = [q]
