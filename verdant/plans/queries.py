@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.constants import FACILITIES, SENSOR_TYPES
+from verdant.constants import FACILITIES
 from verdant.functions.columns import iso_string, ntz_literal
 from verdant.operators.climate import (GOLD_COLUMNS, SCORED_TYPES, SERVING_COLUMNS, build_gold,
                                        climate_by_window, climate_score, crop_score, pivot_climate,
@@ -305,4 +305,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "threshold_band": q_threshold_band,
 }
 
-__all__ = ["QUERIES", "SENSOR_TYPES"]
+__all__ = ["QUERIES"]
