@@ -215,7 +215,10 @@ def build_gold(readings: DataFrame, minutes: int = WINDOW_MINUTES, keys: Sequenc
     VPD table); otherwise they are derived from ``readings``.
     """
     long_df = climate_by_window(readings, keys, minutes=minutes, clean_only=clean_only)
-    wide = pivot_climate(long_df, SENSOR_TYPES, keys)
+    # Hash the (already aggregated, five rows per window) long form on the
+    # join key: that partitioning satisfies both the pivot's grouping and
+    # the VPD join, so the wide rows are not shuffled a second time.
+    wide = pivot_climate(long_df.repartition("facility_id", "window_start"), SENSOR_TYPES, keys)
     pairs = vpd if vpd is not None else vpd_pairs(readings, seconds=seconds)
     vpd_w = vpd_by_window(pairs, minutes=minutes)
     gold = wide.join(vpd_w, ["facility_id", "window_start"], "left")
