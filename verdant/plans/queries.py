@@ -195,7 +195,8 @@ def q_facility_union(spark, sf_dir):
 
 
 def _peer_input(spark, sf_dir):
-    return _readings(spark, sf_dir).withColumn("poll_ts", F.date_trunc(POLL_UNIT, "event_ts"))
+    return _readings(spark, sf_dir).withColumn(
+        "poll_ts", F.date_trunc(POLL_UNIT, "event_ts").cast("timestamp_ntz"))
 
 
 PEER_KEYS = ("facility_id", "sensor_type", "poll_ts")
