@@ -15,6 +15,10 @@ from tests.conftest import SF_MID, SF_SMALL
 TABLES = ["events"]
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -53,6 +57,10 @@ def test_query_matches_oracle(spark, duck, name):
     sf = SF_SMALL
     df = E.queries()[name](spark, sf)
     got_cols = df.columns
+    types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+             for f in df.schema.fields}
+    want_types = {d[0]: str(d[1]) for d in duck[sf].execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert types == want_types
     got = df.collect()
     res = duck[sf].execute(E.oracle_sql()[name])
     want_cols = [d[0] for d in res.description]
