@@ -131,3 +131,18 @@ def test_streaming_band_join_evicts_state(spark, tmp_path):
     assert rows(got) == rows(want.select(*got.columns))
     removed = sum(op.get("numRowsRemoved", 0) for p in q.recentProgress for op in p.get("stateOperators", []))
     assert removed > 0
+
+
+def test_live_stream_event_time_order(spark, tmp_path):
+    """order_by="recorded_at": the newest event time wins, whatever the arrival order."""
+    from verdant.operators.serving import latest_by_key, live_rows
+    src, live, ck = str(tmp_path / "src"), str(tmp_path / "live"), str(tmp_path / "ck")
+    _land_envelopes(spark, src, parts=4)
+    q = start_live(spark, live, ck, fmt="parquet", source_path=src, trigger="availableNow",
+                   options={"maxFilesPerTrigger": "1"}, order_by="recorded_at")
+    q.awaitTermination()
+    got = spark.read.parquet(live)
+    want = latest_by_key(live_rows(load_readings(spark, SF_SMALL), sensor_col="sensor_id"),
+                         ["facility_id", "sensor_id"], ["recorded_at", "arrival"])
+    cols = ["facility_id", "sensor_id", "sensor_type", "value", "unit", "is_anomaly", "recorded_at"]
+    assert rows(got.select(*cols)) == rows(want.select(*cols))
