@@ -141,3 +141,15 @@ def test_serving_key_collision_is_deterministic(spark, tmp_path):
     assert spark.read.parquet(g).count() == 2
     served = spark.read.parquet(sv).collect()
     assert len(served) == 1 and (served[0]["crop_type"], served[0]["growth_week"]) == ("pepper", 7)
+
+
+def test_readme_usage_on_silver(spark, tmp_path):
+    from verdant.operators.serving import climate_trends
+    from verdant.sources.tables import read_table, select_run
+    _bronze(spark, str(tmp_path / "bronze"))
+    run_silver(spark, str(tmp_path / "bronze"), str(tmp_path / "silver"), "2024-01-10 00:00", "2024-01-11 00:00")
+    silver = read_table(spark, str(tmp_path / "silver"))
+    run = select_run(silver, "2024-01-10 10:00", "2024-01-10 10:30", landed_col="bronze_landed_at")
+    gold = build_gold(run)
+    assert gold.count() > 0
+    assert climate_trends(gold, as_of="2024-01-10 10:30").count() > 0

@@ -212,14 +212,16 @@ def build_gold(readings: DataFrame, minutes: int = WINDOW_MINUTES, keys: Sequenc
 
     Wide climate stats, ``avg_vpd`` of the window (left join), scores and the
     overall anomaly rate.  ``vpd`` may pass precomputed pairs (e.g. a written
-    VPD table); otherwise they are derived from ``readings``.
+    VPD table); otherwise they are derived from ``readings`` (readings are
+    identified by ``event_id`` when present, else by ``sensor_id``).
     """
     long_df = climate_by_window(readings, keys, minutes=minutes, clean_only=clean_only)
     # Hash the (already aggregated, five rows per window) long form on the
     # join key: that partitioning satisfies both the pivot's grouping and
     # the VPD join, so the wide rows are not shuffled a second time.
     wide = pivot_climate(long_df.repartition("facility_id", "window_start"), SENSOR_TYPES, keys)
-    pairs = vpd if vpd is not None else vpd_pairs(readings, seconds=seconds)
+    id_col = "event_id" if "event_id" in readings.columns else "sensor_id"
+    pairs = vpd if vpd is not None else vpd_pairs(readings, seconds=seconds, id_col=id_col)
     vpd_w = vpd_by_window(pairs, minutes=minutes)
     gold = wide.join(vpd_w, ["facility_id", "window_start"], "left")
     gold = climate_score(gold)
