@@ -111,3 +111,11 @@ def test_bronze_salted_writers_keep_all_rows(spark, tmp_path):
         d = f.rsplit("/", 1)[0]
         per_dir[d] = per_dir.get(d, 0) + 1
     assert max(per_dir.values()) <= 3
+
+
+def test_kafka_without_connector_fails_clearly(spark):
+    import pytest
+    from verdant.sources.messages import KAFKA_MISSING
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        read_messages(spark, "kafka", {"kafka.bootstrap.servers": "localhost:1"})
+    assert "spark-sql-kafka" in KAFKA_MISSING

@@ -12,6 +12,10 @@ from verdant.functions.columns import iso_string, unit_of_sensor_type
 from verdant.schemas import ENVELOPE_SCHEMA
 
 
+KAFKA_MISSING = ("the Kafka source/sink needs the spark-sql-kafka-0-10 package on the classpath "
+                 "(e.g. spark.jars.packages=org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version>)")
+
+
 def read_messages(spark: SparkSession, fmt: str, options: Mapping[str, str] | None = None,
                   topics: Sequence[str] = tuple(TOPIC_MAP.values()), path: str | None = None,
                   stream: bool = True) -> DataFrame:
@@ -26,7 +30,13 @@ def read_messages(spark: SparkSession, fmt: str, options: Mapping[str, str] | No
     opts = dict(options or {})
     reader = spark.readStream if stream else spark.read
     if fmt == "kafka":
-        return reader.format("kafka").option("subscribe", ",".join(topics)).options(**opts).load()
+        try:
+            return reader.format("kafka").option("subscribe", ",".join(topics)).options(**opts).load()
+        except Exception as err:  # noqa: BLE001 - re-raised with the fix
+            if "kafka" in str(err).lower() and ("data source" in str(err).lower()
+                                                or "DATA_SOURCE_NOT_FOUND" in str(err)):
+                raise RuntimeError(KAFKA_MISSING) from err
+            raise
     df = reader.format(fmt).schema(ENVELOPE_SCHEMA).options(**opts).load(path)
     return df.where(F.col("topic").isin(list(topics)))
 
