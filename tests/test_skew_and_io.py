@@ -119,3 +119,10 @@ def test_kafka_without_connector_fails_clearly(spark):
     with pytest.raises(RuntimeError, match="spark-sql-kafka"):
         read_messages(spark, "kafka", {"kafka.bootstrap.servers": "localhost:1"})
     assert "spark-sql-kafka" in KAFKA_MISSING
+
+
+def test_kafka_sink_without_connector_fails_clearly(spark):
+    import pytest
+    df = spark.createDataFrame([("sensors.co2", "{}")], "topic string, value string")
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        write_topics(df, fmt="kafka", options={"kafka.bootstrap.servers": "localhost:1"})

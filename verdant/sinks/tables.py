@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from verdant.operators.serving import merge_upsert
+from verdant.sources.messages import kafka_guard
 
 # Most partitions a merge names explicitly (a prunable OR of partition values);
 # beyond it a semi join on the partition columns selects them.
@@ -45,7 +46,7 @@ def write_topics(df: DataFrame, fmt: str = "kafka", path: str | None = None,
     """
     w = df.write.options(**(options or {}))
     if fmt == "kafka":
-        w.format("kafka").save()
+        kafka_guard(lambda: w.format("kafka").save())
     else:
         w.mode("append").format(fmt).partitionBy("topic").save(path)
 

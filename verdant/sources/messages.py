@@ -16,6 +16,17 @@ KAFKA_MISSING = ("the Kafka source/sink needs the spark-sql-kafka-0-10 package o
                  "(e.g. spark.jars.packages=org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version>)")
 
 
+def kafka_guard(action):
+    """Run ``action()``; a missing Kafka connector becomes a clear error."""
+    try:
+        return action()
+    except Exception as err:  # noqa: BLE001 - re-raised with the fix
+        text = str(err)
+        if "kafka" in text.lower() and ("data source" in text.lower() or "DATA_SOURCE_NOT_FOUND" in text):
+            raise RuntimeError(KAFKA_MISSING) from err
+        raise
+
+
 def read_messages(spark: SparkSession, fmt: str, options: Mapping[str, str] | None = None,
                   topics: Sequence[str] = tuple(TOPIC_MAP.values()), path: str | None = None,
                   stream: bool = True) -> DataFrame:
@@ -30,13 +41,8 @@ def read_messages(spark: SparkSession, fmt: str, options: Mapping[str, str] | No
     opts = dict(options or {})
     reader = spark.readStream if stream else spark.read
     if fmt == "kafka":
-        try:
-            return reader.format("kafka").option("subscribe", ",".join(topics)).options(**opts).load()
-        except Exception as err:  # noqa: BLE001 - re-raised with the fix
-            if "kafka" in str(err).lower() and ("data source" in str(err).lower()
-                                                or "DATA_SOURCE_NOT_FOUND" in str(err)):
-                raise RuntimeError(KAFKA_MISSING) from err
-            raise
+        return kafka_guard(lambda: reader.format("kafka").option("subscribe", ",".join(topics))
+                           .options(**opts).load())
     df = reader.format(fmt).schema(ENVELOPE_SCHEMA).options(**opts).load(path)
     return df.where(F.col("topic").isin(list(topics)))
 

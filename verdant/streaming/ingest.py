@@ -17,6 +17,7 @@ from verdant.constants import TOPIC_MAP
 from verdant.operators.decode import flatten_payload, route_topics
 from verdant.session import ensure_session
 from verdant.schemas import PAYLOAD_SCHEMA
+from verdant.sources.messages import kafka_guard
 
 
 def start_ingest(spark: SparkSession, payload_path: str, checkpoint: str, sink_fmt: str = "kafka",
@@ -43,4 +44,4 @@ def start_ingest(spark: SparkSession, payload_path: str, checkpoint: str, sink_f
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=trigger)
-    return writer.outputMode("append").start()
+    return kafka_guard(lambda: writer.outputMode("append").start())
