@@ -153,3 +153,23 @@ def test_readme_usage_on_silver(spark, tmp_path):
     gold = build_gold(run)
     assert gold.count() > 0
     assert climate_trends(gold, as_of="2024-01-10 10:30").count() > 0
+
+
+def test_stream_job_entry_points(spark, tmp_path):
+    from verdant.plans.jobs import main
+    from verdant.sources.payloads import payloads_from_readings
+    docs, topics, bronze = str(tmp_path / "docs"), str(tmp_path / "topics"), str(tmp_path / "bronze")
+    payloads_from_readings(load_readings(spark, "/root/testdata/sf0.001")).select("payload").write.text(docs)
+    assert main(["ingest", "--payloads", docs, "--checkpoint", str(tmp_path / "ck1"), "--sink-format", "parquet",
+                 "--sink-path", topics, "--trigger", "availableNow"]) == 0
+    assert main(["bronze", "--bronze", bronze, "--checkpoint", str(tmp_path / "ck2"), "--source-format", "parquet",
+                 "--source-path", topics, "--trigger", "availableNow"]) == 0
+    assert main(["live", "--live", str(tmp_path / "live"), "--checkpoint", str(tmp_path / "ck3"),
+                 "--source-format", "parquet", "--source-path", topics, "--trigger", "availableNow"]) == 0
+    assert spark.read.parquet(bronze).count() == 1000
+    from verdant.operators.serving import latest_by_key, live_rows
+    got = spark.read.parquet(str(tmp_path / "live"))
+    want = latest_by_key(live_rows(load_readings(spark, "/root/testdata/sf0.001"), sensor_col="sensor_id"),
+                         ["facility_id", "sensor_id"], "recorded_at")
+    cols = ["facility_id", "sensor_id", "sensor_type", "value", "unit", "is_anomaly", "recorded_at"]
+    assert got.count() == 30 and rows(got.select(*cols)) == rows(want.select(*cols))

@@ -23,18 +23,23 @@ LIVE_PARTITIONS = ("facility_id",)
 def live_batch(messages: DataFrame, topic_map: Mapping[str, str] = TOPIC_MAP) -> DataFrame:
     """Envelopes (topic, value, offset) -> live rows with an ``arrival`` order.
 
-    The topic offset is the arrival order (a sensor lives on one topic).
+    The topic offset is the arrival order (a sensor lives on one topic).  A
+    source without offsets (files written by a topic file sink) has no
+    arrival order; the reading's event time (epoch microseconds) stands in.
     Unknown topics are dropped; ``is_anomaly`` is ``value IS NULL`` (a NaN is
     not flagged).
     """
+    if "offset" not in messages.columns:
+        messages = messages.withColumn("offset", F.lit(None).cast("long"))
     good, _ = decode_messages(messages, keep=["offset"])
+    recorded = parse_timestamp("timestamp")
     rows = good.select(
         "facility_id", "sensor_id",
         sensor_type_of_topic("source_topic", topic_map).alias("sensor_type"),
         "value", "unit",
         F.col("value").isNull().alias("is_anomaly"),
-        parse_timestamp("timestamp").alias("recorded_at"),
-        F.col("offset").alias("arrival"),
+        recorded.alias("recorded_at"),
+        F.coalesce(F.col("offset"), F.unix_micros(recorded.cast("timestamp"))).alias("arrival"),
     )
     return rows.where(F.col("sensor_type").isNotNull())
 
