@@ -59,6 +59,13 @@ def test_gold_run_recomputes_whole_windows(spark, tmp_path):
     assert serving.select("facility_id", "window_start").distinct().count() == serving.count()
     g2, _ = gold_frames(silver, START, END, lateness)
     assert g2.count() == gold.count()
+    # A whole-day run has VPD pairs at this scale: the written table equals the computed pairs.
+    day = {k: str(tmp_path / f"day_{k}") for k in ("gold", "vpd", "serving")}
+    run_gold(spark, silver_path, day["gold"], day["vpd"], day["serving"], "2024-01-10 00:00:00",
+             "2024-01-11 00:00:00", dt.timedelta(0))
+    _, pairs = gold_frames(silver, "2024-01-10 00:00:00", "2024-01-11 00:00:00", dt.timedelta(0))
+    vpd = spark.read.parquet(day["vpd"]).drop("date")
+    assert vpd.count() > 0 and rows(vpd) == rows(pairs.select(*vpd.columns))
 
 
 def test_merge_into_table_keeps_first_columns_and_other_partitions(spark, tmp_path):
