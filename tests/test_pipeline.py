@@ -180,3 +180,12 @@ def test_stream_job_entry_points(spark, tmp_path):
                          ["facility_id", "sensor_id"], "recorded_at")
     cols = ["facility_id", "sensor_id", "sensor_type", "value", "unit", "is_anomaly", "recorded_at"]
     assert got.count() == 30 and rows(got.select(*cols)) == rows(want.select(*cols))
+
+
+def test_runs_over_nothing_are_empty_and_typed(spark, tmp_path):
+    """No Bronze data at all: Silver and Gold runs succeed with empty, typed results."""
+    s = run_silver(spark, str(tmp_path / "no-bronze"), str(tmp_path / "s"), START, END)
+    assert s.count() == 0 and {"anomaly_type", "is_anomaly", "event_ts"} <= set(s.columns)
+    facts = run_gold(spark, str(tmp_path / "s"), str(tmp_path / "g"), str(tmp_path / "v"), str(tmp_path / "sv"),
+                     START, END)
+    assert facts.count() == 0 and "climate_score" in facts.columns

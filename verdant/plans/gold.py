@@ -72,7 +72,8 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, vpd_path: st
     Only the (facility, date) partitions that receive rows are rewritten.
     """
     ensure_session(spark)
-    silver = read_table(spark, silver_path)
+    from verdant.plans.silver import empty_silver
+    silver = read_table(spark, silver_path, empty=empty_silver(spark))
     gold, pairs = gold_frames(silver, start, end, lateness, minutes)
     stamp = F.current_timestamp().cast("timestamp_ntz")
     pairs = pairs.withColumn("date", F.to_date("event_ts"))

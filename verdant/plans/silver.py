@@ -29,11 +29,23 @@ def silver_frame(bronze: DataFrame, start: datetime | str, end: datetime | str)
             .withColumn("silver_processed_at", F.current_timestamp().cast("timestamp_ntz")))
 
 
+def empty_bronze(spark: SparkSession) -> DataFrame:
+    """An empty Bronze table (the decoded message schema + landing columns)."""
+    from verdant.operators.decode import decode_messages
+    from verdant.schemas import ENVELOPE_SCHEMA
+    good, _ = decode_messages(spark.createDataFrame([], ENVELOPE_SCHEMA), landing_col="landed_at")
+    return good
+
+
+def empty_silver(spark: SparkSession) -> DataFrame:
+    return silver_frame(empty_bronze(spark), "1970-01-01 00:00:00", "1970-01-01 01:00:00")
+
+
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, start: datetime | str,
                end: datetime | str) -> DataFrame:
     """Build and write the Silver partitions of one run; returns them as read back."""
     ensure_session(spark)
-    silver = silver_frame(read_table(spark, bronze_path), start, end)
+    silver = silver_frame(read_table(spark, bronze_path, empty=empty_bronze(spark)), start, end)
     write_partitions(silver, silver_path, SILVER_PARTITIONS)
-    return select_run(read_table(spark, silver_path), start, end, landed_col="bronze_landed_at",
+    return select_run(read_table(spark, silver_path, empty=silver), start, end, landed_col="bronze_landed_at",
                       whole_partitions=True)

@@ -6,12 +6,27 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from verdant.functions.columns import ntz_literal
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a table root; partition columns are discovered and typed."""
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", empty: DataFrame | None = None) -> DataFrame:
+    """Read a table root; partition columns are discovered and typed.
+
+    A table that was never written (no folder, or no data files yet) yields
+    ``empty`` when given -- an empty frame of the table's schema -- so that a
+    run over nothing returns an empty, correctly typed result.
+    """
+    if empty is not None:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        if not hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath):
+            return empty
+        try:
+            return spark.read.format(fmt).load(path)
+        except AnalysisException:
+            return empty
     return spark.read.format(fmt).load(path)
 
 
