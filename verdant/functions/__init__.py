@@ -5,11 +5,13 @@ from verdant.functions.columns import (
     band_label,
     epoch_seconds,
     iso_string,
+    micro_units,
     nan_to_null,
     ntz_literal,
     parse_timestamp,
     range_score,
     range_violation,
+    rounded_mean,
     sensor_type_of_topic,
     topic_of_sensor_type,
     unit_of_sensor_type,
@@ -17,7 +19,7 @@ from verdant.functions.columns import (
 )
 
 __all__ = [
-    "anomaly_type", "band_label", "epoch_seconds", "iso_string", "nan_to_null", "ntz_literal",
-    "parse_timestamp", "range_score", "range_violation", "sensor_type_of_topic",
+    "anomaly_type", "band_label", "epoch_seconds", "iso_string", "micro_units", "nan_to_null", "ntz_literal",
+    "parse_timestamp", "range_score", "range_violation", "rounded_mean", "sensor_type_of_topic",
     "topic_of_sensor_type", "unit_of_sensor_type", "vpd_kpa",
 ]

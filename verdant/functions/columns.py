@@ -116,6 +116,24 @@ def range_score(value, low: float, high: float, clamp: bool = False, scale: int
     return score
 
 
+MEAN_UNIT_SCALE = 6     # values are summed in integer units of 1e-6
+
+
+def micro_units(value, unit_scale: int = MEAN_UNIT_SCALE) -> Column:
+    """A value as integer units of ``10^-unit_scale`` (for an exact, order-free sum)."""
+    return F.round(_col(value) * F.lit(float(10 ** unit_scale))).cast("long")
+
+
+def rounded_mean(k: str, n: str, scale: int, unit_scale: int = MEAN_UNIT_SCALE) -> Column:
+    """round(K / n, scale) half away from zero, from an integer unit sum ``k``
+    and a count ``n`` (column names).  Integer arithmetic throughout, so the
+    result does not depend on the order in which partial sums were merged --
+    unlike ``round(avg(double), scale)`` when the mean sits on a tie."""
+    factor = 10 ** (unit_scale - scale)
+    q = F.expr(f"(2 * abs(`{k}`) + `{n}` * {factor}) div (2 * `{n}` * {factor})")
+    return F.when(F.col(n) > 0, F.signum(F.col(k)) * q / F.lit(float(10 ** scale)))
+
+
 def band_label(value, steps: Sequence[tuple]) -> Column:
     """Ascending threshold steps -> band label (value >= bound picks the step)."""
     v = _col(value)

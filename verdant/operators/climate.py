@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from verdant.constants import (BAND_SECONDS, CROP_PROFILES, SCORE_RANGES, SENSOR_TYPES, VPD_SCALE,
                                WINDOW_MINUTES)
-from verdant.functions.columns import range_score, vpd_kpa
+from verdant.functions.columns import micro_units, range_score, rounded_mean, vpd_kpa
 from verdant.operators.bandjoin import band_join
 
 GROUP_KEYS = ("facility_id", "crop_type", "growth_week")
@@ -27,7 +27,8 @@ def climate_by_window(df: DataFrame, keys: Sequence[str] = GROUP_KEYS, topic: st
                       clean_only: bool = False) -> DataFrame:
     """Per (keys, window, topic): stats of clean readings and the anomaly rate.
 
-    ``avg_value`` (3 dp), ``zone_variance`` (sample stddev, 3 dp) and
+    ``avg_value`` (3 dp, an exact mean: see ``rounded_mean``), ``zone_variance``
+    (sample stddev, 3 dp) and
     ``reading_count`` cover clean readings; ``n_all``, ``n_anomalous`` and
     ``anomaly_rate`` (4 dp) cover every reading of the window.  With
     ``clean_only=True`` anomalous rows are removed first, as the original job
@@ -37,14 +38,16 @@ def climate_by_window(df: DataFrame, keys: Sequence[str] = GROUP_KEYS, topic: st
     clean_value = F.when(~F.col("is_anomaly"), F.col(value))
     n_all = F.count(F.lit(1))
     n_bad = F.count_if(F.col("is_anomaly"))
-    return (src.withColumn("window_start", window_start(ts, minutes))
-               .groupBy(*keys, "window_start", topic)
-               .agg(F.round(F.avg(clean_value), 3).alias("avg_value"),
-                    F.round(F.stddev_samp(clean_value), 3).alias("zone_variance"),
-                    F.count(clean_value).alias("reading_count"),
-                    n_all.alias("n_all"),
-                    n_bad.alias("n_anomalous"),
-                    F.round(F.try_divide(n_bad.cast("double"), n_all), 4).alias("anomaly_rate")))
+    agg = (src.withColumn("window_start", window_start(ts, minutes))
+              .groupBy(*keys, "window_start", topic)
+              .agg(F.sum(micro_units(clean_value)).alias("__k"),
+                   F.round(F.stddev_samp(clean_value), 3).alias("zone_variance"),
+                   F.count(clean_value).alias("reading_count"),
+                   n_all.alias("n_all"),
+                   n_bad.alias("n_anomalous"),
+                   F.round(F.try_divide(n_bad.cast("double"), n_all), 4).alias("anomaly_rate")))
+    return agg.select(*keys, "window_start", topic, rounded_mean("__k", "reading_count", 3).alias("avg_value"),
+                      "zone_variance", "reading_count", "n_all", "n_anomalous", "anomaly_rate")
 
 
 def zone_spread(df: DataFrame, keys: Sequence[str] = GROUP_KEYS, topic: str = "sensor_type",

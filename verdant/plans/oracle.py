@@ -101,7 +101,9 @@ def long_sql(src: str, clean_only: bool = False) -> str:
     return f"""(
   SELECT facility_id, crop_type, growth_week,
     time_bucket(INTERVAL '30 minutes', event_ts) AS window_start, sensor_type,
-    {rnd(f"avg({cv})", 3)} AS avg_value,
+    CASE WHEN count({cv}) > 0 THEN sign(sum(CAST(round({cv} * 1000000) AS BIGINT)))
+      * ((2 * abs(sum(CAST(round({cv} * 1000000) AS BIGINT))) + count({cv}) * 1000) // (2 * count({cv}) * 1000))
+      / 1000.0 END AS avg_value,
     {rnd(f"stddev_samp({cv})", 3)} AS zone_variance,
     count({cv}) AS reading_count,
     count(*) AS n_all,
@@ -362,6 +364,7 @@ def oracle_sql() -> dict[str, str]:
             f"FROM {peer} p GROUP BY facility_id, sensor_type, poll_ts"),
         "live_latest": f"SELECT * FROM {live} l",
         "upsert_live": f"SELECT * FROM {merge_sql(live1, live2, ['facility_id', 'sensor_id'], live_cols, ['value', 'unit', 'is_anomaly', 'recorded_at'])} m",
+        "serving_climate": _select(gold, SERVING),
         "upsert_gold": f"SELECT * FROM {merge_sql(gold1, gold2, ['facility_id', 'window_start'], SERVING, SERVING[4:])} m",
         "live_gauges": f"SELECT * FROM {gauges_sql(live)} g",
         "climate_trends": trends,

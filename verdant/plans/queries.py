@@ -240,6 +240,35 @@ GOLD_VALUE_COLS = [c for c in SERVING_COLUMNS if c not in ("facility_id", "windo
                                                            "growth_week")]
 
 
+def q_serving_climate(spark, sf_dir):
+    """The job chain end to end on written tables: Bronze -> Silver run ->
+    Gold run (VPD, facts and serving merges); returns the serving table.
+
+    One Silver run and one Gold run cover every landed hour and every event
+    window: the span is taken from the data (one tiny min/max job).
+    """
+    from datetime import timedelta
+
+    from verdant.plans.gold import run_gold
+    from verdant.plans.silver import run_silver
+    from verdant.sinks.tables import write_partitions
+    from verdant.streaming.bronze import BRONZE_PARTITIONS
+
+    lake = scratch_path(spark, "lake")
+    good, _ = decode_messages(envelopes_from_readings(spread_input(_readings(spark, sf_dir))),
+                              landing_col="landed_at")
+    write_partitions(good, f"{lake}/bronze", BRONZE_PARTITIONS)
+    span = (spark.read.parquet(f"{lake}/bronze")
+            .agg(F.min(F.date_trunc("hour", "bronze_landed_at")).alias("lo"), F.max("bronze_landed_at").alias("hi"))
+            .first())
+    start = span["lo"] - timedelta(hours=1)
+    end = span["hi"] + timedelta(hours=1)
+    run_silver(spark, f"{lake}/bronze", f"{lake}/silver", start, end)
+    run_gold(spark, f"{lake}/silver", f"{lake}/gold", f"{lake}/vpd", f"{lake}/serving", start, end,
+             lateness=timedelta(0))
+    return spark.read.parquet(f"{lake}/serving").select(*SERVING_COLUMNS)
+
+
 def q_upsert_gold(spark, sf_dir):
     r = _readings(spark, sf_dir)
     run1 = build_gold(classify_anomalies(r.where(F.col("event_ts") < ntz_literal(GOLD_RUN1_TO))))
@@ -308,6 +337,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "live_latest": q_live_latest,
     "upsert_live": q_upsert_live,
     "upsert_gold": q_upsert_gold,
+    "serving_climate": q_serving_climate,
     "live_gauges": q_live_gauges,
     "climate_trends": q_climate_trends,
     "current_anomalies": q_current_anomalies,

@@ -31,6 +31,9 @@ def build_session(master: str = "local[*]", app: str = "verdant", **conf) -> Spa
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+               # Local data is tiny: let AQE keep one write task per core instead of
+               # coalescing a file-count-bound write (1,440 hourly folders) into one.
+               .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
                .config("spark.sql.shuffle.partitions", "8"))
     for key, value in {**SESSION_DEFAULTS, **conf}.items():
         builder = builder.config(key, value)

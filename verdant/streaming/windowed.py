@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdant.constants import BAND_SECONDS, WINDOW_MINUTES
-from verdant.functions.columns import epoch_seconds, vpd_kpa
+from verdant.functions.columns import epoch_seconds, micro_units, rounded_mean, vpd_kpa
 from verdant.operators.climate import GROUP_KEYS
 
 
@@ -33,13 +33,13 @@ def streaming_climate(silver: DataFrame, delay: str = "10 minutes", keys: Sequen
                   .withWatermark("__event_time", delay)
                   .groupBy(*keys, F.window("__event_time", f"{int(minutes)} minutes").alias("w"),
                            "sensor_type")
-                  .agg(F.round(F.avg(clean_value), 3).alias("avg_value"),
+                  .agg(F.sum(micro_units(clean_value)).alias("__k"),
                        F.round(F.stddev_samp(clean_value), 3).alias("zone_variance"),
                        F.count(clean_value).alias("reading_count"),
                        n_all.alias("n_all"), n_bad.alias("n_anomalous"),
                        F.round(F.try_divide(n_bad.cast("double"), n_all), 4).alias("anomaly_rate"))
                   .select(*keys, F.col("w.start").cast("timestamp_ntz").alias("window_start"), "sensor_type",
-                          "avg_value",
+                          rounded_mean("__k", "reading_count", 3).alias("avg_value"),
                           "zone_variance", "reading_count", "n_all", "n_anomalous", "anomaly_rate"))
 
 
