@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdant.constants import PEER_SIGMA, RANGE_LIMITS, STAT_SIGMA
-from verdant.functions.columns import anomaly_type, nan_to_null
+from verdant.functions.columns import anomaly_type, micro_units, nan_to_null, rounded_mean
 from verdant.operators.joins import join_small
 
 SENSOR_KEYS = ("facility_id", "sensor_id")
@@ -98,11 +98,13 @@ def facility_aggregate(df: DataFrame, group_keys: Sequence[str], value: str = "v
     """Per poll group: mean of healthy values, sensor count, healthy count.
 
     Healthy = value not NULL and not a peer outlier.  Mean is NULL when no
-    value is healthy.
+    value is healthy; it is exact (integer unit sum, half-up).
     """
     healthy = F.col(value).isNotNull() & ~F.coalesce(F.col(outlier), F.lit(False))
-    return df.groupBy(*group_keys).agg(
-        F.round(F.avg(F.when(healthy, F.col(value))), scale).alias("facility_aggregate"),
+    agg = df.groupBy(*group_keys).agg(
+        F.sum(micro_units(F.when(healthy, F.col(value)))).alias("__k"),
         F.count(F.lit(1)).alias("sensor_count"),
         F.count_if(healthy).alias("healthy_sensor_count"),
     )
+    return agg.select(*group_keys, rounded_mean("__k", "healthy_sensor_count", scale).alias("facility_aggregate"),
+                      "sensor_count", "healthy_sensor_count")

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdant.constants import GAUGE_BANDS, GAUGE_SCALES, TOP_ANOMALIES, TREND_HOURS
-from verdant.functions.columns import band_label, ntz_literal, unit_of_sensor_type
+from verdant.functions.columns import (band_label, micro_units, ntz_literal, rounded_mean,
+                                       unit_of_sensor_type)
 
 LIVE_KEYS = ("facility_id", "sensor_id")
 LIVE_UPDATE_COLS = ("value", "unit", "is_anomaly", "recorded_at")
@@ -138,14 +139,15 @@ def live_latest(readings: DataFrame, sensor_col: str = "device_id", order_by: st
 def live_gauges(live: DataFrame, scales: Mapping[str, int] = GAUGE_SCALES) -> DataFrame:
     """Gauge value per (facility, type): rounded mean of non-anomalous live values.
 
-    One grouped aggregate replaces one scan per gauge panel.
+    One grouped aggregate replaces one scan per gauge panel.  The mean is
+    exact (integer unit sum, half-up), so it does not depend on merge order.
     """
-    avg = F.avg("value")
     rounded = F.lit(None).cast("double")
     for t, scale in scales.items():
-        rounded = F.when(F.col("sensor_type") == t, F.round(F.col("__avg"), scale)).otherwise(rounded)
+        rounded = F.when(F.col("sensor_type") == t, rounded_mean("__k", "__n", scale)).otherwise(rounded)
     return (live.where(F.col("is_anomaly") == F.lit(False))
-                .groupBy("facility_id", "sensor_type").agg(avg.alias("__avg"))
+                .groupBy("facility_id", "sensor_type")
+                .agg(F.sum(micro_units("value")).alias("__k"), F.count("value").alias("__n"))
                 .select("facility_id", "sensor_type", rounded.alias("gauge_value")))
 
 

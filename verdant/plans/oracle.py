@@ -229,10 +229,19 @@ def merge_sql(old: str, new: str, keys: list[str], cols: list[str], update: list
 )"""
 
 
+def exact_mean(v: str, scale: int) -> str:
+    """round(mean(v), scale) half away from zero from an integer sum of 1e-6 units."""
+    k = f"sum(CAST(round({v} * 1000000) AS BIGINT))"
+    n = f"count({v})"
+    f = 10 ** (6 - scale)
+    return (f"CASE WHEN {n} > 0 THEN sign({k}) * ((2 * abs({k}) + {n} * {f}) // (2 * {n} * {f})) "
+            f"/ {float(10 ** scale)!r} END")
+
+
 def gauges_sql(live: str) -> str:
     case = "NULL"
     for t, scale in GAUGE_SCALES.items():
-        case = f"CASE WHEN sensor_type = '{t}' THEN {rnd("avg(value)", scale)} ELSE {case} END"
+        case = f"CASE WHEN sensor_type = '{t}' THEN {exact_mean('value', scale)} ELSE {case} END"
     return f"""(
   SELECT facility_id, sensor_type, {case} AS gauge_value
   FROM {live} l WHERE is_anomaly = false GROUP BY facility_id, sensor_type
@@ -358,7 +367,7 @@ def oracle_sql() -> dict[str, str]:
         "peer_outliers": f"SELECT event_id, is_peer_outlier, peer_deviation FROM {peer} p",
         "facility_aggregate": (
             f"SELECT facility_id, sensor_type, poll_ts, "
-            f"{rnd('avg(CASE WHEN value IS NOT NULL AND NOT is_peer_outlier THEN value END)', 2)} AS facility_aggregate, "
+            f"{exact_mean('CASE WHEN value IS NOT NULL AND NOT is_peer_outlier THEN value END', 2)} AS facility_aggregate, "
             f"count(*) AS sensor_count, "
             f"count(*) FILTER (WHERE value IS NOT NULL AND NOT is_peer_outlier) AS healthy_sensor_count "
             f"FROM {peer} p GROUP BY facility_id, sensor_type, poll_ts"),
