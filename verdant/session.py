@@ -14,6 +14,11 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Only shuffles smaller than (cores x 1 MB) are affected: AQE then keeps up
+    # to one task per core instead of coalescing a tiny but file-count-bound
+    # partitioned write (e.g. 1,440 hourly folders) into a single writer.
+    # Large shuffles are sized by the advisory partition size as before.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
 }
 
 
@@ -31,9 +36,6 @@ def build_session(master: str = "local[*]", app: str = "verdant", **conf) -> Spa
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-               # Local data is tiny: let AQE keep one write task per core instead of
-               # coalescing a file-count-bound write (1,440 hourly folders) into one.
-               .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
                .config("spark.sql.shuffle.partitions", "8"))
     for key, value in {**SESSION_DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
