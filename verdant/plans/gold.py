@@ -83,8 +83,8 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, vpd_path: st
     facts = (gold.select(*GOLD_COLUMNS).withColumn("gold_processed_at", stamp)
                  .withColumn("date", F.to_date("window_start"))).checkpoint(eager=True)
     merge_into_table(spark, gold_path, facts, FACT_KEYS,
-                             [c for c in facts.columns if c not in FACT_KEYS and c != "date"],
-                             TABLE_PARTITIONS)
+                     [c for c in facts.columns if c not in FACT_KEYS and c != "date"],
+                     TABLE_PARTITIONS, materialized=True)
     serving = facts.select(*SERVING_COLUMNS, "gold_processed_at", "date")
     # The serving key (facility, window) is coarser than the fact key: if a
     # facility changed crop or week inside a window, the row of the latest

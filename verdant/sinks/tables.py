@@ -67,7 +67,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def merge_into_table(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
                      update_cols: Sequence[str], partition_cols: Sequence[str],
                      order_by: str | Sequence[str] | None = None,
-                     newer_than: str | None = None) -> DataFrame:
+                     newer_than: str | None = None, materialized: bool = False) -> DataFrame:
     """Keyed upsert into a partitioned Parquet table (``merge_upsert`` semantics).
 
     Only partitions that receive updates are read, merged and rewritten; the
@@ -75,10 +75,12 @@ def merge_into_table(spark: SparkSession, path: str, updates: DataFrame, keys: S
     to the shared checkpoint folder before the overwrite, which cuts their
     lineage from the files being replaced (and survives executor loss).
     Partition columns must be functions of the key.  The updates are
-    materialised once (they feed both the partition listing and the merge).
+    materialised once (they feed both the partition listing and the merge),
+    unless the caller passes ``materialized=True`` for an already cut lineage.
     Returns the merged rows.
     """
-    updates = updates.checkpoint(eager=True)
+    if not materialized:
+        updates = updates.checkpoint(eager=True)
     if not _exists(spark, path):
         keep = [c for c in updates.columns if c not in _order_list(order_by) or c == newer_than]
         merged = merge_upsert(updates.limit(0).select(*keep),
