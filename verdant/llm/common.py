@@ -77,7 +77,7 @@ def open_new(folder: str, stem: str, suffix: str):
     files, path = filesystem(folder)
     files.create_dir(path, recursive=True)
     name = f"{stem}-{uuid.uuid4().hex[:12]}{suffix}"
-    return name, files.open_output_stream(f"{path}/{name}")
+    return name, files.open_output_stream(f"{path}/{name}", compression=None)
 
 
 def read_range(folder: str, name: str, offset: int = 0, length: int | None = None) -> bytes:

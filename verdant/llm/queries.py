@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from verdant.llm.common import read_table
 from verdant.llm.decontaminate import find_contamination
+from verdant.llm.projection_dedup import find_near_duplicates as find_near_vectors
+from verdant.llm.simhash import find_near_duplicates
+from verdant.llm.token_shards import write_store
+from verdant.llm.warc import write_archives
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -44,10 +48,57 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(n_hit, 0) as
 from d left join pos using (doc_id) left join its using (doc_id)
 """
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: SimHash fingerprint and near-duplicate component."""
+    found = find_near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op6_token_store(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """Per document, looked up by key in the written store and read from its shard."""
+    import public_tokenizers
+
+    docs = read_table(spark, sf_dir, "documents")
+    store = write_store(docs, tokenizer or public_tokenizers.path("word_bpe_49k.json"))
+    found = store.find(docs, "doc_id").unionByName(store.unkeyed())
+    return store.load(found, digest=True).select(F.col("key").cast("long").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page, looked up in the capture index and read from its archive record."""
+    pages = read_table(spark, sf_dir, "pages")
+    index = write_archives(pages)
+    return index.read(index.lookup(pages), with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector: direct links, component, and whether it represents its component."""
+    return find_near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES = {
+    "op8_projection": op8_projection,
+    "op10_warc": op10_warc,
+    "op5_simhash": op5_simhash,
+    "op6_token_store": op6_token_store,
     "op4_decontaminate": op4_decontaminate,
 }
 
+# Base32 of SHA-1 from its 40 hex digits: 8 digits of 5 bits for every 10 hex digits.
+_QUADS = ", ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + cast((('0x' || substr(sha1(p), {10 * k + 1}, 10))::bigint "
+                   f">> {35 - 5 * j}) & 31 as integer), 1)" for k in range(4) for j in range(8))
+OP10_SQL = f"""
+with t as (select page_id, coalesce(html, '') as p from pages),
+     d as (select page_id, cast(strlen(p) as bigint) as payload_bytes, concat({_QUADS}) as payload_digest from t),
+     w as (select *, min(page_id) over (partition by payload_digest) as first_id from d)
+select page_id, payload_bytes, payload_digest,
+       case when page_id > first_id then 'revisit' else 'response' end as record_type,
+       case when page_id > first_id then first_id end as refers_to
+from w
+"""
+
 LLM_ORACLE = {
+    "op10_warc": OP10_SQL,
     "op4_decontaminate": OP4_SQL,
 }
