@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.llm.common import read_table
+from verdant.llm import langid, licenses, sentencepiece_fst, toxicity, transcripts
+from verdant.llm.common import fold, read_table
 from verdant.llm.decontaminate import find_contamination
 from verdant.llm.projection_dedup import find_near_duplicates as find_near_vectors
 from verdant.llm.simhash import find_near_duplicates
@@ -77,12 +78,66 @@ def op8_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_near_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: toxicity score of the whole text and the decision at 0.7."""
+    docs = read_table(spark, sf_dir, "documents")
+    labels = toxicity.training_rows(read_table(spark, sf_dir, "labels"))
+    model = toxicity.learn(docs, labels)
+    scored = toxicity.score_documents(docs.select("doc_id", "text"), model, out="t")
+    score = F.col("t.score")
+    return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), score.alias("score"),
+                         (score >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: predicted language of the whole text and its score."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.learn(docs.where(fold("doc_id", 4) != 2))
+    named = langid.identify(docs.select("doc_id", "text"), model, out="l")
+    return named.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), F.col("l.lang").alias("lang_pred"),
+                        F.col("l.score").alias("score"))
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    """Per document: number and crc32 of the ids (comma-joined), and whether decoding gives the text back."""
+    import public_tokenizers
+
+    path = model or public_tokenizers.path("piece_bpe_32k.model")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = sentencepiece_fst.tokenize(docs, path, out="ids")
+    back = ids.withColumn("decoded", sentencepiece_fst.decode_column(path, F.col("ids")))
+    same = F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), sentencepiece_fst.SPACE, " ")
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"),
+                       F.crc32(F.array_join("ids", ",").cast("binary")).alias("ids_crc32"), same.alias("round_trip"))
+
+
+def op7_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per canonical turn of each conversation: recovered role, and digest of the rendered turn."""
+    rows = read_table(spark, sf_dir, "conversations")
+    model = transcripts.learn(rows.where(fold("conv_id", 4) != 2))
+    turns = transcripts.parse(rows, model)
+    return turns.select("conv_id", "turn", "part", (fold("conv_id", 4) == 2).alias("held_out"), "role",
+                        F.length("text").cast("long").alias("n_chars"), F.sha2("rendered", 256).alias("rendered_sha256"))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, confirmed licence notices and their families."""
+    docs = read_table(spark, sf_dir, "documents")
+    found = licenses.scan_documents(docs, licenses.learn(docs))
+    return found.select("doc_id", "n_lines", "n_notices", "families", "unconfirmed", "probability")
+
+
 LLM_QUERIES = {
-    "op8_projection": op8_projection,
-    "op10_warc": op10_warc,
+    "op1_toxicity": op1_toxicity,
+    "op2_language": op2_language,
+    "op3_sentencepiece": op3_sentencepiece,
+    "op4_decontaminate": op4_decontaminate,
     "op5_simhash": op5_simhash,
     "op6_token_store": op6_token_store,
-    "op4_decontaminate": op4_decontaminate,
+    "op7_transcripts": op7_transcripts,
+    "op8_projection": op8_projection,
+    "op9_licenses": op9_licenses,
+    "op10_warc": op10_warc,
 }
 
 # Base32 of SHA-1 from its 40 hex digits: 8 digits of 5 bits for every 10 hex digits.
