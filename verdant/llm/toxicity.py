@@ -256,7 +256,7 @@ def _word_counts(rows: DataFrame) -> pd.DataFrame:
     # One-sided binomial deviation from the toxic texts' share, significant among all the words looked at.
     q = F.lit(max(rate, 1e-9))
     gain = F.col("n1") * F.log(p / q) + F.when(F.col("n0") > 0, F.col("n0") * F.log((1 - p) / (1 - q))).otherwise(0.0)
-    need = math.log(max(2, t["words"])) + 3
+    need = math.log(max(2, t["words"]))
     chosen = (words.where((F.col("n1") >= 3) & (p >= 0.5)).withColumn("gain", gain).where(F.col("gain") >= need)
                    .orderBy(F.desc("gain"), "word").limit(MAX_TERMS).toPandas())
     return words, chosen
