@@ -11,6 +11,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_MID, SF_SMALL
+from verdant.plans.queries import QUERIES
 
 TABLES = ["events"]
 
@@ -49,10 +50,20 @@ def duck():
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_oracle_states_its_own_literals():
+    import verdant.plans.oracle as o
+    assert "from verdant" not in Path(o.__file__).read_text()
+    from verdant import constants as c
+    from verdant.plans import queries as q
+    assert {k: v for k, v in vars(o.Q).items() if k.isupper()} == {k: getattr(q, k) for k in vars(o.Q) if k.isupper()}
+    for name in ("SENSOR_TYPES", "SENSOR_UNITS", "RANGE_LIMITS", "SCORE_RANGES", "GAUGE_SCALES", "GAUGE_BANDS"):
+        assert getattr(o, name) == getattr(c, name), name
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     sf = SF_SMALL
     df = E.queries()[name](spark, sf)

@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
+import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_MID, rows
 from verdant.operators.climate import GOLD_COLUMNS, build_gold, vpd_pairs
-from verdant.plans.gold import gold_frames, run_gold
+from verdant.plans.gold import run_gold, touched_windows
 from verdant.plans.silver import run_silver
+from verdant.schemas import VPD_SCHEMA
 from verdant.sinks.tables import merge_into_table, write_partitions
 from verdant.sources.fixture import load_readings
 from verdant.sources.messages import envelopes_from_readings
+from verdant.sources.tables import read_table, run_bounds
 from verdant.streaming.bronze import BRONZE_PARTITIONS, bronze_stream
 
 START, END = "2024-01-10 10:00:00", "2024-01-10 10:30:00"
@@ -37,37 +42,126 @@ def test_silver_run_owns_whole_hours_and_is_idempotent(spark, tmp_path):
     assert {"anomaly_type", "is_anomaly", "event_ts", "sensor_type"} <= set(s.columns)
 
 
+def _window(column="event_ts"):
+    return F.window(column, "30 minutes").start
+
+
 def test_gold_run_recomputes_whole_windows(spark, tmp_path):
     _bronze(spark, str(tmp_path / "bronze"))
     silver_path = str(tmp_path / "silver")
     run_silver(spark, str(tmp_path / "bronze"), silver_path, "2024-01-10 00:00:00", "2024-01-11 00:00:00")
     paths = {k: str(tmp_path / k) for k in ("gold", "vpd", "serving")}
-    lateness = dt.timedelta(hours=2)
-    run_gold(spark, silver_path, paths["gold"], paths["vpd"], paths["serving"], START, END, lateness)
-    run_gold(spark, silver_path, paths["gold"], paths["vpd"], paths["serving"], START, END, lateness)  # retry
+    for _ in range(2):                                                               # a run and its retry
+        run_gold(spark, silver_path, paths["gold"], paths["vpd"], paths["serving"], START, END)
     gold = spark.read.parquet(paths["gold"])
     keys = ["facility_id", "crop_type", "growth_week", "window_start"]
     assert gold.count() == gold.select(*keys).distinct().count() > 0
     silver = spark.read.parquet(silver_path)
-    lo, hi = dt.datetime(2024, 1, 10, 8, 0), dt.datetime(2024, 1, 10, 10, 30)
-    inside = silver.where((F.col("event_ts") >= F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz"))
-                          & (F.col("event_ts") < F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz")))
+    windows = touched_windows(silver, START, END).select("facility_id", "window_start")
+    inside = silver.withColumn("window_start", _window()).join(windows, ["facility_id", "window_start"], "left_semi").drop("window_start")
     want = build_gold(inside, vpd=vpd_pairs(inside, id_col="sensor_id")).select(*[c for c in GOLD_COLUMNS if c != "avg_vpd"])
     assert rows(gold.select(*want.columns)) == rows(want)
     serving = spark.read.parquet(paths["serving"])
     assert serving.count() == gold.count()
     assert serving.select("facility_id", "window_start").distinct().count() == serving.count()
-    g2, _ = gold_frames(silver, START, END, lateness)
-    assert g2.count() == gold.count()
     # A whole-day run has VPD pairs at this scale: the written table equals the computed pairs.
     day = {k: str(tmp_path / f"day_{k}") for k in ("gold", "vpd", "serving")}
-    run_gold(spark, silver_path, day["gold"], day["vpd"], day["serving"], "2024-01-10 00:00:00",
-             "2024-01-11 00:00:00", dt.timedelta(0))
-    _, pairs = gold_frames(silver, "2024-01-10 00:00:00", "2024-01-11 00:00:00", dt.timedelta(0))
-    vpd = spark.read.parquet(day["vpd"]).drop("date")
+    run_gold(spark, silver_path, day["gold"], day["vpd"], day["serving"], "2024-01-10 00:00:00", "2024-01-11T01:00:00+01:00")
+    pairs = vpd_pairs(silver, id_col="sensor_id", keep_humidity_ts=True)
+    vpd = spark.read.parquet(day["vpd"]).drop("date", "hour", "window_start")
     assert vpd.count() > 0 and rows(vpd) == rows(pairs.select(*vpd.columns))
 
 
+MESSAGES = "topic string, value binary, offset long, landed_at timestamp_ntz"
+
+
+def _msg(sensor, value, ts, landed=None, kind="temperature", facility="facility_A", crop="tomato", week=6):
+    body = {"sensor_id": sensor, "value": value, "timestamp": ts, "facility_id": facility, "crop_type": crop, "growth_week": week}
+    return Row(topic=f"sensors.{kind}", value=json.dumps(body).encode(), offset=0,
+               landed_at=dt.datetime.fromisoformat(landed or ts))
+
+
+def _land(spark, path, messages):
+    good, _ = bronze_stream(spark.createDataFrame(messages, MESSAGES), landing_col="landed_at")
+    write_partitions(good, path, BRONZE_PARTITIONS)
+
+
+def _paths(tmp_path):
+    return [str(tmp_path / n) for n in ("s", "g", "v", "sv")]
+
+
+def test_reruns_do_not_multiply_repeated_messages(spark, tmp_path):
+    """One repeated message: the VPD table has its two pairs after any number of runs."""
+    b, (s, g, v, sv) = str(tmp_path / "b"), _paths(tmp_path)
+    t = _msg("t1", 22.0, "2024-02-01T10:05:00")
+    _land(spark, b, [t, t, _msg("h1", 70.0, "2024-02-01T10:05:30", kind="humidity")])
+    run_silver(spark, b, s, "2024-02-01 10:00", "2024-02-01 10:30")
+    for _ in range(3):
+        run_gold(spark, s, g, v, sv, "2024-02-01 10:00", "2024-02-01 10:30")
+        assert spark.read.parquet(v).count() == 2 and spark.read.parquet(g).count() == spark.read.parquet(sv).count() == 1
+    assert spark.read.parquet(sv).first()["avg_vpd"] == 0.7932
+
+
+def test_reclassified_reading_loses_its_pair(spark, tmp_path):
+    """A rerun that finds the temperature anomalous removes its pair, and an emptied partition."""
+    b, (s, g, v, sv) = str(tmp_path / "b"), _paths(tmp_path)
+    good = [_msg("t1", 22.0, "2024-02-01T10:05:00"), _msg("h1", 70.0, "2024-02-01T10:05:30", kind="humidity")]
+    _land(spark, b, good)
+    run_silver(spark, b, s, "2024-02-01 10:00", "2024-02-01 11:00")
+    run_gold(spark, s, g, v, sv, "2024-02-01 10:00", "2024-02-01 10:30")
+    assert spark.read.parquet(v).count() == 1
+    _land(spark, b, [_msg("t1", 99.0, "2024-02-01T10:05:00"), good[1]])             # Bronze of the hour, corrected
+    run_silver(spark, b, s, "2024-02-01 10:00", "2024-02-01 11:00")
+    run_gold(spark, s, g, v, sv, "2024-02-01 10:00", "2024-02-01 10:30")
+    assert read_table(spark, v, VPD_SCHEMA).count() == 0
+    row = spark.read.parquet(sv).first()
+    assert row["avg_vpd"] is None and row["avg_temperature"] is None and row["avg_humidity"] == 70.0
+
+
+def test_null_weeks_late_readings_and_neighbour_windows(spark, tmp_path):
+    b, (s, g, v, sv) = str(tmp_path / "b"), _paths(tmp_path)
+    _land(spark, b, [_msg("t1", 20.0, "2024-02-01T10:29:50", week=None), _msg("t2", 22.0, "2024-02-01T10:05:00", week="six")])
+    run_silver(spark, b, s, "2024-02-01 10:00", "2024-02-01 11:00")
+    run_gold(spark, s, g, v, sv, "2024-02-01 10:00", "2024-02-01 11:00")
+    facts = spark.read.parquet(g).collect()
+    assert [(r["growth_week"], r["avg_temperature"]) for r in facts] == [(None, 21.0)] and spark.read.parquet(sv).count() == 1
+    # Three hours late, in the next window: its humidity still pairs with the temperature at 10:29:50.
+    _land(spark, b, [_msg("h1", 70.0, "2024-02-01T10:30:20", "2024-02-01T13:40:00", kind="humidity")])
+    run_silver(spark, b, s, "2024-02-01 13:30", "2024-02-01 14:00")
+    run_gold(spark, s, g, v, sv, "2024-02-01 13:30", "2024-02-01 14:00")
+    served = {r["window_start"].minute: r for r in spark.read.parquet(sv).collect()}
+    assert set(served) == {0, 30} and served[0]["avg_vpd"] is not None and served[30]["avg_humidity"] == 70.0
+
+
+def test_long_run_equals_hourly_runs(spark, tmp_path):
+    """Classes depend on the landing hour alone: one three-hour run equals three hourly runs."""
+    _bronze(spark, str(tmp_path / "bronze"))
+    one, many = str(tmp_path / "one"), str(tmp_path / "many")
+    run_silver(spark, str(tmp_path / "bronze"), one, "2024-01-10 10:00", "2024-01-10 13:00")
+    for h in (10, 11, 12):
+        run_silver(spark, str(tmp_path / "bronze"), many, f"2024-01-10 {h}:00", f"2024-01-10 {h + 1}:00")
+    a, b = (spark.read.parquet(p).drop("silver_processed_at") for p in (one, many))
+    assert a.count() > 0 and rows(a) == rows(b)
+
+
+def test_numeric_facility_ids_stay_text(spark, tmp_path):
+    b, (s, g, v, sv) = str(tmp_path / "b"), _paths(tmp_path)
+    _land(spark, b, [_msg("t1", 20.0, "2024-02-01T10:05:00", facility="007")])
+    for _ in range(2):
+        out = run_silver(spark, b, s, "2024-02-01T10:00:00+00:00", "2024-02-01T13:00:00+02:00")
+        assert [r["facility_id"] for r in out.collect()] == ["007"]
+        facts = run_gold(spark, s, g, v, sv, "2024-02-01T10:00:00+00:00", "2024-02-01T13:00:00+02:00")
+        assert [r["facility_id"] for r in facts.collect()] == ["007"]
+
+
+def test_run_windows(spark):
+    assert run_bounds("2024-01-10T10:00:00+00:00", "2024-01-10T13:00:00+02:00") == (dt.datetime(2024, 1, 10, 10), dt.datetime(2024, 1, 10, 11))
+    assert run_bounds("2024-01-10 10:00", "2024-01-10T11:00:00Z")[1] == dt.datetime(2024, 1, 10, 11)
+    for start, end in (("2024-01-10 00:00", "2024-01-10 00:00"), ("2024-01-10 01:00", "2024-01-10 00:00")):
+        with pytest.raises(ValueError, match="must start before"):
+            run_bounds(start, end)
+
+
 def test_merge_into_table_keeps_first_columns_and_other_partitions(spark, tmp_path):
     path = str(tmp_path / "serving")
     schema = "facility_id string, window_start timestamp_ntz, crop_type string, v double, date date"
@@ -86,30 +180,16 @@ def test_merge_into_table_keeps_first_columns_and_other_partitions(spark, tmp_pa
 
 def test_late_reading_refreshes_its_window(spark, tmp_path):
     """A reading that lands in a later run still updates its event window (D4)."""
-    from pyspark.sql import Row
-
-    def msg(sensor, value, ts, landed):
-        import json
-        body = {"sensor_id": sensor, "value": value, "timestamp": ts, "facility_id": "facility_A",
-                "crop_type": "tomato", "growth_week": 6}
-        return Row(topic="sensors.temperature", value=json.dumps(body).encode(), offset=0,
-                   landed_at=dt.datetime.fromisoformat(landed))
-
-    schema = "topic string, value binary, offset long, landed_at timestamp_ntz"
-    bronze_path, silver, gold, vpd, serving = (str(tmp_path / n) for n in ("b", "s", "g", "v", "sv"))
-    on_time = [msg("t1", 20.0, "2024-02-01T10:05:00", "2024-02-01 10:05:30"),
-               msg("t2", 22.0, "2024-02-01T10:10:00", "2024-02-01 10:10:30")]
-    good, _ = bronze_stream(spark.createDataFrame(on_time, schema), landing_col="landed_at")
-    write_partitions(good, bronze_path, BRONZE_PARTITIONS)
+    bronze_path, (silver, gold, vpd, serving) = str(tmp_path / "b"), _paths(tmp_path)
+    _land(spark, bronze_path, [_msg("t1", 20.0, "2024-02-01T10:05:00", "2024-02-01T10:05:30"),
+                               _msg("t2", 22.0, "2024-02-01T10:10:00", "2024-02-01T10:10:30")])
     run_silver(spark, bronze_path, silver, "2024-02-01 10:00:00", "2024-02-01 10:30:00")
     run_gold(spark, silver, gold, vpd, serving, "2024-02-01 10:00:00", "2024-02-01 10:30:00")
     first = spark.read.parquet(serving).collect()
     assert len(first) == 1 and first[0]["avg_temperature"] == 21.0
-    late = [msg("t3", 30.0, "2024-02-01T10:20:00", "2024-02-01 11:40:00")]   # lands 80 min late
-    good, _ = bronze_stream(spark.createDataFrame(late, schema), landing_col="landed_at")
-    write_partitions(good, bronze_path, BRONZE_PARTITIONS)
-    run_silver(spark, bronze_path, silver, "2024-02-01 11:30:00", "2024-02-01 12:00:00")
-    run_gold(spark, silver, gold, vpd, serving, "2024-02-01 11:30:00", "2024-02-01 12:00:00")
+    _land(spark, bronze_path, [_msg("t3", 30.0, "2024-02-01T10:20:00", "2024-02-02T11:40:00")])     # lands a day late
+    run_silver(spark, bronze_path, silver, "2024-02-02 11:30:00", "2024-02-02 12:00:00")
+    run_gold(spark, silver, gold, vpd, serving, "2024-02-02 11:30:00", "2024-02-02 12:00:00")
     after = spark.read.parquet(serving).collect()
     assert len(after) == 1 and after[0]["window_start"] == dt.datetime(2024, 2, 1, 10, 0)
     assert after[0]["avg_temperature"] == 24.0            # (20 + 22 + 30) / 3, whole window
@@ -129,20 +209,9 @@ def test_job_entry_points(spark, tmp_path):
 
 def test_serving_key_collision_is_deterministic(spark, tmp_path):
     """Two crops in one facility window (D5): one serving row, the later growth week."""
-    import json
-    from pyspark.sql import Row
-
-    def msg(sensor, crop, week, ts):
-        body = {"sensor_id": sensor, "value": 21.0, "timestamp": ts, "facility_id": "facility_A",
-                "crop_type": crop, "growth_week": week}
-        return Row(topic="sensors.temperature", value=json.dumps(body).encode(), offset=0,
-                   landed_at=dt.datetime.fromisoformat(ts.replace("T", " ")))
-
-    schema = "topic string, value binary, offset long, landed_at timestamp_ntz"
-    rows_ = [msg("a", "tomato", 6, "2024-02-01T10:05:00"), msg("b", "pepper", 7, "2024-02-01T10:06:00")]
+    rows_ = [_msg("a", 21.0, "2024-02-01T10:05:00"), _msg("b", 21.0, "2024-02-01T10:06:00", crop="pepper", week=7)]
     b, s, g, v, sv = (str(tmp_path / n) for n in ("b", "s", "g", "v", "sv"))
-    good, _ = bronze_stream(spark.createDataFrame(rows_, schema), landing_col="landed_at")
-    write_partitions(good, b, BRONZE_PARTITIONS)
+    _land(spark, b, rows_)
     run_silver(spark, b, s, "2024-02-01 10:00:00", "2024-02-01 10:30:00")
     run_gold(spark, s, g, v, sv, "2024-02-01 10:00:00", "2024-02-01 10:30:00")
     assert spark.read.parquet(g).count() == 2
@@ -152,10 +221,11 @@ def test_serving_key_collision_is_deterministic(spark, tmp_path):
 
 def test_readme_usage_on_silver(spark, tmp_path):
     from verdant.operators.serving import climate_trends
+    from verdant.schemas import SILVER_SCHEMA
     from verdant.sources.tables import read_table, select_run
     _bronze(spark, str(tmp_path / "bronze"))
     run_silver(spark, str(tmp_path / "bronze"), str(tmp_path / "silver"), "2024-01-10 00:00", "2024-01-11 00:00")
-    silver = read_table(spark, str(tmp_path / "silver"))
+    silver = read_table(spark, str(tmp_path / "silver"), SILVER_SCHEMA)
     run = select_run(silver, "2024-01-10 10:00", "2024-01-10 10:30", landed_col="bronze_landed_at")
     gold = build_gold(run)
     assert gold.count() > 0

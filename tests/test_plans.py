@@ -65,8 +65,21 @@ def test_join_small_falls_back_beyond_bound(spark):
 
 
 def test_aggregates_are_partial_before_shuffle(spark):
-    text = plan(E.queries()["live_latest"](spark, SF_SMALL))
-    assert "partial_max_by" in text
+    from verdant.operators.serving import latest_by_key
+    text = plan(latest_by_key(load_readings(spark, SF_SMALL), ["facility_id", "device_id"], "event_id"))
+    # The input itself is reduced by hash, without a sort; max_by sees one row per key (and ties).
+    assert "HashAggregate" in text and "partial_max(event_id" in text and "partial_max_by" in text
+    scans = [block for block in text.split("\n\n") if "partial_max(event_id" in block]
+    assert scans and all("SortAggregate" not in block for block in scans)
+
+
+def test_gold_run_classifies_nothing_and_pairs_once(spark, tmp_path):
+    """A Gold run reads Silver's classes; the pairs it serves come from the written table."""
+    import inspect
+
+    from verdant.plans import gold
+    text = inspect.getsource(gold)
+    assert "classify_anomalies" not in text and text.count("vpd_pairs(") == 1
 
 
 def test_join_small_byte_bound(spark):

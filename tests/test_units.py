@@ -351,3 +351,22 @@ def test_zone_spread(spark):
                                       "sensor_type string, sensor_id string, value double, is_anomaly boolean")
     r = zone_spread(df).collect()[0]
     assert r["zone_count"] == 2 and r["zone_spread"] == round(((21 - 23) ** 2 + (25 - 23) ** 2) ** 0.5, 3)
+
+
+def test_no_value_raises_and_means_are_exact(spark):
+    """NaN, huge values and ties: no aggregate raises, means round half up on the values' decimal forms."""
+    import datetime as dt
+    ts = dt.datetime(2024, 1, 1, 10, 5)
+    values = {"nan": [float("nan"), 2.0], "big": [1e13, 1e13], "huge": [1e300, 1e300], "tie": [0.0005, 0.0006, 0.0004, 0.0005],
+              "tie2": [2.0005, 2.0005], "null": [None, None]}
+    data = [("A", k, "s", v, ts, False, "c", 1, False) for k, vs in values.items() for v in vs]
+    df = spark.createDataFrame(data, "facility_id string, sensor_type string, sensor_id string, value double, event_ts timestamp_ntz, "
+                                     "is_anomaly boolean, crop_type string, growth_week int, is_peer_outlier boolean")
+    means = {r["sensor_type"]: r["avg_value"] for r in climate_by_window(df).collect()}
+    assert means == {"nan": 2.0, "big": 1e13, "huge": 1e300, "tie": 0.001, "tie2": 2.001, "null": None}
+    gauges = {r["sensor_type"]: r["gauge_value"] for r in live_gauges(df, {k: 2 for k in values}).collect()}
+    assert gauges == {"nan": 2.0, "big": 1e13, "huge": 1e300, "tie": 0.0, "tie2": 2.0, "null": None}
+    polls = {r["sensor_type"]: (r["facility_aggregate"], r["healthy_sensor_count"])
+             for r in facility_aggregate(df, ["facility_id", "sensor_type"]).collect()}
+    assert polls["nan"] == (2.0, 1) and polls["big"] == (1e13, 2) and polls["null"] == (None, 0)
+    assert peer_outliers(df, ["facility_id", "sensor_type"]).count() == len(data)

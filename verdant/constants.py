@@ -9,8 +9,6 @@ from __future__ import annotations
 # --- Fixed values: sensor types, their message topics and units -------------
 SENSOR_TYPES = ("temperature", "humidity", "co2", "light", "airflow")
 
-TOPIC_PREFIX = "sensors."
-
 TOPIC_MAP = {
     "temperature": "sensors.temperature",
     "humidity": "sensors.humidity",

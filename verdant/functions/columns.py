@@ -33,6 +33,12 @@ def parse_timestamp(text) -> Column:
     return F.try_to_timestamp(_col(text)).cast("timestamp_ntz")
 
 
+def message_key(columns: Sequence[str] = ("facility_id", "sensor_id")) -> Column:
+    """Key of a reading's message: facility and sensor id as JSON text; NULL where ``columns`` lacks one."""
+    names = ("facility_id", "sensor_id")
+    return F.to_json(F.array(*names)) if set(names) <= set(columns) else F.lit(None).cast("string")
+
+
 def iso_string(ts) -> Column:
     """Timestamp -> ISO-8601 text with microseconds."""
     return F.date_format(_col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
@@ -98,15 +104,17 @@ def vpd_kpa(temperature, humidity, scale: int = 4) -> Column:
     return F.round((F.lit(1) - h / F.lit(100)) * saturation, scale)
 
 
-def range_score(value, low: float, high: float, clamp: bool = False, scale: int = 2) -> Column:
+def range_score(value, low, high, clamp: bool = False, scale: int = 2) -> Column:
     """100 inside [low, high]; falls linearly by 100 per range width outside.
 
-    Not clamped by default (can go negative); ``clamp=True`` bounds it to 0..100.
+    ``low`` and ``high`` are numbers or columns.  Not clamped by default (can
+    go negative); ``clamp=True`` bounds it to 0..100.
     """
     v = _col(value)
-    width = F.lit(float(high - low))
-    below = F.round(F.lit(100.0) - (F.lit(low) - v) / width * F.lit(100), scale)
-    above = F.round(F.lit(100.0) - (v - F.lit(high)) / width * F.lit(100), scale)
+    low, high = (x if isinstance(x, Column) else F.lit(float(x)) for x in (low, high))
+    width = high - low
+    below = F.round(F.lit(100.0) - (low - v) / width * F.lit(100), scale)
+    above = F.round(F.lit(100.0) - (v - high) / width * F.lit(100), scale)
     score = (F.when(v.isNull(), F.lit(None).cast("double"))
              .when((v >= low) & (v <= high), F.lit(100.0))
              .when(v < low, below)
@@ -116,22 +124,29 @@ def range_score(value, low: float, high: float, clamp: bool = False, scale: int
     return score
 
 
-MEAN_UNIT_SCALE = 6     # values are summed in integer units of 1e-6
+MEAN_DECIMAL = "decimal(38,18)"
 
 
-def micro_units(value, unit_scale: int = MEAN_UNIT_SCALE) -> Column:
-    """A value as integer units of ``10^-unit_scale`` (for an exact, order-free sum)."""
-    return F.round(_col(value) * F.lit(float(10 ** unit_scale))).cast("long")
+def mean_parts(value, prefix: str = "__m") -> list[Column]:
+    """Aggregates that ``rounded_mean`` finishes: a decimal sum, its count, the
+    count of values and their double mean.  NaN counts as NULL."""
+    v = nan_to_null(value)
+    d = v.try_cast(MEAN_DECIMAL)
+    return [F.try_sum(d).alias(f"{prefix}_sum"), F.count(d).alias(f"{prefix}_fits"),
+            F.count(v).alias(f"{prefix}_n"), F.avg(v).alias(f"{prefix}_avg")]
 
 
-def rounded_mean(k: str, n: str, scale: int, unit_scale: int = MEAN_UNIT_SCALE) -> Column:
-    """round(K / n, scale) half away from zero, from an integer unit sum ``k``
-    and a count ``n`` (column names).  Integer arithmetic throughout, so the
-    result does not depend on the order in which partial sums were merged --
-    unlike ``round(avg(double), scale)`` when the mean sits on a tie."""
-    factor = 10 ** (unit_scale - scale)
-    q = F.expr(f"(2 * abs(`{k}`) + `{n}` * {factor}) div (2 * `{n}` * {factor})")
-    return F.when(F.col(n) > 0, F.signum(F.col(k)) * q / F.lit(float(10 ** scale)))
+def rounded_mean(scale: int, prefix: str = "__m") -> Column:
+    """round(mean, scale) half away from zero; NULL without values.
+
+    The mean of the values' decimal forms: exact, so ties round the same way
+    in whatever order partial sums are merged.  Where a value or the sum does
+    not fit the decimal (beyond 1e20), the mean of the doubles stands in; no
+    value raises.
+    """
+    total, fits, n, mean = (F.col(f"{prefix}_{x}") for x in ("sum", "fits", "n", "avg"))
+    exact = F.round(F.try_divide(total, n.cast("decimal(20,0)")), scale).cast("double")
+    return F.when(n == 0, F.lit(None).cast("double")).when((fits == n) & total.isNotNull(), exact).otherwise(F.round(mean, scale))
 
 
 def band_label(value, steps: Sequence[tuple]) -> Column:

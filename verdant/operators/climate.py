@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from verdant.constants import (BAND_SECONDS, CROP_PROFILES, SCORE_RANGES, SENSOR_TYPES, VPD_SCALE,
                                WINDOW_MINUTES)
-from verdant.functions.columns import micro_units, range_score, rounded_mean, vpd_kpa
+from verdant.functions.columns import mean_parts, nan_to_null, range_score, rounded_mean, vpd_kpa
 from verdant.operators.bandjoin import band_join
 
 GROUP_KEYS = ("facility_id", "crop_type", "growth_week")
@@ -27,27 +27,31 @@ def climate_by_window(df: DataFrame, keys: Sequence[str] = GROUP_KEYS, topic: st
                       clean_only: bool = False) -> DataFrame:
     """Per (keys, window, topic): stats of clean readings and the anomaly rate.
 
-    ``avg_value`` (3 dp, an exact mean: see ``rounded_mean``), ``zone_variance``
-    (sample stddev, 3 dp) and
-    ``reading_count`` cover clean readings; ``n_all``, ``n_anomalous`` and
+    ``avg_value`` (3 dp, see ``rounded_mean``), ``zone_variance`` (sample
+    stddev, 3 dp) and ``reading_count`` cover clean readings; ``n_all``, ``n_anomalous`` and
     ``anomaly_rate`` (4 dp) cover every reading of the window.  With
     ``clean_only=True`` anomalous rows are removed first, as the original job
     did, which makes every rate 0.
     """
     src = df.where(~F.col("is_anomaly")) if clean_only else df
-    clean_value = F.when(~F.col("is_anomaly"), F.col(value))
-    n_all = F.count(F.lit(1))
-    n_bad = F.count_if(F.col("is_anomaly"))
     agg = (src.withColumn("window_start", window_start(ts, minutes))
-              .groupBy(*keys, "window_start", topic)
-              .agg(F.sum(micro_units(clean_value)).alias("__k"),
-                   F.round(F.stddev_samp(clean_value), 3).alias("zone_variance"),
-                   F.count(clean_value).alias("reading_count"),
-                   n_all.alias("n_all"),
-                   n_bad.alias("n_anomalous"),
-                   F.round(F.try_divide(n_bad.cast("double"), n_all), 4).alias("anomaly_rate")))
-    return agg.select(*keys, "window_start", topic, rounded_mean("__k", "reading_count", 3).alias("avg_value"),
-                      "zone_variance", "reading_count", "n_all", "n_anomalous", "anomaly_rate")
+              .groupBy(*keys, "window_start", topic).agg(*climate_aggregates(value)))
+    return agg.select(*keys, "window_start", topic, rounded_mean(3).alias("avg_value"), *CLIMATE_STATS)
+
+
+CLIMATE_STATS = ("zone_variance", "reading_count", "n_all", "n_anomalous", "anomaly_rate")
+
+
+def climate_aggregates(value: str = "value") -> list:
+    """The aggregates of ``climate_by_window``, batch or streaming (``rounded_mean(3)`` finishes the mean)."""
+    clean_value = F.when(~F.col("is_anomaly"), F.col(value))
+    n_all, n_bad = F.count(F.lit(1)), F.count_if(F.col("is_anomaly"))
+    return [*mean_parts(clean_value),
+            F.round(F.stddev_samp(nan_to_null(clean_value)), 3).alias("zone_variance"),
+            F.count(clean_value).alias("reading_count"),
+            n_all.alias("n_all"),
+            n_bad.alias("n_anomalous"),
+            F.round(F.try_divide(n_bad.cast("double"), n_all), 4).alias("anomaly_rate")]
 
 
 def zone_spread(df: DataFrame, keys: Sequence[str] = GROUP_KEYS, topic: str = "sensor_type",
@@ -116,23 +120,10 @@ def vpd_pairs(readings: DataFrame, keys: Sequence[str] = ("facility_id",), ts: s
 
 def vpd_by_window(pairs: DataFrame, keys: Sequence[str] = ("facility_id",), ts: str = "event_ts",
                   minutes: int = WINDOW_MINUTES, scale: int = VPD_SCALE) -> DataFrame:
-    """round(avg(vpd_kpa), 4) per (keys, window of the temperature reading).
-
-    The pair values already carry ``scale`` decimals, so their mean often
-    ends in an exact 5 just past the last kept decimal.  The mean is taken
-    exactly: values are summed as integer units of ``10^-scale`` and rounded
-    half away from zero by integer division.  The aggregate stays a plain
-    sum/count (map-side partial aggregation).
-    """
-    unit = 10 ** scale
+    """round(avg(vpd_kpa), 4) per (keys, window of the temperature reading)."""
     agg = (pairs.withColumn("window_start", window_start(ts, minutes))
-                .groupBy(*keys, "window_start")
-                .agg(F.sum(F.round(F.col("vpd_kpa") * F.lit(unit)).cast("long")).alias("__k"),
-                     F.count("vpd_kpa").alias("__n")))
-    k, n = F.col("__k"), F.col("__n")
-    q = F.floor((F.abs(k) * 2 + n).cast("double") / (n * 2).cast("double"))
-    mean = F.when(n > 0, F.signum(k) * q / F.lit(float(unit)))
-    return agg.select(*keys, "window_start", mean.alias("avg_vpd"))
+                .groupBy(*keys, "window_start").agg(*mean_parts("vpd_kpa")))
+    return agg.select(*keys, "window_start", rounded_mean(scale).alias("avg_vpd"))
 
 
 def mean_of_scores(cols: Sequence[str], scale: int = 2):
@@ -195,15 +186,8 @@ def crop_score(wide: DataFrame, profiles: Mapping[str, Mapping[str, tuple]] = CR
     prof = profiles_frame(wide.sparkSession, profiles, types)
     out = wide.join(F.broadcast(prof), "crop_type", "left")
     for t in types:
-        v, low, high = F.col(f"avg_{t}"), F.col(f"low_{t}"), F.col(f"high_{t}")
-        width = high - low
-        score = (F.when(v.isNull() | low.isNull(), F.lit(None).cast("double"))
-                 .when((v >= low) & (v <= high), F.lit(100.0))
-                 .when(v < low, F.round(F.lit(100.0) - (low - v) / width * F.lit(100), 2))
-                 .otherwise(F.round(F.lit(100.0) - (v - high) / width * F.lit(100), 2)))
-        if clamp:
-            score = F.when(score.isNull(), score).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(100.0), score)))
-        out = out.withColumn(f"crop_score_{t}", score)
+        score = range_score(F.col(f"avg_{t}"), F.col(f"low_{t}"), F.col(f"high_{t}"), clamp)
+        out = out.withColumn(f"crop_score_{t}", F.when(F.col(f"low_{t}").isNotNull(), score))
     out = out.withColumn("crop_climate_score", mean_of_scores([f"crop_score_{t}" for t in types]))
     return out.drop(*[f"{side}_{t}" for t in types for side in ("low", "high")])
 

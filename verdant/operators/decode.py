@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verdant.constants import SENSOR_TYPES, TOPIC_MAP
-from verdant.functions.columns import (iso_string, parse_timestamp, sensor_type_of_topic,
+from verdant.functions.columns import (iso_string, message_key, parse_timestamp, sensor_type_of_topic,
                                        topic_of_sensor_type)
 from verdant.schemas import MESSAGE_SCHEMA
 
@@ -104,7 +104,10 @@ def flatten_payload(df: DataFrame, sensor_types: Sequence[str] = SENSOR_TYPES,
 
 def route_topics(df: DataFrame, topic_map: Mapping[str, str] = TOPIC_MAP, type_col: str = "sensor_type",
                  fields: Sequence[str] | None = None) -> DataFrame:
-    """Message rows -> (topic, JSON value) for a topic sink; unknown types dropped.
+    """Message rows -> (topic, key, JSON value) for a topic sink; unknown types dropped.
+
+    The key names the sensor (facility and sensor id), so a broker keeps all
+    messages of a sensor on one partition, in order.
 
     The topic comes from ``type_col`` through ``topic_map``; rows that
     already carry a ``topic`` (e.g. from ``flatten_payload``) and no type
@@ -116,5 +119,5 @@ def route_topics(df: DataFrame, topic_map: Mapping[str, str] = TOPIC_MAP, type_c
     else:
         topic = F.when(F.col("topic").isin(list(topic_map.values())), F.col("topic"))
     return (df.withColumn("__topic", topic).where(F.col("__topic").isNotNull())
-              .select(F.col("__topic").alias("topic"),
+              .select(F.col("__topic").alias("topic"), message_key(df.columns).alias("key"),
                       F.to_json(F.struct(*[F.col(c) for c in fields])).alias("value")))

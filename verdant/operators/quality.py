@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdant.constants import PEER_SIGMA, RANGE_LIMITS, STAT_SIGMA
-from verdant.functions.columns import anomaly_type, micro_units, nan_to_null, rounded_mean
+from verdant.functions.columns import anomaly_type, mean_parts, nan_to_null, rounded_mean
 from verdant.operators.joins import join_small
 
 SENSOR_KEYS = ("facility_id", "sensor_id")
@@ -80,7 +80,7 @@ def peer_outliers(df: DataFrame, group_keys: Sequence[str], value: str = "value"
     sample stddev is positive and ``abs(v - mean) > n_sigma * stddev``;
     ``peer_deviation = round(v - mean, scale)`` for outliers, else NULL.
     """
-    v = F.col(value)
+    v = nan_to_null(value)
     stats = df.groupBy(*group_keys).agg(
         F.count(v).alias("__peer_n"), F.avg(v).alias("__peer_mean"), F.stddev_samp(v).alias("__peer_sd"))
     out = join_small(df, stats, group_keys, how="left", null_safe=True)
@@ -98,13 +98,13 @@ def facility_aggregate(df: DataFrame, group_keys: Sequence[str], value: str = "v
     """Per poll group: mean of healthy values, sensor count, healthy count.
 
     Healthy = value not NULL and not a peer outlier.  Mean is NULL when no
-    value is healthy; it is exact (integer unit sum, half-up).
+    value is healthy; it is the exact decimal mean, rounded half up.  A NaN is no value.
     """
-    healthy = F.col(value).isNotNull() & ~F.coalesce(F.col(outlier), F.lit(False))
+    healthy = nan_to_null(value).isNotNull() & ~F.coalesce(F.col(outlier), F.lit(False))
     agg = df.groupBy(*group_keys).agg(
-        F.sum(micro_units(F.when(healthy, F.col(value)))).alias("__k"),
+        *mean_parts(F.when(healthy, F.col(value))),
         F.count(F.lit(1)).alias("sensor_count"),
         F.count_if(healthy).alias("healthy_sensor_count"),
     )
-    return agg.select(*group_keys, rounded_mean("__k", "healthy_sensor_count", scale).alias("facility_aggregate"),
+    return agg.select(*group_keys, rounded_mean(scale).alias("facility_aggregate"),
                       "sensor_count", "healthy_sensor_count")

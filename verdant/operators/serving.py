@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdant.constants import GAUGE_BANDS, GAUGE_SCALES, TOP_ANOMALIES, TREND_HOURS
-from verdant.functions.columns import (band_label, micro_units, ntz_literal, rounded_mean,
-                                       unit_of_sensor_type)
+from verdant.functions.columns import band_label, mean_parts, ntz_literal, rounded_mean, unit_of_sensor_type
 
 LIVE_KEYS = ("facility_id", "sensor_id")
 LIVE_UPDATE_COLS = ("value", "unit", "is_anomaly", "recorded_at")
@@ -28,15 +27,21 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[s
                   cols: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the row with the greatest ``order_by`` (arrival order).
 
-    ``max_by`` over a struct is a grouped aggregate with map-side partial
-    aggregation, so a key that holds a third of the input is reduced inside
-    each input split before the shuffle.  Order columns are compared left to
-    right; rows whose order value is NULL never win.
+    A hash aggregate finds each key's greatest first order column (a key with a
+    third of the input is reduced inside each input split), and only the rows
+    that reach it are joined back and compared by the other order columns, then
+    by their own values.  NULL orders lose to any other; a key with NULL orders
+    alone keeps the greatest row by value.
     """
     order = _as_list(order_by)
     cols = [c for c in (cols or df.columns) if c not in keys]
-    order_key = F.struct(*[F.col(c) for c in order]) if len(order) > 1 else F.col(order[0])
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order_key).alias("__latest"))
+    top = df.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys]).agg(F.max(order[0]).alias("__top"))
+    same = F.col(order[0]).eqNullSafe(F.col("__top"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    rank = F.struct(*[F.col(c) for c in order[1:]], F.struct(*[F.col(c) for c in cols]))
+    picked = (df.join(top, same).groupBy(*keys)
+                .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), rank).alias("__latest")))
     return picked.select(*keys, *[F.col(f"__latest.{c}").alias(c) for c in cols])
 
 
@@ -140,14 +145,14 @@ def live_gauges(live: DataFrame, scales: Mapping[str, int] = GAUGE_SCALES) -> Da
     """Gauge value per (facility, type): rounded mean of non-anomalous live values.
 
     One grouped aggregate replaces one scan per gauge panel.  The mean is
-    exact (integer unit sum, half-up), so it does not depend on merge order.
+    exact decimal mean, rounded half up; a NaN counts as no value.
     """
     rounded = F.lit(None).cast("double")
     for t, scale in scales.items():
-        rounded = F.when(F.col("sensor_type") == t, rounded_mean("__k", "__n", scale)).otherwise(rounded)
+        rounded = F.when(F.col("sensor_type") == t, rounded_mean(scale)).otherwise(rounded)
     return (live.where(F.col("is_anomaly") == F.lit(False))
                 .groupBy("facility_id", "sensor_type")
-                .agg(F.sum(micro_units("value")).alias("__k"), F.count("value").alias("__n"))
+                .agg(*mean_parts("value"))
                 .select("facility_id", "sensor_type", rounded.alias("gauge_value")))
 
 

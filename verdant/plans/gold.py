@@ -2,94 +2,117 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdant.constants import BAND_SECONDS, WINDOW_MINUTES
-from verdant.functions.columns import ntz_literal
-from verdant.operators.climate import GOLD_COLUMNS, SERVING_COLUMNS, build_gold, vpd_pairs
-from verdant.operators.serving import GOLD_KEYS, GOLD_UPDATE_COLS, latest_by_key
-from verdant.plans.silver import empty_silver
+from verdant.operators.climate import GOLD_COLUMNS, SERVING_COLUMNS, build_gold, vpd_pairs, window_start
+from verdant.operators.serving import GOLD_KEYS, latest_by_key
+from verdant.schemas import SILVER_SCHEMA, VPD_SCHEMA
 from verdant.session import ensure_session
-from verdant.sinks.tables import merge_into_table
-from verdant.sources.tables import partition_predicate, read_table
+from verdant.sinks.tables import _in_partitions, _nullable, replace_windows
+from verdant.sources.tables import path_exists, read_table, run_bounds, select_run
 
-FACT_KEYS = ("facility_id", "crop_type", "growth_week", "window_start")
+WINDOW_KEYS = ("facility_id", "window_start")
 TABLE_PARTITIONS = ("facility_id", "date")
 
 
-def _ts(v):
-    return datetime.fromisoformat(v) if isinstance(v, str) else v
+def touched_windows(silver: DataFrame, start: datetime | str, end: datetime | str,
+                    minutes: int = WINDOW_MINUTES, seconds: int = BAND_SECONDS) -> DataFrame:
+    """(facility_id, window_start, date) of the event windows that readings landed in [start, end) can change.
 
-
-def _floor(ts: datetime, minutes: int) -> datetime:
-    epoch = datetime(1970, 1, 1)
-    step = timedelta(minutes=minutes)
-    return epoch + ((ts - epoch) // step) * step
+    A reading changes the window of its event time, however late it landed; a
+    humidity reading also those of temperatures up to ``seconds`` away.  Readings
+    without facility or event time touch nothing.
+    """
+    landed = select_run(silver, start, end, landed_col="bronze_landed_at")
+    reach = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds + 1))     # the band counts whole seconds
+    ev = F.col("event_ts")
+    times = F.when(F.col("sensor_type") == "humidity", F.array(ev - reach, ev, ev + reach)).otherwise(F.array(ev))
+    return (landed.where("facility_id is not null and event_ts is not null")
+                  .select("facility_id", F.explode(times).alias("__at"))
+                  .select("facility_id", window_start("__at", minutes).alias("window_start")).distinct()
+                  .withColumn("date", F.to_date("window_start")))
 
 
-def _ceil(ts: datetime, minutes: int) -> datetime:
-    f = _floor(ts, minutes)
-    return f if f == ts else f + timedelta(minutes=minutes)
+def window_readings(silver: DataFrame, windows: DataFrame, minutes: int = WINDOW_MINUTES) -> DataFrame:
+    """All Silver readings of the windows and their neighbours, with ``window_start`` and ``inside``.
 
+    The windows' first and last dates (one row) prune by ``event_date``; the
+    join keeps exactly the wanted windows, whenever their readings landed.
+    """
+    step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes), F.lit(0))
+    w = F.col("window_start")
+    wide = (windows.select("facility_id", F.explode(F.array(*[F.struct(x.alias("window_start"), F.lit(i).alias("inside"))
+                                                              for x, i in ((w, True), (w - step, False), (w + step, False))])).alias("w"))
+                   .select("facility_id", "w.*").groupBy("facility_id", "window_start").agg(F.max("inside").alias("inside")))
+    ends = wide.agg(F.to_date(F.min("window_start")).alias("lo"), F.to_date(F.max("window_start")).alias("hi")).first()
+    near = silver.where(F.col("event_date").between(F.lit(ends["lo"]), F.lit(ends["hi"])))
+    return near.withColumn("window_start", window_start("event_ts", minutes)).join(wide, list(WINDOW_KEYS))
 
-def gold_frames(silver: DataFrame, start: datetime | str, end: datetime | str,
-                lateness: timedelta = timedelta(hours=2), minutes: int = WINDOW_MINUTES,
-                seconds: int = BAND_SECONDS) -> tuple[DataFrame, DataFrame]:
-    """Gold rows and VPD pairs of every event window touched by the run.
 
-    Windows that start in [floor(start - lateness), ceil(end)) are recomputed
-    whole from every Silver reading in them (readings land at most
-    ``lateness`` after their event time), so a late reading refreshes its
-    window instead of producing a partial one.  Humidity partners are read
-    ``seconds`` beyond the window edges.
-    """
-    start, end = _ts(start), _ts(end)
-    lo, hi = _floor(start - lateness, minutes), _ceil(end, minutes)
-    band = timedelta(seconds=seconds)
-    landed = silver.where(partition_predicate(lo - band, hi + band + lateness))
-    ev = F.col("event_ts")
-    near = landed.where((ev >= ntz_literal(lo - band)) & (ev < ntz_literal(hi + band)))
-    inside = near.where((ev >= ntz_literal(lo)) & (ev < ntz_literal(hi)))
-    pairs = (vpd_pairs(near, id_col="sensor_id", keep_humidity_ts=True, seconds=seconds)
-             .where((ev >= ntz_literal(lo)) & (ev < ntz_literal(hi))))
-    gold = build_gold(inside, minutes=minutes, seconds=seconds, vpd=pairs)
-    return gold, pairs
+def window_pairs(readings: DataFrame, seconds: int = BAND_SECONDS, minutes: int = WINDOW_MINUTES) -> DataFrame:
+    """VPD pairs whose temperature reading lies inside the windows, as rows of the VPD table."""
+    pairs = vpd_pairs(readings.where(F.col("inside") | (F.col("sensor_type") == "humidity")).drop("window_start"),
+                      id_col="sensor_id", keep_humidity_ts=True, seconds=seconds)
+    return (pairs.withColumn("window_start", window_start("event_ts", minutes))
+                 .withColumn("date", F.to_date("window_start")).withColumn("hour", F.hour("window_start"))
+                 .select(*VPD_SCHEMA.names))
 
 
 def run_gold(spark: SparkSession, silver_path: str, gold_path: str, vpd_path: str, serving_path: str,
-             start: datetime | str, end: datetime | str, lateness: timedelta = timedelta(hours=2),
-             minutes: int = WINDOW_MINUTES) -> DataFrame:
-    """Recompute the touched windows and merge them into the three tables.
+             start: datetime | str, end: datetime | str, minutes: int = WINDOW_MINUTES) -> DataFrame:
+    """Recompute the event windows touched by a run and replace them in the three tables.
 
-    * ``vpd_path``: pairs, keyed by both readings, replaced per pair;
-    * ``gold_path``: full fact rows keyed by (facility, crop, week, window);
+    The run takes the readings landed in [start, end) (UTC, or ISO times with
+    a zone) and recomputes each event window they touch from all its readings.
+
+    * ``vpd_path``: pairs, computed once, replaced per window, and read back
+      for the facts;
+    * ``gold_path``: full fact rows per (facility, crop, week, window), crop
+      and week possibly NULL, replaced per window;
     * ``serving_path``: the 14-column serving table keyed by (facility,
       window): value columns and the stamp are updated, ``crop_type`` and
       ``growth_week`` keep their first value; several fact rows of one
-      serving key are reduced to the latest (growth week, crop).
-    Only the (facility, date) partitions that receive rows are rewritten.
+      serving key are reduced to the latest (growth week, crop); rows of a
+      window without facts are removed.
+    Reruns, late readings, repeated messages and reclassified readings leave
+    the tables as one run over all readings would.
     """
     ensure_session(spark)
-    silver = read_table(spark, silver_path, empty=empty_silver(spark))
-    gold, pairs = gold_frames(silver, start, end, lateness, minutes)
+    start, end = run_bounds(start, end)
+    silver = read_table(spark, silver_path, SILVER_SCHEMA)
+    windows = touched_windows(silver, start, end, minutes).checkpoint(eager=True)
+    readings = window_readings(silver, windows, minutes).checkpoint(eager=True)      # feeds the pairs and the facts
+    hours = windows.withColumn("hour", F.hour("window_start"))
+    replace_windows(spark, vpd_path, window_pairs(readings, minutes=minutes), hours, WINDOW_KEYS, (*TABLE_PARTITIONS, "hour"))
+    pairs = read_table(spark, vpd_path, VPD_SCHEMA)
+    if path_exists(spark, vpd_path):
+        pairs = _in_partitions(pairs, hours.select(*TABLE_PARTITIONS, "hour").distinct(), (*TABLE_PARTITIONS, "hour"))
+    pairs = pairs.join(windows.select(*WINDOW_KEYS), list(WINDOW_KEYS), "left_semi").drop("window_start")
+    inside = readings.where("inside").drop("window_start", "inside")
     stamp = F.current_timestamp().cast("timestamp_ntz")
-    pairs = pairs.withColumn("date", F.to_date("event_ts"))
-    merge_into_table(spark, vpd_path, pairs,
-                     ("facility_id", "temperature_sensor_id", "event_ts", "humidity_sensor_id", "humidity_ts"),
-                     ("temperature", "humidity", "vpd_kpa"), TABLE_PARTITIONS)
-    facts = (gold.select(*GOLD_COLUMNS).withColumn("gold_processed_at", stamp)
-                 .withColumn("date", F.to_date("window_start"))).checkpoint(eager=True)
-    merge_into_table(spark, gold_path, facts, FACT_KEYS,
-                     [c for c in facts.columns if c not in FACT_KEYS and c != "date"],
-                     TABLE_PARTITIONS, materialized=True)
-    serving = facts.select(*SERVING_COLUMNS, "gold_processed_at", "date")
-    # The serving key (facility, window) is coarser than the fact key: if a
-    # facility changed crop or week inside a window, the row of the latest
-    # growth week (then crop name) is served -- a deterministic choice.
-    serving = latest_by_key(serving.withColumn("__pick", F.struct("growth_week", "crop_type")),
-                            GOLD_KEYS, "__pick", [c for c in serving.columns if c not in GOLD_KEYS])
-    merge_into_table(spark, serving_path, serving, GOLD_KEYS, GOLD_UPDATE_COLS, TABLE_PARTITIONS)
+    facts = (build_gold(inside, minutes=minutes, vpd=pairs).select(*GOLD_COLUMNS).withColumn("gold_processed_at", stamp)
+             .withColumn("date", F.to_date("window_start")))
+    facts = replace_windows(spark, gold_path, facts, windows, WINDOW_KEYS, TABLE_PARTITIONS)
+    _serve(spark, serving_path, facts, windows)
     return facts
+
+
+def _serve(spark: SparkSession, path: str, facts: DataFrame, windows: DataFrame) -> None:
+    """Replace the windows' serving rows; a row that was served before keeps its crop and week."""
+    serving = facts.select(*SERVING_COLUMNS, "gold_processed_at", "date")
+    # The serving key is coarser than the facts': if a facility changed crop or
+    # week inside a window, the row of the latest week (then crop) is served.
+    ranked = serving.withColumn("__week", F.coalesce("growth_week", F.lit(-(1 << 31))))
+    rows = latest_by_key(ranked, GOLD_KEYS, ("__week", "crop_type"), [c for c in serving.columns if c not in GOLD_KEYS])
+    rows = rows.select(*serving.columns)
+    if path_exists(spark, path):
+        old = _in_partitions(read_table(spark, path, _nullable(rows.schema)), windows.select(*TABLE_PARTITIONS).distinct(), TABLE_PARTITIONS)
+        old = old.select(*GOLD_KEYS, F.struct("crop_type", "growth_week").alias("__old"))
+        rows = rows.join(old, list(GOLD_KEYS), "left")
+        rows = rows.select(*[F.when(F.col("__old").isNotNull(), F.col(f"__old.{c}")).otherwise(F.col(c)).alias(c)
+                             if c in ("crop_type", "growth_week") else F.col(c) for c in serving.columns])
+    replace_windows(spark, path, rows, windows, WINDOW_KEYS, TABLE_PARTITIONS)

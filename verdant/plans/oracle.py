@@ -1,15 +1,46 @@
 """Independent DuckDB SQL for every registered query (the correctness oracle).
 
 The SQL is written from the operator definitions, not generated from the
-Spark plans.  Views ``events`` etc. are registered by the caller.
+Spark plans, and states its own literals: nothing of the engine is imported.
+Views ``events`` etc. are registered by the caller.
 """
 
 from __future__ import annotations
 
-from verdant.constants import (CROP_PROFILES, GAUGE_BANDS, GAUGE_SCALES, RANGE_LIMITS, SCORE_RANGES,
-                               SENSOR_TYPES, SENSOR_UNITS)
-from verdant.plans import queries as Q
-from verdant.sources.fixture import EVENT_SENSOR_TYPES
+# Fixed values.
+SENSOR_TYPES = ("temperature", "humidity", "co2", "light", "airflow")
+SENSOR_UNITS = {"temperature": "celsius", "humidity": "percent", "co2": "ppm", "light": "umol_m2_s", "airflow": "m_per_s"}
+RANGE_LIMITS = {"temperature": (5, 50), "humidity": (0, 100), "co2": (200, 5000), "light": (0, 2000), "airflow": (0, 5)}
+SCORE_RANGES = {"temperature": (20, 26), "humidity": (65, 75), "co2": (800, 1100), "light": (200, 600)}
+CROP_PROFILES = {
+    "tomato": {"temperature": (20, 26), "humidity": (65, 75), "co2": (800, 1100), "light": (200, 600)},
+    "cucumber": {"temperature": (22, 28), "humidity": (70, 80), "co2": (700, 1000), "light": (150, 500)},
+}
+GAUGE_SCALES = {"temperature": 2, "humidity": 2, "co2": 2, "light": 2, "airflow": 3}
+GAUGE_BANDS = {
+    ("facility_A", "temperature"): [(None, "blue"), (20, "green"), (30, "red")],
+    ("facility_B", "temperature"): [(None, "blue"), (22, "green"), (30, "red")],
+    ("facility_A", "humidity"): [(None, "red"), (65, "green"), (80, "red")],
+    ("facility_B", "humidity"): [(None, "red"), (65, "green"), (80, "red")],
+    ("facility_A", "co2"): [(None, "red"), (800, "green"), (1200, "red")],
+    ("facility_B", "co2"): [(None, "red"), (800, "green"), (1200, "red")],
+    ("facility_A", "light"): [(None, "red"), (200, "green"), (600, "yellow")],
+    ("facility_B", "light"): [(None, "red"), (150, "green"), (500, "yellow")],
+    ("facility_A", "airflow"): [(None, "red"), (0.2, "green"), (0.9, "red")],
+    ("facility_B", "airflow"): [(None, "red"), (0.2, "green"), (0.9, "red")],
+}
+EVENT_SENSOR_TYPES = {"view": "temperature", "click": "humidity", "purchase": "co2", "signup": "light", "error": "airflow"}
+
+
+class Q:
+    """The queries' parameters."""
+
+    RUN_START, RUN_END = "2024-01-09 22:30:00", "2024-01-10 01:30:00"
+    TREND_AS_OF = "2024-01-21 00:00:00"
+    FIRST_BATCH_FROM, SECOND_BATCH_TO = "2024-01-15 00:00:00", "2024-01-21 00:00:00"
+    GOLD_RUN1_TO, GOLD_RUN2_FROM = "2024-01-21 00:00:00", "2024-01-15 00:00:00"
+    TOP_N_ANOMALIES = 20
+
 
 SCORED = ("temperature", "humidity", "co2", "light")
 RATED = ("temperature", "humidity", "co2")
@@ -101,9 +132,7 @@ def long_sql(src: str, clean_only: bool = False) -> str:
     return f"""(
   SELECT facility_id, crop_type, growth_week,
     time_bucket(INTERVAL '30 minutes', event_ts) AS window_start, sensor_type,
-    CASE WHEN count({cv}) > 0 THEN sign(sum(CAST(round({cv} * 1000000) AS BIGINT)))
-      * ((2 * abs(sum(CAST(round({cv} * 1000000) AS BIGINT))) + count({cv}) * 1000) // (2 * count({cv}) * 1000))
-      / 1000.0 END AS avg_value,
+    {exact_mean(cv, 3)} AS avg_value,
     {rnd(f"stddev_samp({cv})", 3)} AS zone_variance,
     count({cv}) AS reading_count,
     count(*) AS n_all,
@@ -143,13 +172,9 @@ def pairs_sql(classified: str) -> str:
 
 
 def vpd_window_sql(pairs: str) -> str:
-    """Mean of 4-dp values, exact, rounded half away from zero to 4 dp."""
     return f"""(
-  SELECT facility_id, window_start,
-    CASE WHEN n > 0 THEN sign(k) * ((2 * abs(k) + n) // (2 * n)) / 10000.0 END AS avg_vpd
-  FROM (SELECT facility_id, time_bucket(INTERVAL '30 minutes', event_ts) AS window_start,
-          sum(CAST(round(vpd_kpa * 10000) AS BIGINT)) AS k, count(vpd_kpa) AS n
-        FROM {pairs} p GROUP BY facility_id, window_start) a
+  SELECT facility_id, time_bucket(INTERVAL '30 minutes', event_ts) AS window_start, {exact_mean("vpd_kpa", 4)} AS avg_vpd
+  FROM {pairs} p GROUP BY facility_id, window_start
 )"""
 
 
@@ -200,15 +225,15 @@ def iso(c: str) -> str:
 def live_rows_sql(src: str) -> str:
     return f"""(
   SELECT facility_id, device_id AS sensor_id, sensor_type, value, {unit_case()} AS unit,
-    value IS NULL AS is_anomaly, event_ts AS recorded_at, event_id AS arrival
+    value IS NULL AS is_anomaly, event_ts AS recorded_at, event_id AS arrival, landed_at
   FROM {src} r
 )"""
 
 
-def latest_sql(rows: str) -> str:
+def latest_sql(rows: str, order: str = "arrival DESC") -> str:
     return f"""(
   SELECT facility_id, sensor_id, sensor_type, value, unit, is_anomaly, recorded_at
-  FROM (SELECT *, row_number() OVER (PARTITION BY facility_id, sensor_id ORDER BY arrival DESC) AS rn
+  FROM (SELECT *, row_number() OVER (PARTITION BY facility_id, sensor_id ORDER BY {order}) AS rn
         FROM {rows} x) y WHERE rn = 1
 )"""
 
@@ -230,12 +255,15 @@ def merge_sql(old: str, new: str, keys: list[str], cols: list[str], update: list
 
 
 def exact_mean(v: str, scale: int) -> str:
-    """round(mean(v), scale) half away from zero from an integer sum of 1e-6 units."""
-    k = f"sum(CAST(round({v} * 1000000) AS BIGINT))"
-    n = f"count({v})"
-    f = 10 ** (6 - scale)
-    return (f"CASE WHEN {n} > 0 THEN sign({k}) * ((2 * abs({k}) + {n} * {f}) // (2 * {n} * {f})) "
-            f"/ {float(10 ** scale)!r} END")
+    """round(mean(v), scale) half away from zero: the values' decimal forms summed in units of 1e-18."""
+    d = f"CAST(CAST({v} AS VARCHAR) AS DECIMAL(38,18))"
+    unit = 10 ** 18
+    k = (f"(sum(CAST(trunc({d}) AS HUGEINT)) * {unit} "
+         f"+ sum(CAST(CAST({d} - trunc({d}) AS DECIMAL(18,18)) * CAST({unit} AS DECIMAL(19,0)) AS HUGEINT)))")
+    n = f"CAST(count({v}) AS HUGEINT)"
+    f = 10 ** scale
+    return (f"CASE WHEN count({v}) > 0 THEN CAST(sign({k}) * ((2 * abs({k}) * {f} + {n} * {unit}) // (2 * {n} * {unit})) AS DOUBLE) "
+            f"/ {float(f)!r} END")
 
 
 def gauges_sql(live: str) -> str:
@@ -277,6 +305,71 @@ def crop_sql(wide: str) -> str:
 )"""
 
 
+#: Sensor statistics of the jobs: per landing hour.
+RUN_KEYS = "facility_id, sensor_id, date_trunc('hour', landed_at)"
+
+
+def odd_readings_sql(src: str) -> str:
+    """Repeated messages, NULL growth weeks, readings that land 3 hours late."""
+    return f"""(
+  SELECT * EXCLUDE (growth_week, landed_at), CASE WHEN event_id % 19 <> 5 THEN growth_week END AS growth_week,
+    CASE WHEN event_id % 23 = 3 THEN landed_at + INTERVAL '3 hours' ELSE landed_at END AS landed_at
+  FROM (SELECT * FROM {src} a UNION ALL SELECT * FROM {src} b WHERE event_id % 29 = 4) o
+)"""
+
+
+def table_pairs_sql(classified: str) -> str:
+    """Rows of the VPD table: pairs named by their sensors."""
+    side = lambda t: f"(SELECT facility_id, sensor_id, event_ts, value FROM {classified} c WHERE NOT is_anomaly AND sensor_type = '{t}')"
+    return f"""(
+  SELECT t.facility_id, t.sensor_id AS temperature_sensor_id, h.sensor_id AS humidity_sensor_id, t.event_ts,
+    h.event_ts AS humidity_ts, t.value AS temperature, h.value AS humidity,
+    {rnd("(1 - h.value / 100) * 0.6108 * exp(17.27 * t.value / (t.value + 237.3))", 4)} AS vpd_kpa
+  FROM {side("temperature")} t JOIN {side("humidity")} h
+    ON t.facility_id = h.facility_id
+   AND abs(epoch(date_trunc('second', t.event_ts)) - epoch(date_trunc('second', h.event_ts))) <= 60
+)"""
+
+
+def payload_sql(src: str) -> str:
+    """Readings of poll documents: one per facility and minute, flagged and aggregated by group."""
+    poll = "facility_id, crop_type, growth_week, minute"
+    flag = "coalesce(value IS NOT NULL AND pn >= 2 AND psd > 0 AND abs(value - pm) > 2 * psd, false)"
+    over = f"OVER (PARTITION BY {poll}, sensor_type)"
+    return f"""
+  WITH m AS (SELECT *, date_trunc('minute', event_ts) AS minute FROM {src} r),
+  p AS (SELECT *, count(value) {over} AS pn, avg(value) {over} AS pm, stddev_samp(value) {over} AS psd,
+          max(landed_at) OVER (PARTITION BY {poll}) AS last_landed FROM m),
+  f AS (SELECT *, {flag} AS out FROM p),
+  g AS (SELECT {poll}, sensor_type, {exact_mean("CASE WHEN NOT out THEN value END", 2)} AS facility_aggregate,
+          CAST(count(*) AS INTEGER) AS sensor_count,
+          CAST(count(*) FILTER (WHERE value IS NOT NULL AND NOT out) AS INTEGER) AS healthy_sensor_count
+        FROM f GROUP BY {poll}, sensor_type)
+  SELECT f.sensor_id, f.value, {unit_case("f.sensor_type")} AS unit, {iso("f.event_ts")} AS timestamp, f.out AS is_peer_outlier,
+    CASE WHEN f.out THEN {rnd("f.value - f.pm", 3)} END AS peer_deviation, f.facility_id, f.crop_type, f.growth_week,
+    {iso("f.last_landed")} AS ingested_at, g.facility_aggregate, g.sensor_count, g.healthy_sensor_count, f.source_topic AS topic
+  FROM f JOIN g USING ({poll}, sensor_type)"""
+
+
+def json_fields_sql() -> str:
+    """Fields of a message's JSON text: those that are not NULL, in order."""
+    return "CASE WHEN value IS NULL THEN 'sensor_id,' ELSE 'sensor_id,value,' END || 'unit,timestamp,is_peer_outlier,facility_id,crop_type,growth_week,ingested_at'"
+
+
+def quarantine_sql(src: str, msg_cols: str) -> str:
+    """Messages that are cut short, empty or without facility; and the landed rest, counted by topic."""
+    # The first 25 characters of a message's text: '{"sensor_id":"' and the start of the id.
+    cut = "substr('{\"sensor_id\":\"' || sensor_id || '\",\"value\":', 1, 25)"
+    return f"""
+  WITH b AS (SELECT source_topic, event_id, sensor_id,
+               CASE WHEN event_id % 31 = 3 THEN 'malformed' WHEN event_id % 37 = 4 THEN 'empty'
+                    WHEN event_id % 41 = 5 THEN 'no_facility' END AS reason FROM {src} r)
+  SELECT source_topic, reason, CASE reason WHEN 'malformed' THEN {cut} WHEN 'no_facility' THEN sensor_id END AS raw_value
+  FROM b WHERE reason IS NOT NULL
+  UNION ALL
+  SELECT source_topic, 'none' AS reason, 'landed ' || CAST(count(*) AS VARCHAR) AS raw_value FROM b WHERE reason IS NULL GROUP BY source_topic"""
+
+
 def _select(src: str, cols: list[str]) -> str:
     return f"SELECT {', '.join(cols)} FROM {src} q"
 
@@ -284,6 +377,7 @@ def _select(src: str, cols: list[str]) -> str:
 def oracle_sql() -> dict[str, str]:
     R = readings_sql()
     C = classified_sql(R)
+    odd = classified_sql(odd_readings_sql(R), RUN_KEYS)
     long_all = long_sql(C)
     wide = wide_sql(long_all)
     pairs = pairs_sql(C)
@@ -320,11 +414,6 @@ def oracle_sql() -> dict[str, str]:
         f"FROM {gold} g WHERE window_start > {trend_lo} AND window_start <= {_ts(Q.TREND_AS_OF)}"
         for m in ("avg_vpd", "climate_score", "overall_anomaly_rate", "variance_temperature"))
     run_lo, run_hi = _ts(Q.RUN_START), _ts(Q.RUN_END)
-    payload_cols = (f"sensor_id, value, {unit_case()} AS unit, {iso('event_ts')} AS timestamp, "
-                    "false AS is_peer_outlier, CAST(NULL AS DOUBLE) AS peer_deviation, facility_id, crop_type, "
-                    f"growth_week, {iso('landed_at')} AS ingested_at, {rnd("value", 2)} AS facility_aggregate, "
-                    "1 AS sensor_count, CASE WHEN value IS NULL THEN 0 ELSE 1 END AS healthy_sensor_count, "
-                    "source_topic AS topic")
     return {
         "sensor_stats": (f"SELECT facility_id, sensor_id, count(value) AS n, {rnd("avg(value)", 6)} AS mean, "
                          f"{rnd("stddev_samp(value)", 6)} AS stddev FROM {R} r GROUP BY facility_id, sensor_id"),
@@ -353,12 +442,12 @@ def oracle_sql() -> dict[str, str]:
         "gold_climate": _select(gold, GOLD_COLS),
         "json_decode": f"SELECT {msg_cols}, {landing} FROM {R} r",
         "bronze_landing": f"SELECT {msg_cols}, {landing} FROM {R} r",
-        "live_stream": f"SELECT * FROM {latest_sql(live_rows_sql(R).replace('device_id AS sensor_id', 'sensor_id'))} l",
+        "live_stream": f"SELECT * FROM {latest_sql(live_rows_sql(R).replace('device_id AS sensor_id', 'sensor_id'), 'landed_at DESC, arrival DESC')} l",
         "silver_typed": f"SELECT * FROM {typed} t",
         "silver_readings": f"SELECT * FROM {classified_sql(typed)} s",
         "topic_route": (f"SELECT source_topic AS topic, count(*) AS n_messages, "
                         f"count(DISTINCT sensor_id) AS n_sensors FROM {R} r GROUP BY source_topic"),
-        "payload_flatten": f"SELECT {payload_cols} FROM {R} r",
+        "payload_flatten": payload_sql(R),
         "run_window_select": (f"SELECT event_id, facility_id, sensor_id, value, event_ts, landed_at, "
                               f"CAST(landed_at AS DATE) AS date, CAST(hour(landed_at) AS INTEGER) AS hour "
                               f"FROM {R} r WHERE landed_at >= {run_lo} AND landed_at < {run_hi}"),
@@ -373,7 +462,22 @@ def oracle_sql() -> dict[str, str]:
             f"FROM {peer} p GROUP BY facility_id, sensor_type, poll_ts"),
         "live_latest": f"SELECT * FROM {live} l",
         "upsert_live": f"SELECT * FROM {merge_sql(live1, live2, ['facility_id', 'sensor_id'], live_cols, ['value', 'unit', 'is_anomaly', 'recorded_at'])} m",
-        "serving_climate": _select(gold, SERVING),
+        "serving_climate": _select(gold_sql(classified_sql(R, RUN_KEYS)), SERVING),
+        "gold_facts": _select(gold_sql(odd), GOLD_COLS),
+        "vpd_table": (f"SELECT facility_id, temperature_sensor_id, humidity_sensor_id, event_ts, humidity_ts, temperature, humidity, "
+                      f"vpd_kpa, time_bucket(INTERVAL '30 minutes', event_ts) AS window_start FROM {table_pairs_sql(odd)} p"),
+        "quarantine": quarantine_sql(R, msg_cols),
+        "topic_sink": (f"SELECT {msg_cols}, source_topic AS topic, '[\"' || facility_id || '\",\"' || sensor_id || '\"]' AS key, "
+                       f"{json_fields_sql()} AS json_fields FROM {R} r"),
+        "score_band": (f"SELECT facility_id, window_start, climate_score, CASE WHEN climate_score IS NULL THEN NULL "
+                       f"WHEN climate_score >= 80 THEN 'green' WHEN climate_score >= 60 THEN 'yellow' ELSE 'red' END AS band "
+                       f"FROM {scores_sql(wide)} s"),
+        "panel_gauges": (f"SELECT f.facility_id, t.sensor_type, g.gauge_value FROM (VALUES ('facility_A'), ('facility_B')) f(facility_id) "
+                         f"CROSS JOIN (VALUES {', '.join(f"('{t}')" for t in SENSOR_TYPES)}) t(sensor_type) "
+                         f"LEFT JOIN {gauges_sql(live)} g USING (facility_id, sensor_type)"),
+        "panel_anomalies": (f"SELECT facility_id, sensor_id, sensor_type, value, recorded_at FROM {live} l "
+                            f"WHERE is_anomaly = true ORDER BY recorded_at DESC NULLS FIRST, facility_id, "
+                            f"sensor_id LIMIT {Q.TOP_N_ANOMALIES}"),
         "upsert_gold": f"SELECT * FROM {merge_sql(gold1, gold2, ['facility_id', 'window_start'], SERVING, SERVING[4:])} m",
         "live_gauges": f"SELECT * FROM {gauges_sql(live)} g",
         "climate_trends": trends,

@@ -19,7 +19,10 @@ FACT_VIEW = "fct_30min_climate"
 PANEL_SQL = {
     # One gauge: mean of a facility's non-anomalous live values of one type.
     "gauge": f"""
-        SELECT ROUND(AVG(value), :scale) AS gauge_value
+        SELECT CASE WHEN COUNT(TRY_CAST(value AS DECIMAL(38, 18))) = COUNT(NULLIF(value, DOUBLE('NaN')))
+                     AND TRY_SUM(TRY_CAST(value AS DECIMAL(38, 18))) IS NOT NULL
+               THEN CAST(ROUND(TRY_SUM(TRY_CAST(value AS DECIMAL(38, 18))) / COUNT(TRY_CAST(value AS DECIMAL(38, 18))), :scale) AS DOUBLE)
+               ELSE ROUND(AVG(NULLIF(value, DOUBLE('NaN'))), :scale) END AS gauge_value
         FROM {LIVE_VIEW}
         WHERE facility_id = :facility AND sensor_type = :sensor_type AND is_anomaly = false""",
     # One trend panel: a fact column over the trailing hours before :as_of.

@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.constants import FACILITIES
-from verdant.functions.columns import iso_string, ntz_literal
+from verdant.constants import GAUGE_SCALES, SCORE_BANDS
+from verdant.functions.columns import band_label, iso_string, ntz_literal
 from verdant.operators.climate import (GOLD_COLUMNS, SCORED_TYPES, SERVING_COLUMNS, build_gold,
                                        climate_by_window, climate_score, crop_score, pivot_climate,
                                        vpd_by_window, vpd_pairs, zone_spread)
@@ -26,9 +26,14 @@ from verdant.sources.fixture import load_readings
 from verdant.sources.messages import envelopes_from_readings, message_struct
 from verdant.sources.payloads import parse_payloads, payloads_from_readings
 from verdant.session import scratch_path
-from verdant.sources.tables import select_run, spread_input, union_facilities
-from verdant.streaming.bronze import start_bronze
+from verdant.sources.tables import facility_frames, read_table, select_run, spread_input, union_facilities
+from verdant.sinks.tables import write_partitions, write_topics
+from verdant.streaming.bronze import BRONZE_PARTITIONS, quarantine_of, start_bronze
 from verdant.streaming.live import start_live
+from verdant.plans.gold import run_gold
+from verdant.plans.panels import panel, register_serving_views
+from verdant.plans.silver import run_silver
+from verdant.schemas import MESSAGE_SCHEMA, VPD_SCHEMA
 
 # Fixed query parameters (shared with the oracle SQL).
 RUN_START = "2024-01-09 22:30:00"
@@ -39,6 +44,7 @@ SECOND_BATCH_TO = "2024-01-21 00:00:00"    # upsert_live: second batch = event_t
 GOLD_RUN1_TO = "2024-01-21 00:00:00"       # upsert_gold: first run = days 1..20
 GOLD_RUN2_FROM = "2024-01-15 00:00:00"     # upsert_gold: second run = days 15..30
 TOP_N_ANOMALIES = 20
+BROKER_PARTITIONS = 3                      # live_stream: partitions the messages are spread over
 POLL_UNIT = "day"                          # peer group = (facility, type, event day)
 
 
@@ -125,10 +131,22 @@ def q_json_decode(spark, sf_dir):
     return _decoded(spark, sf_dir)
 
 
-def _land_envelopes(spark, sf_dir) -> str:
-    """Envelopes derived from ``events``, landed as files for a file stream."""
+def _land_envelopes(spark, sf_dir, broken: bool = False) -> str:
+    """Envelopes derived from ``events``, landed as files for a file stream.
+
+    With ``broken`` some messages are cut short, empty, or name no facility.
+    """
     path = scratch_path(spark, "landing")
-    envelopes_from_readings(spread_input(_readings(spark, sf_dir))).write.parquet(path)
+    readings = spread_input(_readings(spark, sf_dir))
+    if broken:
+        n = F.col("event_id")
+        readings = readings.withColumn("facility_id", F.when(n % 41 != 5, F.col("facility_id")))
+    env = envelopes_from_readings(readings, BROKER_PARTITIONS)
+    if broken:
+        n = F.pmod("offset", F.lit(1_000_000_007))
+        text = F.col("value").cast("string")
+        env = env.withColumn("value", F.when(n % 31 == 3, F.substring(text, 1, 25)).when(n % 37 != 4, text).cast("binary"))
+    env.write.parquet(path)
     return path
 
 
@@ -143,8 +161,25 @@ def q_bronze_landing(spark, sf_dir):
     return spark.read.parquet(bronze)
 
 
+def q_quarantine(spark, sf_dir):
+    """The Bronze job over a topic with broken messages: what landed beside the table, by reason.
+
+    ``n_landed`` counts the messages of the topic that reached the table.
+    """
+    source = _land_envelopes(spark, sf_dir, broken=True)
+    bronze = scratch_path(spark, "bronze")
+    for q in start_bronze(spark, bronze, scratch_path(spark, "bronze-ckpt"), fmt="parquet",
+                          source_path=source, trigger="availableNow", landing_col="landed_at"):
+        q.awaitTermination()
+    raw = F.when(F.col("reason") == "no_facility", F.get_json_object("raw_value", "$.sensor_id")).otherwise(F.col("raw_value"))
+    bad = spark.read.parquet(quarantine_of(bronze)).select("source_topic", raw.alias("raw_value"), "reason")
+    landed = (spark.read.parquet(bronze).groupBy("source_topic").agg(F.count(F.lit(1)).alias("n"))
+              .select("source_topic", F.concat(F.lit("landed "), F.col("n").cast("string")).alias("raw_value"), F.lit("none").alias("reason")))
+    return bad.unionByName(landed)
+
+
 def q_live_stream(spark, sf_dir):
-    """The live path end to end: file stream -> per-batch latest -> keyed merge."""
+    """The live path end to end: messages of several broker partitions -> per-batch latest -> keyed merge."""
     source = _land_envelopes(spark, sf_dir)
     live = scratch_path(spark, "live")
     q = start_live(spark, live, scratch_path(spark, "live-ckpt"), fmt="parquet", source_path=source,
@@ -180,6 +215,18 @@ def q_topic_route(spark, sf_dir):
                                      F.count_distinct("sensor_id").alias("n_sensors"))
 
 
+def q_topic_sink(spark, sf_dir):
+    """Messages written to their topics and read back: key and the fields of the JSON text."""
+    path = scratch_path(spark, "topics")
+    msgs = message_struct(spread_input(_readings(spark, sf_dir))).withColumn(
+        "sensor_type", F.regexp_replace("source_topic", r"^sensors\.", ""))
+    write_topics(route_topics(msgs), fmt="parquet", path=path)
+    back = spark.read.parquet(path)
+    d = F.from_json("value", MESSAGE_SCHEMA)
+    return back.select(F.col("topic"), "key", *[d[c].alias(c) for c in MESSAGE_SCHEMA.names],
+                       F.array_join(F.json_object_keys("value"), ",").alias("json_fields"))
+
+
 def q_payload_flatten(spark, sf_dir):
     docs = payloads_from_readings(spread_input(_readings(spark, sf_dir)))
     return flatten_payload(parse_payloads(docs, keep=["landed_at"]), ingested_at=iso_string("landed_at"))
@@ -197,9 +244,7 @@ def q_run_window_select(spark, sf_dir):
 
 
 def q_facility_union(spark, sf_dir):
-    r = _readings(spark, sf_dir)
-    parts = [r.where(F.col("facility_id") == fac) for fac in FACILITIES]
-    return union_facilities(parts)
+    return union_facilities(facility_frames(_readings(spark, sf_dir)))
 
 
 def _peer_input(spark, sf_dir):
@@ -240,35 +285,67 @@ GOLD_VALUE_COLS = [c for c in SERVING_COLUMNS if c not in ("facility_id", "windo
                                                            "growth_week")]
 
 
-def q_serving_climate(spark, sf_dir):
-    """The job chain end to end on written tables: Bronze -> Silver run ->
-    Gold run (VPD, facts and serving merges); returns the serving table.
-
-    One Silver run and one Gold run cover every landed hour and every event
-    window: the span is taken from the data (one tiny min/max job).
-    """
+def _lake(spark, readings: DataFrame) -> tuple[str, object, object]:
+    """Bronze and Silver of all readings as written tables: (folder, first landed hour, end)."""
     from datetime import timedelta
 
-    from verdant.plans.gold import run_gold
-    from verdant.plans.silver import run_silver
-    from verdant.sinks.tables import write_partitions
-    from verdant.streaming.bronze import BRONZE_PARTITIONS
-
     lake = scratch_path(spark, "lake")
-    good, _ = decode_messages(envelopes_from_readings(spread_input(_readings(spark, sf_dir))),
-                              landing_col="landed_at")
+    good, _ = decode_messages(envelopes_from_readings(spread_input(readings)), landing_col="landed_at")
     write_partitions(good, f"{lake}/bronze", BRONZE_PARTITIONS)
     span = (spark.read.parquet(f"{lake}/bronze")
             .agg(F.min(F.date_trunc("hour", "bronze_landed_at")).alias("lo"), F.max("bronze_landed_at").alias("hi"))
             .first())
-    start = span["lo"] - timedelta(hours=1)
-    end = span["hi"] + timedelta(hours=1)
+    start, end = span["lo"], span["hi"] + timedelta(hours=1)
     run_silver(spark, f"{lake}/bronze", f"{lake}/silver", start, end)
-    run_gold(spark, f"{lake}/silver", f"{lake}/gold", f"{lake}/vpd", f"{lake}/serving", start, end,
-             lateness=timedelta(0))
+    return lake, start, end
+
+
+def _gold(spark, lake: str, start, end) -> None:
+    run_gold(spark, f"{lake}/silver", f"{lake}/gold", f"{lake}/vpd", f"{lake}/serving", start, end)
+
+
+def q_serving_climate(spark, sf_dir):
+    """The job chain end to end on written tables: Bronze -> Silver run ->
+    Gold run (VPD, facts and serving replaced); returns the serving table.
+
+    One Silver run and one Gold run cover every landed hour and every event
+    window: the span is taken from the data (one tiny min/max job).
+    """
+    lake, start, end = _lake(spark, _readings(spark, sf_dir))
+    _gold(spark, lake, start, end)
     return spark.read.parquet(f"{lake}/serving").select(*SERVING_COLUMNS)
 
 
+def odd_readings(spark, sf_dir) -> DataFrame:
+    """The readings with repeated messages, NULL growth weeks and readings that land 3 hours late."""
+    r = _readings(spark, sf_dir)
+    n = F.col("event_id")
+    late = F.make_dt_interval(F.lit(0), F.when(n % 23 == 3, 3).otherwise(0), F.lit(0), F.lit(0))
+    copies = F.when(n % 29 == 4, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return (r.withColumn("growth_week", F.when(n % 19 != 5, F.col("growth_week")))
+             .withColumn("landed_at", F.col("landed_at") + late)
+             .withColumn("copy", F.explode(copies)).drop("copy"))
+
+
+def _odd_lake(spark, sf_dir) -> str:
+    """Two Gold runs over odd readings: the first half, then all but the first quarter."""
+    lake, start, end = _lake(spark, odd_readings(spark, sf_dir))
+    step = (end - start) / 4
+    for lo, hi in ((start, start + 2 * step), (start + step, end)):
+        _gold(spark, lake, lo, hi)
+    return lake
+
+
+def q_vpd_table(spark, sf_dir):
+    """The written VPD table after several runs over repeated, late and mistyped messages."""
+    return read_table(spark, f"{_odd_lake(spark, sf_dir)}/vpd", VPD_SCHEMA).drop("date", "hour")
+
+
+def q_gold_facts(spark, sf_dir):
+    """The written fact table after several runs over repeated, late and mistyped messages."""
+    return spark.read.parquet(f"{_odd_lake(spark, sf_dir)}/gold").select(*GOLD_COLUMNS)
+
+
 def q_upsert_gold(spark, sf_dir):
     r = _readings(spark, sf_dir)
     run1 = build_gold(classify_anomalies(r.where(F.col("event_ts") < ntz_literal(GOLD_RUN1_TO))))
@@ -310,6 +387,27 @@ def q_threshold_band(spark, sf_dir):
     return threshold_band(live_gauges(_live(spark, sf_dir)))
 
 
+def q_score_band(spark, sf_dir):
+    """The score panel's band of each fact."""
+    return climate_score(_wide(spark, sf_dir)).select("facility_id", "window_start", "climate_score",
+                                                      band_label("climate_score", SCORE_BANDS).alias("band"))
+
+
+def q_panel_gauges(spark, sf_dir):
+    """Every gauge panel's SQL over the live view, one statement a panel."""
+    register_serving_views(live=_live(spark, sf_dir))
+    rows = [panel(spark, "gauge", facility=f, sensor_type=t, scale=s)
+            .select(F.lit(f).alias("facility_id"), F.lit(t).alias("sensor_type"), "gauge_value")
+            for f in ("facility_A", "facility_B") for t, s in GAUGE_SCALES.items()]
+    return union_facilities(rows)
+
+
+def q_panel_anomalies(spark, sf_dir):
+    """The current-anomalies panel's SQL over the live view."""
+    register_serving_views(live=_live(spark, sf_dir))
+    return panel(spark, "current_anomalies", n=TOP_N_ANOMALIES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sensor_stats": q_sensor_stats,
     "anomaly_classify": q_anomaly_classify,
@@ -342,6 +440,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "climate_trends": q_climate_trends,
     "current_anomalies": q_current_anomalies,
     "threshold_band": q_threshold_band,
+    "quarantine": q_quarantine,
+    "topic_sink": q_topic_sink,
+    "vpd_table": q_vpd_table,
+    "gold_facts": q_gold_facts,
+    "score_band": q_score_band,
+    "panel_gauges": q_panel_gauges,
+    "panel_anomalies": q_panel_anomalies,
 }
 
 __all__ = ["QUERIES"]

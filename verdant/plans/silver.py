@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdant.operators.decode import type_readings
-from verdant.operators.quality import classify_anomalies
+from verdant.operators.quality import SENSOR_KEYS, classify_anomalies
+from verdant.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from verdant.session import ensure_session
 from verdant.sinks.tables import write_partitions
 from verdant.sources.tables import read_table, select_run
 
 SILVER_PARTITIONS = ("facility_id", "date", "hour")
+#: Sensor statistics of a run: per landing hour, so a class does not depend on the span of the run.
+RUN_STAT_KEYS = (*SENSOR_KEYS, "date", "hour")
 
 
 def silver_frame(bronze: DataFrame, start: datetime | str, end: datetime | str) -> DataFrame:
@@ -21,31 +24,22 @@ def silver_frame(bronze: DataFrame, start: datetime | str, end: datetime | str)
 
     A run owns whole landing-hour partitions, so rerunning it (or running the
     next half hour of the same hour) replaces them completely: no duplicates
-    and no half-processed hours.  Sensor statistics span the run's input.
+    and no half-processed hours.  Sensor statistics span one landing hour:
+    one long run classifies like the hourly runs it stands for.
+    ``event_date`` serves the Gold run's search by event time.
     """
     run = select_run(bronze, start, end, landed_col="bronze_landed_at", whole_partitions=True)
-    typed = type_readings(run)
-    return (classify_anomalies(typed)
-            .withColumn("silver_processed_at", F.current_timestamp().cast("timestamp_ntz")))
-
-
-def empty_bronze(spark: SparkSession) -> DataFrame:
-    """An empty Bronze table (the decoded message schema + landing columns)."""
-    from verdant.operators.decode import decode_messages
-    from verdant.schemas import ENVELOPE_SCHEMA
-    good, _ = decode_messages(spark.createDataFrame([], ENVELOPE_SCHEMA), landing_col="landed_at")
-    return good
-
-
-def empty_silver(spark: SparkSession) -> DataFrame:
-    return silver_frame(empty_bronze(spark), "1970-01-01 00:00:00", "1970-01-01 01:00:00")
+    out = (classify_anomalies(type_readings(run), keys=RUN_STAT_KEYS)
+           .withColumn("silver_processed_at", F.current_timestamp().cast("timestamp_ntz"))
+           .withColumn("event_date", F.to_date("event_ts")))
+    return out.select(*SILVER_SCHEMA.names)
 
 
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, start: datetime | str,
                end: datetime | str) -> DataFrame:
     """Build and write the Silver partitions of one run; returns them as read back."""
     ensure_session(spark)
-    silver = silver_frame(read_table(spark, bronze_path, empty=empty_bronze(spark)), start, end)
+    silver = silver_frame(read_table(spark, bronze_path, BRONZE_SCHEMA), start, end)
     write_partitions(silver, silver_path, SILVER_PARTITIONS)
-    return select_run(read_table(spark, silver_path, empty=silver), start, end, landed_col="bronze_landed_at",
+    return select_run(read_table(spark, silver_path, SILVER_SCHEMA), start, end, landed_col="bronze_landed_at",
                       whole_partitions=True)

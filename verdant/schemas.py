@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# One reading as it travels on a topic (all fields nullable).
+# --- Fixed values: one reading as it travels on a topic (all fields nullable).
 MESSAGE_SCHEMA = T.StructType([
     T.StructField("sensor_id", T.StringType(), True),
     T.StructField("value", T.DoubleType(), True),
@@ -28,6 +28,8 @@ ENVELOPE_SCHEMA = T.StructType([
     T.StructField("value", T.BinaryType(), True),
     T.StructField("offset", T.LongType(), True),
     T.StructField("landed_at", T.TimestampNTZType(), True),
+    T.StructField("key", T.BinaryType(), True),
+    T.StructField("partition", T.IntegerType(), True),
 ])
 
 PAYLOAD_READING = T.StructType([
@@ -56,13 +58,38 @@ PAYLOAD_SCHEMA = T.StructType([
     T.StructField("readings", T.MapType(T.StringType(), PAYLOAD_GROUP, True), True),
 ])
 
-# Serving table of the latest value per sensor.
-LIVE_SCHEMA = T.StructType([
-    T.StructField("facility_id", T.StringType(), True),
-    T.StructField("sensor_id", T.StringType(), True),
+# Tables of the jobs, partition columns included: declared, so that folder
+# names are never type-inferred.
+_LANDING = [
+    T.StructField("source_topic", T.StringType(), True),
+    T.StructField("bronze_landed_at", T.TimestampNTZType(), True),
+    T.StructField("date", T.DateType(), True),
+    T.StructField("hour", T.IntegerType(), True),
+]
+BRONZE_SCHEMA = T.StructType([*MESSAGE_SCHEMA.fields, *_LANDING])
+
+SILVER_SCHEMA = T.StructType([
+    *[T.StructField(f.name, T.TimestampNTZType() if f.name == "ingested_at" else f.dataType, True)
+      for f in MESSAGE_SCHEMA.fields if f.name != "timestamp"],
+    *_LANDING,
+    T.StructField("event_ts", T.TimestampNTZType(), True),
     T.StructField("sensor_type", T.StringType(), True),
-    T.StructField("value", T.DoubleType(), True),
-    T.StructField("unit", T.StringType(), True),
+    T.StructField("anomaly_type", T.StringType(), True),
     T.StructField("is_anomaly", T.BooleanType(), True),
-    T.StructField("recorded_at", T.TimestampNTZType(), True),
+    T.StructField("silver_processed_at", T.TimestampNTZType(), True),
+    T.StructField("event_date", T.DateType(), True),
+])
+
+VPD_SCHEMA = T.StructType([
+    T.StructField("facility_id", T.StringType(), True),
+    T.StructField("temperature_sensor_id", T.StringType(), True),
+    T.StructField("humidity_sensor_id", T.StringType(), True),
+    T.StructField("event_ts", T.TimestampNTZType(), True),
+    T.StructField("humidity_ts", T.TimestampNTZType(), True),
+    T.StructField("temperature", T.DoubleType(), True),
+    T.StructField("humidity", T.DoubleType(), True),
+    T.StructField("vpd_kpa", T.DoubleType(), True),
+    T.StructField("window_start", T.TimestampNTZType(), True),
+    T.StructField("date", T.DateType(), True),
+    T.StructField("hour", T.IntegerType(), True),
 ])

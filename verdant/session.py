@@ -73,9 +73,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/verdant/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_dir(path: str) -> str:
-    """Strip a ``file:`` scheme (for os-level checks in tests only)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-__all__ = ["ensure_session", "build_session", "checkpoint_root", "scratch_path", "local_dir"]
+__all__ = ["ensure_session", "build_session", "checkpoint_root", "scratch_path"]

@@ -1,4 +1,4 @@
-"""Partitioned Parquet tables: idempotent partition writes and keyed merges.
+"""Partitioned Parquet tables: idempotent partition writes, merges, window replacement.
 
 Parquet with dynamic partition overwrite stands in for a transactional table
 format: a run replaces exactly the partitions it owns, so a retry or rerun
@@ -13,14 +13,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
 from verdant.operators.serving import merge_upsert
 from verdant.sources.messages import kafka_guard
-
-# Most partitions a merge names explicitly (a prunable OR of partition values);
-# beyond it a semi join on the partition columns selects them.
-MAX_LISTED_PARTITIONS = 1_000
+from verdant.sources.tables import path_exists, read_table
 
 
 def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], fmt: str = "parquet") -> None:
@@ -39,7 +36,7 @@ def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], fm
 
 def write_topics(df: DataFrame, fmt: str = "kafka", path: str | None = None,
                  options: dict | None = None) -> None:
-    """Rows of (topic, value) to a topic sink; the row's ``topic`` routes it.
+    """Rows of (topic, key, value) to a topic sink; the row's ``topic`` routes it.
 
     ``fmt="kafka"`` writes to the broker; a file format writes one folder per
     topic (tests, replay).
@@ -51,17 +48,20 @@ def write_topics(df: DataFrame, fmt: str = "kafka", path: str | None = None,
         w.mode("append").format(fmt).partitionBy("topic").save(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """A readable table at ``path`` (checked on the file system first, quietly)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    if not hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath):
-        return False
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except AnalysisException:          # a folder without data files yet
-        return False
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+
+
+def _in_partitions(current: DataFrame, touched: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """The rows of the touched partitions.
+
+    The least and greatest touched values prune partitions at the scan (one
+    row is collected), a semi join then keeps exactly the touched ones.
+    """
+    ends = touched.agg(*[f(c).alias(f"{n}_{c}") for c in partition_cols for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    for c in partition_cols:
+        current = current.where(F.col(c).between(F.lit(ends[f"lo_{c}"]), F.lit(ends[f"hi_{c}"])))
+    return current.join(touched, list(partition_cols), "left_semi")
 
 
 def merge_into_table(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
@@ -74,41 +74,55 @@ def merge_into_table(spark: SparkSession, path: str, updates: DataFrame, keys: S
     rest of the table is untouched.  The merged partitions are checkpointed
     to the shared checkpoint folder before the overwrite, which cuts their
     lineage from the files being replaced (and survives executor loss).
-    Partition columns must be functions of the key.  The updates are
-    materialised once (they feed both the partition listing and the merge),
-    unless the caller passes ``materialized=True`` for an already cut lineage.
-    Returns the merged rows.
+    Partition columns must be functions of the key and not NULL.  The updates
+    are materialised once (they feed both the partition listing and the
+    merge), unless the caller passes ``materialized=True`` for an already cut
+    lineage.  Returns the merged rows.
     """
     if not materialized:
         updates = updates.checkpoint(eager=True)
-    if not _exists(spark, path):
-        keep = [c for c in updates.columns if c not in _order_list(order_by) or c == newer_than]
-        merged = merge_upsert(updates.limit(0).select(*keep),
-                              updates, keys, update_cols, order_by, newer_than)
-    else:
-        current = spark.read.parquet(path)
-        touched = updates.select(*partition_cols).distinct()
-        listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
-        if len(listed) <= MAX_LISTED_PARTITIONS:
-            cond = F.lit(False)
-            for row in listed:
-                one = F.lit(True)
-                for c in partition_cols:
-                    one = one & (F.col(c).eqNullSafe(F.lit(row[c])))
-                cond = cond | one
-            current = current.where(cond)       # partition pruning at the scan
-        else:
-            current = current.join(touched, list(partition_cols), "left_semi")
-        current = current.select(*[c for c in current.columns])
-        cols = [c for c in current.columns]
-        merged = merge_upsert(current, updates.select(*cols, *[c for c in _order_list(order_by)
-                                                                if c not in cols]),
-                              keys, update_cols, order_by, newer_than)
-    merged = merged.checkpoint(eager=True)
+    keep = [c for c in updates.columns if c not in _order_list(order_by) or c == newer_than]
+    current = read_table(spark, path, _nullable(updates.select(*keep).schema))
+    if path_exists(spark, path):
+        current = _in_partitions(current, updates.select(*partition_cols).distinct(), partition_cols)
+    merged = merge_upsert(current, updates, keys, update_cols, order_by, newer_than).checkpoint(eager=True)
     write_partitions(merged, path, partition_cols)
     return merged
 
 
+def replace_windows(spark: SparkSession, path: str, rows: DataFrame, windows: DataFrame, keys: Sequence[str],
+                    partition_cols: Sequence[str]) -> DataFrame:
+    """Replace all rows of whole windows of a table by ``rows``; returns ``rows`` as cut from their lineage.
+
+    ``windows`` holds the replaced windows (``keys`` and ``partition_cols``,
+    which are functions of the keys); rows of other windows of the same
+    partitions are kept.  A window that produces nothing any more loses its
+    old rows, and a partition left without rows is deleted.  Rerunning the
+    same windows leaves the same table, however often their inputs repeat.
+    """
+    rows = rows.checkpoint(eager=True)
+    touched = windows.select(*partition_cols).distinct()
+    if path_exists(spark, path):
+        current = _in_partitions(read_table(spark, path, _nullable(rows.schema)), touched, partition_cols)
+        merged = current.join(windows.select(*keys), list(keys), "left_anti").select(*rows.columns).union(rows).checkpoint(eager=True)
+    else:
+        merged = rows
+    write_partitions(merged, path, partition_cols)
+    gone = touched.join(merged.select(*partition_cols).distinct(), list(partition_cols), "left_anti")
+    _delete_partitions(spark, path, gone, partition_cols)
+    return rows
+
+
+def _delete_partitions(spark: SparkSession, path: str, partitions: DataFrame, cols: Sequence[str]) -> None:
+    """Remove the folders of partitions that lost all their rows (a run's partitions at most)."""
+    jvm = spark.sparkContext._jvm
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for r in partitions.select(*[F.col(c).cast("string") for c in cols]).toLocalIterator():
+        folder = jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *[f"{c}={escape(r[c])}" for c in cols]]))
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 def _order_list(order_by) -> list[str]:
     if order_by is None:
         return []

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdant.constants import TOPIC_MAP
-from verdant.functions.columns import iso_string, unit_of_sensor_type
+from verdant.functions.columns import iso_string, message_key, unit_of_sensor_type
 from verdant.schemas import ENVELOPE_SCHEMA
 
 
@@ -34,15 +34,16 @@ def read_messages(spark: SparkSession, fmt: str, options: Mapping[str, str] | No
 
     ``fmt="kafka"`` uses the Kafka source (``subscribe``; offsets from
     ``options``, e.g. ``startingOffsets``); progress lives in the streaming
-    checkpoint.  Any file format (``parquet``, ``json``) reads envelope files
-    with the columns ``topic, value, offset, landed_at`` from ``path`` and
+    checkpoint, and the broker's timestamp is ``landed_at``.  Any file format (``parquet``, ``json``) reads envelope files
+    with the columns of ``ENVELOPE_SCHEMA`` from ``path`` and
     keeps the subscribed topics.
     """
     opts = dict(options or {})
     reader = spark.readStream if stream else spark.read
     if fmt == "kafka":
         return kafka_guard(lambda: reader.format("kafka").option("subscribe", ",".join(topics))
-                           .options(**opts).load())
+                           .options(**opts).load()
+                           .withColumn("landed_at", F.col("timestamp").cast("timestamp_ntz")))
     df = reader.format(fmt).schema(ENVELOPE_SCHEMA).options(**opts).load(path)
     return df.where(F.col("topic").isin(list(topics)))
 
@@ -64,16 +65,22 @@ def message_struct(readings: DataFrame) -> DataFrame:
     )
 
 
-def envelopes_from_readings(readings: DataFrame) -> DataFrame:
-    """Readings -> message envelopes (topic, JSON bytes, offset, landed_at).
+def envelopes_from_readings(readings: DataFrame, partitions: int = 1) -> DataFrame:
+    """Readings -> message envelopes (topic, JSON bytes, offset, landed_at, key, partition).
 
-    The offset is the reading's arrival order.  A projection: no shuffle.
+    Messages are spread over ``partitions`` by their key, as a broker does;
+    offsets grow by arrival within a partition and are not comparable across
+    partitions (each starts at a place of its own).  A projection: no shuffle.
     """
     msg = message_struct(readings)
     fields = [c for c in msg.columns if c not in ("source_topic", "event_id", "landed_at")]
+    key = message_key()
+    partition = F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int")
     return msg.select(
         F.col("source_topic").alias("topic"),
         F.to_json(F.struct(*[F.col(c) for c in fields])).cast("binary").alias("value"),
-        F.col("event_id").alias("offset"),
+        (F.col("event_id") + partition * F.lit(1_000_000_007)).alias("offset"),
         F.col("landed_at").cast("timestamp_ntz").alias("landed_at"),
+        key.cast("binary").alias("key"),
+        partition.alias("partition"),
     )

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdant.constants import FACILITIES
-from verdant.functions.columns import iso_string, unit_of_sensor_type
+from verdant.functions.columns import iso_string, mean_parts, rounded_mean, unit_of_sensor_type
+from verdant.operators.quality import peer_outliers
 from verdant.schemas import PAYLOAD_SCHEMA
 
 
@@ -23,24 +24,31 @@ def parse_payloads(df: DataFrame, text_col: str = "payload", keep: list[str] | N
 
 
 def payloads_from_readings(readings: DataFrame) -> DataFrame:
-    """Each reading wrapped as a poll document (JSON text in ``payload``).
+    """Readings as poll documents (JSON text in ``payload``): one per facility and minute.
 
-    One document per reading keeps the build a projection (no grouping).
+    A document holds a group per sensor type, with its sensors (flagged
+    against their peers of the poll) and the group's aggregate fields;
+    ``landed_at`` is that of its last reading.  A poll is small (the sensors
+    of one facility), so its readings are collected into its document.
     """
     loc = F.lit(None).cast("string")
     for fac, info in FACILITIES.items():
         loc = F.when(F.col("facility_id") == fac, F.lit(info["location"])).otherwise(loc)
+    poll = F.date_trunc("minute", "event_ts").cast("timestamp_ntz")
+    keys = ("facility_id", "crop_type", "growth_week", "sensor_type", "poll_ts")
+    flagged = peer_outliers(readings.withColumn("poll_ts", poll), keys)
     reading = F.struct(
         F.col("sensor_id"), F.col("value"), unit_of_sensor_type("sensor_type").alias("unit"),
-        iso_string("event_ts").alias("timestamp"), F.lit(False).alias("is_peer_outlier"),
-        F.lit(None).cast("double").alias("peer_deviation"))
-    group = F.struct(
-        F.array(reading).alias("sensors"),
-        F.round(F.col("value"), 2).alias("facility_aggregate"),
-        F.lit(1).alias("sensor_count"),
-        F.when(F.col("value").isNull(), F.lit(0)).otherwise(F.lit(1)).alias("healthy_sensor_count"))
-    doc = F.struct(
-        F.col("facility_id"), F.col("crop_type"), F.col("growth_week"), loc.alias("location"),
-        iso_string("event_ts").alias("polled_at"),
-        F.create_map(F.col("sensor_type"), group).alias("readings"))
-    return readings.select(F.to_json(doc).alias("payload"), "landed_at")
+        iso_string("event_ts").alias("timestamp"), F.col("is_peer_outlier"), F.col("peer_deviation"))
+    healthy = F.col("value").isNotNull() & ~F.col("is_peer_outlier")
+    groups = flagged.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(reading)).alias("sensors"), *mean_parts(F.when(healthy, F.col("value"))),
+        F.count(F.lit(1)).cast("int").alias("sensor_count"), F.count_if(healthy).cast("int").alias("healthy_sensor_count"),
+        F.max("landed_at").alias("landed_at"))
+    group = F.struct("sensors", rounded_mean(2).alias("facility_aggregate"), "sensor_count", "healthy_sensor_count")
+    polls = groups.groupBy("facility_id", "crop_type", "growth_week", "poll_ts").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("sensor_type"), group.alias("group")))).alias("readings"),
+        F.max("landed_at").alias("landed_at"))
+    doc = F.struct("facility_id", "crop_type", "growth_week", loc.alias("location"),
+                   iso_string("poll_ts").alias("polled_at"), "readings")
+    return polls.select(F.to_json(doc).alias("payload"), "landed_at")

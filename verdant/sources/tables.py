@@ -2,36 +2,45 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
 from verdant.functions.columns import ntz_literal
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", empty: DataFrame | None = None) -> DataFrame:
-    """Read a table root; partition columns are discovered and typed.
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
-    A table that was never written (no folder, or no data files yet) yields
-    ``empty`` when given -- an empty frame of the table's schema -- so that a
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """Read a table root with its declared schema, partition columns included.
+
+    Declared types are not inferred from folder names, so a facility ``007``
+    stays text.  A table that was never written is an empty frame, so that a
     run over nothing returns an empty, correctly typed result.
     """
-    if empty is not None:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        if not hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath):
-            return empty
-        try:
-            return spark.read.format(fmt).load(path)
-        except AnalysisException:
-            return empty
-    return spark.read.format(fmt).load(path)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.format(fmt).schema(schema).load(path)
+
+
+def utc_time(value: datetime | str) -> datetime:
+    """A run bound as a UTC wall-clock time; ISO text or datetime, with any zone or none (UTC)."""
+    ts = datetime.fromisoformat(value) if isinstance(value, str) else value
+    return ts if ts.tzinfo is None else ts.astimezone(timezone.utc).replace(tzinfo=None)
 
 
-def _ts(value: datetime | str) -> datetime:
-    return datetime.fromisoformat(value) if isinstance(value, str) else value
+def run_bounds(start: datetime | str, end: datetime | str) -> tuple[datetime, datetime]:
+    """The half-open run window [start, end) in UTC; it must not be empty."""
+    lo, hi = utc_time(start), utc_time(end)
+    if lo >= hi:
+        raise ValueError(f"a run window must start before it ends: {start} .. {end}")
+    return lo, hi
 
 
 def partition_predicate(start: datetime, end: datetime, date_col: str = "date",
@@ -57,13 +66,11 @@ def select_run(df: DataFrame, start: datetime | str, end: datetime | str, landed
     ``whole_partitions`` every row of the overlapping partitions is kept, so
     a run owns (and may overwrite) whole partitions.
     """
-    start, end = _ts(start), _ts(end)
+    start, end = run_bounds(start, end)
     out = df.where(partition_predicate(start, end, date_col, hour_col))
     if whole_partitions:
         return out
-    lit_start = ntz_literal(start)
-    lit_end = ntz_literal(end)
-    return out.where((F.col(landed_col) >= lit_start) & (F.col(landed_col) < lit_end))
+    return out.where((F.col(landed_col) >= ntz_literal(start)) & (F.col(landed_col) < ntz_literal(end)))
 
 
 def union_facilities(frames: list[DataFrame]) -> DataFrame:
@@ -74,6 +81,15 @@ def union_facilities(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def facility_frames(df: DataFrame, col: str = "facility_id") -> list[DataFrame]:
+    """One frame per facility of the data (and one for rows without), in order of their names.
+
+    The list has an entry per facility, so it is small and collected.
+    """
+    names = [r[0] for r in df.select(col).distinct().orderBy(F.col(col).asc_nulls_last()).collect()]
+    return [df.where(F.col(col).eqNullSafe(F.lit(n))) for n in names] or [df]
+
+
 def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread a too-coarse input before CPU-heavy per-row work.
 

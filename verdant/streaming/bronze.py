@@ -31,6 +31,16 @@ def bounded_batches(fmt: str, options: Mapping[str, str] | None) -> dict[str, st
     return opts
 
 
+# Writers of one landing hour of a facility in a micro-batch: a live batch has
+# one hour, so few facilities would otherwise mean few writers.
+WRITERS_PER_PARTITION = 4
+
+
+def quarantine_of(path: str) -> str:
+    """Where messages that a table can't take go by default: a folder next to it."""
+    return f"{path.rstrip('/')}_quarantine"
+
+
 def bronze_stream(messages: DataFrame, landing_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Decode a message stream (or batch) into Bronze rows and quarantined rows."""
     return decode_messages(messages, landing_col=landing_col)
@@ -46,19 +56,19 @@ def start_bronze(spark: SparkSession, bronze_path: str, checkpoint: str, fmt: st
                  source_path: str | None = None, options: Mapping[str, str] | None = None,
                  topics: Sequence[str] = tuple(TOPIC_MAP.values()), trigger: str | None = "30 seconds",
                  quarantine_path: str | None = None, landing_col: str | None = None,
-                 writers_per_partition: int = 1) -> list[StreamingQuery]:
+                 writers_per_partition: int = WRITERS_PER_PARTITION) -> list[StreamingQuery]:
     """Start the Bronze landing stream(s).
 
     The Parquet file sink with a checkpoint is exactly-once per micro-batch
     (the upstream is at-least-once; no dedup, as in the original).  Rows are
-    grouped by the partition columns before the write, so each micro-batch
-    writes one file per (facility, date, hour) instead of one per task.
+    grouped by the partition columns and a salt before the write: each
+    micro-batch writes at most ``writers_per_partition`` files per (facility,
+    date, hour), by as many tasks.
     Micro-batches are bounded by the source's per-trigger limits
     (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``).  ``trigger`` is a
     processing-time interval, or ``"availableNow"`` for backfill and tests.
-    Malformed messages go to ``quarantine_path`` (a second query).
-    ``writers_per_partition > 1`` salts the grouping so that a hot facility's
-    rows of one micro-batch are written by that many tasks (and files).
+    Malformed messages go to ``quarantine_path`` (a second query; by default a
+    folder next to the table): every message lands in one of the two.
     """
     ensure_session(spark)
     opts = bounded_batches(fmt, options)
@@ -77,8 +87,7 @@ def start_bronze(spark: SparkSession, bronze_path: str, checkpoint: str, fmt: st
                  .option("path", bronze_path).option("checkpointLocation", f"{checkpoint}/bronze")
                  .partitionBy(*BRONZE_PARTITIONS).outputMode("append"), trigger).start()
     queries = [q]
-    if quarantine_path:
-        queries.append(_trigger(bad.writeStream.format("parquet").option("path", quarantine_path)
-                                .option("checkpointLocation", f"{checkpoint}/quarantine")
-                                .outputMode("append"), trigger).start())
+    queries.append(_trigger(bad.writeStream.format("parquet").option("path", quarantine_path or quarantine_of(bronze_path))
+                            .option("checkpointLocation", f"{checkpoint}/quarantine")
+                            .outputMode("append"), trigger).start())
     return queries

@@ -13,34 +13,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdant.constants import BAND_SECONDS, WINDOW_MINUTES
-from verdant.functions.columns import epoch_seconds, micro_units, rounded_mean, vpd_kpa
-from verdant.operators.climate import GROUP_KEYS
+from verdant.functions.columns import epoch_seconds, rounded_mean, vpd_kpa
+from verdant.operators.climate import CLIMATE_STATS, GROUP_KEYS, climate_aggregates
 
 
 def streaming_climate(silver: DataFrame, delay: str = "10 minutes", keys: Sequence[str] = GROUP_KEYS,
                       minutes: int = WINDOW_MINUTES, ts: str = "event_ts") -> DataFrame:
     """Watermarked 30-minute climate aggregate over a stream of Silver rows.
 
-    Same columns as ``climate_by_window``; rows later than ``delay`` behind
-    the watermark are dropped by the engine (documented trade-off).
+    Same columns as ``climate_by_window``.  The engine drops rows later than
+    ``delay`` behind the watermark; the Gold run repairs their windows, as it
+    recomputes every event window that a landed reading touches.
     """
-    clean_value = F.when(~F.col("is_anomaly"), F.col("value"))
-    n_all = F.count(F.lit(1))
-    n_bad = F.count_if(F.col("is_anomaly"))
     # Watermarks need zoned timestamps: event time is UTC wall clock, the
     # session zone is UTC, so the cast keeps the instant.
     return (silver.withColumn("__event_time", F.col(ts).cast("timestamp"))
                   .withWatermark("__event_time", delay)
                   .groupBy(*keys, F.window("__event_time", f"{int(minutes)} minutes").alias("w"),
                            "sensor_type")
-                  .agg(F.sum(micro_units(clean_value)).alias("__k"),
-                       F.round(F.stddev_samp(clean_value), 3).alias("zone_variance"),
-                       F.count(clean_value).alias("reading_count"),
-                       n_all.alias("n_all"), n_bad.alias("n_anomalous"),
-                       F.round(F.try_divide(n_bad.cast("double"), n_all), 4).alias("anomaly_rate"))
+                  .agg(*climate_aggregates())
                   .select(*keys, F.col("w.start").cast("timestamp_ntz").alias("window_start"), "sensor_type",
-                          rounded_mean("__k", "reading_count", 3).alias("avg_value"),
-                          "zone_variance", "reading_count", "n_all", "n_anomalous", "anomaly_rate"))
+                          rounded_mean(3).alias("avg_value"), *CLIMATE_STATS))
 
 
 def streaming_band_join(silver: DataFrame, delay: str = "2 minutes", seconds: int = BAND_SECONDS,
