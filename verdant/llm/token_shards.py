@@ -35,29 +35,35 @@ from verdant.llm.common import open_new, prepare, read_range, scratch_uri
 END_ID = 1
 #: Keys of one index bucket, on average.
 BUCKET_KEYS = 100_000
-#: Words whose ids an executor's worker remembers.
+#: Pre-tokens whose ids an executor's worker remembers: so many new ones, and as many of before.
 CACHE_WORDS = 400_000
+#: Characters of a text that are encoded at once.
+PART = 4_000_000
 #: Bits of a level's table per key that is still unplaced.
 GAMMA = 2.0
 
 _MAGIC = b"MPHI0001"
 _SPLIT = re.compile(r"[ \t\r\n\f\v]+")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
-# Words whose pre-tokens are plain to count: letters of ASCII and Latin-1,
-# ASCII digits, ASCII punctuation without the apostrophe.
+# Words whose pre-tokens are plain to find: letters of ASCII and Latin-1 in
+# runs, single ASCII digits, ASCII punctuation without the apostrophe in runs.
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
-_PLAIN = re.compile(rf"[{_LETTER}0-9!-&(-/:-@\[-`{{-~]+")
-_PRE_TOKENS = re.compile(rf"[{_LETTER}]+|[0-9]|[!-&(-/:-@\[-`{{-~]+")
+_PUNCTUATION = r"!-&(-/:-@\[-`{-~"
+_PLAIN = re.compile(rf"[{_LETTER}0-9{_PUNCTUATION}]+")
+_NOT_PLAIN = re.compile(rf"[^{_LETTER}0-9{_PUNCTUATION} \t\r\n\f\v]|<\|")
+_PRE_TOKENS = re.compile(rf"[{_LETTER}]+|[0-9]|[{_PUNCTUATION}]+")
+#: Marks a remembered word that is no plain pre-token.
+_WORD = "\0"
 
 
 class Encoder:
-    """``encode(text)`` = the library's ids of the whole text, word by word.
+    """``encode(text)`` = the library's ids of the whole text, piece by piece.
 
-    Only for tokenizers that drop white space and end every pre-token with an
-    end-of-word piece; then a text's ids are those of its space-separated words
-    one after the other.  Unknown words are encoded by the library, many at a
-    time: their ids are told apart by the end-of-word pieces, of which a plain
-    word has one per pre-token.  Other words are encoded on their own.
+    Only for tokenizers that drop white space, lower-case, and end every
+    pre-token with an end-of-word piece; then a text's ids are those of its
+    pre-tokens one after the other.  Unknown pre-tokens are encoded by the
+    library, many at a time, and told apart by their end-of-word pieces.  Words
+    whose pre-tokens are not plain to find are encoded whole and on their own.
     """
 
     def __init__(self, path: str):
@@ -67,13 +73,13 @@ class Encoder:
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         size = max(vocab.values()) + 1
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
-        model = self.tokenizer.model
-        self.suffix = getattr(model, "end_of_word_suffix", None)
+        self.suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = np.zeros(size, dtype=bool)
         if self.suffix:
             for piece, i in vocab.items():
                 self.ends[i] = piece.endswith(self.suffix)
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -81,48 +87,55 @@ class Encoder:
     def _bytes(self, ids) -> bytes:
         return np.asarray(ids, dtype=self.dtype).tobytes()
 
-    def learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known = {}
-        plain, counts, rest = [], [], []
-        for w in words:
-            if _PLAIN.fullmatch(w) and "<|" not in w:
-                plain.append(w)
-                counts.append(len(_PRE_TOKENS.findall(w)))
-            else:
-                rest.append(w)
-        for at in range(0, len(plain), 1000):
-            part = plain[at:at + 1000]
-            ids = np.array(self._ids([" ".join(part)])[0], dtype=np.int64)
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            last = np.cumsum(counts[at:at + 1000])
-            if len(ends) != last[-1]:                       # not as expected: one by one
-                rest += part
+    def _learn(self, keys: list[str]) -> None:
+        plain = [k for k in keys if k[0] != _WORD]
+        for at in range(0, len(plain), 2000):
+            part = plain[at:at + 2000]
+            ids = np.array(self._ids([" ".join(part)])[0], dtype=self.dtype)
+            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(ends) != len(part):                          # another pre-tokenizer: one by one
+                self.known |= {k: self._bytes(x) for k, x in zip(part, self._ids(part), strict=True)}
                 continue
-            cuts = [0, *ends[last - 1].tolist()]
-            small = ids.astype(self.dtype)
-            for w, a, b in zip(part, cuts, cuts[1:], strict=False):
-                self.known[w] = small[a:b].tobytes()
-        for w, ids in zip(rest, self._ids(rest), strict=True):
-            self.known[w] = self._bytes(ids)
+            for k, a, b in zip(part, [0, *ends], ends, strict=False):
+                self.known[k] = ids[a:b].tobytes()
+        words = [k for k in keys if k[0] == _WORD]
+        for k, ids in zip(words, self._ids([k[1:] for k in words]), strict=True):
+            self.known[k] = self._bytes(ids)
+
+    @staticmethod
+    def _keys(text: str) -> list[str]:
+        if not _NOT_PLAIN.search(text):
+            return _PRE_TOKENS.findall(text.lower())
+        out = []
+        for w in _SPLIT.split(text) if _ODD_SPACE.search(text) else text.split():
+            if _PLAIN.fullmatch(w) and "<|" not in w:
+                out += _PRE_TOKENS.findall(w.lower())
+            elif w:
+                out.append(_WORD + w)
+        return out
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian integers of ``dtype``."""
         if not self.suffix:
             return self._bytes(self._ids([text])[0])
-        words = _SPLIT.split(text) if _ODD_SPACE.search(text) else text.split()
-        known = self.known
-        new = {w for w in set(words) if w and w not in known}
+        if len(text) > PART:                                    # cut at a space
+            m = _SPLIT.search(text, PART)
+            if m:
+                return self.encode(text[:m.start()]) + self.encode(text[m.end():])
+        keys, known, before = self._keys(text), self.known, self.before
+        new = []
+        for k in set(keys):
+            if k not in known:
+                if k in before:
+                    known[k] = before[k]
+                else:
+                    new.append(k)
         if new:
-            if len(new) > CACHE_WORDS // 2:                 # a very long text: in parts
-                half = len(words) // 2
-                return self.encode(" ".join(words[:half])) + self.encode(" ".join(words[half:]))
-            self.learn(new)
-            known = self.known
-            if any(w not in known for w in set(words) if w):
-                self.learn({w for w in set(words) if w})
-                known = self.known
-        return b"".join([known[w] for w in words if w])
+            self._learn(new)
+        out = b"".join([known[k] for k in keys])
+        if len(known) > CACHE_WORDS:
+            self.known, self.before = {}, known
+        return out
 
 
 @lru_cache(maxsize=2)
