@@ -23,9 +23,9 @@ def brute(text, items, window):
 
 
 def longest(text, items):
-    w, best = text.split(), 0
+    w, best = d.words_of(text), 0
     for _, item in items:
-        iw = item.split()
+        iw = d.words_of(item)
         for p in range(len(w)):
             for j in range(len(iw)):
                 n = 0
@@ -48,7 +48,7 @@ def test_search_equals_brute_force(seed):
     for t, row in zip(texts, found, strict=True):
         assert (row[0], row[1], row[2]) == brute(t, items, 4)
         assert sum(b - a for a, b in row[3]) == row[1]
-        if row[1] and all(len(i.split()) >= 4 for _, i in items if i and "x" not in i):
+        if row[1]:
             assert row[4] == longest(t, items)
 
 

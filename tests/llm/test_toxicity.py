@@ -33,8 +33,9 @@ def test_automaton_equals_distances():
 
 def test_context_and_spellings():
     model = t.ToxicityModel(sorted(t.SEED_TERMS))
-    assert model.spans("You are an idoit and an 1d1ot")[0][2:4] == ("idiot", 2) or model.spans("You are an idot")[0][2:4] == ("idiot", 1)
-    assert [s[3] for s in model.spans("an id1ot")] == [0] or model.spans("an id1ot")[0][3] <= 1
+    assert [s[2:4] for s in model.spans("an idot, an idiott, a w0rthl3ss 1d1ot, lo$er")] == [
+        ("idiot", 1), ("idiot", 1), ("worthless", 2), ("idiot", 0), ("loser", 1)]
+    assert model.spans("an ideal iota of worth") == [] == model.spans("12345")
     quoted = model.spans('She reported that he wrote "idiot" on the wall')[0][4]
     abuse = model.spans("You are such an idiot")[0][4]
     assert quoted > 0.6 and abuse == 0

@@ -38,7 +38,7 @@ SEED_TERMS = ("idiot", "moron", "imbecile", "stupid", "worthless", "pathetic", "
 REPORT_WORDS = frozenset(("said", "says", "wrote", "writes", "called", "calls", "quote", "quoted", "quotes", "word", "words",
                           "term", "terms", "phrase", "slur", "insult", "insults", "alleged", "reported"))
 ADDRESS_WORDS = frozenset(("you", "your", "you're", "youre", "u", "yourself", "du", "dich", "tu", "toi", "vous", "tú", "usted"))
-LEET = str.maketrans("013457@$", "oleastas")
+LEET = (str.maketrans("013457@$", "oieastas"), str.maketrans("013457@$", "oleastas"))
 QUOTES = "\"“”„«»"
 
 _WORD = re.compile(r"[^\W_][\w@$]*")
@@ -155,7 +155,7 @@ class ToxicityModel:
             self._automaton = Automaton(self.terms)
         found = self._automaton.match(word)
         if found is None and _LEET.search(word) and not word.isdigit():
-            found = self._automaton.match(word.translate(LEET))
+            found = min(filter(None, (self._automaton.match(word.translate(t)) for t in LEET)), default=None)
         return None if found and found[0] and word in self.clean else found
 
     def hits(self, words: list[str]) -> dict[str, tuple[int, str]]:

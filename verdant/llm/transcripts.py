@@ -139,8 +139,8 @@ def _counts(conversations: list[list[tuple[str, str]]]) -> TranscriptModel:
 
 
 #: Without labelled conversations: a system turn may come first, then users and assistants alternate.
-_DEFAULT = [[("system", "be brief"), ("user", "what?"), ("assistant", "this"), ("user", "and?"), ("assistant", "that")],
-            [("user", "what?"), ("assistant", "this\nand more"), ("user", "why?"), ("assistant", "so\nbecause\nof it")]] * 3
+_DEFAULT = [[("system", "be brief\nand kind"), ("user", "what?"), ("assistant", "this"), ("user", "and\nwhy?"), ("assistant", "that")],
+            [("user", "what?\nit is\nodd"), ("assistant", "this\nand more"), ("user", "why?"), ("assistant", "so\nbecause\nof it")]] * 50
 
 
 def learn(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
