@@ -32,7 +32,7 @@ from verdant.streaming.bronze import BRONZE_PARTITIONS, quarantine_of, start_bro
 from verdant.streaming.live import start_live
 from verdant.plans.gold import run_gold
 from verdant.plans.panels import panel, register_serving_views
-from verdant.plans.silver import run_silver
+from verdant.plans.silver import SILVER_PARTITIONS, run_silver, silver_frame
 from verdant.schemas import MESSAGE_SCHEMA, VPD_SCHEMA
 
 # Fixed query parameters (shared with the oracle SQL).
@@ -328,8 +328,19 @@ def odd_readings(spark, sf_dir) -> DataFrame:
 
 
 def _odd_lake(spark, sf_dir) -> str:
-    """Two Gold runs over odd readings: the first half, then all but the first quarter."""
-    lake, start, end = _lake(spark, odd_readings(spark, sf_dir))
+    """Two Gold runs over odd readings: the first half, then all but the first quarter.
+
+    Silver is built from the decoded messages; their Bronze table is
+    ``bronze_landing``'s and ``serving_climate``'s part.
+    """
+    from datetime import timedelta
+
+    readings = odd_readings(spark, sf_dir)
+    span = readings.agg(F.min(F.date_trunc("hour", "landed_at")).alias("lo"), F.max("landed_at").alias("hi")).first()
+    start, end = span["lo"], span["hi"] + timedelta(hours=1)
+    lake = scratch_path(spark, "lake")
+    good, _ = decode_messages(envelopes_from_readings(spread_input(readings)), landing_col="landed_at")
+    write_partitions(silver_frame(good, start, end), f"{lake}/silver", SILVER_PARTITIONS)
     step = (end - start) / 4
     for lo, hi in ((start, start + 2 * step), (start + step, end)):
         _gold(spark, lake, lo, hi)
