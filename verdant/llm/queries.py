@@ -99,16 +99,13 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
-    """Per document: number and crc32 of the ids (comma-joined), and whether decoding gives the text back."""
+    """Per document: number and crc32 of the ids, and whether decoding gives the text back."""
     import public_tokenizers
 
     path = model or public_tokenizers.path("piece_bpe_32k.model")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = sentencepiece_fst.tokenize(docs, path, out="ids")
-    back = ids.withColumn("decoded", sentencepiece_fst.decode_column(path, F.col("ids")))
-    same = F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), sentencepiece_fst.SPACE, " ")
-    return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"),
-                       F.crc32(F.array_join("ids", ",").cast("binary")).alias("ids_crc32"), same.alias("round_trip"))
+    return (docs.withColumn("d", sentencepiece_fst.digest_column(path, F.col("text")))
+                .select("doc_id", "d.n_ids", "d.ids_crc32", "d.round_trip"))
 
 
 def op7_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +150,26 @@ select page_id, payload_bytes, payload_digest,
 from w
 """
 
+OP8_SQL = """
+with recursive v as (
+       select vec_id, cast(embedding as double[]) as e from embeddings
+       where vec_id is not null and embedding is not null and len(embedding) > 0
+         and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+         and len([x for x in embedding if x <> 0]) > 0),
+     links as (
+       select a.vec_id as a, b.vec_id as b from v a join v b
+       on a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.95),
+     reach as (select a as node, b as seen from links
+               union select r.node, l.b from reach r join links l on l.a = r.seen),
+     least as (select node, min(seen) as seen from reach group by node),
+     linked as (select a, count(*) as n from links group by a)
+select e.vec_id, cast(coalesce(n, 0) as bigint) as n_links, least(e.vec_id, coalesce(l.seen, e.vec_id)) as component_id,
+       e.vec_id = least(e.vec_id, coalesce(l.seen, e.vec_id)) as kept
+from embeddings e left join least l on l.node = e.vec_id left join linked k on k.a = e.vec_id
+"""
+
 LLM_ORACLE = {
+    "op8_projection": OP8_SQL,
     "op10_warc": OP10_SQL,
     "op4_decontaminate": OP4_SQL,
 }

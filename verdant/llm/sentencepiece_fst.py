@@ -14,13 +14,15 @@ along a path, the smallest wins) is the encoding.
   passes this test (see Berglund et al., "Constructing a BPE Tokenization DFA",
   2024), so one path of finite weight is left, and each prefix has one too.
 
-Where no piece continues over a word start, the lattice falls apart at word
-starts; words are then encoded once and remembered.
+Where no piece holds two neighbouring characters, the lattice falls apart
+between them.  Texts are cut there (before words, and between letters and
+punctuation), and the parts are encoded once and remembered.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,9 +34,13 @@ from pyspark.sql import functions as F
 from verdant.llm.common import free_name, prepare
 
 SPACE = "▁"
-#: Words whose ids, and pairs of pieces whose weight, a worker remembers.
-CACHE_WORDS = 300_000
-CACHE_PAIRS = 1_000_000
+#: Parts of texts whose ids a worker remembers (so many new ones, and as many of before), and pairs of pieces.
+CACHE_WORDS = 250_000
+CACHE_PAIRS = 500_000
+#: Texts whose ids leave a worker at once.
+ROWS_OUT = 500
+#: Characters of a text that are encoded at once, where it can be cut.
+PART = 4_000_000
 INFINITY = float("inf")
 
 
@@ -77,10 +83,9 @@ class Transducer:
             for c in piece[:-1]:
                 node = node.setdefault(c, [-1, {}])[1]
             node.setdefault(piece[-1], [-1, {}])[0] = i
-        self.splits = not any(SPACE in p.lstrip(SPACE) for p in self.id_of)
-        line = "" if any("\n" in p for p in self.id_of) else "\n"
-        self.cut = re.compile(f"{line}{'|' if line else ''}{SPACE}+[^{SPACE}{line}]*|[^{SPACE}{line}]+") if self.splits else None
+        self.cut = self._cuts()
         self.words: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.fits: dict[int, dict[int, bool]] = {}
         self.n_fits = 0
         normal = set(self.id_of.values())
@@ -89,6 +94,32 @@ class Transducer:
             self.text_of[i] = bytes([value])
         self.text_of[self.unknown] = " \u2047 ".encode()
 
+    def _cuts(self) -> re.Pattern | None:
+        """Pattern of the parts that a text falls into; None if pieces go on over word starts.
+
+        Characters that neighbour each other in some piece are of one class; a
+        part is a run of one class with the word starts before it.
+        """
+        if any(SPACE in p.lstrip(SPACE) for p in self.id_of):
+            return None
+        group = {c: c for p in self.id_of for c in p if c != SPACE}
+
+        def find(c):
+            while group[c] != c:
+                group[c] = group[group[c]]
+                c = group[c]
+            return c
+
+        for p in self.id_of:
+            p = p.lstrip(SPACE)
+            for a, b in zip(p, p[1:], strict=False):
+                group[find(a)] = find(b)
+        classes: dict[str, list[str]] = {}
+        for c in sorted(group):
+            classes.setdefault(find(c), []).append(c)
+        runs = [f"[{''.join(map(re.escape, cs))}]+" for cs in sorted(classes.values(), key=len, reverse=True) if len(cs) > 1]
+        return re.compile(f"{SPACE}*(?:{'|'.join([*runs, f'[^{SPACE}]'])})|{SPACE}+", re.DOTALL)
+
     # -- normaliser ----------------------------------------------------------------------------------
 
     def normalise(self, text: str) -> str:
@@ -203,17 +234,29 @@ class Transducer:
             return np.zeros(0, dtype=np.int32)
         if self.cut is None:
             return np.array(self.shortest_path(normal), dtype=np.int32)
-        words, known = self.cut.findall(normal), self.words
-        new = {w for w in set(words) if w not in known}
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-            new = set(words)
-        for w in new:
-            known[w] = np.array(self.shortest_path(w), dtype=np.int32).tobytes()
-        out = b"".join([known[w] for w in words])
+        out, at = [], 0
+        while at < len(normal):
+            # A long text in steps that end before a word; a text without words is one step.
+            end = normal.find(SPACE, at + PART) if len(normal) - at > PART else -1
+            end = len(normal) if end < 0 else end
+            out.append(self._parts(normal[at:end]))
+            at = end
+        ids = np.frombuffer(b"".join(out), dtype=np.int32)
+        if self.byte_fallback or len(ids) < 2:
+            return ids
+        unknown = ids == self.unknown                     # a run of unknown characters is one piece
+        return ids[np.concatenate([[True], ~(unknown[1:] & unknown[:-1])])]
+
+    def _parts(self, normal: str) -> bytes:
+        parts, known, before = self.cut.findall(normal), self.words, self.before
+        for p in set(parts):
+            if p not in known:
+                ids = before.get(p)
+                known[p] = np.array(self.shortest_path(p), dtype=np.int32).tobytes() if ids is None else ids
+        out = b"".join([known[p] for p in parts])
         if len(known) > CACHE_WORDS:
-            known.clear()
-        return np.frombuffer(out, dtype=np.int32)
+            self.words, self.before = {}, known
+        return out
 
     def decode(self, ids) -> str:
         """The text of ids; byte pieces that are no UTF-8 become U+FFFD, control and unlisted ids nothing."""
@@ -235,7 +278,9 @@ def encode_column(path: str, text: Column) -> Column:
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         fst = transducer(path)
         for batch in batches:
-            yield pd.Series([fst.encode(t if isinstance(t, str) else None) for t in batch], dtype=object)
+            texts = batch.tolist()
+            for at in range(0, len(texts), ROWS_OUT):
+                yield pd.Series([fst.encode(t if isinstance(t, str) else None) for t in texts[at:at + ROWS_OUT]], dtype=object)
 
     return encode(text)
 
@@ -247,11 +292,33 @@ def decode_column(path: str, ids: Column) -> Column:
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         fst = transducer(path)
         for batch in batches:
-            yield pd.Series([fst.decode(x.tolist()) if x is not None else "" for x in batch], dtype=object)
+            for at in range(0, len(batch), ROWS_OUT):
+                yield pd.Series([fst.decode(x.tolist()) if x is not None else "" for x in batch.iloc[at:at + ROWS_OUT]], dtype=object)
 
     return decode(ids)
 
 
+def digest_column(path: str, text: Column) -> Column:
+    """Column struct<n_ids, ids_crc32, round_trip>: a text's ids by their number and crc32, and whether they decode to it.
+
+    The crc32 is unsigned and of the ids as little-endian 32-bit integers; a
+    text round-trips if decoding gives it back, U+2581 read as a space.
+    """
+
+    @F.pandas_udf("n_ids long, ids_crc32 long, round_trip boolean")
+    def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        fst = transducer(path)
+        for batch in batches:
+            rows = []
+            for t in batch:
+                t = t if isinstance(t, str) else ""
+                ids = fst.encode(t)
+                rows.append((len(ids), zlib.crc32(ids.astype("<i4").tobytes()), fst.decode(ids.tolist()) == t.replace(SPACE, " ")))
+            yield pd.DataFrame(rows, columns=["n_ids", "ids_crc32", "round_trip"])
+
+    return digest(text)
+
+
 def tokenize(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with a column ``out`` (lengthened if taken) of the texts' ids; every row and column is kept."""
     prepare(docs.sparkSession)
