@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from verdant.llm.common import free_name, prepare
 
 #: Labelled texts per language that are learned from at most, and languages at most.
-MAX_PER_LANGUAGE = 400
+MAX_PER_LANGUAGE = 300
 MAX_LANGUAGES = 200
 #: Hashed features of each n-gram length.
 BUCKETS = 2048
@@ -93,9 +93,9 @@ def features(text: str) -> np.ndarray:
 
 def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 4.0, rounds: int = 30, seed: int = 7) -> np.ndarray:
     """Weights (bias last) of a linear SVM, y of -1 and 1, by dual coordinate descent (Hsieh et al., 2008)."""
-    x = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)]).astype(np.float64)
+    x = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)])
     w, alpha = np.zeros(x.shape[1]), np.zeros(len(x))
-    square = (x * x).sum(axis=1)
+    square = np.einsum("ij,ij->i", x, x, dtype=np.float64)
     rng = np.random.default_rng(seed)
     for _ in range(rounds):
         moved = 0.0
@@ -181,7 +181,7 @@ def _train(x: np.ndarray, y: np.ndarray, held: np.ndarray) -> tuple[np.ndarray,
         held = np.zeros(len(y), dtype=bool)
     w = fit_svm(x[~held], y[~held])
     seen = held if held.any() else ~held
-    return w, fit_sigmoid(x[seen].astype(np.float64) @ w[:-1] + w[-1], y[seen])
+    return w, fit_sigmoid(x[seen] @ w[:-1] + w[-1], y[seen])
 
 
 def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, limit: int) -> DataFrame:
@@ -221,7 +221,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
              .mapInPandas(vectors, "id string, lang string, x binary").toPandas().sort_values(["id", "lang"]))
     if not len(table):
         return LanguageModel()
-    x = np.frombuffer(b"".join(table["x"]), dtype=np.float32).reshape(len(table), -1)
+    x = np.frombuffer(b"".join(table.pop("x")), dtype=np.float32).reshape(len(table), -1)
     lang = table["lang"].to_numpy(dtype=object)
     held = np.array([hash_of(f"held{i}") % 5 == 0 for i in table["id"]])
     model = LanguageModel()
