@@ -87,6 +87,15 @@ def read_range(folder: str, name: str, offset: int = 0, length: int | None = Non
         return f.read() if length is None else f.read(length)
 
 
+def by_file(df: DataFrame, col: str) -> DataFrame:
+    """``df`` dealt out by the file its rows point to.
+
+    The rows are small but stand for large range reads, so the number of tasks
+    is the session's and not derived from the rows' bytes.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), col)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it (case is ignored)."""
     taken = {c.lower() for c in df.columns}

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.llm.common import filesystem, open_new, prepare, read_range, scratch_uri
+from verdant.llm.common import by_file, filesystem, open_new, prepare, read_range, scratch_uri
 
 BLOCK_LINES = 1000
 RECORD_DATE = "2024-01-01T00:00:00Z"
@@ -333,7 +333,7 @@ class CaptureIndex:
             frame["page_id"] = pd.array(frame["page_id"].tolist(), dtype="Int64")
             return frame
 
-        return placed.distinct().groupBy("part").applyInPandas(
+        return by_file(placed.distinct(), "part").groupBy("part").applyInPandas(
             look, "urlkey string, page_id long, file string, offset long, length long")
 
     def captures(self, url: str) -> list[list]:
@@ -374,6 +374,6 @@ class CaptureIndex:
                 frame[c] = pd.array(frame[c].tolist(), dtype="Int64")
             return frame
 
-        return places.select("file", "offset", "length").distinct().groupBy("file").applyInPandas(
+        return by_file(places.select("file", "offset", "length").distinct(), "file").groupBy("file").applyInPandas(
             fetch, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
                    "refers_to long, payload binary")
