@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.llm.common import open_new, prepare, read_range, scratch_uri
+from verdant.llm.common import by_file, open_new, prepare, read_range, scratch_uri
 
 END_ID = 1
 #: Keys of one index bucket, on average.
@@ -338,7 +338,7 @@ def _write_index(manifest: DataFrame, folder: str) -> None:
         out.close()
         return pd.DataFrame({"bucket": [b], "of": [n], "file": [name]})
 
-    (keys.withColumn("bucket", _bucket(n)).groupBy("bucket").applyInPandas(build, "bucket int, of int, file string")
+    (by_file(keys.withColumn("bucket", _bucket(n)), "bucket").groupBy("bucket").applyInPandas(build, "bucket int, of int, file string")
          .write.parquet(f"{folder}/buckets"))
 
 
@@ -376,7 +376,7 @@ class TokenStore:
                 found = [(k, *x) for k, x in zip(names, bucket.find(names), strict=True) if x]
             return pd.DataFrame(found, columns=["key", "shard", "first", "docs"])
 
-        return (wanted.groupBy("bucket").cogroup(self.buckets().groupBy("bucket"))
+        return (by_file(wanted, "bucket").groupBy("bucket").cogroup(self.buckets().groupBy("bucket"))
                       .applyInPandas(look, "key string, shard int, first int, docs int"))
 
     def read(self, keys: DataFrame, key_col: str, digest: bool = False) -> DataFrame:
@@ -411,7 +411,7 @@ class TokenStore:
                                          if digest else own.astype(np.int32)))
             return pd.DataFrame(rows, columns=["key", "nth", "start", "n_tokens", "ids_crc32" if digest else "ids"])
 
-        return places.groupBy("shard").cogroup(self.shards().groupBy("shard")).applyInPandas(fetch, out)
+        return by_file(places, "shard").groupBy("shard").cogroup(self.shards().groupBy("shard")).applyInPandas(fetch, out)
 
     def unkeyed(self) -> DataFrame:
         """Places of documents with a null key, for ``load``."""
