@@ -57,7 +57,7 @@ def allowed_edits(term: str) -> int:
 class Automaton:
     """Deterministic automaton of all words within the allowed distance of a lexicon term."""
 
-    STATES = 100_000                      # remembered at most; then it starts anew
+    STATES = 50_000                       # remembered at most; then it starts anew
 
     def __init__(self, terms: list[str]):
         self.children: list[dict[str, int]] = [{}]
@@ -78,8 +78,23 @@ class Automaton:
         self._reset()
 
     def _reset(self) -> None:
-        self.moves: dict = {}
-        self.start = self._close({0: 0})
+        self.number: dict[tuple, int] = {}
+        self.states: list[tuple] = []
+        self.moves: list[dict[str, int]] = []
+        self.accepts: list[tuple[int, str] | None] = []
+        self.dead = self._state(())
+        self.start = self._state(self._close({0: 0}))
+
+    def _state(self, state: tuple) -> int:
+        """The number of a state; a new one gets its acceptance: (edits, term) of its nearest term, ties by text."""
+        k = self.number.get(state)
+        if k is None:
+            k = self.number[state] = len(self.states)
+            self.states.append(state)
+            self.moves.append({})
+            self.accepts.append(min(((e, t) for node, e in state if (t := self.term[node]) is not None and e <= allowed_edits(t)),
+                                    default=None))
+        return k
 
     def _close(self, spent: dict[int, int]) -> tuple:
         """Add what is reached by leaving out term letters; the state as a sorted tuple."""
@@ -109,24 +124,17 @@ class Automaton:
 
     def match(self, word: str) -> tuple[int, str] | None:
         """(edits, term) of the nearest term, ties by its text; None if no term is near enough."""
-        state, moves = self.start, self.moves
+        if len(self.states) > self.STATES:
+            self._reset()
+        k, dead, moves = self.start, self.dead, self.moves
         for c in word:
-            key = (state, c)
-            new = moves.get(key)
+            new = moves[k].get(c)
             if new is None:
-                if len(moves) >= self.STATES:
-                    self._reset()
-                    moves = self.moves
-                new = moves[key] = self._step(state, c)
-            if not new:
+                new = moves[k][c] = self._state(self._step(self.states[k], c))
+            if new == dead:
                 return None
-            state = new
-        best = None
-        for node, e in state:
-            t = self.term[node]
-            if t is not None and e <= allowed_edits(t) and (best is None or (e, t) < best):
-                best = (e, t)
-        return best
+            k = new
+        return self.accepts[k]
 
 
 @dataclass
@@ -167,7 +175,7 @@ class ToxicityModel:
                     out[w] = seen[w]
                 continue
             found = self.near(w)
-            if len(seen) > 500_000:
+            if len(seen) > 200_000:
                 seen.clear()
             seen[w] = found
             if found:
