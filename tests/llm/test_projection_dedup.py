@@ -50,3 +50,22 @@ def test_unusable_vectors(spark):
     want = [(0, 0, None, True), *[(i, 0, i, True) for i in (1, 2, 3, 4, 5, 6, 9, 10)], (7, 2, 7, True), (7, 2, 7, True), (8, 2, 7, False)]
     assert got == sorted(want, key=str)
     assert p.find_near_duplicates(df.limit(0)).count() == 0
+
+
+def test_pairs_within_a_dense_region(spark):
+    """Recall against a comparison of all, where two thirds of the rows are one region in which few link."""
+    rng = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    region = unit(2 * unit(rng.standard_normal(64)) + unit(rng.standard_normal((12000, 64))))          # cosine about 0.8
+    beside = unit(rng.standard_normal((400, 64)))
+    a = region[:400]
+    side = unit(beside - (beside * a).sum(1, keepdims=True) * a)
+    x = np.concatenate([region, unit(rng.standard_normal((6000, 64))), 0.955 * a + np.sqrt(1 - 0.955 ** 2) * side])
+    x = unit(x)
+    true = np.concatenate([(x[at:at + 2000] @ x.T >= 0.95).sum(1) - 1 for at in range(0, len(x), 2000)])
+    assert 800 <= true.sum() < 2000
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in p.find_near_duplicates(df).collect()}
+    found = np.array([got[i] for i in range(len(x))])
+    assert (found <= true).all()
+    assert found.sum() >= 0.98 * true.sum(), found.sum() / true.sum()

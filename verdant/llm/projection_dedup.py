@@ -2,13 +2,20 @@
 
 Equal vectors are one node.  In each pass every vector gets a key of
 concatenated one-bit random hashes (signs of random projections); the vectors
-are range-sorted by key, and each is compared, in double precision, with its
-next ``window`` neighbours.  Verified pairs of all passes are united into
-components.
-
-The window bounds the pairs of a pass, so a dense group is found as a connected
-component but not with all its pairs.  The links of a component's members are
-therefore counted exactly afterwards: small components by comparing all
+are range-sorted by key, and each is compared, in double precision, with at
+least its next ``window`` neighbours.  What links in a block of neighbours
+leaves it as a forest of at most one edge a vector, and the forests of all
+passes are united into components.
+
+Each bit of a key is centred on the region that the bits before it name: the
+first bits split a sample's vectors at their medians, the others lie around the
+centre of the sample's leaf.  A region that holds many vectors is thus split as
+well as the rest.  How far the vectors of each leaf are spread also tells how
+often a pass brings a pair at the threshold together; passes are added until a
+pair of the densest tenth is missed by at most ``MISS``.
+
+The links of a component's members are counted exactly afterwards, as a window
+does not hold all of them: small components by comparing all
 members in one task; large ones by the angle to their centre, where members
 within half the link angle surely link with each other and are only counted,
 and the rest is compared with all members in blocks.  Counts, not pairs, leave
@@ -30,11 +37,18 @@ from verdant.llm.common import cut, prepare
 from verdant.llm.components import connected_components
 
 THRESHOLD = 0.95
+#: Passes at least, and at most where rows are many or dense.
 PASSES = 12
+MAX_PASSES = 64
+#: Share of the pairs at the threshold that the passes may miss, by which their number is chosen.
+MISS = 0.02
 #: Passes whose sorted copies are shuffled at the same time.
 PASSES_AT_ONCE = 4
 KEY_BITS = 62
-WINDOW = 16
+WINDOW = 256
+#: Vectors that the keys' regions are learned from: bytes at most, and a leaf's vectors at least.
+SAMPLE_BYTES = 32 << 20
+LEAF_ROWS = 32
 SEED = 20240
 #: Members of a component that one task compares directly; the side of a block beyond.
 GROUP_ROWS = 2048
@@ -63,10 +77,80 @@ def _usable(column):
     return pack(column)
 
 
-def _keys(x: np.ndarray, pass_no: int) -> np.ndarray:
-    """Concatenated signs of the pass's random projections, first hash in the highest bit."""
-    planes = np.random.Generator(np.random.PCG64([SEED, pass_no, x.shape[1]])).standard_normal((x.shape[1], KEY_BITS))
-    return ((x @ planes) > 0).astype(np.int64) @ (1 << np.arange(KEY_BITS - 1, -1, -1, dtype=np.int64))
+def _planes(dim: int, pass_no: int) -> np.ndarray:
+    return np.random.Generator(np.random.PCG64([SEED, pass_no, dim])).standard_normal((dim, KEY_BITS))
+
+
+def _keys(x: np.ndarray, pass_no: int, tree: tuple[list[np.ndarray], np.ndarray] | None = None) -> np.ndarray:
+    """Concatenated signs of the pass's random projections, first hash in the highest bit, centred by the tree."""
+    at = x @ _planes(x.shape[1], pass_no)
+    bits = at > 0
+    if tree:
+        cuts, centres = tree
+        leaf = np.zeros(len(x), dtype=np.int64)
+        for j, c in enumerate(cuts):
+            bits[:, j] = at[:, j] > c[leaf]
+            leaf = 2 * leaf + bits[:, j]
+        bits[:, len(cuts):] = (at > centres[leaf])[:, len(cuts):]
+    return bits.astype(np.int64) @ (1 << np.arange(KEY_BITS - 1, -1, -1, dtype=np.int64))
+
+
+def _grow(x: np.ndarray, pass_no: int, rows: int, window: int, threshold: float) -> tuple[tuple, np.ndarray]:
+    """The pass's tree ((cuts of each level, projected centre of each leaf)) from a sample of ``rows`` vectors.
+
+    Comes with each sampled vector's chance that a pass brings a partner at the
+    threshold into its window: a bit parts them by their distance over the
+    spread of their region.  Where vectors link on average it is 1.
+    """
+    planes = _planes(x.shape[1], pass_no)
+    at, cuts, leaf = x @ planes, [], np.zeros(len(x), dtype=np.int64)
+    distance, chance = math.sqrt(max(0.0, 2 - 2 * threshold)), np.ones(len(x))
+
+    def spread(n: int) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(leaf, kind="stable")
+        size = np.bincount(leaf, minlength=n)
+        total = np.zeros((n, x.shape[1]))
+        total[size > 0] = np.add.reduceat(x[order], (np.cumsum(size) - size)[size > 0], axis=0)
+        mean = total / np.maximum(size, 1)[:, None]
+        return mean, np.maximum(0.0, 1 - (mean * mean).sum(axis=1))
+
+    for j in range(max(0, int(math.log2(max(1, len(x)) / LEAF_ROWS)))):
+        _, var = spread(1 << j)
+        if rows / (1 << j) > window:
+            chance *= 1 - np.minimum(1.0, distance / (math.pi * np.sqrt(np.maximum(var, 1e-12))))[leaf]
+        size = np.bincount(leaf, minlength=1 << j)
+        middle = np.minimum(np.cumsum(size) - size + size // 2, len(x) - 1)
+        cut_at = at[np.lexsort((at[:, j], leaf))[middle], j]
+        cuts.append(cut_at)
+        leaf = 2 * leaf + (at[:, j] > cut_at[leaf])
+    mean, var = spread(1 << len(cuts))
+    more = max(0.0, math.log2(max(1.0, rows / (1 << len(cuts)) / window)))
+    chance *= (1 - np.minimum(1.0, distance / (math.pi * np.sqrt(np.maximum(var, 1e-12))))[leaf]) ** more
+    chance[var[leaf] <= 1 - threshold] = 1.0
+    return (cuts, mean @ planes), chance
+
+
+def _sample(nodes: DataFrame, window: int) -> dict[int, tuple[np.ndarray, int]]:
+    """By length, a sample of the vectors and how many there are; lengths that a window holds whole are left out."""
+    size = F.octet_length("vec")
+    found = nodes.groupBy(size.alias("s")).count().where(F.col("count") > window).orderBy(F.desc("count"), "s").limit(1000).collect()
+    if not found:
+        return {}
+    total = sum(r["s"] * r["count"] for r in found)
+    rate = {r["s"]: min(1.0, max(1 / 16, 4096 / r["count"]), SAMPLE_BYTES / total) for r in found}
+    share = F.create_map(*[F.lit(v) for kv in rate.items() for v in kv])[size]
+    rows = nodes.where(F.pmod(F.xxhash64("node"), F.lit(1 << 20)) < share * (1 << 20)).orderBy("node").select("vec").toPandas()["vec"]
+    count = {r["s"]: r["count"] for r in found}
+    return {size // 8: (_unit(part.tolist()), count[size]) for size, part in rows.groupby(rows.map(len))}
+
+
+def _passes(sample: dict, least: int, most: int, window: int, threshold: float) -> int:
+    """Passes after which a pair at the threshold, in the densest tenth of a length's vectors, is missed by ``MISS``."""
+    need = least
+    for x, rows in sample.values():
+        p = min(1 - 1e-9, max(1e-9, float(np.quantile(_grow(x, 0, rows, window, threshold)[1], 0.1))))
+        need = max(need, math.ceil(math.log(MISS) / math.log1p(-p)))
+    return min(need, max(least, most))
 
 
 def _by_dim(vectors: pd.Series) -> Iterator[np.ndarray]:
@@ -76,8 +160,13 @@ def _by_dim(vectors: pd.Series) -> Iterator[np.ndarray]:
         yield np.flatnonzero(size == n)
 
 
-def _window_pairs(nodes: DataFrame, passes: range, window: int, threshold: float) -> DataFrame:
-    """Verified pairs (a, b) of neighbours in the given passes."""
+def _window_pairs(nodes: DataFrame, sample: dict, rows: int, passes: range, window: int, threshold: float) -> DataFrame:
+    """Pairs (a, b) that verified links of neighbours connect in the given passes."""
+    spark = nodes.sparkSession
+    trees = spark.sparkContext.broadcast(
+        {(p, dim): _grow(x, p, n, window, threshold)[0] for p in passes for dim, (x, n) in sample.items()})
+    # Parts of several windows at least, so that few windows reach beyond their neighbours.
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows * len(passes) // (8 * window)))
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -85,7 +174,7 @@ def _window_pairs(nodes: DataFrame, passes: range, window: int, threshold: float
                 part = batch.iloc[at]
                 x = _unit(part["vec"].tolist())
                 for p in passes:
-                    yield pd.DataFrame({"pass": p, "dim": x.shape[1], "key": _keys(x, p), "node": part["node"],
+                    yield pd.DataFrame({"pass": p, "dim": x.shape[1], "key": _keys(x, p, trees.value.get((p, x.shape[1]))), "node": part["node"],
                                         "vec": part["vec"]})
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -112,7 +201,7 @@ def _window_pairs(nodes: DataFrame, passes: range, window: int, threshold: float
     flat = "pass int, dim int, key long, node string, vec binary"
     sides = "a string, b string, gap int, head boolean, " + flat
     order = ["pass", "dim", "key", "node"]
-    found = cut(nodes.select("node", "vec").mapInPandas(hashed, flat).repartitionByRange(*order)
+    found = cut(nodes.select("node", "vec").mapInPandas(hashed, flat).repartitionByRange(parts, *order)
                      .sortWithinPartitions(*order).mapInPandas(compare, sides), "projection-pass")
     inner = found.where("gap is null").select("a", "b")
     ends = found.where("gap is not null").select("gap", "head", *order, "vec")
@@ -127,22 +216,39 @@ def _ends(rows: pd.DataFrame, gap: int, head: bool) -> pd.DataFrame:
     return out.astype({"node": object})[_SIDES]          # concatenated texts would be several Arrow chunks
 
 
+def _roots(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """Least member of the component of each of ``n`` points that the pairs (i, j) connect."""
+    root = np.arange(n)
+    while True:
+        least = np.minimum(root[i], root[j])
+        new = root.copy()
+        np.minimum.at(new, i, least)
+        np.minimum.at(new, j, least)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
 def _pairs(rows: pd.DataFrame, window: int, threshold: float, known: int) -> pd.DataFrame:
-    """Pairs of rows at most ``window`` apart, of one pass and length, the later one not among the first ``known``."""
+    """A forest over what links within ``window`` rows, of one pass and length, the later one not among the first ``known``."""
     a, b = [], []
     node = rows["node"].to_numpy(dtype=object)
     group = rows["pass"].to_numpy(dtype=np.int64) * (1 << 32) + rows["dim"].to_numpy(dtype=np.int64)
     cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(rows)]
     for low, high in pairwise(cuts):
-        if high - low < 2:
+        if high - low < 2 or high <= known:
             continue
         x = _unit(rows["vec"].iloc[low:high].tolist())
-        for d in range(1, min(window, high - low - 1) + 1):
-            near = np.einsum("ij,ij->i", x[:-d], x[d:]) >= threshold
-            at = np.flatnonzero(near) + low
-            at = at[at + d >= known]
-            a.append(node[at])
-            b.append(node[at + d])
+        for at in range(0, high - low, window):
+            i, j = np.nonzero(x[at:at + window] @ x[at:at + 2 * window].T >= threshold)
+            new = (j > i) & (low + at + j >= known)
+            i, j = i[new], j[new]
+            if len(i):
+                root = _roots(i, j, min(2 * window, high - low - at))
+                moved = np.flatnonzero(root != np.arange(len(root)))
+                a.append(node[low + at + root[moved]])
+                b.append(node[low + at + moved])
     n = sum(map(len, a))
     empty = {c: pd.Series([None] * n, dtype=object) for c in _SIDES[3:]}
     join = lambda x: pd.Series(np.concatenate(x) if x else [], dtype=object)
@@ -232,7 +338,7 @@ def _count_large(members: DataFrame, threshold: float, block: int) -> DataFrame:
 
 def find_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                          threshold: float = THRESHOLD, passes: int = PASSES, window: int = WINDOW,
-                         group_rows: int = GROUP_ROWS) -> DataFrame:
+                         group_rows: int = GROUP_ROWS, max_passes: int = MAX_PASSES) -> DataFrame:
     """(id_col, n_links, component_id, kept) for each input row.
 
     ``n_links``: other rows linked directly (cosine of at least ``threshold``
@@ -243,7 +349,8 @@ def find_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     component and is kept).  Vectors of different length never link.
     Repeated rows are copies of each other.  Other columns are not read; an
     empty table gives an empty result.  What links is found with high
-    probability, which grows with ``passes`` and ``window``.
+    probability, which grows with ``passes`` and ``window``; where rows are
+    many or dense, up to ``max_passes`` passes are made.
     """
     prepare(vectors.sparkSession)
     rows = cut(vectors.select(F.col(id_col).alias("id"), _usable(F.col(vector_col)).alias("vec"))
@@ -251,9 +358,10 @@ def find_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     nodes = cut(rows.where("node is not null").groupBy("node")
                     .agg(F.first("vec").alias("vec"), F.count(F.lit(1)).alias("copies"), F.min("id").alias("least")),
                 "projection-nodes")
-    pairs = None
+    pairs, n, sample = None, nodes.count(), _sample(nodes, window)
+    passes = _passes(sample, passes, max_passes, window, threshold)
     for at in range(0, passes, PASSES_AT_ONCE):
-        found = _window_pairs(nodes, range(at, min(at + PASSES_AT_ONCE, passes)), window, threshold)
+        found = _window_pairs(nodes, sample, n, range(at, min(at + PASSES_AT_ONCE, passes)), window, threshold)
         pairs = found if pairs is None else pairs.union(found)
     groups = cut(connected_components(pairs, "a", "b"), "projection-groups")
     sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
