@@ -77,3 +77,17 @@ def test_frame_nulls_blocks_clashes(spark, monkeypatch):
         assert kept.columns == df.columns and sorted(r["text"] or "" for r in kept.collect()) == ["", "", "one two three"]
     assert d.find_contamination(df.limit(0), bench).count() == 0
     assert d.decontaminate(df, bench.limit(0)).count() == len(docs)
+
+
+def test_item_of_70000_distinct_words():
+    """One item alone has more words than 16 bits number."""
+    rng = random.Random(4)
+    item = [f"w{k}" for k in range(70_000)]
+    texts = []
+    for _ in range(300):                                   # a passage between words of the item in another order
+        at, n = rng.randrange(len(item) - 40), rng.randrange(9, 40)
+        texts.append((at, n, " ".join([*rng.choices(item, k=30), "zz", *item[at:at + n], "zz", *rng.choices(item, k=30)])))
+    found = d.match_shard([t for *_, t in texts], [d.Block([("long", [w.encode() for w in item])], 10)])
+    for (_, n, _), row in zip(texts, found, strict=True):
+        assert row[1:3] == ((n, ["long"]) if n >= 10 else (0, []))
+        assert row[3] == ([[31, 31 + n]] if n >= 10 else []) and row[4] == (n if n >= 10 else 0)

@@ -13,7 +13,9 @@ the shortest window stand before the next break.  Other suffixes cannot hold a
 window, so nothing is lost.
 
 The benchmark is cut into blocks of bounded bytes and distinct words; each
-block is broadcast on its own, and every shard searches them one by one.
+block is broadcast on its own, and every shard searches them one by one.  Items
+are not cut, as the longest match may span all of one: an item beyond the
+bounds is a block of its own.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from verdant.llm.common import free_name, prepare
 WINDOW = 10
 #: Bounds of one broadcast block of the benchmark.
 BLOCK_BYTES = 8 << 20
-BLOCK_WORDS = 65_000          # ids of a block fit in 16 bits
+BLOCK_WORDS = 65_000          # ids of a block fit in 16 bits, unless one item alone has more
 #: Text bytes of one shard.
 SHARD_BYTES = 6 << 20
 
@@ -97,14 +99,14 @@ def blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> I
         yield Block(items, window)
 
 
-def _pack(text: np.ndarray, at: np.ndarray, run: np.ndarray, depth: int) -> list[np.ndarray]:
-    """Three sort keys of four words each, from ``depth`` words behind ``at``; nothing behind a break."""
-    keys = []
-    for k in range(depth, depth + 12, 4):
+def _pack(text: np.ndarray, at: np.ndarray, run: np.ndarray, depth: int, bits: int) -> list[np.ndarray]:
+    """Sort keys of twelve words, ``bits`` each, from ``depth`` words behind ``at``; nothing behind a break."""
+    keys, per = [], 64 // bits
+    for k in range(depth, depth + 12, per):
         key = np.zeros(len(at), dtype=np.uint64)
-        for j in range(k, k + 4):
+        for j in range(k, k + per):
             inside = run > j
-            key = (key << np.uint64(16)) | np.where(inside, text[np.where(inside, at + j, 0)], 0).astype(np.uint64)
+            key = (key << np.uint64(bits)) | np.where(inside, text[np.where(inside, at + j, 0)], 0).astype(np.uint64)
         keys.append(key)
     return keys
 
@@ -113,7 +115,8 @@ def suffix_array(text: np.ndarray, at: np.ndarray, run: np.ndarray) -> np.ndarra
     """``at`` in the order of the suffixes that start there (each as long as its ``run``)."""
     if not len(at):
         return at
-    keys = _pack(text, at, run, 0)
+    bits = 16 if int(text.max()) < 1 << 16 else 32        # one very long item may have more words than a block's bound
+    keys = _pack(text, at, run, 0, bits)
     order = np.lexsort(keys[::-1])
     group = np.zeros(len(at), dtype=np.int64)
     group[1:] = np.cumsum(np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0))
@@ -126,7 +129,7 @@ def suffix_array(text: np.ndarray, at: np.ndarray, run: np.ndarray) -> np.ndarra
         if not len(tied):
             return at[order]
         part = order[tied]
-        keys = _pack(text, at[part], run[part], depth)
+        keys = _pack(text, at[part], run[part], depth, bits)
         sub = np.lexsort([*keys[::-1], group[tied]])
         order[tied] = part[sub]
         keys = [k[sub] for k in keys]
