@@ -52,3 +52,10 @@ def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang")
     rows = op2_language(spark, d).where("held_out").join(docs, "doc_id").collect()
     assert np.mean([r.lang_pred == r.lang for r in rows]) >= 0.97
+
+
+def test_languages_are_a_parameter(spark):
+    rows = [(k, lang, text) for k, (lang, text) in enumerate([("en", "the house"), ("de", "das haus"), ("fr", "la maison")] * 9 + [("en", "a dog")])]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    assert sorted(x for v in g.learn(df).languages.values() for x in v) == ["de", "en", "fr"]
+    assert sorted(x for v in g.learn(df, max_languages=2).languages.values() for x in v) == ["de", "en"]

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from verdant.llm.common import free_name, prepare
 
 #: Labelled texts per language that are learned from at most, and languages at most.
-MAX_PER_LANGUAGE = 300
+MAX_PER_LANGUAGE = 400
 MAX_LANGUAGES = 200
 #: Hashed features of each n-gram length.
 BUCKETS = 2048
@@ -184,14 +184,14 @@ def _train(x: np.ndarray, y: np.ndarray, held: np.ndarray) -> tuple[np.ndarray,
     return w, fit_sigmoid(x[seen] @ w[:-1] + w[-1], y[seen])
 
 
-def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, limit: int) -> DataFrame:
+def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, limit: int, max_languages: int) -> DataFrame:
     """(lang, text): at most ``limit`` texts of each language, chosen by a hash of the id.
 
     Ids are ranked without their texts (Spark keeps ``limit`` a language and
     task before the shuffle); the chosen ids are then few enough to broadcast.
     """
     rows = docs.select(F.col(id_col).alias("__id"), F.col(lang_col).alias("lang")).where("lang is not null and __id is not null")
-    langs = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).select("lang")
+    langs = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).select("lang")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("__id"), "__id"))
     chosen = (rows.join(F.broadcast(langs), "lang").withColumn("__rank", rank).where(F.col("__rank") <= limit)
                   .select("__id", "lang").distinct())
@@ -200,8 +200,8 @@ def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, limit: i
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          limit: int = MAX_PER_LANGUAGE) -> LanguageModel:
-    """A model from at most ``limit`` texts of each language; empty where there are none with letters."""
+          limit: int = MAX_PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> LanguageModel:
+    """A model from at most ``limit`` texts of each of the ``max_languages`` most frequent languages; empty where none has letters."""
     prepare(docs.sparkSession)
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -217,7 +217,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                     rows.append((i, lang, features(short).tobytes()))
             yield pd.DataFrame(rows, columns=["id", "lang", "x"])
 
-    table = (_sample(docs, id_col, text_col, lang_col, limit).select(F.col("__id").cast("string").alias("__id"), "lang", "text")
+    table = (_sample(docs, id_col, text_col, lang_col, limit, max_languages).select(F.col("__id").cast("string").alias("__id"), "lang", "text")
              .mapInPandas(vectors, "id string, lang string, x binary").toPandas().sort_values(["id", "lang"]))
     if not len(table):
         return LanguageModel()
