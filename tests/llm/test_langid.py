@@ -59,3 +59,12 @@ def test_languages_are_a_parameter(spark):
     df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
     assert sorted(x for v in g.learn(df).languages.values() for x in v) == ["de", "en", "fr"]
     assert sorted(x for v in g.learn(df, max_languages=2).languages.values() for x in v) == ["de", "en"]
+
+
+def test_sample_of_repeated_ids(spark):
+    """An id that repeats, with copies and with other texts, adds no more rows than asked for."""
+    rows = [(1, "en", "the same text")] * 300 + [(1, "en", f"other text {k}") for k in range(300)] + [(k, "en", f"text {k}") for k in range(2, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    got = g._sample(df, "doc_id", "text", "lang", 20, 5).collect()
+    assert len(got) == 20 == len({(r["__id"], r.text) for r in got})
+    assert {r["__id"] for r in got} == set(range(1, 9))

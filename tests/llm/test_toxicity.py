@@ -81,3 +81,11 @@ def test_held_out_accuracy(spark):
     rows = out.where("held_out").join(labels, "doc_id").select("predicted", "toxic").collect()
     hit = sum(r.predicted and r.toxic for r in rows)
     assert hit / sum(r.predicted for r in rows) >= 0.9 and hit / sum(r.toxic for r in rows) >= 0.8
+
+
+def test_labelled_rows_of_repeated_ids(spark):
+    """An id that repeats, with copies and with other texts, adds no more rows than asked for."""
+    rows = [(1, "the same text")] * 300 + [(1, f"other text {k}") for k in range(300)] + [(k, f"text {k}") for k in range(2, 9)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 9)], "doc_id long, toxic int")
+    got = t._labelled(spark.createDataFrame(rows, "doc_id long, text string"), labels, "doc_id", "text", "toxic", 20).collect()
+    assert len(got) == 20 == len({r.text for r in got}) and {f"text {k}" for k in range(2, 9)} <= {r.text for r in got}

@@ -193,10 +193,16 @@ def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, limit: i
     rows = docs.select(F.col(id_col).alias("__id"), F.col(lang_col).alias("lang")).where("lang is not null and __id is not null")
     langs = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).select("lang")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("__id"), "__id"))
-    chosen = (rows.join(F.broadcast(langs), "lang").withColumn("__rank", rank).where(F.col("__rank") <= limit)
-                  .select("__id", "lang").distinct())
-    return (docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
-                .join(F.broadcast(chosen), "__id").where("text is not null").select("__id", "lang", "text"))
+    chosen = (rows.join(F.broadcast(langs), "lang").distinct().withColumn("__rank", rank).where(F.col("__rank") <= limit)
+                  .select("__id", "lang"))
+    texts = (docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
+                 .join(F.broadcast(chosen), "__id").where("text is not null"))
+    # A chosen id may repeat: copies count once, and of its other texts come the first of every id before the second of any.
+    texts = texts.groupBy("__id", "lang", F.xxhash64("text").alias("__hash")).agg(F.min("text").alias("text"))
+    nth = F.row_number().over(Window.partitionBy("lang", "__id").orderBy("__hash"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("__nth", F.xxhash64("__id"), "__id"))
+    return (texts.withColumn("__nth", nth).where(F.col("__nth") <= limit)
+                 .withColumn("__rank", rank).where(F.col("__rank") <= limit).select("__id", "lang", "text"))
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdant.llm.common import fold, free_name, prepare
@@ -234,8 +234,15 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
     chosen = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
                     .groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("y"))
                     .orderBy(F.xxhash64("__id"), "__id").limit(limit))
-    return (docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
-                .join(F.broadcast(chosen), "__id").where("text is not null").select("y", "text"))     # at most ``limit`` rows
+    rows = (docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
+                .join(F.broadcast(chosen), "__id").where("text is not null")
+                .groupBy("__id", "y", F.xxhash64("text").alias("hash")).agg(F.min("text").alias("text"))).checkpoint(eager=True)
+    if rows.count() > limit:        # an id with several texts: the first of every id come before the second of any
+        nth = F.row_number().over(Window.partitionBy("__id").orderBy("hash"))
+        first = (rows.select("__id", "hash").withColumn("nth", nth).where(F.col("nth") <= limit)
+                     .orderBy("nth", F.xxhash64("__id"), "__id").limit(limit).select("__id", "hash"))
+        rows = rows.join(F.broadcast(first), ["__id", "hash"])
+    return rows.select("y", "text")
 
 
 def _word_counts(rows: DataFrame) -> pd.DataFrame:
