@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.llm import langid, licenses, sentencepiece_fst, toxicity, transcripts
+from verdant.llm import collocations, hard_negatives, langid, licenses, quality_rules, sentencepiece_fst, toxicity, transcripts
 from verdant.llm.common import fold, read_table
 from verdant.llm.decontaminate import find_contamination
 from verdant.llm.projection_dedup import find_near_duplicates as find_near_vectors
@@ -124,6 +124,27 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_notices", "families", "unconfirmed", "probability")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per language: the 2,000 best phrases of two and three words."""
+    docs = read_table(spark, sf_dir, "documents")
+    best = collocations.mine(docs, max_words=3, min_count=10, top=2000)
+    return best.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: counts, base rules, probability of good quality and the verdict."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality_rules.learn(docs, read_table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs.select("doc_id", "text"), model, out="q").select("doc_id", "q.*")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per anchor and positive: the first hard negatives, with exact integer scores."""
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows, F.col("id") % 50 == 0, label=label)
+
+
 LLM_QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language": op2_language,
@@ -135,6 +156,9 @@ LLM_QUERIES = {
     "op8_projection": op8_projection,
     "op9_licenses": op9_licenses,
     "op10_warc": op10_warc,
+    "op11_collocations": op11_collocations,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 # Base32 of SHA-1 from its 40 hex digits: 8 digits of 5 bits for every 10 hex digits.
@@ -168,7 +192,51 @@ select e.vec_id, cast(coalesce(n, 0) as bigint) as n_links, least(e.vec_id, coal
 from embeddings e left join least l on l.node = e.vec_id left join linked k on k.a = e.vec_id
 """
 
+OP13_SQL = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  [cast(floor(256 * cast(x as double)) as double) for x in embedding] as e
+           from embeddings
+           where label is not null and embedding is not null
+             and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+     s as (select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+                  cast(list_dot_product(a.e, b.e) as bigint) as score
+           from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+     p as (select anchor_id, other_id as positive_id, score as positive_score from s where same
+           qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5),
+     n as (select p.*, other_id as negative_id, score as negative_score,
+                  row_number() over (partition by anchor_id, positive_id order by score desc, other_id) as rank
+           from p join s using (anchor_id)
+           where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score
+from n where rank <= 3
+"""
+
+# Pieces end at the marks and line ends; a word's place within its piece bounds the phrases that start there.
+OP11_SQL = f"""
+with d as (select row_number() over () as doc, coalesce(lang, 'und') as lang, {LOWER} as t from documents),
+     p as (select doc, lang, unnest(regexp_split_to_array(coalesce(t, ''), '[.,;:!?\\x0A-\\x0D]')) as piece from d),
+     w as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from p),
+     n as (select lang, cast(sum(len(w)) as bigint) as n from w group by lang),
+     g as (select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase, w[i:i + k - 1] as ws
+           from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from w, (values (1), (2), (3)) ks(k))),
+     f as (select lang, k, phrase, any_value(ws) as ws, count(*) as a from g group by lang, k, phrase having count(*) >= 10),
+     parts as (select lang, k, phrase, ws, a, j, array_to_string(ws[1:j], ' ') as head, array_to_string(ws[j + 1:k], ' ') as tail
+               from (select *, unnest(range(1, k)) as j from f where k >= 2)),
+     cuts as (select p.lang, p.k, p.phrase, p.ws, p.a, j, x.a as l, y.a as r,
+                     cast((1000000::hugeint * p.a * p.a) // (x.a::hugeint * y.a) as bigint) as score
+              from parts p join f x on x.lang = p.lang and x.phrase = p.head join f y on y.lang = p.lang and y.phrase = p.tail),
+     c as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+     inner2 as (select lang, phrase, max(a) as over
+                from (select lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) as phrase from f where k = 3)
+                group by all),
+     kept as (select c.* from c left join inner2 using (lang, phrase) where not (k = 2 and over is not null and 100 * over >= 50 * a)),
+     top as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select top.lang, rank, phrase, a, l, r, n.n, score from top join n on n.lang = top.lang where rank <= 2000
+"""
+
 LLM_ORACLE = {
+    "op11_collocations": OP11_SQL,
+    "op13_hard_negatives": OP13_SQL,
     "op8_projection": OP8_SQL,
     "op10_warc": OP10_SQL,
     "op4_decontaminate": OP4_SQL,
