@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from verdant.llm.common import cut, prepare
 
 #: Words of a chunk, about (a chunk ends after the text that reaches it).
-CHUNK_WORDS = 1 << 20
+CHUNK_WORDS = 1 << 21
 #: Ranks of the first block; later blocks double.
 HEAD = 1024
 #: A tile of at most this many cells is counted densely.
@@ -57,8 +57,8 @@ _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcde
 #: Stands for a piece end among the words; no word can hold a full stop.
 _END = b"."
 
-CHUNKS = "chunk string, lang string, n long, seq binary, words array<string>, counts array<long>"
-TILES = "chunk string, lang string, x int, y int, start long, a array<int>, b array<int>, c array<int>, seq binary"
+CHUNKS = "chunk long, lang string, n long, seq binary, words array<string>, counts array<long>"
+TILES = "chunk long, lang string, x int, y int, start long, a array<int>, b array<int>, c array<int>, seq binary"
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -100,7 +100,7 @@ def _closed(held: dict) -> pd.DataFrame:
     for lang, (codes, parts) in held.items():
         seq = np.concatenate(parts)
         counts = np.bincount(seq, minlength=len(codes))[1:]
-        rows.append((uuid.uuid4().hex, lang, int(counts.sum()), seq.tobytes(), [w.decode() for w in codes][1:], counts))
+        rows.append((uuid.uuid4().int >> 65, lang, int(counts.sum()), seq.tobytes(), [w.decode() for w in codes][1:], counts))
     return pd.DataFrame(rows, columns=["chunk", "lang", "n", "seq", "words", "counts"])
 
 
@@ -119,7 +119,7 @@ def block_size(block: int) -> int:
     return HEAD << max(block - 1, 0)
 
 
-def pair_tiles(chunk: str, lang: str, symbols: np.ndarray, last: bool) -> pd.DataFrame:
+def pair_tiles(chunk: int, lang: str, symbols: np.ndarray, last: bool) -> pd.DataFrame:
     """A chunk's neighbouring symbols, counted and dealt into tiles.
 
     ``symbols`` holds the id of the symbol that starts at each place, 0 where
@@ -234,7 +234,7 @@ def _next_tiles(sequences: DataFrame, codes: DataFrame, last: bool) -> DataFrame
         seq = np.frombuffer(left["seq"].iloc[0], np.int32)
         lookup = np.zeros(int(seq.max()) + 1, np.int64)
         lookup[right["code"].to_numpy(np.int64)] = right["id"].to_numpy(np.int64)
-        return pair_tiles(left["chunk"].iloc[0], left["lang"].iloc[0], lookup[seq], last)
+        return pair_tiles(int(left["chunk"].iloc[0]), left["lang"].iloc[0], lookup[seq], last)
 
     def cogrouped(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:                # no frequent symbol in this chunk
