@@ -27,6 +27,7 @@ Defined results:
 * very long texts are counted whole (a text is never split over chunks);
 * repeated rows count as often as they occur;
 * ties are ordered by frequency, then by phrase in the order of UTF-8 bytes;
+* a language has fewer than 2**31 frequent phrases of a length (their ids are ints);
 * an empty table gives an empty result; other columns are ignored.
 """
 
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 from verdant.llm.common import cut, prepare
 
 #: Words of a chunk, about (a chunk ends after the text that reaches it).
-CHUNK_WORDS = 1 << 21
+CHUNK_WORDS = 1 << 20
 #: Ranks of the first block; later blocks double.
 HEAD = 1024
 #: A tile of at most this many cells is counted densely.
@@ -266,7 +267,7 @@ def count_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, text
     """
     prepare(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    chunks = cut(texts.mapInPandas(chunk_words, CHUNKS), "chunks")
+    chunks = cut(texts.mapInPandas(chunk_words, CHUNKS), "chunks", codec="zstd")
     total = chunks.groupBy("lang").agg(F.sum("n").alias("n"))
     counted = chunks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).groupBy("lang", F.col("w.words").alias("phrase"))
     words = ranked(counted.agg(F.sum("w.counts").alias("f")).where(F.col("f") >= min_count), ["phrase"], "words")
@@ -276,19 +277,24 @@ def count_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, text
     sequences = chunks.select("chunk", "lang", "seq")
     codes = (chunks.select("chunk", "lang", F.posexplode("words").alias("pos", "phrase"))
                    .join(levels[0].select("lang", "phrase", "id"), ["lang", "phrase"])
-                   .select("chunk", (F.col("pos") + 1).alias("code"), "id"))
+                   .select("chunk", (F.col("pos") + 1).alias("code"), F.col("id").cast("int").alias("id")))
     for size in range(2, max_words + 1):
-        tiles = cut(_next_tiles(sequences, codes, last=size == max_words), "tiles")
+        tiles = cut(_next_tiles(sequences, codes, last=size == max_words), "tiles", codec="zstd")
         pairs = ranked(_pair_counts(tiles, min_count), ["a", "b"], "pairs")
         levels.append(cut(_with_parts(pairs, levels[-1]), "phrases"))
         sequences = tiles.where("seq is not null").select("chunk", "lang", "seq")
         entries = tiles.select("chunk", "lang", "start", F.posexplode(F.arrays_zip("a", "b")).alias("pos", "p"))
-        codes = (entries.select("chunk", "lang", (F.col("start") + F.col("pos") + 1).alias("code"),
-                                F.col("p.a").cast("long").alias("a"), F.col("p.b").cast("long").alias("b"))
-                        .join(levels[-1].select("lang", "a", "b", "id"), ["lang", "a", "b"]).select("chunk", "code", "id"))
+        codes = (entries.select("chunk", "lang", (F.col("start") + F.col("pos") + 1).cast("int").alias("code"), _pair("p.a", "p.b"))
+                        .join(levels[-1].select("lang", _pair("a", "b"), F.col("id").cast("int").alias("id")), ["lang", "pair"])
+                        .select("chunk", "code", "id"))
     return levels, total
 
 
+def _pair(a: str, b: str):
+    """Two ids (below 2**31) as one number."""
+    return F.shiftleft(F.col(a).cast("long"), 32).bitwiseOR(F.col(b).cast("long")).alias("pair")
+
+
 def _with_parts(pairs: DataFrame, shorter: DataFrame) -> DataFrame:
     """Phrases with their text and the frequencies of their heads and tails, from their two parts."""
     first = shorter.select("lang", F.col("id").alias("a"), F.col("f").alias("fa"), F.col("phrase").alias("begin"), "heads")

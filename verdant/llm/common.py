@@ -33,7 +33,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Lineage ends at the written table, so a lost executor costs a re-read and
@@ -41,7 +41,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
