@@ -259,3 +259,56 @@ def test_runs_over_nothing_are_empty_and_typed(spark, tmp_path):
     facts = run_gold(spark, str(tmp_path / "s"), str(tmp_path / "g"), str(tmp_path / "v"), str(tmp_path / "sv"),
                      START, END)
     assert facts.count() == 0 and "climate_score" in facts.columns
+
+
+def _files(path):
+    import glob
+    return {f: open(f, "rb").read() for f in glob.glob(f"{path}/**/*.parquet", recursive=True)}
+
+
+def test_rerun_writes_no_file_and_a_late_reading_only_its_partitions(spark, tmp_path):
+    """The change set: unchanged windows keep their files in all three tables."""
+    b, (s, g, v, sv) = str(tmp_path / "b"), _paths(tmp_path)
+    _land(spark, b, [_msg(f"{k}{d}", 22.0 if k == "t" else 70.0, f"2024-02-0{d}T10:05:00", kind="temperature" if k == "t" else "humidity")
+                     for d in (1, 2, 3) for k in "th"])
+    run_silver(spark, b, s, "2024-02-01", "2024-02-04")
+    run_gold(spark, s, g, v, sv, "2024-02-01", "2024-02-04")
+    before = {p: _files(p) for p in (g, v, sv)}
+    assert all(len(f) == 3 for f in before.values())
+    run_gold(spark, s, g, v, sv, "2024-02-01", "2024-02-04")
+    assert {p: _files(p) for p in (g, v, sv)} == before                               # same names, same bytes
+    _land(spark, b, [_msg("t9", 26.0, "2024-02-02T10:20:00", "2024-02-04T09:10:00")])  # two days late, no partner in reach
+    run_silver(spark, b, s, "2024-02-04 09:00", "2024-02-04 10:00")
+    run_gold(spark, s, g, v, sv, "2024-02-01", "2024-02-05")
+    after = {p: _files(p) for p in (g, v, sv)}
+    assert after[v] == before[v]
+    for p in (g, sv):
+        assert len(after[p]) == 3 and len(set(after[p]) & set(before[p])) == 2
+    served = {r["window_start"].day: r["avg_temperature"] for r in spark.read.parquet(sv).collect()}
+    assert served == {1: 22.0, 2: 24.0, 3: 22.0}
+
+
+def test_index_follows_reruns_and_missing_indexes(spark, tmp_path):
+    import shutil
+
+    from verdant.plans.events import index_of, landing_hours
+    b, (s, g, v, sv) = str(tmp_path / "b"), _paths(tmp_path)
+    _land(spark, b, [_msg("t1", 22.0, "2024-02-01T10:05:00", "2024-02-01T12:00:10"), _msg("t2", 22.0, "2024-02-01T10:59:59")])
+    for _ in range(2):
+        run_silver(spark, b, s, "2024-02-01 10:00", "2024-02-01 13:00")
+        assert spark.read.parquet(index_of(s)).count() == 2
+    windows = spark.createDataFrame([("facility_A", dt.datetime(2024, 2, 1, 10))], "facility_id string, window_start timestamp_ntz")
+    want = [dt.datetime(2024, 2, 1, 10), dt.datetime(2024, 2, 1, 12)]
+    assert sorted(landing_hours(spark, s, windows)) == want
+    other = spark.createDataFrame([("facility_B", dt.datetime(2024, 2, 1, 10))], windows.schema)
+    assert landing_hours(spark, s, other) == []
+    shutil.move(index_of(s), index_of(s) + "_old")
+    assert sorted(landing_hours(spark, s, windows)) == want                            # built anew
+
+
+def test_digests_tell_nulls_apart(spark):
+    from verdant.sinks.tables import changed_windows
+    schema = "k int, a int, b int, stamp int"
+    old = spark.createDataFrame([(1, None, 1, 0), (2, 5, 5, 0), (3, 1, 1, 0), (5, 1, 2, 0), (5, 3, 4, 0)], schema)
+    new = spark.createDataFrame([(1, 1, None, 9), (2, 5, 5, 9), (4, 1, 1, 9), (5, 3, 4, 9), (5, 1, 2, 8)], schema)
+    assert sorted(r.k for r in changed_windows(old, new, ["k"], ["stamp"]).collect()) == [1, 3, 4]

@@ -107,7 +107,7 @@ def test_bronze_salted_writers_keep_all_rows(spark, tmp_path):
         q.awaitTermination()
     assert spark.read.parquet(out).count() == 1000
     per_dir = {}
-    for f in glob.glob(f"{out}/facility_id=*/date=*/hour=*/*.parquet"):
+    for f in glob.glob(f"{out}/facility_id=*/date=*/hour=*/batch=*/*.parquet"):
         d = f.rsplit("/", 1)[0]
         per_dir[d] = per_dir.get(d, 0) + 1
     assert max(per_dir.values()) <= 3

@@ -178,3 +178,46 @@ def test_live_table_takes_newer_rows_from_any_partition(spark, tmp_path):
     assert [r["value"] for r in spark.read.parquet(live).collect()] == [2.0]
     lost = spark.read.parquet(live + "_quarantine").collect()
     assert [r["reason"] for r in lost] == ["no_sensor"]
+
+
+def test_bronze_batch_is_read_and_parsed_once_and_repeats_safely(spark, tmp_path):
+    """One scan a batch for both outputs; a repeated batch replaces its own rows."""
+    from verdant.streaming.bronze import land_batch
+    env = envelopes_from_readings(load_readings(spark, SF_SMALL)).limit(200)
+    bad = env.limit(3).withColumn("value", F.lit("{oops").cast("binary"))
+    src = str(tmp_path / "src")
+    env.unionByName(bad).write.parquet(src)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    batch = spark.read.parquet(src)
+    batch = batch.mapInArrow(counted, batch.schema)
+    land = land_batch(str(tmp_path / "b"), str(tmp_path / "q"), "landed_at")
+    for number, times in ((0, 1), (1, 2), (1, 3)):
+        land(batch, number)
+        assert seen.value == 203 * times
+    assert spark.read.parquet(str(tmp_path / "b")).groupBy("batch").count().collect() == [(0, 200), (1, 200)] or \
+        sorted(map(tuple, spark.read.parquet(str(tmp_path / "b")).groupBy("batch").count().collect())) == [(0, 200), (1, 200)]
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "q")).groupBy("batch").count().collect())) == [(0, 3), (1, 3)]
+
+
+def test_live_batch_rewrites_its_buckets_only(spark, tmp_path):
+    import glob
+
+    from verdant.streaming.live import live_bucket, merge_live_batch
+    live = str(tmp_path / "live")
+    env = envelopes_from_readings(load_readings(spark, SF_SMALL))
+    merge = merge_live_batch(live, buckets=16)
+    merge(env, 0)
+    before = set(glob.glob(f"{live}/**/*.parquet", recursive=True))
+    one = spark.read.parquet(live).orderBy("sensor_id").limit(1).select("facility_id", "sensor_id").collect()[0]
+    again = load_readings(spark, SF_SMALL).where((F.col("facility_id") == one.facility_id) & (F.col("sensor_id") == one.sensor_id))
+    later = envelopes_from_readings(again).withColumn("landed_at", F.lit("2030-01-01").cast("timestamp_ntz"))
+    merge(later, 1)
+    gone = before - set(glob.glob(f"{live}/**/*.parquet", recursive=True))
+    bucket = spark.createDataFrame([one]).select(live_bucket(16)).first()[0]
+    assert len(before) > 5 and gone and all(f"bucket={bucket}/" in f for f in gone)

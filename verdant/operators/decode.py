@@ -17,18 +17,13 @@ from verdant.schemas import MESSAGE_SCHEMA
 CORRUPT = "_corrupt_record"
 
 
-def decode_messages(df: DataFrame, schema: T.StructType = MESSAGE_SCHEMA, landing_col: str | None = None,
-                    topic_col: str = "topic", value_col: str = "value",
-                    keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Envelope (topic, binary/string JSON value) -> Bronze rows + quarantine.
+def parse_messages(df: DataFrame, schema: T.StructType = MESSAGE_SCHEMA, landing_col: str | None = None,
+                   topic_col: str = "topic", value_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Envelope (topic, binary/string JSON value) -> one parsed row per message (``split_messages`` takes it on).
 
     Permissive decode against a fixed schema: a wrong-typed field becomes
-    NULL, unknown fields are ignored.  Adds ``source_topic``,
-    ``bronze_landed_at`` (``landing_col`` or the current time), and the
-    landing ``date`` and ``hour``.  Rows that cannot be attributed to a
-    facility (malformed text, NULL, missing ``facility_id``) go to the
-    quarantine frame with their raw text instead of a NULL partition.
-    ``keep`` carries envelope columns (e.g. ``offset``) through.
+    NULL, unknown fields are ignored.  ``raw_value`` holds the text of the
+    messages that can't be landed only.
     """
     parse_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
     text = F.col(value_col).cast("string")
@@ -42,17 +37,35 @@ def decode_messages(df: DataFrame, schema: T.StructType = MESSAGE_SCHEMA, landin
         *[F.col(c) for c in keep],
     )
     ok = F.col("d").isNotNull() & F.col("d.facility_id").isNotNull()
-    good = (parsed.where(ok)
-                  .select(*[F.col(f"d.{f.name}").alias(f.name) for f in schema.fields],
-                          "source_topic", "bronze_landed_at", *keep)
-                  .withColumn("date", F.to_date("bronze_landed_at"))
-                  .withColumn("hour", F.hour("bronze_landed_at")))
-    reason = (F.when(F.col("d").isNull(), F.lit("empty"))
+    reason = (F.when(ok, F.lit(None).cast("string"))
+               .when(F.col("d").isNull(), F.lit("empty"))
                .when(F.col(f"d.{CORRUPT}").isNotNull(), F.lit("malformed"))
                .otherwise(F.lit("no_facility")))
-    quarantine = parsed.where(~ok).select("source_topic", F.col("__raw").alias("raw_value"),
-                                          "bronze_landed_at", reason.alias("reason"), *keep)
-    return good, quarantine
+    return parsed.select(*[F.col(f"d.{f.name}").alias(f.name) for f in schema.fields], "source_topic", "bronze_landed_at",
+                         F.when(~ok, F.col("__raw")).alias("raw_value"), reason.alias("reason"), *keep)
+
+
+def split_messages(parsed: DataFrame, schema: T.StructType = MESSAGE_SCHEMA, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Parsed messages -> (Bronze rows with landing ``date`` and ``hour``, quarantined messages)."""
+    good = (parsed.where(F.col("reason").isNull())
+                  .select(*schema.names, "source_topic", "bronze_landed_at", *keep)
+                  .withColumn("date", F.to_date("bronze_landed_at"))
+                  .withColumn("hour", F.hour("bronze_landed_at")))
+    return good, parsed.where(F.col("reason").isNotNull()).select("source_topic", "raw_value", "bronze_landed_at", "reason", *keep)
+
+
+def decode_messages(df: DataFrame, schema: T.StructType = MESSAGE_SCHEMA, landing_col: str | None = None,
+                    topic_col: str = "topic", value_col: str = "value",
+                    keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Envelope (topic, binary/string JSON value) -> Bronze rows + quarantine.
+
+    Adds ``source_topic``, ``bronze_landed_at`` (``landing_col`` or the
+    current time), and the landing ``date`` and ``hour``.  Rows that cannot be
+    attributed to a facility (malformed text, NULL, missing ``facility_id``)
+    go to the quarantine frame with their raw text instead of a NULL
+    partition.  ``keep`` carries envelope columns (e.g. ``offset``) through.
+    """
+    return split_messages(parse_messages(df, schema, landing_col, topic_col, value_col, keep), schema, keep)
 
 
 def type_readings(df: DataFrame, topic_map: Mapping[str, str] = TOPIC_MAP) -> DataFrame:

@@ -67,9 +67,13 @@ def join_small(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str =
     right = F.broadcast(small) if fits else small
     if not null_safe:
         return big.join(right, list(keys), how)
+    return join_null_safe(big, right, keys, how)
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal or both-NULL ``keys``, which are kept once."""
     renamed = right.select(*[F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns])
-    cond = None
+    cond = F.lit(True)
     for k in keys:
-        c = big[k].eqNullSafe(renamed[f"__r_{k}"])
-        cond = c if cond is None else cond & c
-    return big.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+    return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from verdant.constants import PEER_SIGMA, RANGE_LIMITS, STAT_SIGMA
 from verdant.functions.columns import anomaly_type, mean_parts, nan_to_null, rounded_mean
-from verdant.operators.joins import join_small
+from verdant.operators.joins import join_null_safe, join_small
 
 SENSOR_KEYS = ("facility_id", "sensor_id")
 
@@ -79,11 +79,16 @@ def peer_outliers(df: DataFrame, group_keys: Sequence[str], value: str = "value"
     ``is_peer_outlier`` when the group has at least 2 non-NULL values, the
     sample stddev is positive and ``abs(v - mean) > n_sigma * stddev``;
     ``peer_deviation = round(v - mean, scale)`` for outliers, else NULL.
+
+    There are about as many groups as polls, so their statistics are no small
+    side by nature.  The join is left to run time: adaptive execution knows
+    their shuffled size and broadcasts them if they are small, else joins by
+    shuffle and splits hot groups.  Nothing runs when the plan is built.
     """
     v = nan_to_null(value)
     stats = df.groupBy(*group_keys).agg(
         F.count(v).alias("__peer_n"), F.avg(v).alias("__peer_mean"), F.stddev_samp(v).alias("__peer_sd"))
-    out = join_small(df, stats, group_keys, how="left", null_safe=True)
+    out = join_null_safe(df, stats, group_keys, "left")
     flag = (v.isNotNull() & (F.col("__peer_n") >= 2) & (F.col("__peer_sd") > 0)
             & (F.abs(v - F.col("__peer_mean")) > F.lit(n_sigma) * F.col("__peer_sd")))
     flag = F.coalesce(flag, F.lit(False))

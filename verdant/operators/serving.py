@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from verdant.constants import GAUGE_BANDS, GAUGE_SCALES, TOP_ANOMALIES, TREND_HOURS
 from verdant.functions.columns import band_label, mean_parts, ntz_literal, rounded_mean, unit_of_sensor_type
@@ -23,46 +24,92 @@ def _as_list(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
+def _flat(df: DataFrame, cols: Sequence[str]) -> list:
+    """Columns in order, a struct replaced by its fields: numbers and times that a hash aggregate can hold."""
+    out = []
+    for c in cols:
+        kind = df.schema[c].dataType
+        out += [F.col(c)[f.name] for f in kind.fields] if isinstance(kind, T.StructType) else [F.col(c)]
+    return out
+
+
+def _ends_by_key(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[str], cols: Sequence[str],
+                 first: bool) -> DataFrame:
+    """``keys``, ``cols`` of each key's last rows (``__last``) and, if asked, first rows (``__first``) in ``order_by``.
+
+    One round per order column: a hash aggregate takes the column's greatest
+    (and least) value among the rows still in the running, and a join back
+    keeps the rows that reach it.  The input is never sorted, and a key with a
+    third of it is reduced inside each input split.  Full ties go to the
+    greatest (and least) hash of the row, so the choice does not depend on the
+    order of arrival; what then remains are equal rows.  NULL orders lose to
+    any other.
+    """
+    order = _flat(df, _as_list(order_by))
+    names = [f"__o{i}" for i in range(len(order))] + ["__tie"]
+    tie = F.xxhash64(*[F.col(c) for c in cols], *[F.col(c).isNull() for c in cols])
+    cur = df.select(*keys, *cols, *[o.alias(n) for o, n in zip([*order, tie], names)],
+                    F.lit(True).alias("__last"), F.lit(first).alias("__first"))
+    for n in names:
+        ends = [F.max(F.when(F.col("__last"), F.col(n))).alias("__hi")]
+        if first:
+            ends.append(F.min(F.when(F.col("__first"), F.col(n))).alias("__lo"))
+        tops = cur.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys]).agg(*ends)
+        last = F.col("__last") & F.col(n).eqNullSafe(F.col("__hi"))
+        begin = F.col("__first") & F.col(n).eqNullSafe(F.col("__lo")) if first else F.lit(False)
+        on = F.lit(True)
+        for k in keys:
+            on = on & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+        kept = [c for c in cur.columns if c not in ("__last", "__first", n)]
+        cur = cur.join(tops, on & (last | begin)).select(*kept, last.alias("__last"), begin.alias("__first"))
+    return cur
+
+
 def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[str],
                   cols: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the row with the greatest ``order_by`` (arrival order).
 
-    A hash aggregate finds each key's greatest first order column (a key with a
-    third of the input is reduced inside each input split), and only the rows
-    that reach it are joined back and compared by the other order columns, then
-    by their own values.  NULL orders lose to any other; a key with NULL orders
-    alone keeps the greatest row by value.
+    Hash aggregates and joins back (``_ends_by_key``), no sort.  NULL orders
+    lose to any other; a key with NULL orders alone keeps one of its rows, and
+    so does a full tie: the row with the greatest hash.
     """
-    order = _as_list(order_by)
     cols = [c for c in (cols or df.columns) if c not in keys]
-    top = df.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys]).agg(F.max(order[0]).alias("__top"))
-    same = F.col(order[0]).eqNullSafe(F.col("__top"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    rank = F.struct(*[F.col(c) for c in order[1:]], F.struct(*[F.col(c) for c in cols]))
-    picked = (df.join(top, same).groupBy(*keys)
-                .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), rank).alias("__latest")))
-    return picked.select(*keys, *[F.col(f"__latest.{c}").alias(c) for c in cols])
+    return _ends_by_key(df, keys, order_by, cols, first=False).select(*keys, *cols).distinct()
 
 
 def _reduce_batch(upd: DataFrame, keys: Sequence[str], update_cols: Sequence[str], cols: Sequence[str],
                   order_by: str | Sequence[str]) -> DataFrame:
     """Several updates of one key in a batch, as if applied one by one.
 
-    Updated columns come from the last update (``max_by``); the other
-    columns from the first (``min_by``), which is what a new key keeps when
-    it is inserted and then updated within the same batch.
+    Updated columns come from the last update; the other columns from the
+    first, which is what a new key keeps when it is inserted and then updated
+    within the same batch.  Keys are not NULL.
     """
-    order = _as_list(order_by)
-    order_key = F.struct(*[F.col(c) for c in order]) if len(order) > 1 else F.col(order[0])
     last = [c for c in cols if c in update_cols]
     first = [c for c in cols if c not in update_cols]
-    aggs = [F.max_by(F.struct(*[F.col(c) for c in last]), order_key).alias("__last")] if last else []
-    if first:
-        aggs.append(F.min_by(F.struct(*[F.col(c) for c in first]), order_key).alias("__first"))
-    red = upd.groupBy(*keys).agg(*aggs)
-    return red.select(*keys, *[F.col(f"__last.{c}").alias(c) for c in last],
-                      *[F.col(f"__first.{c}").alias(c) for c in first])
+    ends = _ends_by_key(upd, keys, order_by, cols, first=bool(first))
+    out = ends.where("__last").select(*keys, *last).distinct()
+    if not first:
+        return out
+    begin = ends.where("__first").select(*[F.col(k).alias(f"__k_{k}") for k in keys], *first).distinct()
+    on = F.lit(True)
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"__k_{k}"))
+    return out.join(begin, on).select(*keys, *last, *first)
+
+
+def reduce_updates(updates: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
+                   order_by: str | Sequence[str]) -> DataFrame:
+    """One row per key of an update batch: last values of ``update_cols`` and of the order, first ones of the rest.
+
+    Rows with a NULL key are rejected.
+    """
+    known = updates
+    for k in keys:
+        known = known.where(F.col(k).isNotNull())
+    order = _as_list(order_by)
+    cols = [c for c in updates.columns if c not in keys]
+    return _reduce_batch(known, keys, [*update_cols, *order], cols, order)
 
 
 def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],

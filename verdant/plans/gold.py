@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from verdant.constants import BAND_SECONDS, WINDOW_MINUTES
 from verdant.operators.climate import GOLD_COLUMNS, SERVING_COLUMNS, build_gold, vpd_pairs, window_start
 from verdant.operators.serving import GOLD_KEYS, latest_by_key
+from verdant.plans.events import landing_hours
 from verdant.schemas import SILVER_SCHEMA, VPD_SCHEMA
 from verdant.session import ensure_session
 from verdant.sinks.tables import _in_partitions, _nullable, replace_windows
-from verdant.sources.tables import path_exists, read_table, run_bounds, select_run
+from verdant.sources.tables import hours_predicate, path_exists, read_table, run_bounds, select_run
 
 WINDOW_KEYS = ("facility_id", "window_start")
 TABLE_PARTITIONS = ("facility_id", "date")
+#: Columns that differ from run to run for the same rows.
+STAMPS = ("gold_processed_at",)
 
 
 def touched_windows(silver: DataFrame, start: datetime | str, end: datetime | str,
@@ -37,20 +40,23 @@ def touched_windows(silver: DataFrame, start: datetime | str, end: datetime | st
                   .withColumn("date", F.to_date("window_start")))
 
 
-def window_readings(silver: DataFrame, windows: DataFrame, minutes: int = WINDOW_MINUTES) -> DataFrame:
-    """All Silver readings of the windows and their neighbours, with ``window_start`` and ``inside``.
+def window_readings(silver: DataFrame, windows: DataFrame, minutes: int = WINDOW_MINUTES,
+                    seconds: int = BAND_SECONDS) -> DataFrame:
+    """All Silver readings of the windows, and the humidity readings within ``seconds`` of one, with ``inside``.
 
-    The windows' first and last dates (one row) prune by ``event_date``; the
-    join keeps exactly the wanted windows, whenever their readings landed.
+    One join on (facility, window): a neighbour of a wanted window is wanted
+    for its first or last seconds only.
     """
     step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes), F.lit(0))
+    reach = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds + 1))
     w = F.col("window_start")
-    wide = (windows.select("facility_id", F.explode(F.array(*[F.struct(x.alias("window_start"), F.lit(i).alias("inside"))
-                                                              for x, i in ((w, True), (w - step, False), (w + step, False))])).alias("w"))
-                   .select("facility_id", "w.*").groupBy("facility_id", "window_start").agg(F.max("inside").alias("inside")))
-    ends = wide.agg(F.to_date(F.min("window_start")).alias("lo"), F.to_date(F.max("window_start")).alias("hi")).first()
-    near = silver.where(F.col("event_date").between(F.lit(ends["lo"]), F.lit(ends["hi"])))
-    return near.withColumn("window_start", window_start("event_ts", minutes)).join(wide, list(WINDOW_KEYS))
+    uses = [F.struct(at.alias("window_start"), *[F.lit(name == use).alias(name) for name in ("inside", "begin", "finish")])
+            for at, use in ((w, "inside"), (w + step, "begin"), (w - step, "finish"))]
+    wide = (windows.select("facility_id", F.explode(F.array(*uses)).alias("w")).select("facility_id", "w.*")
+                   .groupBy("facility_id", "window_start").agg(*[F.max(c).alias(c) for c in ("inside", "begin", "finish")]))
+    near = silver.withColumn("window_start", window_start("event_ts", minutes)).join(wide, list(WINDOW_KEYS))
+    edge = (F.col("begin") & (F.col("event_ts") < w + reach)) | (F.col("finish") & (F.col("event_ts") >= w + step - reach))
+    return near.where(F.col("inside") | ((F.col("sensor_type") == "humidity") & edge)).drop("begin", "finish")
 
 
 def window_pairs(readings: DataFrame, seconds: int = BAND_SECONDS, minutes: int = WINDOW_MINUTES) -> DataFrame:
@@ -69,8 +75,8 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, vpd_path: st
     The run takes the readings landed in [start, end) (UTC, or ISO times with
     a zone) and recomputes each event window they touch from all its readings.
 
-    * ``vpd_path``: pairs, computed once, replaced per window, and read back
-      for the facts;
+    * ``vpd_path``: pairs, computed once, replaced per window, and used for
+      the facts;
     * ``gold_path``: full fact rows per (facility, crop, week, window), crop
       and week possibly NULL, replaced per window;
     * ``serving_path``: the 14-column serving table keyed by (facility,
@@ -78,6 +84,9 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, vpd_path: st
       ``growth_week`` keep their first value; several fact rows of one
       serving key are reduced to the latest (growth week, crop); rows of a
       window without facts are removed.
+    Silver's event index names the landing partitions that hold these windows;
+    no other partition is opened.  Only partitions with a changed window are
+    written, so a rerun over the same Silver rows writes no file.
     Reruns, late readings, repeated messages and reclassified readings leave
     the tables as one run over all readings would.
     """
@@ -85,18 +94,16 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, vpd_path: st
     start, end = run_bounds(start, end)
     silver = read_table(spark, silver_path, SILVER_SCHEMA)
     windows = touched_windows(silver, start, end, minutes).checkpoint(eager=True)
-    readings = window_readings(silver, windows, minutes).checkpoint(eager=True)      # feeds the pairs and the facts
+    landed = hours_predicate(landing_hours(spark, silver_path, windows, minutes))
+    readings = window_readings(silver.where(landed), windows, minutes).checkpoint(eager=True)    # feeds the pairs and the facts
     hours = windows.withColumn("hour", F.hour("window_start"))
-    replace_windows(spark, vpd_path, window_pairs(readings, minutes=minutes), hours, WINDOW_KEYS, (*TABLE_PARTITIONS, "hour"))
-    pairs = read_table(spark, vpd_path, VPD_SCHEMA)
-    if path_exists(spark, vpd_path):
-        pairs = _in_partitions(pairs, hours.select(*TABLE_PARTITIONS, "hour").distinct(), (*TABLE_PARTITIONS, "hour"))
-    pairs = pairs.join(windows.select(*WINDOW_KEYS), list(WINDOW_KEYS), "left_semi").drop("window_start")
+    pairs = replace_windows(spark, vpd_path, window_pairs(readings, minutes=minutes), hours, WINDOW_KEYS, (*TABLE_PARTITIONS, "hour"))
+    pairs = pairs.drop("window_start", "date", "hour")
     inside = readings.where("inside").drop("window_start", "inside")
     stamp = F.current_timestamp().cast("timestamp_ntz")
     facts = (build_gold(inside, minutes=minutes, vpd=pairs).select(*GOLD_COLUMNS).withColumn("gold_processed_at", stamp)
              .withColumn("date", F.to_date("window_start")))
-    facts = replace_windows(spark, gold_path, facts, windows, WINDOW_KEYS, TABLE_PARTITIONS)
+    facts = replace_windows(spark, gold_path, facts, windows, WINDOW_KEYS, TABLE_PARTITIONS, STAMPS)
     _serve(spark, serving_path, facts, windows)
     return facts
 
@@ -115,4 +122,4 @@ def _serve(spark: SparkSession, path: str, facts: DataFrame, windows: DataFrame)
         rows = rows.join(old, list(GOLD_KEYS), "left")
         rows = rows.select(*[F.when(F.col("__old").isNotNull(), F.col(f"__old.{c}")).otherwise(F.col(c)).alias(c)
                              if c in ("crop_type", "growth_week") else F.col(c) for c in serving.columns])
-    replace_windows(spark, path, rows, windows, WINDOW_KEYS, TABLE_PARTITIONS)
+    replace_windows(spark, path, rows, windows, WINDOW_KEYS, TABLE_PARTITIONS, STAMPS)

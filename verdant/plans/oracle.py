@@ -475,6 +475,7 @@ def oracle_sql() -> dict[str, str]:
         "panel_gauges": (f"SELECT f.facility_id, t.sensor_type, g.gauge_value FROM (VALUES ('facility_A'), ('facility_B')) f(facility_id) "
                          f"CROSS JOIN (VALUES {', '.join(f"('{t}')" for t in SENSOR_TYPES)}) t(sensor_type) "
                          f"LEFT JOIN {gauges_sql(live)} g USING (facility_id, sensor_type)"),
+        "panel_trends": trends,
         "panel_anomalies": (f"SELECT facility_id, sensor_id, sensor_type, value, recorded_at FROM {live} l "
                             f"WHERE is_anomaly = true ORDER BY recorded_at DESC NULLS FIRST, facility_id, "
                             f"sensor_id LIMIT {Q.TOP_N_ANOMALIES}"),

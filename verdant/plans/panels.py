@@ -12,24 +12,36 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 LIVE_VIEW = "live_readings"
 FACT_VIEW = "fct_30min_climate"
 
+# Mean of the view's values, exact and rounded half up; NaN and NULL are no values.
+_GAUGE_MEAN = """
+               CASE WHEN COUNT(TRY_CAST(value AS DECIMAL(38, 18))) = COUNT(NULLIF(value, DOUBLE('NaN')))
+                     AND TRY_SUM(TRY_CAST(value AS DECIMAL(38, 18))) IS NOT NULL
+               THEN CAST(ROUND(TRY_SUM(TRY_CAST(value AS DECIMAL(38, 18))) / COUNT(TRY_CAST(value AS DECIMAL(38, 18))), :scale) AS DOUBLE)
+               ELSE ROUND(AVG(NULLIF(value, DOUBLE('NaN'))), :scale) END AS gauge_value"""
+
 PANEL_SQL = {
     # One gauge: mean of a facility's non-anomalous live values of one type.
     "gauge": f"""
-        SELECT CASE WHEN COUNT(TRY_CAST(value AS DECIMAL(38, 18))) = COUNT(NULLIF(value, DOUBLE('NaN')))
-                     AND TRY_SUM(TRY_CAST(value AS DECIMAL(38, 18))) IS NOT NULL
-               THEN CAST(ROUND(TRY_SUM(TRY_CAST(value AS DECIMAL(38, 18))) / COUNT(TRY_CAST(value AS DECIMAL(38, 18))), :scale) AS DOUBLE)
-               ELSE ROUND(AVG(NULLIF(value, DOUBLE('NaN'))), :scale) END AS gauge_value
+        SELECT {_GAUGE_MEAN}
         FROM {LIVE_VIEW}
         WHERE facility_id = :facility AND sensor_type = :sensor_type AND is_anomaly = false""",
+    # The gauges of one type, of every facility in the view.
+    "gauges": f"""
+        SELECT facility_id, sensor_type, {_GAUGE_MEAN}
+        FROM {LIVE_VIEW}
+        WHERE sensor_type = :sensor_type AND is_anomaly = false
+        GROUP BY facility_id, sensor_type""",
     # One trend panel: a fact column over the trailing hours before :as_of.
     "trend": f"""
         SELECT window_start AS time, facility_id AS metric, CAST(IDENTIFIER(:column) AS DOUBLE) AS value
         FROM {FACT_VIEW}
         WHERE window_start > :as_of - make_dt_interval(0, :hours, 0, 0) AND window_start <= :as_of
+          AND date >= CAST(:as_of - make_dt_interval(0, :hours, 0, 0) AS DATE) AND date <= CAST(:as_of AS DATE)
         ORDER BY window_start""",
     # The most recent anomalous live readings.
     "current_anomalies": f"""
@@ -44,8 +56,9 @@ PANEL_SQL = {
 def register_serving_views(live: DataFrame | None = None, facts: DataFrame | None = None) -> None:
     if live is not None:
         live.createOrReplaceTempView(LIVE_VIEW)
-    if facts is not None:
-        facts.createOrReplaceTempView(FACT_VIEW)
+    if facts is not None:       # a written table has its windows' dates as partitions, which the trend panels prune
+        dated = facts if "date" in facts.columns else facts.withColumn("date", F.to_date("window_start"))
+        dated.createOrReplaceTempView(FACT_VIEW)
 
 
 def panel(spark: SparkSession, name: str, **params) -> DataFrame:

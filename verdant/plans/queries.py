@@ -11,29 +11,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from verdant.constants import GAUGE_SCALES, SCORE_BANDS
+from verdant.constants import GAUGE_SCALES, SCORE_BANDS, TREND_HOURS
 from verdant.functions.columns import band_label, iso_string, ntz_literal
 from verdant.operators.climate import (GOLD_COLUMNS, SCORED_TYPES, SERVING_COLUMNS, build_gold,
                                        climate_by_window, climate_score, crop_score, pivot_climate,
                                        vpd_by_window, vpd_pairs, zone_spread)
 from verdant.operators.decode import decode_messages, flatten_payload, route_topics, type_readings
 from verdant.operators.quality import classify_anomalies, facility_aggregate, peer_outliers, sensor_stats
-from verdant.operators.serving import (GOLD_KEYS, LIVE_KEYS, LIVE_UPDATE_COLS, climate_trends,
+from verdant.operators.serving import (GOLD_KEYS, LIVE_KEYS, LIVE_UPDATE_COLS, TREND_METRICS, climate_trends,
                                        current_anomalies, live_gauges, live_latest, live_rows, merge_upsert,
                                        threshold_band)
 from verdant.sources.fixture import load_readings
 from verdant.sources.messages import envelopes_from_readings, message_struct
 from verdant.sources.payloads import parse_payloads, payloads_from_readings
 from verdant.session import scratch_path
-from verdant.sources.tables import facility_frames, read_table, select_run, spread_input, union_facilities
+from verdant.sources.tables import facility_union, read_table, select_run, spread_input, union_facilities
 from verdant.sinks.tables import write_partitions, write_topics
 from verdant.streaming.bronze import BRONZE_PARTITIONS, quarantine_of, start_bronze
 from verdant.streaming.live import start_live
 from verdant.plans.gold import run_gold
 from verdant.plans.panels import panel, register_serving_views
-from verdant.plans.silver import SILVER_PARTITIONS, run_silver, silver_frame
-from verdant.schemas import MESSAGE_SCHEMA, VPD_SCHEMA
+from verdant.plans.silver import run_silver, silver_frame, write_silver
+from verdant.schemas import BRONZE_SCHEMA, MESSAGE_SCHEMA, VPD_SCHEMA
 
 # Fixed query parameters (shared with the oracle SQL).
 RUN_START = "2024-01-09 22:30:00"
@@ -158,7 +159,7 @@ def q_bronze_landing(spark, sf_dir):
     for q in start_bronze(spark, bronze, scratch_path(spark, "bronze-ckpt"), fmt="parquet",
                           source_path=source, trigger="availableNow", landing_col="landed_at"):
         q.awaitTermination()
-    return spark.read.parquet(bronze)
+    return read_table(spark, bronze, BRONZE_SCHEMA).select(*BRONZE_SCHEMA.names)
 
 
 def q_quarantine(spark, sf_dir):
@@ -244,7 +245,7 @@ def q_run_window_select(spark, sf_dir):
 
 
 def q_facility_union(spark, sf_dir):
-    return union_facilities(facility_frames(_readings(spark, sf_dir)))
+    return facility_union(_readings(spark, sf_dir))
 
 
 def _peer_input(spark, sf_dir):
@@ -340,7 +341,7 @@ def _odd_lake(spark, sf_dir) -> str:
     start, end = span["lo"], span["hi"] + timedelta(hours=1)
     lake = scratch_path(spark, "lake")
     good, _ = decode_messages(envelopes_from_readings(spread_input(readings)), landing_col="landed_at")
-    write_partitions(silver_frame(good, start, end), f"{lake}/silver", SILVER_PARTITIONS)
+    write_silver(spark, silver_frame(good, start, end), f"{lake}/silver", start, end)
     step = (end - start) / 4
     for lo, hi in ((start, start + 2 * step), (start + step, end)):
         _gold(spark, lake, lo, hi)
@@ -405,12 +406,24 @@ def q_score_band(spark, sf_dir):
 
 
 def q_panel_gauges(spark, sf_dir):
-    """Every gauge panel's SQL over the live view, one statement a panel."""
+    """The gauge panels' SQL over the live view, one statement a type; the facilities are those of the view."""
     register_serving_views(live=_live(spark, sf_dir))
-    rows = [panel(spark, "gauge", facility=f, sensor_type=t, scale=s)
-            .select(F.lit(f).alias("facility_id"), F.lit(t).alias("sensor_type"), "gauge_value")
-            for f in ("facility_A", "facility_B") for t, s in GAUGE_SCALES.items()]
-    return union_facilities(rows)
+    return union_facilities([panel(spark, "gauges", sensor_type=t, scale=s) for t, s in GAUGE_SCALES.items()])
+
+
+def q_panel_trends(spark, sf_dir):
+    """The four trend panels' SQL over the written serving table, one statement a panel.
+
+    The panels' trailing hours name the table's date partitions, so their scan
+    opens two of them however long the table's history is.
+    """
+    path = scratch_path(spark, "serving")
+    facts = build_gold(_classified(spark, sf_dir)).select(*SERVING_COLUMNS).withColumn("date", F.to_date("window_start"))
+    write_partitions(facts, path, ("facility_id", "date"))
+    schema = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in facts.schema.fields]])
+    register_serving_views(facts=read_table(spark, path, schema))
+    return union_facilities([panel(spark, "trend", column=m, as_of=TREND_AS_OF, hours=TREND_HOURS)
+                             .select(F.lit(m).alias("panel"), "time", "metric", "value") for m in TREND_METRICS])
 
 
 def q_panel_anomalies(spark, sf_dir):
@@ -458,6 +471,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_band": q_score_band,
     "panel_gauges": q_panel_gauges,
     "panel_anomalies": q_panel_anomalies,
+    "panel_trends": q_panel_trends,
 }
 
 __all__ = ["QUERIES"]

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from verdant.operators.decode import type_readings
 from verdant.operators.quality import SENSOR_KEYS, classify_anomalies
+from verdant.plans.events import index_run
 from verdant.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from verdant.session import ensure_session
 from verdant.sinks.tables import write_partitions
-from verdant.sources.tables import read_table, select_run
+from verdant.sources.tables import path_exists, read_table, select_run
 
 SILVER_PARTITIONS = ("facility_id", "date", "hour")
 #: Sensor statistics of a run: per landing hour, so a class does not depend on the span of the run.
@@ -35,11 +36,18 @@ def silver_frame(bronze: DataFrame, start: datetime | str, end: datetime | str)
     return out.select(*SILVER_SCHEMA.names)
 
 
+def write_silver(spark: SparkSession, silver: DataFrame, silver_path: str, start: datetime | str, end: datetime | str) -> None:
+    """Write the rows of a run's landing hours, then their event index."""
+    write_partitions(silver, silver_path, SILVER_PARTITIONS)
+    if path_exists(spark, silver_path):
+        index_run(spark, silver_path, start, end)
+
+
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, start: datetime | str,
                end: datetime | str) -> DataFrame:
     """Build and write the Silver partitions of one run; returns them as read back."""
     ensure_session(spark)
     silver = silver_frame(read_table(spark, bronze_path, BRONZE_SCHEMA), start, end)
-    write_partitions(silver, silver_path, SILVER_PARTITIONS)
+    write_silver(spark, silver, silver_path, start, end)
     return select_run(read_table(spark, silver_path, SILVER_SCHEMA), start, end, landed_col="bronze_landed_at",
                       whole_partitions=True)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from verdant.operators.serving import merge_upsert
 from verdant.sources.messages import kafka_guard
-from verdant.sources.tables import path_exists, read_table
+from verdant.sources.tables import partition_filter, path_exists, read_table
 
 
 def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], fmt: str = "parquet") -> None:
@@ -55,13 +55,10 @@ def _nullable(schema: T.StructType) -> T.StructType:
 def _in_partitions(current: DataFrame, touched: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     """The rows of the touched partitions.
 
-    The least and greatest touched values prune partitions at the scan (one
-    row is collected), a semi join then keeps exactly the touched ones.
+    Their days, hours or buckets (listed, not spanned) prune partitions at the
+    scan; a semi join then keeps exactly the touched ones.
     """
-    ends = touched.agg(*[f(c).alias(f"{n}_{c}") for c in partition_cols for n, f in (("lo", F.min), ("hi", F.max))]).first()
-    for c in partition_cols:
-        current = current.where(F.col(c).between(F.lit(ends[f"lo_{c}"]), F.lit(ends[f"hi_{c}"])))
-    return current.join(touched, list(partition_cols), "left_semi")
+    return current.where(partition_filter(touched, partition_cols)).join(touched, list(partition_cols), "left_semi")
 
 
 def merge_into_table(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
@@ -90,23 +87,54 @@ def merge_into_table(spark: SparkSession, path: str, updates: DataFrame, keys: S
     return merged
 
 
+def window_digests(rows: DataFrame, keys: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:
+    """Per window the number of its rows and the sum of their hashes, whatever their order.
+
+    NULLs are part of a row's hash by their place: (NULL, 1) and (1, NULL) differ.
+    """
+    cols = sorted(c for c in rows.columns if c not in ignore and c not in keys)      # whatever the frame's column order
+    one = F.xxhash64(*[F.col(c) for c in cols], *[F.col(c).isNull() for c in cols])
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.sum(one.cast("decimal(38,0)")).alias("__sum"))
+
+
+def changed_windows(current: DataFrame, rows: DataFrame, keys: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:
+    """The change set: keys of the windows whose rows differ between ``current`` and ``rows``.
+
+    A window of one side alone was added or removed; a window with equal
+    digests is unchanged and not returned.
+    """
+    old = window_digests(current, keys, ignore).withColumnsRenamed({"__n": "__old_n", "__sum": "__old_sum"})
+    both = window_digests(rows, keys, ignore).join(old, list(keys), "full_outer")
+    same = F.col("__n").eqNullSafe(F.col("__old_n")) & F.col("__sum").eqNullSafe(F.col("__old_sum"))
+    return both.where(~same).select(*keys)
+
+
 def replace_windows(spark: SparkSession, path: str, rows: DataFrame, windows: DataFrame, keys: Sequence[str],
-                    partition_cols: Sequence[str]) -> DataFrame:
+                    partition_cols: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:
     """Replace all rows of whole windows of a table by ``rows``; returns ``rows`` as cut from their lineage.
 
     ``windows`` holds the replaced windows (``keys`` and ``partition_cols``,
-    which are functions of the keys); rows of other windows of the same
-    partitions are kept.  A window that produces nothing any more loses its
-    old rows, and a partition left without rows is deleted.  Rerunning the
-    same windows leaves the same table, however often their inputs repeat.
+    which are functions of the keys); rows of other windows are kept.  Only
+    partitions with a window that changed are written: a window whose rows are
+    the same (columns in ``ignore``, such as a processing stamp, aside) keeps
+    its files, so a rerun over the same input writes nothing.  A window that
+    produces nothing any more loses its old rows, and a partition left without
+    rows is deleted.
     """
     rows = rows.checkpoint(eager=True)
-    touched = windows.select(*partition_cols).distinct()
-    if path_exists(spark, path):
-        current = _in_partitions(read_table(spark, path, _nullable(rows.schema)), touched, partition_cols)
-        merged = current.join(windows.select(*keys), list(keys), "left_anti").select(*rows.columns).union(rows).checkpoint(eager=True)
-    else:
-        merged = rows
+    if not path_exists(spark, path):
+        write_partitions(rows, path, partition_cols)
+        return rows
+    current = _in_partitions(read_table(spark, path, _nullable(rows.schema)), windows.select(*partition_cols).distinct(), partition_cols)
+    own = current.join(windows.select(*keys), list(keys), "left_semi")
+    changed = windows.join(changed_windows(own, rows, keys, ignore), list(keys), "left_semi").checkpoint(eager=True)
+    touched = changed.select(*partition_cols).distinct()
+    if changed.isEmpty():
+        return rows
+    current = _in_partitions(read_table(spark, path, _nullable(rows.schema)), touched, partition_cols)
+    replaced = changed.select(*keys)
+    kept = current.join(replaced, list(keys), "left_anti").select(*rows.columns)
+    merged = kept.union(rows.join(replaced, list(keys), "left_semi").select(*rows.columns)).checkpoint(eager=True)
     write_partitions(merged, path, partition_cols)
     gone = touched.join(merged.select(*partition_cols).distinct(), list(partition_cols), "left_anti")
     _delete_partitions(spark, path, gone, partition_cols)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+from collections.abc import Iterable, Sequence
+from datetime import date, datetime, time, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +58,67 @@ def partition_predicate(start: datetime, end: datetime, date_col: str = "date",
     return first | middle | final
 
 
+#: A filter lists at most this many runs of consecutive hours or days; beyond it the smallest gaps are read too.
+MAX_RANGES = 200
+
+
+def value_runs(values: Iterable[int], most: int = MAX_RANGES) -> list[tuple[int, int]]:
+    """Runs (first, last) of consecutive numbers, at most ``most``: the smallest gaps are bridged beyond it."""
+    runs: list[list[int]] = []
+    for v in sorted(set(values)):
+        if runs and v == runs[-1][1] + 1:
+            runs[-1][1] = v
+        else:
+            runs.append([v, v])
+    if len(runs) > most:
+        gaps = sorted(range(1, len(runs)), key=lambda i: runs[i - 1][1] - runs[i][0])[:most - 1]
+        cuts = [0, *sorted(gaps), len(runs)]
+        runs = [[runs[a][0], runs[b - 1][1]] for a, b in zip(cuts, cuts[1:])]
+    return [(a, b) for a, b in runs]
+
+
+def hours_predicate(hours: Iterable[datetime], date_col: str = "date", hour_col: str = "hour") -> Column:
+    """The (date, hour) partitions of a list of hours, by runs and not by their span: a stray hour adds itself only."""
+    epoch = datetime(1970, 1, 1)
+    step = timedelta(hours=1)
+    out = F.lit(False)
+    for first, last in value_runs((h - epoch) // step for h in hours):
+        out = out | partition_predicate(epoch + first * step, epoch + (last + 1) * step, date_col, hour_col)
+    return out
+
+
+def days_predicate(days: Iterable[date], date_col: str = "date") -> Column:
+    """The date partitions of a list of days, by runs."""
+    out = F.lit(False)
+    for first, last in value_runs(d.toordinal() for d in days):
+        out = out | F.col(date_col).between(F.lit(date.fromordinal(first)), F.lit(date.fromordinal(last)))
+    return out
+
+
+def partition_filter(touched: DataFrame, partition_cols: Sequence[str]) -> Column:
+    """A prunable filter of the touched partitions' days or hours (their distinct times are collected).
+
+    Whole-number partitions (hash buckets) are listed.  Other columns, such as
+    a facility, are left to the caller's join.
+    """
+    kinds = dict(touched.dtypes)
+    cols = list(partition_cols)
+    if "date" in cols and "hour" in cols:
+        rows = touched.select("date", "hour").distinct().collect()
+        return hours_predicate(datetime.combine(r["date"], time(r["hour"])) for r in rows)
+    out = F.lit(True)
+    if "date" in cols:
+        out = days_predicate(r["date"] for r in touched.select("date").distinct().collect())
+    for c in cols:
+        if kinds[c] == "int" and c != "hour":
+            runs = value_runs(r[0] for r in touched.select(c).distinct().collect())
+            some = F.lit(False)
+            for first, last in runs:
+                some = some | F.col(c).between(first, last)
+            out = out & some
+    return out
+
+
 def select_run(df: DataFrame, start: datetime | str, end: datetime | str, landed_col: str = "landed_at",
                date_col: str = "date", hour_col: str = "hour", whole_partitions: bool = False) -> DataFrame:
     """Rows landed in the half-open window [start, end).
@@ -81,13 +143,30 @@ def union_facilities(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def facility_frames(df: DataFrame, col: str = "facility_id") -> list[DataFrame]:
-    """One frame per facility of the data (and one for rows without), in order of their names.
+def facility_union(df: DataFrame, branches: Sequence[str | None] | None = None, col: str = "facility_id") -> DataFrame:
+    """The bag union of one branch per facility, as a single scan.
 
-    The list has an entry per facility, so it is small and collected.
+    Each branch selects one facility (``None``: rows without one); their
+    predicates are merged into one that reaches the scan, and a facility named
+    n times gives its rows n times.  Without ``branches`` every facility of
+    the data has one: that is each row once, and no list of facilities is needed.
     """
-    names = [r[0] for r in df.select(col).distinct().orderBy(F.col(col).asc_nulls_last()).collect()]
-    return [df.where(F.col(col).eqNullSafe(F.lit(n))) for n in names] or [df]
+    if branches is None:
+        return df
+    times: dict[str | None, int] = {}
+    for b in branches:
+        times[b] = times.get(b, 0) + 1
+    named = [b for b in times if b is not None]
+    wanted = F.col(col).isin(named)
+    if None in times:
+        wanted = wanted | F.col(col).isNull()
+    out = df.where(wanted)
+    if max(times.values(), default=1) == 1:
+        return out
+    n = F.lit(times.get(None, 0))
+    for b in named:
+        n = F.when(F.col(col) == F.lit(b), F.lit(times[b])).otherwise(n)
+    return out.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), n))).drop("__copy")
 
 
 def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from verdant.constants import TOPIC_MAP
-from verdant.operators.decode import decode_messages
+from verdant.operators.decode import decode_messages, parse_messages, split_messages
 from verdant.session import ensure_session
 from verdant.sources.messages import read_messages
 
@@ -31,9 +31,14 @@ def bounded_batches(fmt: str, options: Mapping[str, str] | None) -> dict[str, st
     return opts
 
 
-# Writers of one landing hour of a facility in a micro-batch: a live batch has
-# one hour, so few facilities would otherwise mean few writers.
+# Writers of the newest landing hours of a facility in a micro-batch: a live
+# batch has one hour, so few facilities would otherwise mean few writers.
+# Earlier hours (a backlog has many) have one writer each.
 WRITERS_PER_PARTITION = 4
+NEWEST_HOURS = 2
+# Innermost folder of a table written batch by batch: a repeated batch
+# replaces its own folders.
+BATCH = "batch"
 
 
 def quarantine_of(path: str) -> str:
@@ -52,42 +57,59 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
+def land_batch(bronze_path: str, quarantine_path: str, landing_col: str | None = None,
+               writers_per_partition: int = WRITERS_PER_PARTITION):
+    """The ``foreachBatch`` function: one parsed pass over a batch with two outputs.
+
+    The batch is decoded once and kept while both outputs are written.  Each
+    output has the batch's number as its innermost partition and replaces that
+    partition only, so a batch that is repeated after a failure
+    (``foreachBatch`` is at-least-once) leaves the same rows: every message
+    lands exactly once, in one of the two.
+    """
+    def land(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        parsed = parse_messages(batch, landing_col=landing_col).persist()
+        try:
+            good, bad = split_messages(parsed)
+            newest = F.col("bronze_landed_at") >= F.date_trunc("hour", F.current_timestamp()).cast("timestamp_ntz") - F.make_dt_interval(
+                F.lit(0), F.lit(NEWEST_HOURS - 1), F.lit(0), F.lit(0))
+            salt = F.when(newest, F.pmod(F.xxhash64("sensor_id", "timestamp"), F.lit(writers_per_partition))).otherwise(F.lit(0))
+            # An explicit count (the session's shuffle partitions) keeps the writers
+            # parallel: a micro-batch's write is bound by its file count, which a
+            # byte-based coalescing of the shuffle would serialise.
+            writers = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            spread = good.repartition(writers, *[F.col(c) for c in BRONZE_PARTITIONS], salt)
+            for rows, path, cols in ((spread, bronze_path, BRONZE_PARTITIONS), (bad, quarantine_path, ())):
+                (rows.withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                     .partitionBy(*cols, BATCH).parquet(path))
+        finally:
+            parsed.unpersist()
+
+    return land
+
+
 def start_bronze(spark: SparkSession, bronze_path: str, checkpoint: str, fmt: str = "kafka",
                  source_path: str | None = None, options: Mapping[str, str] | None = None,
                  topics: Sequence[str] = tuple(TOPIC_MAP.values()), trigger: str | None = "30 seconds",
                  quarantine_path: str | None = None, landing_col: str | None = None,
                  writers_per_partition: int = WRITERS_PER_PARTITION) -> list[StreamingQuery]:
-    """Start the Bronze landing stream(s).
-
-    The Parquet file sink with a checkpoint is exactly-once per micro-batch
-    (the upstream is at-least-once; no dedup, as in the original).  Rows are
-    grouped by the partition columns and a salt before the write: each
-    micro-batch writes at most ``writers_per_partition`` files per (facility,
-    date, hour), by as many tasks.
+    """Start the Bronze landing stream (one query): topics read and parsed once, two outputs a batch.
+
+    Rows land under (facility, date, hour, batch); malformed messages under
+    ``quarantine_path`` (by default a folder next to the table), by batch.  The
+    upstream is at-least-once and not deduplicated, as in the original; a
+    repeated batch replaces itself (``land_batch``).  A micro-batch writes one
+    file per landing hour of a facility, and up to ``writers_per_partition``
+    for the newest hours.
     Micro-batches are bounded by the source's per-trigger limits
     (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``).  ``trigger`` is a
     processing-time interval, or ``"availableNow"`` for backfill and tests.
-    Malformed messages go to ``quarantine_path`` (a second query; by default a
-    folder next to the table): every message lands in one of the two.
     """
     ensure_session(spark)
     opts = bounded_batches(fmt, options)
     if fmt == "kafka":
         opts.setdefault("startingOffsets", "earliest")     # land everything retained
     messages = read_messages(spark, fmt, opts, topics, path=source_path, stream=True)
-    good, bad = bronze_stream(messages, landing_col)
-    keys = [F.col(c) for c in BRONZE_PARTITIONS]
-    if writers_per_partition > 1:
-        keys.append(F.pmod(F.xxhash64("sensor_id", "timestamp"), F.lit(writers_per_partition)))
-    # An explicit count (the session's shuffle partitions) keeps the writers
-    # parallel: a micro-batch's write is bound by its file count, which a
-    # byte-based coalescing of the shuffle would serialise.
-    writers = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    q = _trigger(good.repartition(writers, *keys).writeStream.format("parquet")
-                 .option("path", bronze_path).option("checkpointLocation", f"{checkpoint}/bronze")
-                 .partitionBy(*BRONZE_PARTITIONS).outputMode("append"), trigger).start()
-    queries = [q]
-    queries.append(_trigger(bad.writeStream.format("parquet").option("path", quarantine_path or quarantine_of(bronze_path))
-                            .option("checkpointLocation", f"{checkpoint}/quarantine")
-                            .outputMode("append"), trigger).start())
-    return queries
+    land = land_batch(bronze_path, quarantine_path or quarantine_of(bronze_path), landing_col, writers_per_partition)
+    return [_trigger(messages.writeStream.foreachBatch(land).option("checkpointLocation", f"{checkpoint}/bronze"), trigger).start()]

@@ -4,20 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from verdant.constants import TOPIC_MAP
 from verdant.functions.columns import parse_timestamp, sensor_type_of_topic
 from verdant.operators.decode import decode_messages
-from verdant.operators.serving import LIVE_KEYS, LIVE_UPDATE_COLS
+from verdant.operators.serving import LIVE_KEYS, LIVE_UPDATE_COLS, reduce_updates
 from verdant.session import ensure_session
 from verdant.sinks.tables import merge_into_table
 from verdant.sources.messages import read_messages
 from verdant.streaming.bronze import bounded_batches, quarantine_of
 
-LIVE_PARTITIONS = ("facility_id",)
+#: The live table's partitions: hash buckets of its key, so a batch rewrites the buckets of its keys only.
+LIVE_PARTITIONS = ("bucket",)
+LIVE_BUCKETS = 64
+
+
+def live_bucket(buckets: int = LIVE_BUCKETS) -> Column:
+    """The bucket of a live row's key (facility and sensor)."""
+    return F.pmod(F.xxhash64(*LIVE_KEYS), F.lit(buckets)).cast("int")
 
 
 def live_batch(messages: DataFrame, topic_map: Mapping[str, str] = TOPIC_MAP) -> tuple[DataFrame, DataFrame]:
@@ -53,9 +60,12 @@ def live_batch(messages: DataFrame, topic_map: Mapping[str, str] = TOPIC_MAP) ->
     return rows.where(served).drop(*extra), lost
 
 
-def merge_live_batch(live_path: str, order_by: str = "arrival", quarantine_path: str | None = None):
+def merge_live_batch(live_path: str, order_by: str = "arrival", quarantine_path: str | None = None,
+                     buckets: int = LIVE_BUCKETS):
     """The ``foreachBatch`` function: reduce a batch to its latest rows and merge.
 
+    The table lies in ``buckets`` hash buckets of its key (fixed for a table's
+    life); only the buckets of the batch's keys are read and rewritten.
     The table keeps each row's ``arrival`` and a row is only replaced by a
     later one, so a replayed batch (``foreachBatch`` is at-least-once) or
     batches out of order leave the same table as consuming every message in
@@ -67,8 +77,11 @@ def merge_live_batch(live_path: str, order_by: str = "arrival", quarantine_path:
         if order_by != "arrival":
             own = F.unix_micros(F.col(order_by).cast("timestamp"))
             rows = rows.withColumn("arrival", F.struct(own.alias("at"), F.col("arrival.offset").alias("offset")))
+        # Reduced before it is kept: one row per key reaches the checkpoint, the
+        # list of touched buckets and the merge.
+        rows = reduce_updates(rows, LIVE_KEYS, LIVE_UPDATE_COLS, "arrival").withColumn("bucket", live_bucket(buckets))
         merge_into_table(batch.sparkSession, live_path, rows, LIVE_KEYS, LIVE_UPDATE_COLS,
-                         LIVE_PARTITIONS, order_by="arrival", newer_than="arrival")
+                         LIVE_PARTITIONS, newer_than="arrival")
         if quarantine_path:
             lost.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
 
@@ -78,7 +91,7 @@ def merge_live_batch(live_path: str, order_by: str = "arrival", quarantine_path:
 def start_live(spark: SparkSession, live_path: str, checkpoint: str, fmt: str = "kafka",
                source_path: str | None = None, options: Mapping[str, str] | None = None,
                topics: Sequence[str] = tuple(TOPIC_MAP.values()), trigger: str | None = "10 seconds",
-               order_by: str = "arrival", quarantine_path: str | None = None) -> StreamingQuery:
+               order_by: str = "arrival", quarantine_path: str | None = None, buckets: int = LIVE_BUCKETS) -> StreamingQuery:
     """Maintain ``live_readings`` (one row per facility and sensor).
 
     Value, unit, is_anomaly and recorded_at are replaced by the newest
@@ -93,7 +106,7 @@ def start_live(spark: SparkSession, live_path: str, checkpoint: str, fmt: str =
     if fmt == "kafka":
         opts.setdefault("startingOffsets", "latest")       # a live view starts from now
     messages = read_messages(spark, fmt, opts, topics, path=source_path, stream=True)
-    writer = (messages.writeStream.foreachBatch(merge_live_batch(live_path, order_by, quarantine_path or quarantine_of(live_path)))
+    writer = (messages.writeStream.foreachBatch(merge_live_batch(live_path, order_by, quarantine_path or quarantine_of(live_path), buckets))
               .option("checkpointLocation", f"{checkpoint}/live"))
     if trigger in (None, "availableNow"):
         writer = writer.trigger(availableNow=True)
