@@ -44,6 +44,8 @@ from verdant.llm.common import cut, filesystem, prepare, scratch_uri
 BLOCK = 1 << 16
 STRIPE = 2048
 ANCHORS = 128
+#: Anchors in a file.
+ANCHOR_FILE = 8192
 #: Scaled components reach less than this.
 REACH = 1 << 27
 GROUP = 8
@@ -231,6 +233,11 @@ def _first(found: DataFrame, keys: list[str], keep: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep)
 
 
+def _write_anchors(anchors: DataFrame, files: int, folder: str) -> None:
+    """Anchors by label in ``files`` files: every block of the index opens each of them."""
+    anchors.repartitionByRange("label", "id").sortWithinPartitions("label", "id").coalesce(max(1, files)).write.parquet(folder)
+
+
 def mine(vectors: DataFrame, is_anchor: Column, id_col: str = "vec_id", vec_col: str = "embedding",
          label: Column | None = None, scale: int = 256, positives: int = 5, negatives: int = 3,
          low: int = 50, high: int = 95) -> DataFrame:
@@ -242,9 +249,11 @@ def mine(vectors: DataFrame, is_anchor: Column, id_col: str = "vec_id", vec_col:
     """
     spark = prepare(vectors.sparkSession)
     rows = scaled_rows(vectors, id_col, vec_col, F.col("label") if label is None else label, scale)
-    spread = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-    size = rows.agg(F.max(F.size("v")).alias("width"), F.max(F.greatest(F.abs(F.array_max("v")), F.abs(F.array_min("v"))))
-                    .alias("largest")).first()
+    size = rows.agg(F.max(F.size("v")).alias("width"), F.max(F.greatest(F.abs(F.array_max("v")), F.abs(F.array_min("v")))).alias("largest"),
+                    F.count(F.lit(1)).alias("rows"), F.count_if(is_anchor).alias("anchors")).first()
+    # Enough rows in a block to be worth reading all anchors for, and enough anchors in a file.
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size["rows"] // STRIPE))
+    files = -(-size["anchors"] // ANCHOR_FILE)
     width = max(GROUP, -(-(size["width"] or 0) // GROUP) * GROUP)
     largest = int(size["largest"] or 0) + 1
     if width * largest * largest >= 1 << 62:
@@ -253,9 +262,9 @@ def mine(vectors: DataFrame, is_anchor: Column, id_col: str = "vec_id", vec_col:
     first = F.min(F.struct("label", "v")).alias("r")
     chosen = rows.where(is_anchor).groupBy("id").agg(first).select("id", "r.label", "r.v")
     folder = scratch_uri(spark, "anchors")
-    chosen.repartitionByRange("label", "id").sortWithinPartitions("label", "id").write.parquet(folder)
+    _write_anchors(chosen, files, folder)
     scorer = _Scorer(folder, width, largest)
-    index = cut(spread.sortWithinPartitions("label", "id").mapInPandas(scorer.index, INDEX), "planes")
+    index = cut(rows.repartition(max(1, parts)).sortWithinPartitions("label", "id").mapInPandas(scorer.index, INDEX), "planes")
 
     def find_positives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return scorer.positives(batches, positives)
@@ -264,8 +273,7 @@ def mine(vectors: DataFrame, is_anchor: Column, id_col: str = "vec_id", vec_col:
     named = F.struct(F.col("rank").alias("place"), F.col("other_id").alias("id"), "score")
     bands = near.groupBy(F.col("anchor_id").alias("id")).agg(F.array_sort(F.collect_list(named)).alias("positives"))
     with_bands = scratch_uri(spark, "bands")
-    (spark.read.parquet(folder).join(bands, "id")
-          .repartitionByRange("label", "id").sortWithinPartitions("label", "id").write.parquet(with_bands))
+    _write_anchors(spark.read.parquet(folder).join(bands, "id"), files, with_bands)
     second = _Scorer(with_bands, width, largest)
 
     def find_negatives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
