@@ -21,7 +21,7 @@ from verdant.sources.tables import partition_filter, path_exists, read_table
 
 
 def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], fmt: str = "parquet") -> None:
-    """Write ``df`` replacing only the partitions it contains.
+    """Write ``df`` replacing only the partitions it contains (a table that does not exist yet is just written).
 
     ``rebalance`` on the partition columns lets AQE size the write tasks:
     small partitions are coalesced (few files) and a hot partition (one
@@ -31,7 +31,7 @@ def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], fm
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     (df.hint("rebalance", *partition_cols)
-       .write.mode("overwrite").format(fmt).partitionBy(*partition_cols).save(path))
+       .write.mode("overwrite" if path_exists(spark, path) else "append").format(fmt).partitionBy(*partition_cols).save(path))
 
 
 def write_topics(df: DataFrame, fmt: str = "kafka", path: str | None = None,

@@ -12,6 +12,7 @@ from verdant.constants import TOPIC_MAP
 from verdant.operators.decode import decode_messages, parse_messages, split_messages
 from verdant.session import ensure_session
 from verdant.sources.messages import read_messages
+from verdant.sources.tables import path_exists
 
 BRONZE_PARTITIONS = ("facility_id", "date", "hour")
 
@@ -62,13 +63,17 @@ def land_batch(bronze_path: str, quarantine_path: str, landing_col: str | None =
     """The ``foreachBatch`` function: one parsed pass over a batch with two outputs.
 
     The batch is decoded once and kept while both outputs are written.  Each
-    output has the batch's number as its innermost partition and replaces that
-    partition only, so a batch that is repeated after a failure
-    (``foreachBatch`` is at-least-once) leaves the same rows: every message
-    lands exactly once, in one of the two.
+    output has the batch's number as its innermost partition.  Numbers grow
+    while a stream runs, so such a batch is new and only appended; the first
+    batch of a start may be a repetition (``foreachBatch`` is at-least-once)
+    and replaces its own partitions, whatever a failed attempt left there.
+    Every message lands exactly once, in one of the two.
     """
+    done: list[int] = []
+
     def land(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        newer = bool(done) and batch_id > done[-1]
         parsed = parse_messages(batch, landing_col=landing_col).persist()
         try:
             good, bad = split_messages(parsed)
@@ -81,8 +86,10 @@ def land_batch(bronze_path: str, quarantine_path: str, landing_col: str | None =
             writers = int(spark.conf.get("spark.sql.shuffle.partitions"))
             spread = good.repartition(writers, *[F.col(c) for c in BRONZE_PARTITIONS], salt)
             for rows, path, cols in ((spread, bronze_path, BRONZE_PARTITIONS), (bad, quarantine_path, ())):
-                (rows.withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                mode = "append" if newer or not path_exists(spark, path) else "overwrite"
+                (rows.withColumn(BATCH, F.lit(batch_id)).write.mode(mode).option("partitionOverwriteMode", "dynamic")
                      .partitionBy(*cols, BATCH).parquet(path))
+            done.append(batch_id)
         finally:
             parsed.unpersist()
 
@@ -111,5 +118,8 @@ def start_bronze(spark: SparkSession, bronze_path: str, checkpoint: str, fmt: st
     if fmt == "kafka":
         opts.setdefault("startingOffsets", "earliest")     # land everything retained
     messages = read_messages(spark, fmt, opts, topics, path=source_path, stream=True)
+    if landing_col is None:     # part of the stream's plan: a repeated batch gets its first attempt's time, and partitions
+        landing_col = "__landed"
+        messages = messages.withColumn(landing_col, F.current_timestamp())
     land = land_batch(bronze_path, quarantine_path or quarantine_of(bronze_path), landing_col, writers_per_partition)
     return [_trigger(messages.writeStream.foreachBatch(land).option("checkpointLocation", f"{checkpoint}/bronze"), trigger).start()]
