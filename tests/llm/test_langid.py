@@ -68,3 +68,59 @@ def test_sample_of_repeated_ids(spark):
     got = g._sample(df, "doc_id", "text", "lang", 20, 5).collect()
     assert len(got) == 20 == len({(r["__id"], r.text) for r in got})
     assert {r["__id"] for r in got} == set(range(1, 9))
+
+
+def test_many_languages_are_learned_in_tasks(spark):
+    """200 languages, each a family of its own: the driver gets weights alone, and the rest's share is bounded."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(200):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(6)]
+        rows += [(len(rows) + j, f"q{k:03d}", " ".join(rng.choice(words, 30))) for j in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(4)
+    model = g.learn(df, max_rest=300)
+    assert len(model.families) == 200 == len(model.weights) and not model.pair_rows
+    got = g.identify(df, model).collect()
+    assert np.mean([r.language.lang == r.lang for r in got]) > 0.95
+
+
+def test_votes_by_brute_force(spark):
+    """Family, votes and score, taken from the machines one by one."""
+    words = {"en": "the cat sat with them", "de": "der hund nicht durch ich", "nl": "de kat zat niet met hen", "sv": "katten satt inte med dem och",
+             "fr": "le chat etait avec eux", "es": "el gato estaba con ellos", "ru": "кот сидел с ними"}
+    rng = np.random.default_rng(3)
+    rows = [(i, k, " ".join(rng.choice(words[k].split(), 8))) for i, k in enumerate([*words] * 20)]
+    model = g.learn(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    texts = [t for _, _, t in rows[:30]] + ["the kat nicht med", "x", "de de de", "кот the"]
+    for text, (lang, score, family) in zip(texts, model.predict(texts), strict=True):
+        x = g.features(text).astype(float)
+
+        def p(row):
+            slope, bias = model.sigmoids[row]
+            return 1 / (1 + np.exp(-np.clip(slope * (sum(model.weights[row][:-1] * x) + model.weights[row][-1]) + bias, -30, 30)))
+
+        shares = {f: p(model.family_rows[f]) + 1e-12 for f in model.families}
+        first = max(shares, key=lambda f: (shares[f], -model.families.index(f)))
+        langs = model.languages[first]
+        won = {a: sum((p(model.pair_rows[a, b]) >= 0.5) if (a, b) in model.pair_rows else (p(model.pair_rows[b, a]) < 0.5)
+                      for b in langs if b != a) for a in langs}
+        sums = {a: sum(p(model.pair_rows[a, b]) if (a, b) in model.pair_rows else 1 - p(model.pair_rows[b, a])
+                       for b in langs if b != a) for a in langs}
+        best = max(langs, key=lambda a: (won[a], sums[a]))
+        within = 1.0 if len(langs) == 1 else sums[best] / (len(langs) - 1)
+        assert (family, lang) == (first, best) and abs(score - shares[first] / sum(shares.values()) * within) < 1e-6
+
+
+def test_ties_between_languages(spark):
+    """Equal texts under two languages: the same answer for all of them, and the learned model is the same again."""
+    rows = [(i, lang, "one and the same text") for i, lang in enumerate(["en", "de"] * 20)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    models = [g.learn(df), g.learn(df.repartition(5))]
+    assert np.array_equal(models[0].weights, models[1].weights)
+    assert len({(r.language.lang, r.language.score) for r in g.identify(df, models[0]).collect()}) == 1
+
+
+def test_sample_is_full_and_bounded(spark):
+    rows = [(i, "en" if i % 10 else "de", f"text {i}") for i in range(20_000)]
+    got = g._sample(spark.createDataFrame(rows, "doc_id long, lang string, text string"), "doc_id", "text", "lang", 100, 5).groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in got} == {"en": 100, "de": 100}

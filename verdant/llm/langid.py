@@ -20,11 +20,13 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdant.llm.common import free_name, prepare
+from verdant.llm.common import cut, free_name, prepare
 
 #: Labelled texts per language that are learned from at most, and languages at most.
 MAX_PER_LANGUAGE = 400
 MAX_LANGUAGES = 200
+#: Vectors of all other families that a family's machine is learned from, about.
+MAX_REST = 4000
 #: Hashed features of each n-gram length.
 BUCKETS = 2048
 #: Bytes of the excerpt that is learned from next to each whole text, so that short texts are known too.
@@ -187,14 +189,20 @@ def _train(x: np.ndarray, y: np.ndarray, held: np.ndarray) -> tuple[np.ndarray,
 def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, limit: int, max_languages: int) -> DataFrame:
     """(lang, text): at most ``limit`` texts of each language, chosen by a hash of the id.
 
-    Ids are ranked without their texts (Spark keeps ``limit`` a language and
-    task before the shuffle); the chosen ids are then few enough to broadcast.
+    A language's number of ids (estimated by a sketch, so no id is shuffled)
+    gives the share of the hash's range that holds half as many again as asked
+    for; only ids below it are ranked.  Each language's part of the range is
+    as wide as the language is rare, so the ranked rows do not grow with the
+    table.  The chosen ids are then few enough to broadcast.
     """
     rows = docs.select(F.col(id_col).alias("__id"), F.col(lang_col).alias("lang")).where("lang is not null and __id is not null")
-    langs = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).select("lang")
+    langs = (rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("__id", 0.03).alias("ids"))
+                 .orderBy(F.desc("n"), "lang").limit(max_languages)
+                 .select("lang", (F.lit(1.5 * limit + 60) / F.greatest("ids", F.lit(1))).alias("share")))
+    place = F.pmod(F.xxhash64("__id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("__id"), "__id"))
-    chosen = (rows.join(F.broadcast(langs), "lang").distinct().withColumn("__rank", rank).where(F.col("__rank") <= limit)
-                  .select("__id", "lang"))
+    chosen = (rows.join(F.broadcast(langs), "lang").where(place < F.col("share")).select("__id", "lang").distinct()
+                  .withColumn("__rank", rank).where(F.col("__rank") <= limit).select("__id", "lang"))
     texts = (docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
                  .join(F.broadcast(chosen), "__id").where("text is not null"))
     # A chosen id may repeat: copies count once, and of its other texts come the first of every id before the second of any.
@@ -205,10 +213,31 @@ def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, limit: i
                  .withColumn("__rank", rank).where(F.col("__rank") <= limit).select("__id", "lang", "text"))
 
 
+_MACHINE = "machine string, weights binary, slope double, bias double"
+
+
+def _train_group(rows: pd.DataFrame) -> pd.DataFrame:
+    """One machine from its rows (machine, id, lang, part, at, x, y), in an order that no partitioning changes."""
+    rows = rows.sort_values(["id", "lang", "part", "x"], kind="stable")
+    x = np.zeros((len(rows), 2 * BUCKETS), dtype=np.float32)
+    for k, (at, values) in enumerate(zip(rows["at"], rows["x"], strict=True)):
+        x[k, np.frombuffer(at, dtype=np.uint16)] = np.frombuffer(values, dtype=np.float32)
+    held = np.array([hash_of(f"held{i}") % 5 == 0 for i in rows["id"]])
+    w, (slope, bias) = _train(x, rows["y"].to_numpy(dtype=np.float64), held)
+    return pd.DataFrame([(rows["machine"].iloc[0], w.astype(np.float64).tobytes(), slope, bias)],
+                        columns=["machine", "weights", "slope", "bias"])
+
+
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          limit: int = MAX_PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> LanguageModel:
-    """A model from at most ``limit`` texts of each of the ``max_languages`` most frequent languages; empty where none has letters."""
-    prepare(docs.sparkSession)
+          limit: int = MAX_PER_LANGUAGE, max_languages: int = MAX_LANGUAGES, max_rest: int = MAX_REST) -> LanguageModel:
+    """A model from at most ``limit`` texts of each of the ``max_languages`` most frequent languages; empty where none has letters.
+
+    Every machine is trained in a task of its own, from the sparse vectors of
+    its languages; a family's machine takes about ``max_rest`` vectors of the
+    other families (by a hash of the id) where these hold more.  The driver gets
+    the languages' counts and the weights, 32 KB a machine.
+    """
+    spark = prepare(docs.sparkSession)
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -216,42 +245,45 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             for i, lang, text in zip(batch["__id"], batch["lang"], batch["text"], strict=True):
                 if not has_letter(text):
                     continue
-                rows.append((i, lang, features(text).tobytes()))
                 start = (hash_of(str(i)) * len(text)) >> 32
-                short = text[start:start + EXCERPT]
-                if has_letter(short):
-                    rows.append((i, lang, features(short).tobytes()))
-            yield pd.DataFrame(rows, columns=["id", "lang", "x"])
-
-    table = (_sample(docs, id_col, text_col, lang_col, limit, max_languages).select(F.col("__id").cast("string").alias("__id"), "lang", "text")
-             .mapInPandas(vectors, "id string, lang string, x binary").toPandas().sort_values(["id", "lang"]))
-    if not len(table):
-        return LanguageModel()
-    x = np.frombuffer(b"".join(table.pop("x")), dtype=np.float32).reshape(len(table), -1)
-    lang = table["lang"].to_numpy(dtype=object)
-    held = np.array([hash_of(f"held{i}") % 5 == 0 for i in table["id"]])
+                for part, piece in enumerate((text, text[start:start + EXCERPT])):
+                    if has_letter(piece):
+                        x = features(piece)
+                        at = np.flatnonzero(x)
+                        rows.append((i, lang, part, at.astype(np.uint16).tobytes(), x[at].tobytes()))
+            yield pd.DataFrame(rows, columns=["id", "lang", "part", "at", "x"])
+
+    sample = _sample(docs, id_col, text_col, lang_col, limit, max_languages).select(F.col("__id").cast("string").alias("__id"), "lang", "text")
+    table = cut(sample.mapInPandas(vectors, "id string, lang string, part int, at binary, x binary"), "language-vectors")
+    counts = {r["lang"]: r["n"] for r in table.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     model = LanguageModel()
-    for name in sorted(set(lang)):
+    for name in sorted(counts):
         model.languages.setdefault(family_of(name), []).append(name)
     model.families = sorted(model.languages)
-    family = np.array([family_of(name) for name in lang], dtype=object)
-    weights, sigmoids = [], []
-
-    def add(rows, y):
-        w, s = _train(x[rows], y, held[rows])
-        weights.append(w)
-        sigmoids.append(s)
-        return len(weights) - 1
 
+    # (machine, language, side, share): the languages of each machine and the share of their vectors that it takes.
+    plan = []
     if len(model.families) > 1:
         for f in model.families:
-            model.family_rows[f] = add(np.arange(len(x)), np.where(family == f, 1.0, -1.0))
+            model.family_rows[f] = len(model.family_rows)
+            rest = sum(n for name, n in counts.items() if family_of(name) != f)
+            plan += [(f"{model.family_rows[f]}", name, 1.0 if family_of(name) == f else -1.0,
+                      1.0 if family_of(name) == f else min(1.0, max_rest / rest)) for name in counts]
     for langs in model.languages.values():
         for a, b in combinations(langs, 2):
-            rows = np.flatnonzero((lang == a) | (lang == b))
-            model.pair_rows[a, b] = add(rows, np.where(lang[rows] == a, 1.0, -1.0))
-    if weights:
-        model.weights, model.sigmoids = np.array(weights), np.array(sigmoids)
+            row = len(model.family_rows) + len(model.pair_rows)
+            model.pair_rows[a, b] = row
+            plan += [(f"{row}", a, 1.0, 1.0), (f"{row}", b, -1.0, 1.0)]
+    if not plan:
+        return model
+    # At most languages x (families + languages of a family) narrow rows, so it is broadcast.
+    sides = spark.createDataFrame(plan, "machine string, lang string, y double, share double")
+    place = F.pmod(F.xxhash64("machine", "id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    rows = table.join(F.broadcast(sides), "lang").where((F.col("share") >= 1) | (place < F.col("share"))).drop("share")
+    found = {r["machine"]: r for r in rows.groupBy("machine").applyInPandas(_train_group, _MACHINE).collect()}
+    order = [found[f"{k}"] for k in range(len(found))]
+    model.weights = np.array([np.frombuffer(r["weights"], dtype=np.float64) for r in order])
+    model.sigmoids = np.array([(r["slope"], r["bias"]) for r in order])
     return model
 
 
