@@ -26,6 +26,29 @@ def test_ids_equal_library(library):
     assert fst.decode([3 + 0xFF, 10**9, -1, 1]) == "�"
 
 
+def test_normaliser_and_fallback_machines(library, monkeypatch):
+    """Arcs of the normaliser against plain replacement, bytes against UTF-8, and cut texts against whole ones."""
+    import re
+    from itertools import product
+
+    for prefix, squeeze in product(("", "▁"), (False, True)):
+        machine = s.Transducer.__new__(s.Transducer)
+        machine.normaliser = machine._normaliser(prefix, squeeze)
+        for n in range(7):
+            for c in product("a ▁", repeat=n):
+                text = "".join(c)
+                plain = re.sub(" +", " ", text.strip(" ")) if squeeze else text
+                assert machine.normalise(text) == (prefix + plain.replace(" ", "▁") if plain else ""), (text, prefix, squeeze)
+    fst = s.Transducer(PATH)
+    for c in "\0aé☃🙂\U0010ffff":
+        assert [fst.pieces[i] for i in fst.fall_back(c)] == [f"<0x{b:02X}>" for b in c.encode()]
+    # Long texts in short steps: a run of blanks is never cut.
+    monkeypatch.setattr(s, "PART", 5)
+    for n in range(12):
+        for text in ("ab" + " " * n + "cd  ef" + " " * n, " " * n + "▁ x" * n, "a" * n + "🙂 " * n):
+            assert fst.encode(text).tolist() == library.encode(text), repr(text)
+
+
 def test_one_path_and_weights():
     """The path's neighbours fit, and every other segmentation of a short text has a pair that does not."""
     fst = s.Transducer(PATH)

@@ -1,11 +1,17 @@
 """SentencePiece encoding and decoding with weighted finite-state transducers.
 
-A model is compiled into three transducers: the normaliser (white space to
-U+2581, the dummy prefix), the pieces (a trie over characters whose final
-states emit ids) and byte fallback (a character that no piece holds emits the
-ids of its bytes).  An input is composed with them into a lattice of positions
-and pieces, and its path of least weight in the tropical semiring (weights add
-along a path, the smallest wins) is the encoding.
+A model is compiled into three transducers, given by their arcs:
+
+* the normaliser reads characters and writes symbols (white space as U+2581, the
+  dummy prefix, runs of blanks as one); its states are START, BODY and GAP;
+* the pieces are a trie over symbols whose final states write ids;
+* byte fallback reads the UTF-8 bytes of a symbol that no piece stands for and writes
+  their ids; its states are the number of bytes still to come.
+
+A text is composed with the normaliser (which is deterministic, so a chain of symbols
+comes out) and the chain with the union of pieces and fallback, whose arcs are made when
+the search reaches them.  The path of least weight in the tropical semiring (weights add
+along a path, the smallest wins) is the encoding, and its arcs' outputs are the ids.
 
 * Unigram models: an arc weighs the negated log probability of its piece.
 * BPE models: states also hold the last piece, and an arc weighs 0 where merging
@@ -16,7 +22,8 @@ along a path, the smallest wins) is the encoding.
 
 Where no piece holds two neighbouring characters, the lattice falls apart
 between them.  Texts are cut there (before words, and between letters and
-punctuation), and the parts are encoded once and remembered.
+punctuation), and the parts, which all but the first meet the normaliser in BODY, are
+composed and searched once and remembered.
 """
 
 from __future__ import annotations
@@ -42,6 +49,9 @@ ROWS_OUT = 500
 #: Characters of a text that are encoded at once, where it can be cut.
 PART = 4_000_000
 INFINITY = float("inf")
+WORD_START = re.compile(f"(?<=[^ {SPACE}])[ {SPACE}]")
+#: States of the normaliser: nothing written yet, a symbol written last, blanks held back.
+START, BODY, GAP = range(3)
 
 
 class Transducer:
@@ -62,13 +72,15 @@ class Transducer:
             raise ValueError("only identity normalisers with escaped white space before words")
         if any(p.type in (kinds.USER_DEFINED, kinds.UNUSED) for p in model.pieces):
             raise ValueError("no user-defined or unused pieces")
-        self.dummy_prefix, self.squeeze = norm.add_dummy_prefix, norm.remove_extra_whitespaces
+        self.dummy_prefix = norm.add_dummy_prefix
+        self.normaliser = self._normaliser(SPACE if norm.add_dummy_prefix else "", norm.remove_extra_whitespaces)
         self.pieces = [p.piece for p in model.pieces]
         self.score = [p.score for p in model.pieces]
         self.unknown = next((i for i, p in enumerate(model.pieces) if p.type == kinds.UNKNOWN), 0)
         self.byte_id = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == kinds.BYTE}
         self.id_of = {p.piece: i for i, p in enumerate(model.pieces) if p.type == kinds.NORMAL}
         self.byte_fallback = model.trainer_spec.byte_fallback and len(self.byte_id) == 256
+        self.fallback = self._fallback()
         self.unknown_weight = 10.0 - min((self.score[i] for i in self.id_of.values()), default=0.0)
         # A character that only longer pieces hold is a piece of its own for the search; its output is the fallback's.
         self.listed = len(self.pieces)
@@ -76,6 +88,8 @@ class Transducer:
             self.id_of[c] = len(self.pieces)
             self.pieces.append(c)
             self.score.append(-self.unknown_weight)
+        # What an arc of the pieces writes: its id, or the fallback's output of a character that is no piece.
+        self.writes = [(i,) if i < self.listed else self.fall_back(p) for i, p in enumerate(self.pieces)]
         # The piece transducer: a node maps a character to (id emitted there or -1, next node).
         self.root: dict[str, list] = {}
         for piece, i in self.id_of.items():
@@ -118,17 +132,49 @@ class Transducer:
         for c in sorted(group):
             classes.setdefault(find(c), []).append(c)
         runs = [f"[{''.join(map(re.escape, cs))}]+" for cs in sorted(classes.values(), key=len, reverse=True) if len(cs) > 1]
-        return re.compile(f"{SPACE}*(?:{'|'.join([*runs, f'[^{SPACE}]'])})|{SPACE}+", re.DOTALL)
-
-    # -- normaliser ----------------------------------------------------------------------------------
-
-    def normalise(self, text: str) -> str:
-        if self.squeeze:
-            text = re.sub(" +", " ", text.strip(" "))
-        if not text:
-            return ""
-        text = text.replace(" ", SPACE)
-        return SPACE + text if self.dummy_prefix else text
+        return re.compile(f"[ {SPACE}]*(?:{'|'.join([*runs, f'[^ {SPACE}]'])})|[ {SPACE}]+", re.DOTALL)
+
+    # -- normaliser and fallback ---------------------------------------------------------------------
+
+    @staticmethod
+    def _normaliser(prefix: str, squeeze: bool) -> dict[int, tuple[tuple[str, int], tuple[str, int]]]:
+        """Arcs of a state: (symbols written, next state) for a blank, and the same for a character, which is copied behind."""
+        if squeeze:
+            return {START: (("", START), (prefix, BODY)), BODY: (("", GAP), ("", BODY)), GAP: (("", GAP), (SPACE, BODY))}
+        return {START: ((prefix + SPACE, BODY), (prefix, BODY)), BODY: ((SPACE, BODY), ("", BODY))}
+
+    def normalise(self, text: str, state: int = START) -> str:
+        """The chain of symbols that a text composed with the normaliser writes from ``state`` on; every state is final."""
+        out = []
+        for c in text:
+            blank, other = self.normaliser[state]
+            if c == " ":
+                written, state = blank
+                out.append(written)
+            else:
+                written, state = other
+                out.append(written + c)
+        return "".join(out)
+
+    def _fallback(self) -> dict[int, dict[int, tuple[int, int]]]:
+        """Arcs of the byte machine: state (bytes still to come) -> byte -> (id written, next state)."""
+        if not self.byte_fallback:
+            return {}
+        lead = {b: 0 if b < 0x80 else 1 if b < 0xE0 else 2 if b < 0xF0 else 3 for b in [*range(0x80), *range(0xC2, 0xF5)]}
+        arcs = {0: {b: (self.byte_id[b], more) for b, more in lead.items()}}
+        for more in (1, 2, 3):
+            arcs[more] = {b: (self.byte_id[b], more - 1) for b in range(0x80, 0xC0)}
+        return arcs
+
+    def fall_back(self, symbol: str) -> tuple[int, ...]:
+        """What the fallback writes for a symbol: the ids along its bytes, or the unknown id without byte pieces."""
+        if not self.byte_fallback:
+            return (self.unknown,)
+        state, ids = 0, []
+        for byte in symbol.encode("utf-8", "surrogatepass"):
+            written, state = self.fallback[state][byte]
+            ids.append(written)
+        return tuple(ids)
 
     # -- weights -------------------------------------------------------------------------------------
 
@@ -154,21 +200,20 @@ class Transducer:
 
     # -- composition and shortest path ---------------------------------------------------------------
 
-    def _bpe_path(self, text: str) -> list[tuple[int, str]]:
-        """(piece, text) on the only path of finite weight: one state per position is reached."""
+    def _bpe_path(self, text: str) -> list[tuple[int, ...]]:
+        """Outputs along the only path of finite weight: one state per position is reached."""
         if self.n_fits > CACHE_PAIRS:
             self.fits, self.n_fits = {}, 0
-        n, root, fits = len(text), self.root, self.fits
-        back, last = [0] * (n + 1), [None] * (n + 1)
+        n, root, fits, writes = len(text), self.root, self.fits, self.writes
+        back, last, wrote = [0] * (n + 1), [None] * (n + 1), [()] * (n + 1)
         last[0] = -1
         for i in range(n):
             state = last[i]
             if state is None:
                 continue
-            c = text[i]
-            arc = root.get(c)
-            if arc is None:                       # no piece holds it: fallback, and a new start behind it
-                last[i + 1], back[i + 1] = -1, i
+            arc = root.get(text[i])
+            if arc is None:                       # no piece holds it: the fallback's arc, and a new start behind it
+                last[i + 1], back[i + 1], wrote[i + 1] = -1, i, self.fall_back(text[i])
                 continue
             row = fits.get(state)
             if row is None:
@@ -182,64 +227,61 @@ class Transducer:
                     if ok is None:
                         ok = row[piece] = self.fit(state, piece)
                     if ok:
-                        last[j], back[j] = piece, i
+                        last[j], back[j], wrote[j] = piece, i, writes[piece]
                 arc = node.get(text[j]) if j < n else None
-        out, at = [], n
-        while at:
-            out.append((last[at], text[back[at]:at]))
-            at = back[at]
-        return out[::-1]
+        return self._outputs(back, wrote)
 
-    def _unigram_path(self, text: str) -> list[tuple[int, str]]:
-        """(piece, text) on the path of least weight: all arcs lead forward, so one sweep relaxes them."""
+    def _unigram_path(self, text: str) -> list[tuple[int, ...]]:
+        """Outputs along the path of least weight: all arcs lead forward, so one sweep relaxes them."""
         n = len(text)
-        total, back, last = [INFINITY] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+        total, back, wrote = [INFINITY] * (n + 1), [0] * (n + 1), [()] * (n + 1)
         total[0] = 0.0
         for i in range(n):
             arc, j = self.root.get(text[i]), i
             if arc is None:
                 w = total[i] + self.unknown_weight
                 if w < total[i + 1]:
-                    total[i + 1], back[i + 1], last[i + 1] = w, i, -1
+                    total[i + 1], back[i + 1], wrote[i + 1] = w, i, self.fall_back(text[i])
             while arc is not None:
                 piece, node = arc
                 j += 1
                 if piece >= 0:
                     w = total[i] - self.score[piece]
                     if w < total[j]:
-                        total[j], back[j], last[j] = w, i, piece
+                        total[j], back[j], wrote[j] = w, i, self.writes[piece]
                 arc = node.get(text[j]) if j < n else None
-        out, at = [], n
+        return self._outputs(back, wrote)
+
+    @staticmethod
+    def _outputs(back: list[int], wrote: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
+        out, at = [], len(back) - 1
         while at:
-            out.append((last[at], text[back[at]:at]))
+            out.append(wrote[at])
             at = back[at]
         return out[::-1]
 
-    def shortest_path(self, text: str) -> list[int]:
-        """Ids on the path of least weight through the lattice of a normalised text."""
+    def shortest_path(self, symbols: str) -> list[int]:
+        """Ids on the path of least weight through the lattice of a chain of symbols."""
         ids: list[int] = []
-        for piece, chars in (self._bpe_path(text) if self.bpe else self._unigram_path(text)):
-            if 0 <= piece < self.listed:
-                ids.append(piece)
-            elif self.byte_fallback:
-                ids += [self.byte_id[b] for b in chars.encode("utf-8", "surrogatepass")]
-            elif not ids or ids[-1] != self.unknown:
-                ids.append(self.unknown)
+        for written in (self._bpe_path(symbols) if self.bpe else self._unigram_path(symbols)):
+            if self.byte_fallback or written != (self.unknown,) or not ids or ids[-1] != self.unknown:
+                ids += written
         return ids
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a text; none for null and empty ones."""
-        normal = self.normalise(text) if text else ""
-        if not normal:
+        if not text:
             return np.zeros(0, dtype=np.int32)
         if self.cut is None:
-            return np.array(self.shortest_path(normal), dtype=np.int32)
-        out, at = [], 0
-        while at < len(normal):
-            # A long text in steps that end before a word; a text without words is one step.
-            end = normal.find(SPACE, at + PART) if len(normal) - at > PART else -1
-            end = len(normal) if end < 0 else end
-            out.append(self._parts(normal[at:end]))
+            return np.array(self.shortest_path(self.normalise(text)), dtype=np.int32)
+        # The first part meets the normaliser in START; the parts behind a character that is no blank in BODY.
+        first = self.cut.match(text).group()
+        out, at = [self._ids(first, START)], len(first)
+        while at < len(text):
+            # A long text in steps that end before the blanks before a word; a text without words is one step.
+            end = WORD_START.search(text, at + PART) if len(text) - at > PART else None
+            end = end.start() if end else len(text)
+            out.append(self._parts(text[at:end]))
             at = end
         ids = np.frombuffer(b"".join(out), dtype=np.int32)
         if self.byte_fallback or len(ids) < 2:
@@ -247,12 +289,15 @@ class Transducer:
         unknown = ids == self.unknown                     # a run of unknown characters is one piece
         return ids[np.concatenate([[True], ~(unknown[1:] & unknown[:-1])])]
 
-    def _parts(self, normal: str) -> bytes:
-        parts, known, before = self.cut.findall(normal), self.words, self.before
+    def _ids(self, part: str, state: int) -> bytes:
+        return np.array(self.shortest_path(self.normalise(part, state)), dtype=np.int32).tobytes()
+
+    def _parts(self, text: str) -> bytes:
+        parts, known, before = self.cut.findall(text), self.words, self.before
         for p in set(parts):
             if p not in known:
                 ids = before.get(p)
-                known[p] = np.array(self.shortest_path(p), dtype=np.int32).tobytes() if ids is None else ids
+                known[p] = self._ids(p, BODY) if ids is None else ids
         out = b"".join([known[p] for p in parts])
         if len(known) > CACHE_WORDS:
             self.words, self.before = {}, known
