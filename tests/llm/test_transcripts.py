@@ -26,6 +26,39 @@ def test_viterbi_equals_brute_force_and_pieces():
         assert cut == path
 
 
+def test_many_pieces_equal_one_by_one():
+    rng = np.random.default_rng(5)
+    model = t.TranscriptModel(rng.standard_normal(t.N), rng.standard_normal((t.N, t.N)), [])
+    sizes = [3, 1, 40, 7, 1, 3]
+    before, last = [-1, 2, -1, 0, -1, 5], [-1, 3, 4, -1, -1, 0]
+    scores = np.round(rng.standard_normal((sum(sizes), t.N)), 1)
+    got, at = t.viterbi_many(model, scores, sizes, before, last), 0
+    for n, b, e in zip(sizes, before, last, strict=True):
+        assert got[at:at + n].tolist() == t.viterbi(model, scores[at:at + n], None if b < 0 else b, None if e < 0 else e)
+        at += n
+
+
+def test_learned_counts_equal_plain_ones(spark):
+    """Counting in Spark gives the model of counting row by row; lines are read whole, copies once, turns up to the bound."""
+    rng = random.Random(8)
+    chats = [talk(rng.randrange(1, 9), rng) for _ in range(30)]
+    chats.append([("user", "why " * 5000 + "?"), ("assistant", "x" * 100_000 + "\n\nUser: y"), ("user", "\n")])
+    rows = [(c, k, "Human" if role == "user" else role, text) for c, chat in enumerate(chats) for k, (role, text) in enumerate(chat)]
+    more = [rows[0], (None, 0, "user", "x"), (3, None, "user", "x"), (3, 0, None, "x"), (3, 1, "narrator", "x"), (3, 1, "user", None),
+            (3, 7, "user", "beyond?")]
+    df = spark.createDataFrame(rows + more, "conv_id long, turn long, role string, text string")
+    got, want = t.learn(df, max_turns=7), t._counts([chat[:7] for chat in chats])
+    assert np.allclose(got.start, want.start) and np.allclose(got.move, want.move)
+    for a, b in zip(got.shows, want.shows, strict=True):
+        assert a.keys() == b.keys() and all(np.allclose(a[v], b[v]) for v in a)
+    long = spark.createDataFrame([(1, 0, "why " * 300_000 + "?\n" + "line\n" * 50_000)], "conv_id long, turn long, text string")
+    text = long.first().text
+    turns = t.parse(long, got).orderBy("part").collect()
+    path = t.viterbi(got, got.emissions([text])[0], None, None)
+    assert "\n".join(r.text for r in turns) == text
+    assert [r.role for r in turns] == [t.STATES[k][0] for k in path if t.STATES[k][1]] and turns[0].role == "user"
+
+
 @pytest.mark.parametrize("line, role, rest", [
     ("User: hi", "user", "hi"), ("### Assistant", "assistant", ""), ("<|system|>", "system", ""), ("[Human] x", "user", "x"),
     ("**AI:** y", "assistant", "y"), ("A: yes", "assistant", "yes"), ("<|im_start|>user", "user", ""), ("Users: no", None, "Users: no"),

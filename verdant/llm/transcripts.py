@@ -11,7 +11,11 @@ Rows are range-sorted over the cluster and a long conversation may be cut over
 many tasks.  Viterbi is a product of matrices in the (max, +) semiring: each
 piece gives a small matrix, the pieces of a conversation are chained, and each
 piece is then decoded between its known end states.  No conversation is
-gathered into one task.
+gathered into one task.  A group of rows holds many pieces, whose sequences are
+searched side by side, a line of each at a time.
+
+The model is counted by Spark: tasks turn whole lines into what they show, and
+only the counts of the (few) different shows and moves reach the driver.
 """
 
 from __future__ import annotations
@@ -24,14 +28,16 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdant.llm.common import cut, prepare
 
-#: Labelled conversations that are learned from at most, and rows of each.
+#: Labelled conversations that are learned from at most, and first turns of each.
 MAX_CONVERSATIONS = 2000
 MAX_ROWS = 64
+#: Groups that the conversations of a range of rows are dealt to for decoding.
+GROUPS = 64
 
 # Canonical roles and the names that speakers are marked with.
 ROLES = ("system", "user", "assistant")
@@ -47,6 +53,7 @@ _MARKER = re.compile(rf"\s*(?:<\|(?:im_start\|>|start_header_id\|>)?\s*(?P<tag>{
                      rf"|\[(?P<box>{_NAMES})\]:?|\*\*(?P<bold>{_NAMES}):?\*\*:?|#{{1,4}}\s*(?P<head>{_NAMES})\s*(?::|$)"
                      rf"|(?P<plain>{_NAMES})\s?:)[ \t]*", re.IGNORECASE)
 _END = re.compile(r"\s*(?:<\|im_end\|>|<\|eot_id\|>|<\|end\|>)\s*$")
+_ENDS = ("<|im_end|>", "<|eot_id|>", "<|end|>")
 
 #: States: begin and continue a turn of each role.
 STATES = [(r, b) for r in ROLES for b in (True, False)]
@@ -63,11 +70,18 @@ def marker_of(line: str) -> tuple[str | None, str]:
     return ROLE_OF[name.lower()], line[m.end():]
 
 
+def without_end(line: str) -> str:
+    return _END.sub("", line) if line.rstrip().endswith(_ENDS) else line
+
+
 def features(line: str, first: bool) -> tuple:
     """What a line shows: marker, start of a row, length class, question, blank."""
-    role, rest = marker_of(line)
-    size = len(rest.strip())
-    return (role or "none", first, min(9, size.bit_length()), rest.rstrip().endswith("?"), size == 0)
+    return _shows(*marker_of(line), first)
+
+
+def _shows(role: str | None, rest: str, first: bool) -> tuple:
+    rest = rest.strip()
+    return (role or "none", first, min(9, len(rest).bit_length()), rest.endswith("?"), not rest)
 
 
 @dataclass
@@ -83,9 +97,9 @@ class TranscriptModel:
         scores, lines = [], []
         for r, text in enumerate(rows):
             for k, line in enumerate(text.split("\n")):
-                f = features(line, k == 0)
-                scores.append(self._score(f))
-                lines.append((r, _END.sub("", marker_of(line)[1])))
+                role, rest = marker_of(line)
+                scores.append(self._score(_shows(role, rest, k == 0)))
+                lines.append((r, without_end(rest)))
         return np.array(scores).reshape(-1, N), lines
 
     def _score(self, f: tuple) -> np.ndarray:
@@ -107,21 +121,34 @@ class TranscriptModel:
 
 
 def _counts(conversations: list[list[tuple[str, str]]]) -> TranscriptModel:
-    """Smoothed relative frequencies from conversations of (role, text) rows."""
-    start, move = np.ones(N) * 0.1, np.ones((N, N)) * 0.1
-    shows = [[Counter() for _ in range(N)] for _ in range(5)]
+    """The model of conversations of (role, text) rows."""
+    starts, moves, shown = Counter(), Counter(), Counter()
     for rows in conversations:
         last = None
         for role, text in rows:
             for k, line in enumerate(text.split("\n")):
-                state = STATES.index((role, k == 0))
+                state = (role, k == 0)
                 if last is None:
-                    start[state] += 1
+                    starts[state] += 1
                 else:
-                    move[last, state] += 1
-                for table, value in zip(shows, features(line, k == 0), strict=True):
-                    table[state][value] += 1
+                    moves[last, state] += 1
+                shown[state, features(line, k == 0)] += 1
                 last = state
+    return _model(starts, moves, shown)
+
+
+def _model(starts: dict, moves: dict, shown: dict) -> TranscriptModel:
+    """Smoothed relative frequencies from the numbers of starts, (state, next state) and (state, features)."""
+    place = {state: k for k, state in enumerate(STATES)}
+    start, move = np.ones(N) * 0.1, np.ones((N, N)) * 0.1
+    shows = [[Counter() for _ in range(N)] for _ in range(5)]
+    for state, n in starts.items():
+        start[place[state]] += n
+    for (a, b), n in moves.items():
+        move[place[a], place[b]] += n
+    for (state, f), n in shown.items():
+        for table, value in zip(shows, f, strict=True):
+            table[place[state]][value] += n
     for j, (r, begins) in enumerate(STATES):
         for i, (own, _) in enumerate(STATES):
             if not begins and own != r:
@@ -143,23 +170,50 @@ _DEFAULT = [[("system", "be brief\nand kind"), ("user", "what?"), ("assistant",
             [("user", "what?\nit is\nodd"), ("assistant", "this\nand more"), ("user", "why?"), ("assistant", "so\nbecause\nof it")]] * 50
 
 
+_SHOWN = "r string, begins boolean, marker string, first boolean, size int, asks boolean, blank boolean, n long"
+
+
 def learn(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
-          text_col: str = "text", limit: int = MAX_CONVERSATIONS) -> TranscriptModel:
-    """A model from at most ``limit`` conversations (by a hash of the id) and ``MAX_ROWS`` first turns of each.
+          text_col: str = "text", limit: int = MAX_CONVERSATIONS, max_turns: int = MAX_ROWS) -> TranscriptModel:
+    """A model from at most ``limit`` conversations (by a hash of the id) and the turns of each below ``max_turns``.
 
-    Roles are matched by the speakers' names; rows of other roles are skipped.
+    Lines are read whole.  Roles are matched by the speakers' names; rows of
+    other roles, and rows without an id, turn or text, are skipped; copies of a
+    row count once.  Without such rows it is the default model.
     """
     prepare(rows.sparkSession)
     names = F.create_map(*[F.lit(x) for kv in ROLE_OF.items() for x in kv])
     kept = (rows.select(F.col(conv_col).alias("c"), F.col(turn_col).alias("t"), names[F.lower(role_col)].alias("r"),
-                        F.col(text_col).alias("x")).where(f"c is not null and r is not null and x is not null and t < {MAX_ROWS}"))
+                        F.col(text_col).alias("x")).where("c is not null and r is not null and x is not null")
+                .where(F.col("t") < max_turns))
     chosen = kept.select("c").distinct().orderBy(F.xxhash64("c"), "c").limit(limit)
-    # Copies of a row count once; shapes of lines are kept and not texts.
-    table = (kept.join(F.broadcast(chosen), "c").groupBy("c", "t", "r").agg(F.min("x").alias("x"))
-                 .select("c", "t", "r", F.transform(F.split("x", "\n"), lambda s: F.left(s, F.lit(2000))).alias("x"))
-                 .orderBy("c", "t", "r").toPandas())
-    found = [[(r, "\n".join(x)) for r, x in zip(g["r"], g["x"], strict=True)] for _, g in table.groupby("c")]
-    return _counts(found or _DEFAULT)
+    table = cut(kept.join(F.broadcast(chosen), "c").groupBy("c", "t", "r").agg(F.min("x").alias("x")), "transcript-rows")
+
+    def shapes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            seen = Counter((role, k == 0, *features(line, k == 0)) for role, text in zip(batch["r"], batch["x"], strict=True)
+                           for k, line in enumerate(text.split("\n")))
+            yield pd.DataFrame([(*shape, n) for shape, n in seen.items()], columns=[x.split()[0] for x in _SHOWN.split(", ")])
+
+    *shape, _ = (x.split()[0] for x in _SHOWN.split(", "))
+    shown = table.select("r", "x").mapInPandas(shapes, _SHOWN).groupBy(*shape).agg(F.sum("n").alias("n")).collect()
+    order = Window.partitionBy("c").orderBy("t", "r")                 # at most three rows a turn
+    turns = (table.select("c", "t", "r", F.size(F.split("x", "\n", -1)).alias("lines"))
+                  .select("r", "lines", F.lag("r").over(order).alias("before"), F.lag("lines").over(order).alias("had"))
+                  .groupBy("r", "before", (F.col("had") == 1).alias("one"))
+                  .agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("lines") > 1).cast("long")).alias("second"),
+                       F.sum(F.greatest(F.col("lines") - 2, F.lit(0)).cast("long")).alias("later")).collect())
+    if not turns:
+        return _counts(_DEFAULT)
+    starts, moves = Counter(), Counter()
+    for row in turns:
+        if row["before"] is None:
+            starts[row["r"], True] += row["n"]
+        else:
+            moves[(row["before"], row["one"]), (row["r"], True)] += row["n"]
+        moves[(row["r"], True), (row["r"], False)] += row["second"]
+        moves[(row["r"], False), (row["r"], False)] += row["later"]
+    return _model(starts, moves, {((x["r"], x["begins"]), tuple(x[c] for c in shape[2:])): x["n"] for x in shown})
 
 
 # -- Viterbi ---------------------------------------------------------------------------------------
@@ -189,12 +243,35 @@ def viterbi(model: TranscriptModel, scores: np.ndarray, before: int | None, last
     return path[::-1]
 
 
+def viterbi_many(model: TranscriptModel, scores: np.ndarray, sizes: list[int], before: list[int], last: list[int]) -> np.ndarray:
+    """``viterbi`` of many pieces at once: the pieces' lines follow each other in ``scores``, -1 is a start or a free end."""
+    sizes, before, last = (np.asarray(x, dtype=np.int64) for x in (sizes, before, last))
+    order = np.argsort(-sizes, kind="stable")                       # the pieces that have a k-th line come first
+    at, sizes, before, last = (np.cumsum(sizes) - sizes)[order], sizes[order], before[order], last[order]
+    active = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")
+    best = np.where(before[:, None] < 0, model.start[None], model.move[np.maximum(before, 0)]) + scores[at]
+    back = np.zeros(scores.shape, dtype=np.int8)
+    for k in range(1, sizes[0]):
+        m = active[k]
+        both = best[:m, :, None] + model.move[None]
+        back[at[:m] + k] = both.argmax(axis=1)
+        best[:m] = both.max(axis=1) + scores[at[:m] + k]
+    state = np.where(last < 0, best.argmax(axis=1), last)
+    path = np.zeros(len(scores), dtype=np.int64)
+    for k in range(sizes[0] - 1, -1, -1):
+        m = active[k]
+        here = at[:m] + k
+        path[here] = state[:m]
+        state[:m] = back[here, state[:m]]
+    return path
+
+
 def render(role: str, text: str) -> str:
     """The canonical form of a turn."""
     return f"<|{role}|>\n{text.strip()}\n<|end|>\n"
 
 
-_TURNS = "conv string, seg int, pos long, part int, role string, text string, rendered string"
+_TURNS = "c string, t string, part int, role string, text string, rendered string"
 
 
 def parse(rows: DataFrame, model: TranscriptModel, conv_col: str = "conv_id", turn_col: str = "turn",
@@ -205,7 +282,8 @@ def parse(rows: DataFrame, model: TranscriptModel, conv_col: str = "conv_id", tu
     turn.  Rows follow each other by turn (nulls first), then by a hash of the
     text; repeated rows are repeated turns.  A null conversation id is a
     conversation of its own.  Other columns, the role's too, are not read; an
-    empty table gives an empty result.
+    empty table gives an empty result.  Ids and turns are of a type that a
+    cast to text and back leaves as it is.
     """
     prepare(rows.sparkSession)
     order = [F.col("c").asc_nulls_first(), F.col("t").asc_nulls_first(), F.xxhash64("x")]
@@ -229,29 +307,32 @@ def parse(rows: DataFrame, model: TranscriptModel, conv_col: str = "conv_id", tu
     cuts = cut(cuts, "transcript-cuts")                 # at most one new conversation per task boundary
     ends = _chain(named.join(cuts, "conv"), model)
 
-    def decode(group: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        if not len(group):
-            return pd.DataFrame(columns=[c.split()[0] for c in _TURNS.split(", ")], dtype=object)
-        group = group.sort_values("pos")
-        before, last = (int(known[c].iloc[0]) if len(known) and known[c].iloc[0] >= 0 else None for c in ("before", "last"))
-        texts, places, out = group["x"].tolist(), group["pos"].tolist(), []
+    def decode(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["conv", "pos"], kind="stable")
+        texts, convs = group["x"].tolist(), group["conv"].tolist()
+        starts = [k for k, name in enumerate(convs) if k == 0 or name != convs[k - 1]]
+        piece_of = np.cumsum(np.isin(np.arange(len(convs)), starts)) - 1
+        known = [[-1 if x != x else int(x) for x in group[c].iloc[starts].tolist()] for c in ("before", "last")]
         scores, lines = model.emissions(texts)
-        for state, (r, line) in zip(viterbi(model, scores, before, last), lines, strict=True):
+        sizes = np.bincount(piece_of[[r for r, _ in lines]], minlength=len(starts))
+        turns: list[tuple[int, int, str, list[str]]] = []
+        for state, (r, line) in zip(viterbi_many(model, scores, sizes, *known).tolist(), lines, strict=True):
             role, begins = STATES[state]
-            if begins or not out:
-                part = out[-1][1] + 1 if out and out[-1][0] == r else 0
-                out.append((r, part, role, [line]))
+            if begins or not turns or piece_of[turns[-1][0]] != piece_of[r]:
+                turns.append((r, turns[-1][1] + 1 if turns and turns[-1][0] == r else 0, role, [line]))
             else:
-                out[-1][3].append(line)
-        conv, seg = group["conv"].iloc[0], int(group["seg"].iloc[0])
-        rows = [(conv, seg, places[r], part, role, "\n".join(text), render(role, "\n".join(text))) for r, part, role, text in out]
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in _TURNS.split(", ")])
-
-    turns = (named.select("conv", "seg", "pos", "x").groupBy("conv", "seg").cogroup(ends.groupBy("conv", "seg"))
-                  .applyInPandas(decode, _TURNS))
-    own = table.select("c", "t", F.col("seg").alias("s"), F.col("pos").alias("p"))
-    return (turns.join(own, (F.col("seg") == F.col("s")) & (F.col("pos") == F.col("p")))
-                 .select(F.col("c").alias(conv_col), F.col("t").alias(turn_col), "part", "role", "text", "rendered"))
+                turns[-1][3].append(line)
+        ids, places = group["c"].tolist(), group["t"].tolist()
+        return pd.DataFrame([(ids[r], places[r], part, role, "\n".join(text), render(role, "\n".join(text)))
+                             for r, part, role, text in turns], columns=[c.split()[0] for c in _TURNS.split(", ")], dtype=object)
+
+    # Pieces of cut conversations know the states at their ends; a group holds many pieces of one range of rows.
+    pieces = (named.select(F.col("c").cast("string").alias("c"), F.col("t").cast("string").alias("t"), "conv", "seg", "pos", "x")
+                   .join(ends, ["conv", "seg"], "left"))
+    turns = (pieces.groupBy("seg", F.pmod(F.xxhash64("conv"), F.lit(GROUPS)).alias("part"))
+                   .applyInPandas(decode, _TURNS))
+    return turns.select(F.col("c").cast(kind[conv_col]).alias(conv_col), F.col("t").cast(kind[turn_col]).alias(turn_col),
+                        "part", "role", "text", "rendered")
 
 
 def _chain(pieces: DataFrame, model: TranscriptModel) -> DataFrame:
