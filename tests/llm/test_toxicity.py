@@ -89,3 +89,50 @@ def test_labelled_rows_of_repeated_ids(spark):
     labels = spark.createDataFrame([(k, k % 2) for k in range(1, 9)], "doc_id long, toxic int")
     got = t._labelled(spark.createDataFrame(rows, "doc_id long, text string"), labels, "doc_id", "text", "toxic", 20).collect()
     assert len(got) == 20 == len({r.text for r in got}) and {f"text {k}" for k in range(2, 9)} <= {r.text for r in got}
+
+
+def test_terms_are_counted_over_all_labelled_texts(spark):
+    """Terms beyond the fit's sample are found; copies, repeated rows and near copies do not make terms; ties go by text."""
+    rng = random.Random(11)
+    vocab = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(300)]
+    rows = []
+    for i in range(2000):
+        words = rng.choices(vocab, k=30)
+        if i % 40 == 0:
+            words[8], words[16] = "vexmorp", "vexmorq"
+        rows.append((i, " ".join(words), int(i % 40 == 0)))
+    once = rows[0][1].replace("vexmorp", "copyword").replace("vexmorq", "copyword")
+    rows += [(3000 + i, once, 1) for i in range(200)] + [(4000, once + " again", 1)] * 200
+    rows += [(5000, None, 1), (5001, "", 1), (None, "vexmorp", 0)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    texts = t._distinct_texts(docs, labels, "doc_id", "text", "toxic")
+    words, chosen = t._word_counts(texts, 500)
+    count = {r.word: (r.n1, r.n0) for r in words.collect()}
+    assert count["vexmorp"] == (50, 0)
+    assert count["copyword"] == (2, 0) and count["again"] == (1, 0)
+    assert chosen[:2] == ["vexmorp", "vexmorq"] and "copyword" not in chosen
+    assert t._word_counts(texts, 1)[1] == ["vexmorp"]
+    assert {"vexmorp", "vexmorq"} <= set(t.learn(docs, labels, limit=60).terms)
+
+
+def test_quotation_lowers_a_learned_score(spark):
+    """Labels that call abuse toxic and the same words in reported speech clean: the learned weights tell them apart."""
+    rng = random.Random(12)
+    vocab = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(200)]
+
+    def doc(kind):
+        words = rng.choices(vocab, k=30)
+        if kind == 1:
+            words[10:10] = ["you", "are", "an", rng.choice(["idiot", "moron"])]
+        if kind == 2:
+            words[10:10] = ["she", "wrote", '"' + rng.choice(["idiot", "moron"]) + '"', "there"]
+        return " ".join(words)
+
+    rows = [(i, doc(i % 3), int(i % 3 == 1)) for i in range(600)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model = t.learn(docs, labels)
+    plain = " ".join(vocab[:20])
+    assert model.score(f"{plain} you are an idiot {plain}") > 0.9
+    assert model.score(f'{plain} she wrote "idiot" there {plain}') < 0.3

@@ -25,9 +25,12 @@ from pyspark.sql import functions as F
 
 from verdant.llm.common import fold, free_name, prepare
 
-#: Labelled texts used for learning at most, and learned terms kept at most.
+#: Labelled texts that the weights are fitted on at most, learned terms and their known look-alikes kept at most.
 MAX_LABELLED = 8000
 MAX_TERMS = 500
+MAX_CLEAN = 50_000
+#: Words whose contexts are counted, as a multiple of the terms kept.
+CANDIDATES = 4
 THRESHOLD = 0.7
 #: Words on either side of a hit that make its context.
 CONTEXT = 8
@@ -245,36 +248,69 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
     return rows.select("y", "text")
 
 
-def _word_counts(rows: DataFrame) -> pd.DataFrame:
-    """Words that stand out in toxic texts, with their numbers of contexts by label.
+def _distinct_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """(y, text, weight) of every labelled text; a text's copies count once, by the smallest id.
 
-    What is counted is distinct (previous, word, next) contexts and not texts,
-    so copies of one text count once.  Comes with the totals of both labels.
+    Ids and hashes are compared, not texts; rows that repeat both id and text
+    share one row's weight.
     """
+    label = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
+                   .groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("y")))
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"),
+                       F.xxhash64(F.col(text_col)).alias("hash")).where("text is not null")
+    first = (rows.select("__id", "hash").join(label, "__id").groupBy("hash", "y", "__id").agg(F.count(F.lit(1)).alias("n"))
+                 .groupBy("hash", "y").agg(F.min(F.struct("__id", "n")).alias("first"))
+                 .select("hash", "y", "first.__id", (1 / F.col("first.n")).alias("weight")))
+    return rows.join(first, ["__id", "hash"]).select("y", "text", "weight")
+
+
+def _gain(n1: Column, n0: Column, rate: float) -> Column:
+    """One-sided binomial deviation of a word's counts from the toxic texts' share."""
+    p, q = n1 / (n1 + n0), F.lit(max(rate, 1e-9))
+    return n1 * F.log(p / q) + F.when(n0 > 0, n0 * F.log((1 - p) / (1 - q))).otherwise(0.0)
+
+
+def _word_counts(texts: DataFrame, max_terms: int) -> tuple[DataFrame, list[str]]:
+    """(word, n1, n0: texts by label) over all texts, and the words that stand out in toxic ones.
+
+    A term stands out, significantly among all the words looked at, both by
+    texts and by distinct (previous, word, next) contexts, so near copies of
+    one text do not make its words terms.
+    """
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            seen: dict[str, list[float]] = {}
+            for y, text, weight in zip(batch["y"], batch["text"], batch["weight"], strict=True):
+                for w in set(words_of(text)):
+                    seen.setdefault(w, [0.0, 0.0])[0 if y else 1] += weight
+            yield pd.DataFrame([(w, *n) for w, n in seen.items()], columns=["word", "n1", "n0"])
+
+    words = (texts.mapInPandas(count, "word string, n1 double, n0 double").groupBy("word")
+                  .agg(F.round(F.sum("n1")).alias("n1"), F.round(F.sum("n0")).alias("n0"))).checkpoint(eager=True)
+    t = words.agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"), F.count(F.lit(1)).alias("words")).first()
+    rate, need = (t["n1"] or 0) / max(1, (t["n1"] or 0) + (t["n0"] or 0)), math.log(max(2, t["words"]))
+
+    def outstanding(counts: DataFrame, limit: int) -> list[str]:
+        n1, n0 = F.col("n1").cast("double"), F.col("n0").cast("double")
+        gain = _gain(n1, n0, rate)
+        return [r["word"] for r in counts.where((n1 >= 3) & (n1 >= n0)).withColumn("gain", gain).where(F.col("gain") >= need)
+                .orderBy(F.desc("gain"), "word").limit(limit).select("word").collect()]
+
+    looked = frozenset(outstanding(words, CANDIDATES * max_terms))
 
     def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
+            out = set()
             for y, text in zip(batch["y"], batch["text"], strict=True):
-                words = ["", *words_of(text), ""]
-                out += {(b, a + " " + c, int(y)) for a, b, c in zip(words, words[1:], words[2:], strict=False)}
-            yield pd.DataFrame(out, columns=["word", "around", "y"])
-
-    seen = (rows.mapInPandas(contexts, "word string, around string, y int")
-                .groupBy("word", F.xxhash64("around").alias("around")).agg(F.max("y").alias("hi"), F.min("y").alias("lo")))
-    words = seen.groupBy("word").agg(F.sum("hi").alias("n1"), F.sum(1 - F.col("lo")).alias("n0"))
-    total = F.struct(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"), F.count(F.lit(1)).alias("words"))
-    words = words.checkpoint(eager=True)
-    t = words.agg(total.alias("t")).first()["t"]
-    rate = (t["n1"] or 0) / max(1, (t["n1"] or 0) + (t["n0"] or 0))
-    p = F.col("n1") / (F.col("n1") + F.col("n0"))
-    # One-sided binomial deviation from the toxic texts' share, significant among all the words looked at.
-    q = F.lit(max(rate, 1e-9))
-    gain = F.col("n1") * F.log(p / q) + F.when(F.col("n0") > 0, F.col("n0") * F.log((1 - p) / (1 - q))).otherwise(0.0)
-    need = math.log(max(2, t["words"]))
-    chosen = (words.where((F.col("n1") >= 3) & (p >= 0.5)).withColumn("gain", gain).where(F.col("gain") >= need)
-                   .orderBy(F.desc("gain"), "word").limit(MAX_TERMS).toPandas())
-    return words, chosen
+                found = ["", *words_of(text), ""]
+                out |= {(b, a + " " + c, int(y)) for a, b, c in zip(found, found[1:], found[2:], strict=False) if b in looked}
+            yield pd.DataFrame(list(out), columns=["word", "around", "y"])
+
+    around = (texts.mapInPandas(contexts, "word string, around string, y int")
+                   .groupBy("word", F.xxhash64("around").alias("around")).agg(F.max("y").alias("hi"), F.min("y").alias("lo"))
+                   .groupBy("word").agg(F.sum("hi").alias("n1"), F.sum(1 - F.col("lo")).alias("n0")))
+    return words, outstanding(around, max_terms) if looked else []
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 60) -> np.ndarray:
@@ -292,12 +328,18 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int =
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          limit: int = MAX_LABELLED) -> ToxicityModel:
-    """A model from labelled texts, at most ``limit`` of them; the default model where a label is missing."""
+          limit: int = MAX_LABELLED, max_terms: int = MAX_TERMS, max_clean: int = MAX_CLEAN) -> ToxicityModel:
+    """A model from labelled texts; the default weights where a label is missing.
+
+    Words are counted over all labelled texts: the ``max_terms`` that stand out
+    most become terms, and of clean words that look like a term the
+    ``max_clean`` most frequent are known.  The weights are fitted on at most
+    ``limit`` texts.
+    """
     prepare(docs.sparkSession)
     rows = _labelled(docs, labels, id_col, text_col, label_col, limit).checkpoint(eager=True)
-    words, chosen = _word_counts(rows)
-    model = ToxicityModel(sorted({*SEED_TERMS, *chosen["word"].tolist()}))
+    words, chosen = _word_counts(_distinct_texts(docs, labels, id_col, text_col, label_col), max_terms)
+    model = ToxicityModel(sorted({*SEED_TERMS, *chosen}))
     shared, terms = model, set(model.terms)
 
     def look_alikes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -310,9 +352,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                                columns=["y", *"abcdef"])
 
     near = F.pandas_udf(look_alikes, "boolean")
-    # Words near a term that clean texts use: at most a few per term.
+    # Words near a term that clean texts use.
     clean = (words.where((F.col("n0") >= 2) & (F.col("n0") > F.col("n1"))).where(near("word"))
-                  .orderBy(F.desc("n0"), "word").limit(100 * MAX_TERMS).select("word").toPandas()["word"])
+                  .orderBy(F.desc("n0"), "word").limit(max_clean).select("word").toPandas()["word"])
     fitted = ToxicityModel(model.terms, frozenset(clean))
     table = rows.mapInPandas(features, "y int, a double, b double, c double, d double, e double, f double").toPandas()
     if table["y"].nunique() == 2:
