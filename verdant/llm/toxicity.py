@@ -273,9 +273,10 @@ def _gain(n1: Column, n0: Column, rate: float) -> Column:
 def _word_counts(texts: DataFrame, max_terms: int) -> tuple[DataFrame, list[str]]:
     """(word, n1, n0: texts by label) over all texts, and the words that stand out in toxic ones.
 
-    A term stands out, significantly among all the words looked at, both by
-    texts and by distinct (previous, word, next) contexts, so near copies of
-    one text do not make its words terms.
+    Of the words that stand out most by texts (``CANDIDATES`` times
+    ``max_terms``), terms are those that do so by distinct (previous, word,
+    next) contexts, significantly among all the words looked at; so near copies
+    of one text do not make its words terms.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -291,13 +292,13 @@ def _word_counts(texts: DataFrame, max_terms: int) -> tuple[DataFrame, list[str]
     t = words.agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"), F.count(F.lit(1)).alias("words")).first()
     rate, need = (t["n1"] or 0) / max(1, (t["n1"] or 0) + (t["n0"] or 0)), math.log(max(2, t["words"]))
 
-    def outstanding(counts: DataFrame, limit: int) -> list[str]:
+    def outstanding(counts: DataFrame, least: int, need: float, limit: int) -> list[str]:
         n1, n0 = F.col("n1").cast("double"), F.col("n0").cast("double")
         gain = _gain(n1, n0, rate)
-        return [r["word"] for r in counts.where((n1 >= 3) & (n1 >= n0)).withColumn("gain", gain).where(F.col("gain") >= need)
+        return [r["word"] for r in counts.where((n1 >= least) & (n1 >= n0)).withColumn("gain", gain).where(F.col("gain") >= need)
                 .orderBy(F.desc("gain"), "word").limit(limit).select("word").collect()]
 
-    looked = frozenset(outstanding(words, CANDIDATES * max_terms))
+    looked = frozenset(outstanding(words, 2, 0.0, CANDIDATES * max_terms))
 
     def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -310,7 +311,7 @@ def _word_counts(texts: DataFrame, max_terms: int) -> tuple[DataFrame, list[str]
     around = (texts.mapInPandas(contexts, "word string, around string, y int")
                    .groupBy("word", F.xxhash64("around").alias("around")).agg(F.max("y").alias("hi"), F.min("y").alias("lo"))
                    .groupBy("word").agg(F.sum("hi").alias("n1"), F.sum(1 - F.col("lo")).alias("n0")))
-    return words, outstanding(around, max_terms) if looked else []
+    return words, outstanding(around, 3, need, max_terms) if looked else []
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 60) -> np.ndarray:
