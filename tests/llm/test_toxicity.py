@@ -107,12 +107,12 @@ def test_terms_are_counted_over_all_labelled_texts(spark):
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(4)
     labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
     texts = t._distinct_texts(docs, labels, "doc_id", "text", "toxic")
-    words, chosen = t._word_counts(texts, 500)
+    words, chosen = t._word_counts(*texts, 500)
     count = {r.word: (r.n1, r.n0) for r in words.collect()}
     assert count["vexmorp"] == (50, 0)
     assert count["copyword"] == (2, 0) and count["again"] == (1, 0)
     assert chosen[:2] == ["vexmorp", "vexmorq"] and "copyword" not in chosen
-    assert t._word_counts(texts, 1)[1] == ["vexmorp"]
+    assert t._word_counts(*texts, 1)[1] == ["vexmorp"]
     assert {"vexmorp", "vexmorq"} <= set(t.learn(docs, labels, limit=60).terms)
 
 

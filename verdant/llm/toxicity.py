@@ -248,20 +248,21 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
     return rows.select("y", "text")
 
 
-def _distinct_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """(y, text, weight) of every labelled text; a text's copies count once, by the smallest id.
+def _distinct_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> tuple[DataFrame, DataFrame]:
+    """(__id, hash, text) of all texts, and (__id, hash, y, weight) of the labelled ones; copies count once, by the smallest id.
 
-    Ids and hashes are compared, not texts; rows that repeat both id and text
+    Ids and hashes are shuffled, not texts; rows that repeat both id and text
     share one row's weight.
     """
     label = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
                    .groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("y")))
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"),
-                       F.xxhash64(F.col(text_col)).alias("hash")).where("text is not null")
+                       F.xxhash64(F.col(text_col)).alias("hash")).where("text is not null and __id is not null")
+    rows = rows.select("__id", "hash", "text")
     first = (rows.select("__id", "hash").join(label, "__id").groupBy("hash", "y", "__id").agg(F.count(F.lit(1)).alias("n"))
                  .groupBy("hash", "y").agg(F.min(F.struct("__id", "n")).alias("first"))
                  .select("hash", "y", "first.__id", (1 / F.col("first.n")).alias("weight")))
-    return rows.join(first, ["__id", "hash"]).select("y", "text", "weight")
+    return rows, first
 
 
 def _gain(n1: Column, n0: Column, rate: float) -> Column:
@@ -270,7 +271,7 @@ def _gain(n1: Column, n0: Column, rate: float) -> Column:
     return n1 * F.log(p / q) + F.when(n0 > 0, n0 * F.log((1 - p) / (1 - q))).otherwise(0.0)
 
 
-def _word_counts(texts: DataFrame, max_terms: int) -> tuple[DataFrame, list[str]]:
+def _word_counts(texts: DataFrame, labelled: DataFrame, max_terms: int) -> tuple[DataFrame, list[str]]:
     """(word, n1, n0: texts by label) over all texts, and the words that stand out in toxic ones.
 
     Of the words that stand out most by texts (``CANDIDATES`` times
@@ -279,16 +280,18 @@ def _word_counts(texts: DataFrame, max_terms: int) -> tuple[DataFrame, list[str]
     of one text do not make its words terms.
     """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    key = ", ".join(f"{c} {kind}" for c, kind in texts.dtypes if c != "text")
+
+    def distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            seen: dict[str, list[float]] = {}
-            for y, text, weight in zip(batch["y"], batch["text"], batch["weight"], strict=True):
-                for w in set(words_of(text)):
-                    seen.setdefault(w, [0.0, 0.0])[0 if y else 1] += weight
-            yield pd.DataFrame([(w, *n) for w, n in seen.items()], columns=["word", "n1", "n0"])
-
-    words = (texts.mapInPandas(count, "word string, n1 double, n0 double").groupBy("word")
-                  .agg(F.round(F.sum("n1")).alias("n1"), F.round(F.sum("n0")).alias("n0"))).checkpoint(eager=True)
+            batch["text"] = [" ".join(sorted(set(words_of(text)))) for text in batch["text"]]
+            yield batch.rename(columns={"text": "words"})
+
+    # Texts leave their tasks as distinct words, contexts as those of the words looked at.
+    listed = texts.mapInPandas(distinct, f"{key}, words string").join(labelled, ["__id", "hash"])
+    words = (listed.where("words <> ''").select("y", "weight", F.explode(F.split("words", " ")).alias("word"))
+                   .groupBy("word").agg(F.round(F.sum(F.col("weight") * F.col("y"))).alias("n1"),
+                                        F.round(F.sum(F.col("weight") * (1 - F.col("y")))).alias("n0"))).checkpoint(eager=True)
     t = words.agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"), F.count(F.lit(1)).alias("words")).first()
     rate, need = (t["n1"] or 0) / max(1, (t["n1"] or 0) + (t["n0"] or 0)), math.log(max(2, t["words"]))
 
@@ -302,14 +305,16 @@ def _word_counts(texts: DataFrame, max_terms: int) -> tuple[DataFrame, list[str]
 
     def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = set()
-            for y, text in zip(batch["y"], batch["text"], strict=True):
+            out = []
+            for own, print_, text in zip(batch["__id"], batch["hash"], batch["text"], strict=True):
                 found = ["", *words_of(text), ""]
-                out |= {(b, a + " " + c, int(y)) for a, b, c in zip(found, found[1:], found[2:], strict=False) if b in looked}
-            yield pd.DataFrame(list(out), columns=["word", "around", "y"])
+                if not looked.isdisjoint(found):
+                    out += {(own, print_, b, a + " " + c) for a, b, c in zip(found, found[1:], found[2:], strict=False) if b in looked}
+            yield pd.DataFrame(out, columns=["__id", "hash", "word", "around"])
 
-    around = (texts.mapInPandas(contexts, "word string, around string, y int")
-                   .groupBy("word", F.xxhash64("around").alias("around")).agg(F.max("y").alias("hi"), F.min("y").alias("lo"))
+    around = (texts.select("__id", "hash", "text").mapInPandas(contexts, f"{key}, word string, around string")
+                   .select("__id", "hash", "word", F.xxhash64("around").alias("around")).join(labelled, ["__id", "hash"])
+                   .groupBy("word", "around").agg(F.max("y").alias("hi"), F.min("y").alias("lo"))
                    .groupBy("word").agg(F.sum("hi").alias("n1"), F.sum(1 - F.col("lo")).alias("n0")))
     return words, outstanding(around, 3, need, max_terms) if looked else []
 
@@ -339,7 +344,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     prepare(docs.sparkSession)
     rows = _labelled(docs, labels, id_col, text_col, label_col, limit).checkpoint(eager=True)
-    words, chosen = _word_counts(_distinct_texts(docs, labels, id_col, text_col, label_col), max_terms)
+    words, chosen = _word_counts(*_distinct_texts(docs, labels, id_col, text_col, label_col), max_terms)
     model = ToxicityModel(sorted({*SEED_TERMS, *chosen}))
     shared, terms = model, set(model.terms)
 
