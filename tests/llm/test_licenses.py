@@ -131,3 +131,15 @@ def test_fresh_wordings(spark, model):
     wrong = [(n, f, got[i].families) for i, n, f in rows if got[i].families != f]
     print("fresh", len(rows) - len(wrong), "of", len(rows), wrong)
     assert len(wrong) <= 4, wrong
+
+
+def test_learns_from_every_text(spark):
+    """The one paragraph among thousands that looks like a notice counts in the threshold, wherever it is."""
+    odd = "The apache dancers were released under version two of the show"
+    rows = [(i, f"The driver showed licence number {i} at gate {i % 7}") for i in range(5000)] + [(5000, f"A page.\n\n{odd}")]
+    learned = x.learn(spark.createDataFrame(rows, "doc_id long, text string"))
+    line = spark.createDataFrame([(1, 0, odd)], "key long, pos int, line string").select(
+        "key", "pos", x.words_of(x.F.col("line")).alias("words"), x.F.array().cast("array<string>").alias("named"))
+    seen = x._probabilities(x._matched(line, ["key"], learned.features), ["key"], learned).first()
+    assert seen.family == "apache-2.0" and seen.probability > x.MIN_PROBABILITY + 0.05
+    assert abs(learned.threshold - seen.probability) < 1e-5

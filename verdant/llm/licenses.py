@@ -9,9 +9,10 @@ common words alone, and whether a licensing verb is negated.  The wordings are
 the templates, and every name of a family within sentence frames: those that
 license, those that only mention the name and those that negate.  A
 multinomial logistic regression with an ``unknown`` class, trained with
-Spark's own, gives the families' probabilities.  The acceptance threshold is
-calibrated on corpus paragraphs that share neither three words nor a name with
-a template.  A prediction is confirmed where the paragraph covers a template
+Spark's own, gives the families' probabilities.  All distinct corpus paragraphs
+that share neither three words nor a name with a template are unknown: half of
+them are learned from, and the acceptance threshold is calibrated on the other
+half.  A prediction is confirmed where the paragraph covers a template
 of its family, lies within one, or holds a name of the family whole.
 """
 
@@ -26,9 +27,10 @@ from pyspark.sql import functions as F
 from verdant.llm.common import cut, prepare
 
 UNKNOWN = "unknown"
-#: Corpus lines that the unknown class is learned from and calibrated on at most, and texts they come from at most.
-MAX_NEGATIVES = 2000
-MAX_TEXTS = 4000
+#: All corpus lines that the unknown class is learned from weigh together at most this much, beside wordings of weight 1.
+CORPUS_WEIGHT = 1000
+#: Training rows of one task.
+TASK_ROWS = 10_000
 #: Weight of a name alone among the training rows, and of the squared weights.
 BARE_WEIGHT = 30
 REGULARISATION = 0.0003
@@ -291,9 +293,8 @@ def _similarity(matched: DataFrame, keys: list[str], model: LicenseModel) -> Dat
                   .groupBy(*keys, "pos", "family").agg(F.max("similarity").alias("similarity")))
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_negatives: int = MAX_NEGATIVES,
-          max_texts: int = MAX_TEXTS) -> LicenseModel:
-    """A model from the fixed wordings and from at most ``max_negatives`` paragraphs of ``max_texts`` texts."""
+def learn(docs: DataFrame, text_col: str = "text", corpus_weight: float = CORPUS_WEIGHT) -> LicenseModel:
+    """A model from the fixed wordings and from all paragraphs of all texts that hold a key word but no wording."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import CountVectorizerModel
 
@@ -309,16 +310,15 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_n
         named.setdefault(r["family"], []).append(r["name"])
 
     # Corpus paragraphs with a key word, without a template's shingle and without a name.
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
-    chosen = texts.select("id", F.xxhash64("id").alias("h")).orderBy("h", "id").limit(max_texts).select("id").distinct()
-    some = texts.join(F.broadcast(chosen), "id")
-    three = grams.where(F.size(F.split("gram", " ")) == 3).select(F.col("gram").alias("t")).distinct()
-    lines = (_candidates(some.select("text"), [], "text").where(F.size(_named(F.col("words"), named)) == 0)
-             .select(F.array_join("words", " ").alias("line")).distinct())
-    shingled = lines.select("line", F.explode_outer(_grams(F.split("line", " "), 3)).alias("t"))
-    touched = shingled.join(F.broadcast(three), "t").select("line").distinct()
-    corpus = (lines.join(touched, "line", "left_anti").orderBy(F.xxhash64("line"), "line").limit(max_negatives)
-                   .select("line").withColumn("held", F.pmod(F.crc32(F.col("line").cast("binary")), F.lit(2)) == 1)).checkpoint(eager=True)
+    three = sorted(r["t"] for r in grams.where(F.size(F.split("gram", " ")) == 3).select(F.col("gram").alias("t")).distinct().collect())
+    # Written before they are looked at: a condition on the words would else be pushed below them, and split the line for every n-gram.
+    lines = _candidates(docs.select(F.col(text_col).alias("text")).where("text is not null"), [], "text").select(F.array_join("words", " ").alias("line"))
+    lines = cut(lines.distinct().select(F.monotonically_increasing_id().alias("key"), F.split("line", " ").alias("words"),
+                                        (F.pmod(F.crc32(F.col("line").cast("binary")), F.lit(2)) == 1).alias("held")), "licence-candidates")
+    corpus = cut(lines.where((F.size(_named(F.col("words"), named)) == 0) & ~F.exists(_grams(F.col("words"), 3), lambda g: g.isin(three))), "licence-corpus")
+    unheld = corpus.where(~F.col("held"))
+    # Each line weighs the same, and all together no more than ``corpus_weight``, however large the corpus.
+    line_weight = min(1.0, corpus_weight / max(1, unheld.count()))
 
     # Each template whole, its halves, and inside a longer line, and the framed names; negatives: fixed lines,
     # names that are mentioned or negated, and corpus lines.
@@ -332,18 +332,19 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_n
     positive = (templates.select(index[F.col("family")].alias("label"), F.explode(forms).alias("words"))
                 .union(framed.select(index[F.col("family")], words_of(F.col("line")))))
     negative = (_literal_rows(spark, [(x,) for x in NOT_LICENSES], ["line"]).union(_framed(wordings, MENTIONS + NEGATED).select("line"))
-                .select(words_of(F.col("line")).alias("words")).union(corpus.where(~F.col("held")).select(F.split("line", " "))))
+                .select(words_of(F.col("line")).alias("words"), F.lit(1.0).alias("weight")).union(unheld.select("words", F.lit(line_weight))))
     # A bare name is the plainest notice: it weighs as much as its negatives, so that unseen words around it leave it one.
     bare = wordings.select(index[F.col("family")], words_of(F.col("name")), F.lit(float(BARE_WEIGHT)))
-    rows = (positive.withColumn("weight", F.lit(1.0)).union(negative.select(F.lit(float(len(names) - 1)), "words", F.lit(1.0))).union(bare))
-    # A few thousand short rows (the fixed wordings and at most ``max_negatives``), passed over many times: one partition.
-    rows = rows.select("label", "weight", F.filter(grams_of(F.col("words")), _has_anchor).alias("grams")).coalesce(1).checkpoint(eager=True)
+    rows = (positive.withColumn("weight", F.lit(1.0)).union(negative.select(F.lit(float(len(names) - 1)), "words", "weight")).union(bare))
+    rows = rows.select("label", "weight", F.filter(grams_of(F.col("words")), _has_anchor).alias("grams"))
     # Bounded by the wordings, whatever the corpus holds.
     fixed = positive.select("words").union(_framed(wordings, MENTIONS + NEGATED).select(words_of(F.col("line"))))
     vocabulary = sorted(r["gram"] for r in fixed.select(F.explode(grams_of(F.col("words"))).alias("gram")).where(_has_anchor(F.col("gram"))).distinct().collect())
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, "grams", "features", binary=True).transform(rows)
-    fitted = LogisticRegression(family="multinomial", regParam=REGULARISATION, maxIter=60, standardization=False, weightCol="weight").fit(
-        vectors.select("label", "weight", "features"))
+    # Short sparse rows, passed over many times: as few partitions as their number needs.
+    vectors = vectors.select("label", "weight", "features").checkpoint(eager=True)
+    vectors = vectors.coalesce(vectors.count() // TASK_ROWS + 1)
+    fitted = LogisticRegression(family="multinomial", regParam=REGULARISATION, maxIter=60, standardization=False, weightCol="weight").fit(vectors)
     weights, intercepts = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray().tolist()
 
     # One row per n-gram of the fixed wordings, so it is broadcast.
@@ -351,9 +352,10 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_n
     table = spark.createDataFrame([(g, weights[:, k].tolist()) for k, g in enumerate(vocabulary)], "gram string, weights array<double>", verifySchema=False)
     features = (table.join(own, "gram", "left").withColumn("three", F.size(F.split("gram", " ")) == 3)).checkpoint(eager=True)
     model = LicenseModel(names, features, intercepts, named, sizes, family_of)
-    held = corpus.where("held").select(F.col("line").alias("key"), F.lit(0).alias("pos"), F.split("line", " ").alias("words"), F.array().cast("array<string>").alias("named"))
+    held = corpus.where("held").select("key", F.lit(0).alias("pos"), "words", F.array().cast("array<string>").alias("named"))
     seen = _probabilities(_matched(held, ["key"], features), ["key"], model).where(F.col("family") != UNKNOWN)
-    worst = seen.agg(F.percentile("probability", F.lit(0.999)).alias("p")).first()["p"]
+    # Six places: the percentile's table of distinct values stays small, however many lines there are.
+    worst = seen.agg(F.percentile(F.round("probability", 6), F.lit(0.999)).alias("p")).first()["p"]
     model.threshold = min(0.95, max(MIN_PROBABILITY, worst or 0.0))
     return model
 
