@@ -104,3 +104,18 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, lang string, text string")
     assert c.mine(df).collect() == []
     assert c.mine(spark.createDataFrame([(None, None)], "lang string, text string")).collect() == []
+
+
+def test_whole_tiles_keep_frequent_pairs_only():
+    """A tile in one part hands on its frequent pairs alone, one of several parts all its partial counts."""
+    import pandas as pd
+    a, b, n = (np.array(v, np.int32) for v in ([1, 2, 3], [4, 5, 6], [9, 10, 11]))
+    for parts, want in ((1, [(2, 5, 10), (3, 6, 11)]), (2, [(1, 4, 9), (2, 5, 10), (3, 6, 11)])):
+        rows = pd.DataFrame([("en", 0, 0, a, b, n, parts)], columns=["lang", "x", "y", "a", "b", "c", "parts"])
+        got = [t for f in c.tile_counts(iter([rows]), 10) for t in f[["a", "b", "f"]].itertuples(index=False, name=None)]
+        assert got == want
+
+
+def test_sequences_are_read_back(tmp_path):
+    for seq in (np.arange(100_000, dtype=np.int32) % 777, np.zeros(0, np.int32)):
+        assert (c.read_sequence(str(tmp_path), c.write_sequence(str(tmp_path), seq)) == seq).all()

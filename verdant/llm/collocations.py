@@ -19,7 +19,9 @@ Only frequent symbols can be parts of frequent phrases, so nothing is lost by
 leaving out the others; all counts are exact.  No vocabulary is broadcast or
 held whole in one task.  A tile with many entries is dealt to several tasks,
 whose partial counts a grouped sum adds up; sparse tiles hand their counts on
-when they grow beyond ``HELD`` entries.
+when they grow beyond ``HELD`` entries.  All other tiles have their whole counts
+in one task, which keeps the frequent pairs alone.  Sequences stay in task files
+and are read by the chunk's task; only their names are dealt with the ids.
 
 Defined results:
 
@@ -38,10 +40,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdant.llm.common import cut, prepare
+from verdant.llm.common import by_file, cut, open_new, prepare, read_range, scratch_uri
 
 #: Words of a chunk, about (a chunk ends after the text that reaches it).
 CHUNK_WORDS = 1 << 20
@@ -58,8 +61,8 @@ _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcde
 #: Stands for a piece end among the words; no word can hold a full stop.
 _END = b"."
 
-CHUNKS = "chunk long, lang string, n long, seq binary, words array<string>, counts array<long>"
-TILES = "chunk long, lang string, x int, y int, start long, a array<int>, b array<int>, c array<int>, seq binary"
+CHUNKS = "chunk long, lang string, n long, seq string, words array<string>, counts array<long>"
+TILES = "chunk long, lang string, x int, y int, start long, a array<int>, b array<int>, c array<int>, seq string"
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -77,8 +80,22 @@ class _Codes(dict):
         return n
 
 
-def chunk_words(batches: Iterator[pd.DataFrame], limit: int = CHUNK_WORDS) -> Iterator[pd.DataFrame]:
-    """(lang, text) rows -> chunks of local codes with their vocabulary."""
+def write_sequence(folder: str, seq: np.ndarray) -> str:
+    """Name of a new task file with ``seq`` (its length, then its numbers compressed)."""
+    name, out = open_new(folder, "sequence", ".zst")
+    with out:
+        out.write(np.int64(seq.nbytes).tobytes())
+        out.write(pa.compress(seq.tobytes(), codec="zstd", asbytes=True))
+    return name
+
+
+def read_sequence(folder: str, name: str) -> np.ndarray:
+    raw = read_range(folder, name)
+    return np.frombuffer(pa.decompress(raw[8:], int(np.frombuffer(raw, np.int64, 1)[0]), codec="zstd", asbytes=True), np.int32)
+
+
+def chunk_words(batches: Iterator[pd.DataFrame], limit: int = CHUNK_WORDS, folder: str | None = None) -> Iterator[pd.DataFrame]:
+    """(lang, text) rows -> chunks with their vocabulary; ``seq`` names the file of local codes (none without a folder)."""
     held: dict[str, tuple[_Codes, list[np.ndarray]]] = {}
     size = 0
     for batch in batches:
@@ -90,18 +107,18 @@ def chunk_words(batches: Iterator[pd.DataFrame], limit: int = CHUNK_WORDS) -> It
             parts.append(np.fromiter(map(codes.__getitem__, words), np.int32, len(words)))
             size += len(words)
             if size >= limit:
-                yield _closed(held)
+                yield _closed(held, folder)
                 held, size = {}, 0
     if held:
-        yield _closed(held)
+        yield _closed(held, folder)
 
 
-def _closed(held: dict) -> pd.DataFrame:
+def _closed(held: dict, folder: str | None) -> pd.DataFrame:
     rows = []
     for lang, (codes, parts) in held.items():
         seq = np.concatenate(parts)
         counts = np.bincount(seq, minlength=len(codes))[1:]
-        rows.append((uuid.uuid4().int >> 65, lang, int(counts.sum()), seq.tobytes(), [w.decode() for w in codes][1:], counts))
+        rows.append((uuid.uuid4().int >> 65, lang, int(counts.sum()), write_sequence(folder, seq) if folder else None, [w.decode() for w in codes][1:], counts))
     return pd.DataFrame(rows, columns=["chunk", "lang", "n", "seq", "words", "counts"])
 
 
@@ -120,12 +137,12 @@ def block_size(block: int) -> int:
     return HEAD << max(block - 1, 0)
 
 
-def pair_tiles(chunk: int, lang: str, symbols: np.ndarray, last: bool) -> pd.DataFrame:
+def pair_tiles(chunk: int, lang: str, symbols: np.ndarray, folder: str | None) -> pd.DataFrame:
     """A chunk's neighbouring symbols, counted and dealt into tiles.
 
     ``symbols`` holds the id of the symbol that starts at each place, 0 where
     there is none.  Rows are tiles; codes of pairs run on from a tile's
-    ``start``.  The first row also holds the places' pair codes, for the next round.
+    ``start``.  The first row also names the file of the places' pair codes, for the next round (none without a folder).
     """
     a, b = symbols[:-1], symbols[1:]
     at = np.flatnonzero((a > 0) & (b > 0))
@@ -137,12 +154,12 @@ def pair_tiles(chunk: int, lang: str, symbols: np.ndarray, last: bool) -> pd.Dat
     order = np.argsort(tile, kind="stable")
     a, b, count, tile = (v[order] for v in (a.astype(np.int32), b.astype(np.int32), count.astype(np.int32), tile))
     seq = None
-    if not last:
+    if folder:
         code = np.empty(len(order), np.int32)
         code[order] = np.arange(1, len(order) + 1)
         places = np.zeros(len(symbols), np.int32)
         places[at] = code[where]
-        seq = places.tobytes()
+        seq = write_sequence(folder, places)
     ends = [*np.flatnonzero(np.diff(tile)) + 1, len(tile)]
     rows, lo = [], 0
     for hi in ends:
@@ -181,8 +198,8 @@ class _Tile:
             first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             self.keys, self.counts, self.held = [key[first]], [np.add.reduceat(count, first)], len(first)
 
-    def take(self, lang: str) -> pd.DataFrame:
-        """The counts so far, which are then forgotten."""
+    def take(self, lang: str, least: int = 1) -> pd.DataFrame:
+        """The counts so far that are ``least`` or more; all are then forgotten."""
         self.settle()
         if self.dense is not None:
             key = np.flatnonzero(self.dense)
@@ -190,25 +207,33 @@ class _Tile:
         else:
             key, count = (v[0] if v else np.zeros(0, np.int64) for v in (self.keys, self.counts))
         self.keys, self.counts, self.held, self.dense = [], [], 0, None
+        if least > 1:
+            key, count = key[count >= least], count[count >= least]
         return pd.DataFrame({"lang": lang, "a": key // self.width + self.x0, "b": key % self.width + self.y0, "f": count})
 
 
-def tile_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Tiles of many chunks, sorted by (lang, x, y) -> (lang, a, b, f), partial where a tile was too large."""
-    name, tile = None, None
+def tile_counts(batches: Iterator[pd.DataFrame], min_count: int = 1) -> Iterator[pd.DataFrame]:
+    """Tiles of many chunks, sorted by (lang, x, y) -> (lang, a, b, f), partial where a tile was too large.
+
+    Pairs below ``min_count`` are left out where the counts are whole: in a tile
+    of one part (column ``parts``) that was not handed on early.
+    """
+    name, tile, least = None, None, 1
     for batch in batches:
         for r in batch.itertuples(index=False):
             if (r.lang, r.x, r.y) != name:
                 if tile is not None:
-                    yield tile.take(name[0])
+                    yield tile.take(name[0], least)
                 name, tile = (r.lang, r.x, r.y), _Tile(r.x, r.y)
+                least = min_count if getattr(r, "parts", 0) == 1 else 1
             tile.add(r.a, r.b, r.c)
             if tile.held >= HELD:
                 tile.settle()
                 if tile.held >= HELD // 2:           # sparse, and many different pairs
                     yield tile.take(name[0])
+                    least = 1
     if tile is not None:
-        yield tile.take(name[0])
+        yield tile.take(name[0], least)
 
 
 def ranked(counts: DataFrame, ties: list[str], name: str) -> DataFrame:
@@ -228,32 +253,34 @@ def ranked(counts: DataFrame, ties: list[str], name: str) -> DataFrame:
                  .drop("__at", "__part", "__n", "__first", "__before"))
 
 
-def _next_tiles(sequences: DataFrame, codes: DataFrame, last: bool) -> DataFrame:
+def _next_tiles(sequences: DataFrame, codes: DataFrame, folder: str, last: bool) -> DataFrame:
     """Chunks whose symbols get their ids -> tiles of their pairs."""
 
     def tiles(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        seq = np.frombuffer(left["seq"].iloc[0], np.int32)
+        seq = read_sequence(folder, left["seq"].iloc[0])
         lookup = np.zeros(int(seq.max()) + 1, np.int64)
         lookup[right["code"].to_numpy(np.int64)] = right["id"].to_numpy(np.int64)
-        return pair_tiles(int(left["chunk"].iloc[0]), left["lang"].iloc[0], lookup[seq], last)
+        return pair_tiles(int(left["chunk"].iloc[0]), left["lang"].iloc[0], lookup[seq], None if last else folder)
 
     def cogrouped(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:                # no frequent symbol in this chunk
             return pd.DataFrame([], columns=[f.split()[0] for f in TILES.split(", ")])
         return tiles(left, right)
 
-    return sequences.groupBy("chunk").cogroup(codes.withColumnRenamed("chunk", "owner").groupBy("owner")).applyInPandas(cogrouped, TILES)
+    codes = by_file(codes.withColumnRenamed("chunk", "owner"), "owner")
+    return by_file(sequences, "chunk").groupBy("chunk").cogroup(codes.groupBy("owner")).applyInPandas(cogrouped, TILES)
 
 
 def _pair_counts(tiles: DataFrame, min_count: int) -> DataFrame:
     """(lang, a, b, f) of the pairs that occur ``min_count`` times or more."""
     partitions = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = tiles.groupBy("lang", "x", "y").agg(F.ceil(F.sum(F.size("a")) / F.lit(TILE_ENTRIES)).alias("parts"))
-    dealt = (tiles.select("chunk", "lang", "x", "y", "a", "b", "c").join(parts, ["lang", "x", "y"])
+    # A row per tile (pairs of blocks, whose number grows with the logarithm of the ranks): broadcast.
+    dealt = (tiles.select("chunk", "lang", "x", "y", "a", "b", "c").join(F.broadcast(parts), ["lang", "x", "y"])
                   .withColumn("part", F.pmod(F.xxhash64("chunk"), F.col("parts"))))
     dealt = (dealt.repartition(partitions, "lang", "x", "y", "part").sortWithinPartitions("lang", "x", "y")
-                  .select("lang", "x", "y", "a", "b", "c"))
-    found = dealt.mapInPandas(tile_counts, "lang string, a long, b long, f long")
+                  .select("lang", "x", "y", "a", "b", "c", "parts"))
+    found = dealt.mapInPandas(lambda batches: tile_counts(batches, min_count), "lang string, a long, b long, f long")
     return found.groupBy("lang", "a", "b").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
 
 
@@ -267,7 +294,8 @@ def count_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, text
     """
     prepare(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    chunks = cut(texts.mapInPandas(chunk_words, CHUNKS), "chunks", codec="zstd")
+    limit, folder = CHUNK_WORDS, scratch_uri(docs.sparkSession, "sequences")
+    chunks = cut(texts.mapInPandas(lambda batches: chunk_words(batches, limit, folder), CHUNKS), "chunks", codec="zstd")
     total = chunks.groupBy("lang").agg(F.sum("n").alias("n"))
     counted = chunks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).groupBy("lang", F.col("w.words").alias("phrase"))
     words = ranked(counted.agg(F.sum("w.counts").alias("f")).where(F.col("f") >= min_count), ["phrase"], "words")
@@ -279,7 +307,7 @@ def count_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, text
                    .join(levels[0].select("lang", "phrase", "id"), ["lang", "phrase"])
                    .select("chunk", (F.col("pos") + 1).alias("code"), F.col("id").cast("int").alias("id")))
     for size in range(2, max_words + 1):
-        tiles = cut(_next_tiles(sequences, codes, last=size == max_words), "tiles", codec="zstd")
+        tiles = cut(_next_tiles(sequences, codes, folder, last=size == max_words), "tiles", codec="zstd")
         pairs = ranked(_pair_counts(tiles, min_count), ["a", "b"], "pairs")
         levels.append(cut(_with_parts(pairs, levels[-1]), "phrases"))
         sequences = tiles.where("seq is not null").select("chunk", "lang", "seq")
