@@ -119,3 +119,33 @@ def test_whole_tiles_keep_frequent_pairs_only():
 def test_sequences_are_read_back(tmp_path):
     for seq in (np.arange(100_000, dtype=np.int32) % 777, np.zeros(0, np.int32)):
         assert (c.read_sequence(str(tmp_path), c.write_sequence(str(tmp_path), seq)) == seq).all()
+
+
+def test_large_tiles_hand_on_frequent_pairs_only(monkeypatch):
+    """Beyond ``HELD`` different pairs, and split into parts: every pair's count is whole, rare pairs stay behind."""
+    import pandas as pd
+    monkeypatch.setattr(c, "HELD", 300)
+    rng = np.random.default_rng(7)
+    lo, hi = c.block_start(3) + 1, c.block_start(9) + 1
+    rows, want = [], Counter()
+    for _ in range(12):
+        key = rng.permutation(np.r_[np.arange(40), rng.choice(np.arange(40, 20_000), 500, replace=False)])
+        a, b, n = ((v).astype(np.int32) for v in (lo + key // 100, hi + key % 100, np.ones(len(key))))
+        want.update(zip(a.tolist(), b.tolist()))
+        rows.append(("en", 3, 9, a, b, n))
+    want = {(p, q, f) for (p, q), f in want.items() if f >= 10}
+    assert len(want) == 40
+    tile = pd.DataFrame(rows, columns=["lang", "x", "y", "a", "b", "c"])
+
+    def counted(frame):
+        found = pd.concat(list(c.tile_counts(iter([frame]), 10)))
+        return [t for t in found[["a", "b", "f"]].itertuples(index=False, name=None)]
+
+    one = counted(tile.assign(parts=1))
+    assert len(one) == 40 and set(one) == want
+    for parts in (1, 7):
+        split = pd.concat(list(c.split_tiles(iter([tile.assign(parts=parts)]))))
+        sizes = split.assign(size=split["a"].map(len)).groupby("part")["size"].sum()
+        assert len(sizes) == parts and sizes.sum() == 12 * 540 and sizes.max() < 1.5 * sizes.min()
+        got = counted(split.sort_values(["lang", "x", "y", "part"], kind="stable"))
+        assert len(got) == 40 and set(got) == want

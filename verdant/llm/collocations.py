@@ -17,11 +17,11 @@ vocabulary and its counts.  Then, for phrases of two, three, ... words:
 
 Only frequent symbols can be parts of frequent phrases, so nothing is lost by
 leaving out the others; all counts are exact.  No vocabulary is broadcast or
-held whole in one task.  A tile with many entries is dealt to several tasks,
-whose partial counts a grouped sum adds up; sparse tiles hand their counts on
-when they grow beyond ``HELD`` entries.  All other tiles have their whole counts
-in one task, which keeps the frequent pairs alone.  Sequences stay in task files
-and are read by the chunk's task; only their names are dealt with the ids.
+held whole in one task.  A tile with many entries is split by its pairs into
+parts of about ``TILE_ENTRIES`` entries, so however large a tile grows, a pair's
+counts meet in one part and only the frequent pairs are handed on.  Sequences
+stay in task files and are read by the chunk's task; only their names are dealt
+with the ids.
 
 Defined results:
 
@@ -52,9 +52,9 @@ CHUNK_WORDS = 1 << 20
 HEAD = 1024
 #: A tile of at most this many cells is counted densely.
 DENSE_CELLS = 1 << 22
-#: Entries that a tile holds before it adds them up, and entries of a tile in one task.
+#: Entries that are held before they are added up or handed on, and entries of one part of a tile, about.
 HELD = 1 << 20
-TILE_ENTRIES = 1 << 23
+TILE_ENTRIES = 1 << 20
 
 #: Lower-cases A-Z, makes tabs blanks, and piece ends line feeds.
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz \n\n\n\n\n\n\n\n\n")
@@ -63,6 +63,7 @@ _END = b"."
 
 CHUNKS = "chunk long, lang string, n long, seq string, words array<string>, counts array<long>"
 TILES = "chunk long, lang string, x int, y int, start long, a array<int>, b array<int>, c array<int>, seq string"
+PARTS = "lang string, x int, y int, part int, a array<int>, b array<int>, c array<int>"
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -169,6 +170,37 @@ def pair_tiles(chunk: int, lang: str, symbols: np.ndarray, folder: str | None) -
     return pd.DataFrame(rows, columns=["chunk", "lang", "x", "y", "start", "a", "b", "c", "seq"])
 
 
+def part_of(a: np.ndarray, b: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each pair in a tile of ``parts`` parts: a hash of the pair."""
+    pair = a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)
+    hashed = pair * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+    return (hashed % np.uint64(parts)).astype(np.min_scalar_type(parts))
+
+
+def split_tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Chunks' tiles with the number of ``parts`` of their tile -> a row per part; a pair is in the same part in every chunk."""
+    columns = [f.split()[0] for f in PARTS.split(", ")]
+    for batch in batches:
+        rows, held = [], 0
+        for r in batch.itertuples(index=False):
+            if r.parts == 1:
+                rows.append((r.lang, r.x, r.y, 0, r.a, r.b, r.c))
+            else:
+                part = part_of(r.a, r.b, r.parts)
+                order = np.argsort(part, kind="stable")
+                part, a, b, c = (v[order] for v in (part, r.a, r.b, r.c))
+                lo = 0
+                for hi in [*np.flatnonzero(part[1:] != part[:-1]) + 1, len(part)]:
+                    rows.append((r.lang, r.x, r.y, int(part[lo]), a[lo:hi], b[lo:hi], c[lo:hi]))
+                    lo = hi
+            held += len(r.a)
+            if held >= HELD:
+                yield pd.DataFrame(rows, columns=columns)
+                rows, held = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
+
+
 class _Tile:
     """Counts of one tile: dense cells where they are few, else sorted coordinates."""
 
@@ -213,25 +245,25 @@ class _Tile:
 
 
 def tile_counts(batches: Iterator[pd.DataFrame], min_count: int = 1) -> Iterator[pd.DataFrame]:
-    """Tiles of many chunks, sorted by (lang, x, y) -> (lang, a, b, f), partial where a tile was too large.
+    """Tiles of many chunks, sorted by (lang, x, y, part) -> (lang, a, b, f) of the pairs with ``min_count`` or more.
 
-    Pairs below ``min_count`` are left out where the counts are whole: in a tile
-    of one part (column ``parts``) that was not handed on early.
+    Without a column ``part`` a tile is one part.  Rows may say among how many
+    tasks their pairs are dealt (column ``parts``): beyond one the counts are
+    partial, and all are handed on.
     """
-    name, tile, least = None, None, 1
+    name, tile, least, limit = None, None, 1, HELD
     for batch in batches:
         for r in batch.itertuples(index=False):
-            if (r.lang, r.x, r.y) != name:
+            this = (r.lang, r.x, r.y, getattr(r, "part", 0))
+            if this != name:
                 if tile is not None:
                     yield tile.take(name[0], least)
-                name, tile = (r.lang, r.x, r.y), _Tile(r.x, r.y)
-                least = min_count if getattr(r, "parts", 0) == 1 else 1
+                name, tile, limit = this, _Tile(r.x, r.y), HELD
+                least = min_count if getattr(r, "parts", 1) == 1 else 1
             tile.add(r.a, r.b, r.c)
-            if tile.held >= HELD:
+            if tile.held >= limit:
                 tile.settle()
-                if tile.held >= HELD // 2:           # sparse, and many different pairs
-                    yield tile.take(name[0])
-                    least = 1
+                limit = max(HELD, 2 * tile.held)
     if tile is not None:
         yield tile.take(name[0], least)
 
@@ -274,14 +306,13 @@ def _next_tiles(sequences: DataFrame, codes: DataFrame, folder: str, last: bool)
 def _pair_counts(tiles: DataFrame, min_count: int) -> DataFrame:
     """(lang, a, b, f) of the pairs that occur ``min_count`` times or more."""
     partitions = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = tiles.groupBy("lang", "x", "y").agg(F.ceil(F.sum(F.size("a")) / F.lit(TILE_ENTRIES)).alias("parts"))
+    parts = tiles.groupBy("lang", "x", "y").agg(F.ceil(F.sum(F.size("a")) / F.lit(TILE_ENTRIES)).cast("int").alias("parts"))
     # A row per tile (pairs of blocks, whose number grows with the logarithm of the ranks): broadcast.
-    dealt = (tiles.select("chunk", "lang", "x", "y", "a", "b", "c").join(F.broadcast(parts), ["lang", "x", "y"])
-                  .withColumn("part", F.pmod(F.xxhash64("chunk"), F.col("parts"))))
-    dealt = (dealt.repartition(partitions, "lang", "x", "y", "part").sortWithinPartitions("lang", "x", "y")
-                  .select("lang", "x", "y", "a", "b", "c", "parts"))
+    dealt = tiles.select("lang", "x", "y", "a", "b", "c").join(F.broadcast(parts), ["lang", "x", "y"]).mapInPandas(split_tiles, PARTS)
+    name = ["lang", "x", "y", "part"]
+    dealt = dealt.repartition(partitions, *name).sortWithinPartitions(*name)
     found = dealt.mapInPandas(lambda batches: tile_counts(batches, min_count), "lang string, a long, b long, f long")
-    return found.groupBy("lang", "a", "b").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
+    return cut(found, "counts")                      # written: the ranking's range partitioning reads it twice
 
 
 def count_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, text_col: str = "text",
